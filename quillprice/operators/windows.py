@@ -20,13 +20,14 @@ def _asc(c: str | Column) -> Column:
 
 
 def global_row_number(df: DataFrame, order_by: list[str], id_col: str = "id",
-                      num_partitions: int | None = None) -> DataFrame:
+                      num_partitions: int | None = None, start: int = 0) -> DataFrame:
     """ROW_NUMBER() OVER (ORDER BY order_by) as bigint, computed in parallel.
 
     NULLs sort first, as in T-SQL. Rows that tie on every ordering column are
     split across partitions by a per-row tie-breaker, so a hot key or a group
     of identical rows does not land in one task. Tied rows receive
     consecutive numbers in an unspecified order (as ROW_NUMBER does).
+    Numbers run from ``start + 1``.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -44,7 +45,7 @@ def global_row_number(df: DataFrame, order_by: list[str], id_col: str = "id",
         F.coalesce(F.sum(_N).over(Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias(_OFF))
     return (ranged.join(F.broadcast(offsets), _PID)
-                  .withColumn(id_col, (F.col(_OFF) + F.col(_POS) + 1).cast("long"))
+                  .withColumn(id_col, (F.col(_OFF) + F.col(_POS) + F.lit(start + 1)).cast("long"))
                   .drop(_PID, _POS, _TIE, _OFF))
 
 

@@ -153,3 +153,163 @@ def upload_queue_refresh(fx):
     """Kept queue rows + eligible new prices."""
     return market.upload_queue_refresh(fx.upload_queue, market.staging(_inputs(fx)),
                                        fx.rules_calc)
+
+
+# --- X4-X8: retail survey ---------------------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from quillprice.functions import text as T_  # noqa: E402
+from quillprice.oracle import retail_sql  # noqa: E402
+from quillprice.plans import retail  # noqa: E402
+
+
+def _retail_sql(select: str) -> str:
+    return compose(retail_sql.RETAIL_FIXTURES, retail_sql.CTES, select)
+
+
+def _retail(fx):
+    return retail.retail_state(fx.retail_import, fx.brand_registry, fx.part_registry)
+
+
+@register("anti_join_new_brand", _retail_sql("SELECT * FROM new_brands"))
+def anti_join_new_brand(fx):
+    """Unregistered (retailer, brand) pairs of priced rows."""
+    return retail.new_brands(fx.retail_import, fx.brand_registry)
+
+
+@register("surrogate_brand_id", _retail_sql("SELECT * FROM new_brand_ids"))
+def surrogate_brand_id(fx):
+    """Ids for new brands, continuing after the highest registered id."""
+    brands = fx.brand_registry
+    return retail.assign_brand_ids(retail.new_brands(fx.retail_import, brands), brands)
+
+
+@register("brand_registry_update", _retail_sql("SELECT * FROM brands2"))
+def brand_registry_update(fx):
+    """Brand registry after registering new brands."""
+    return retail.brand_registry_update(fx.retail_import, fx.brand_registry)
+
+
+@register("anti_join_new_part",
+          _retail_sql("SELECT RETAIL_XMFG, PRODUCTBRAND, PRODUCTNUMBER, PRODUCTNAME FROM c1_parts"))
+def anti_join_new_part(fx):
+    """Candidate parts not in the registry view."""
+    feed = fx.retail_import
+    brands = retail.brand_registry_update(feed, fx.brand_registry)
+    return retail.new_parts(feed, brands, fx.part_registry).drop("RN")
+
+
+@register("partition_row_number", _retail_sql("SELECT * FROM c1_parts"))
+def partition_row_number(fx):
+    """ROW_NUMBER over the four distinct columns (always 1)."""
+    feed = fx.retail_import
+    brands = retail.brand_registry_update(feed, fx.brand_registry)
+    return retail.new_parts(feed, brands, fx.part_registry)
+
+
+@register("part_registry_update", _retail_sql("SELECT * FROM parts2"))
+def part_registry_update(fx):
+    """Part registry after registering new parts."""
+    return _retail(fx)[1]
+
+
+@register("update_enrich_clean_keys", _retail_sql("SELECT * FROM feed2"))
+def update_enrich_clean_keys(fx):
+    """Feed with clean brand / number copied from the registry view."""
+    return _retail(fx)[3]
+
+
+@register("group_latest_date", _retail_sql("SELECT * FROM ls_c"))
+def group_latest_date(fx):
+    """Latest shop day per (retailer, clean brand, clean number)."""
+    return retail.latest_shop_day(_retail(fx)[3])
+
+
+@register("join_self_latest", _retail_sql("SELECT * FROM ls_c1"))
+def join_self_latest(fx):
+    """Rows of each key's latest shop day."""
+    return retail.latest_day_rows(_retail(fx)[3])
+
+
+@register("group_price_stats", _retail_sql("SELECT * FROM ls_c2"))
+def group_price_stats(fx):
+    """min/max/avg price and avg core price of the latest day."""
+    return retail.last_shop_stats(_retail(fx)[3]).select(
+        *retail.KEYS, "MinPrice", "MaxPrice", "AvgPrice", "AvgCore", "ShopCnt", "LastShop")
+
+
+@register("count_distinct", _retail_sql(
+    "SELECT RETAIL_XMFG, CLEANPRODUCTBRAND, CLEANPRODUCTNUMBER, LastShop, ShopCnt FROM ls_c2"))
+def count_distinct(fx):
+    """Exact count of distinct shops (ZIP codes) on the latest day."""
+    return retail.last_shop_stats(_retail(fx)[3]).select(*retail.KEYS, "LastShop", "ShopCnt")
+
+
+@register("last_shop_summary", _retail_sql("SELECT * FROM last_shop"))
+def last_shop_summary(fx):
+    """Latest-day statistics with registry name and alt code."""
+    _, _, view, feed = _retail(fx)
+    return retail.last_shop_summary(feed, view)
+
+
+@register("join_composite_key", _retail_sql("SELECT * FROM last_shop"))
+def join_composite_key(fx):
+    """Three-column equi-join of the statistics to the registry view."""
+    return last_shop_summary(fx)
+
+
+@register("join_price_sheet_xref", _retail_sql("SELECT * FROM bp_c0"))
+def join_price_sheet_xref(fx):
+    """Sheet parts x rank-1 sheets x cross-reference, distinct."""
+    return retail.own_brand_parts(fx.price_new, fx.price_sheets, fx.xref)
+
+
+@register("filter_prefix_any", _retail_sql(
+    "SELECT * FROM base_ranks WHERE LFC LIKE '2%' OR LFC LIKE '3%' OR LFC LIKE '4%'"))
+def filter_prefix_any(fx):
+    """LIKE '2%' OR '3%' OR '4%'."""
+    return retail.ranked_base_parts(fx.base_ranks)
+
+
+@register("join_left_base_ranks", _retail_sql("SELECT * FROM bp_c1"))
+def join_left_base_ranks(fx):
+    """Base parts LEFT JOIN own-brand parts."""
+    own = retail.own_brand_parts(fx.price_new, fx.price_sheets, fx.xref)
+    return retail.base_parts_with_brands(fx.base_ranks, own)
+
+
+def _brand_map(fx):
+    return retail.brand_part_map(fx.price_new, fx.price_sheets, fx.xref, fx.base_ranks)
+
+
+@register("conditional_max_pivot", _retail_sql("SELECT * FROM bp_c2"))
+def conditional_max_pivot(fx):
+    """MAX(CASE XMfg WHEN v THEN BrandPart END) x 3."""
+    return _brand_map(fx)
+
+
+@register("brand_part_map", _retail_sql("SELECT * FROM bp_c2"))
+def brand_part_map(fx):
+    """Own-brand part numbers per base part."""
+    return _brand_map(fx)
+
+
+@register("retail_price_comparison", _retail_sql("SELECT * FROM comparison"))
+def retail_price_comparison(fx):
+    """Retail latest-day prices per own base part."""
+    _, _, view, feed = _retail(fx)
+    return retail.retail_price_comparison(retail.last_shop_summary(feed, view), fx.xref,
+                                          _brand_map(fx))
+
+
+@register("filter_positive", _retail_sql("SELECT * FROM retail_import WHERE PRICE > 0"))
+def filter_positive(fx):
+    """PRICE > 0."""
+    return fx.retail_import.filter(F.col("PRICE") > 0)
+
+
+@register("filter_ne_3vl", _retail_sql(
+    "SELECT * FROM retail_import WHERE rtrim(PRODUCTBRAND) <> '' AND PRICE > 0"))
+def filter_ne_3vl(fx):
+    """PRODUCTBRAND <> '' (NULL dropped, blanks equal '')."""
+    return fx.retail_import.filter(T_.not_blank(F.col("PRODUCTBRAND")) & (F.col("PRICE") > 0))

@@ -306,17 +306,17 @@ class Fixtures:
     # derived registries / targets ---------------------------------------------------
     @property
     def brand_registry(self) -> DataFrame:
-        from quillprice.plans.retail import seed_brand_registry
+        from quillprice.sources.seeds import seed_brand_registry
         return seed_brand_registry(self.retail_import)
 
     @property
     def part_registry(self) -> DataFrame:
-        from quillprice.plans.retail import seed_part_registry
+        from quillprice.sources.seeds import seed_part_registry
         return seed_part_registry(self.retail_import, self.brand_registry)
 
     @property
     def comp_sheet(self) -> DataFrame:
-        from quillprice.plans.competitor import seed_competitor_sheet
+        from quillprice.sources.seeds import seed_competitor_sheet
         return seed_competitor_sheet(self.comp_feed, self.line_map)
 
 
