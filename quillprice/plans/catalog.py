@@ -313,3 +313,204 @@ def filter_positive(fx):
 def filter_ne_3vl(fx):
     """PRODUCTBRAND <> '' (NULL dropped, blanks equal '')."""
     return fx.retail_import.filter(T_.not_blank(F.col("PRODUCTBRAND")) & (F.col("PRICE") > 0))
+
+
+# --- X9 / X13: competitor feed ------------------------------------------------------------
+from quillprice.oracle import feeds_sql  # noqa: E402
+from quillprice.plans import competitor, export, pivots  # noqa: E402
+
+
+def _comp_sql(select: str, extra=()) -> str:
+    return compose(feeds_sql.COMP_FIXTURES, feeds_sql.COMP_CTES + list(extra), select)
+
+
+def _sheet2(fx):
+    return competitor.competitor_incremental_upsert(fx.comp_feed, fx.line_map, fx.comp_sheet)
+
+
+@register("high_water_gate", _comp_sql(
+    "SELECT new_mark, old_mark, new_mark > old_mark AS go FROM marks"))
+def high_water_gate(fx):
+    """Newest feed stamp, newest sheet stamp, and whether to load."""
+    return competitor.high_water_marks(fx.comp_feed, fx.line_map, fx.comp_sheet)
+
+
+@register("global_max", _comp_sql("SELECT old_mark FROM marks"))
+def global_max(fx):
+    """Ungrouped MAX over the sheet stamps."""
+    return fx.comp_sheet.agg(F.max("PS_Date_Created").alias("old_mark"))
+
+
+@register("filter_in_on_clause", _comp_sql("SELECT * FROM mapped"))
+def filter_in_on_clause(fx):
+    """Feed rows joined to lines whose code IS NOT NULL (filter in ON)."""
+    return competitor.mapped_feed(fx.comp_feed, fx.line_map)
+
+
+def _batch(fx):
+    m = competitor.high_water_marks(fx.comp_feed, fx.line_map, fx.comp_sheet).first()
+    after = m["old_mark"] if m["go"] else None
+    batch = competitor.staged_batch(fx.comp_feed, fx.line_map, after)
+    return batch if m["go"] else batch.limit(0)
+
+
+@register("filter_gt_scalar", _comp_sql("SELECT * FROM c_batch"))
+def filter_gt_scalar(fx):
+    """Rows newer than the sheet's mark, with parsed dates."""
+    return _batch(fx)
+
+
+@register("join_left_match_flag", _comp_sql("SELECT * FROM staging_tb"))
+def join_left_match_flag(fx):
+    """Batch LEFT JOIN sheet on the punctuation-stripped part number."""
+    return competitor.match_flags(_batch(fx), fx.comp_sheet)
+
+
+@register("staged_reuse", _comp_sql("SELECT * FROM staging_tb"))
+def staged_reuse(fx):
+    """The staged batch read by both the insert and the update."""
+    return competitor.match_flags(_batch(fx), fx.comp_sheet)
+
+
+@register("upsert_competitor", _comp_sql("SELECT * FROM sheet2"))
+def upsert_competitor(fx):
+    """Sheet after inserting new keys and updating matched ones."""
+    return competitor.upsert_competitor(fx.comp_sheet, _batch(fx))
+
+
+@register("competitor_incremental_upsert", _comp_sql("SELECT * FROM sheet2"))
+def competitor_incremental_upsert(fx):
+    """Gate + upsert."""
+    return _sheet2(fx)
+
+
+# --- X10 / X11 / J19: pivots ----------------------------------------------------------------
+@register("group_avg", _comp_sql("SELECT * FROM comp_c"))
+def group_avg(fx):
+    """AVG(PriceWD) per (own part, competitor)."""
+    return pivots.competitor_avg(_sheet2(fx), fx.comp_xref)
+
+
+@register("filter_in_list", _comp_sql(
+    "SELECT * FROM sheet2 WHERE XMfg IN ('DOR', 'VDO', 'GAT', 'GIL', 'GPD', 'MEI', 'SNT', 'SPI', "
+    "'TAP', 'UAC', 'USM')"))
+def filter_in_list(fx):
+    """IN over the eleven competitor codes."""
+    return _sheet2(fx).filter(F.col("XMfg").isin(*pivots.COMPETITORS))
+
+
+@register("pivot_competitor", _comp_sql("SELECT * FROM comp_pivot", [feeds_sql.COMP_PIVOT]))
+def pivot_competitor(fx):
+    """A10: PIVOT AVG over eleven fixed competitor columns."""
+    return pivots.competitor_price_pivot(_sheet2(fx), fx.comp_xref)
+
+
+@register("competitor_price_pivot", _comp_sql("SELECT * FROM comp_pivot", [feeds_sql.COMP_PIVOT]))
+def competitor_price_pivot(fx):
+    """Competitor price pivot over the refreshed sheet."""
+    return pivots.competitor_price_pivot(_sheet2(fx), fx.comp_xref)
+
+
+def _comparison(fx):
+    _, _, view, feed = _retail(fx)
+    return retail.retail_price_comparison(retail.last_shop_summary(feed, view), fx.xref,
+                                          _brand_map(fx))
+
+
+_RETAIL_PIVOT_SQL = compose(retail_sql.RETAIL_FIXTURES, retail_sql.CTES + [feeds_sql.RETAIL_PIVOT],
+                            "SELECT * FROM retail_pivot")
+
+
+@register("pivot_retail", _RETAIL_PIVOT_SQL)
+def pivot_retail(fx):
+    """PIVOT AVG over nine fixed retailer columns."""
+    return pivots.retail_price_pivot(_comparison(fx))
+
+
+@register("retail_price_pivot", _RETAIL_PIVOT_SQL)
+def retail_price_pivot(fx):
+    """X11: retail price pivot of the comparison."""
+    return pivots.retail_price_pivot(_comparison(fx))
+
+
+@register("filter_not_prefix", _retail_sql(
+    "SELECT * FROM comparison WHERE BasePart NOT LIKE 'N%'"))
+def filter_not_prefix(fx):
+    """NOT LIKE 'N%'."""
+    return _comparison(fx).filter(pivots.own_part_filter("BasePart"))
+
+
+_WIDE_SQL = compose(
+    tuple(dict.fromkeys(PRICING_FIXTURES + ("matrix",) + retail_sql.RETAIL_FIXTURES
+                        + feeds_sql.COMP_FIXTURES)),
+    pricing_ctes() + _MATRIX_CTES + retail_sql.CTES + feeds_sql.COMP_CTES
+    + [feeds_sql.COMP_PIVOT, feeds_sql.RETAIL_PIVOT],
+    "SELECT c.PartNumber, " + ", ".join(f"p.{x}" for x in feeds_sql.COMPETITORS) + ", "
+    + ", ".join(f"r.{x}" for x in feeds_sql.RETAILERS)
+    + " FROM (SELECT DISTINCT PartNumber FROM (SELECT * FROM kept_matrix UNION ALL "
+      "SELECT * FROM insert_matrix) m) c LEFT JOIN comp_pivot p ON c.PartNumber = p.FS_Part "
+      "LEFT JOIN retail_pivot r ON c.PartNumber = r.BasePart")
+
+
+@register("wide_pivot_join", _WIDE_SQL)
+def wide_pivot_join(fx):
+    """Refreshed matrix parts LEFT JOIN both pivots (dormant in the reference)."""
+    matrix = market.market_price_matrix_refresh(fx.matrix, market.staging(_inputs(fx)))
+    current = matrix.select("PartNumber").distinct()
+    return pivots.wide_pivot_join(current, pivots.competitor_price_pivot(_sheet2(fx), fx.comp_xref),
+                                  pivots.retail_price_pivot(_comparison(fx)))
+
+
+# --- X12: OE export -----------------------------------------------------------------------
+def _export_sql(select: str) -> str:
+    return compose(feeds_sql.EXPORT_FIXTURES, feeds_sql.EXPORT_CTES, select)
+
+
+@register("global_row_number", _export_sql("SELECT * FROM oe_body"))
+def global_row_number(fx):
+    """ROW_NUMBER() OVER (ORDER BY Manufacturer, PartNumber), computed in parallel."""
+    return export.numbered_list(fx.oe_list)
+
+
+@register("order_by_ordinal", _export_sql("SELECT * FROM oe_body ORDER BY 1, 2"))
+def order_by_ordinal(fx):
+    """ORDER BY 1, 2 on the numbered list."""
+    return export.numbered_list(fx.oe_list).orderBy("Manufacturer", "PartNumber")
+
+
+@register("group_min_max_id", _export_sql("SELECT * FROM oe_mm"))
+def group_min_max_id(fx):
+    """MIN/MAX id per manufacturer."""
+    from quillprice.operators.aggregates import min_max_by
+    return min_max_by(export.numbered_list(fx.oe_list), "Manufacturer", "id")
+
+
+@register("scalar_min_max_filtered", _export_sql("SELECT * FROM oe_tags"))
+def scalar_min_max_filtered(fx):
+    """Per-manufacturer open and close tag rows (min - 1, max + 1)."""
+    return export.tag_rows(export.numbered_list(fx.oe_list))
+
+
+@register("concat_strings", _export_sql("SELECT * FROM oe_tags"))
+def concat_strings(fx):
+    """'<' + make + '>' and '</' + make + '>' (NULL propagates)."""
+    return export.tag_rows(export.numbered_list(fx.oe_list))
+
+
+@register("union_tag_rows", _export_sql("SELECT * FROM oe_body UNION ALL SELECT * FROM oe_tags"))
+def union_tag_rows(fx):
+    """Body rows + open tags + close tags."""
+    n = export.numbered_list(fx.oe_list)
+    return n.unionByName(export.tag_rows(n))
+
+
+@register("oe_tagged_export", _export_sql("SELECT * FROM oe_export"))
+def oe_tagged_export(fx):
+    """Numbered, tagged OE list."""
+    return export.oe_tagged_export(fx.oe_list)
+
+
+@register("order_by_columns", _export_sql("SELECT * FROM oe_export ORDER BY Manufacturer, id"))
+def order_by_columns(fx):
+    """The export in nesting order (Manufacturer, id)."""
+    return export.oe_tagged_export(fx.oe_list).orderBy("Manufacturer", "id", "PartNumber")
