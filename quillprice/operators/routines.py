@@ -133,6 +133,15 @@ def landing_trim(load: DataFrame) -> DataFrame:
     return load.withColumn("POP_Code", text.sql_trim(F.col("POP_Code")))
 
 
+def rules_join(inp: PricingInputs) -> DataFrame:
+    """J01 as written: price sheet x list rules x customer rules (no routine tagging)."""
+    load = landing_trim(inp.load)
+    lst = bounded_broadcast(inp.rules_list)
+    calc = bounded_broadcast(inp.rules_calc.withColumnRenamed("xmfg", "CalcXmfg"))
+    return (load.join(lst, load["POP_Code"] == lst["PopCode"])
+                .join(calc, load["xmfg"] == calc["BASE_WD"]))
+
+
 def priced_base(inp: PricingInputs, routines=ROUTINES) -> DataFrame:
     """price sheet x list rules x tagged customer rules."""
     load = landing_trim(inp.load)
@@ -158,11 +167,12 @@ def taxonomy_dim(inp: PricingInputs) -> DataFrame:
                     .select("BasePart", "SRP3"))
 
 
-def competitor_price(inp: PricingInputs) -> DataFrame:
+def competitor_price(inp: PricingInputs, keep_unmatched: bool = False) -> DataFrame:
     """Competitor (brand 625, group HYFILTR) prices keyed by own part.
 
-    The reference left-joins this and then drops NULL prices and NULL part
-    matches in WHERE (SURVEY Q13); written as inner joins here.
+    The reference left-joins the cross-reference and then drops NULL prices
+    and NULL part matches in WHERE (SURVEY Q13), so the routine uses inner
+    joins; ``keep_unmatched`` gives the derived table as written (P04, J05).
     """
     groups = bounded_broadcast(inp.price_group.filter(F.col("KICPGP") == COMPETITOR_PRICE_GROUP))
     brand, base, valid = text.item_code_parts(F.col("BPLITM"))
@@ -173,7 +183,8 @@ def competitor_price(inp: PricingInputs) -> DataFrame:
                                     pricing.scaled_int_price(F.col("BPUPRC")).alias("HPrice")))
     xref = (inp.xref.filter(F.col("XMfg") == COMPETITOR_XMFG)
                     .select("CompPart", "FS_Part").distinct())
-    return (prices.join(xref, prices["BasePart"] == xref["CompPart"])
+    how = "left" if keep_unmatched else "inner"
+    return (prices.join(xref, prices["BasePart"] == xref["CompPart"], how)
                   .select("FS_Part", "HPrice"))
 
 

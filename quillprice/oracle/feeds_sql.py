@@ -25,7 +25,10 @@ COMP_CTES = [
     FROM mapped t0, marks m
     WHERE t0.Date_Created > m.old_mark AND m.new_mark > m.old_mark)""",
     f"""staging_tb AS (
-    SELECT t0.*, t1.XMfgPartClean AS Flag FROM c_batch t0 LEFT JOIN comp_sheet t1
+    SELECT t0.*, t1.XMfg AS XMfg_2, t1.XMfgPartClean AS Flag, t1.XMfgUOM, t1.XMfgPOP, t1.PriceWD,
+           t1.AcquisitionType, t1.PriceJobber, t1.PriceList, t1.PriceRetail, t1.psID AS old_psID,
+           t1.CoreCharge, t1.DateEffective, t1.XMfgPartType, t1.XMfgPartCategory, t1.XREFGroup
+    FROM c_batch t0 LEFT JOIN comp_sheet t1
       ON t0.XMfg = t1.XMfg AND {_CLEAN.format(c='t0.PARTNO')} = t1.XMfgPartClean)""",
     f"""best AS (
     SELECT * FROM (

@@ -514,3 +514,448 @@ def oe_tagged_export(fx):
 def order_by_columns(fx):
     """The export in nesting order (Manufacturer, id)."""
     return export.oe_tagged_export(fx.oe_list).orderBy("Manufacturer", "id", "PartNumber")
+
+
+# --- Sources and sinks (S01-S09) -----------------------------------------------------------
+from quillprice.functions import dates as D_, pricing as P_  # noqa: E402
+from quillprice.operators.constraints import STAGING_SCHEMA, enforce_staging, with_violations  # noqa: E402
+from quillprice.operators.joins import bounded_broadcast  # noqa: E402
+from quillprice.sources import pricesheet  # noqa: E402
+
+_PS_COLS = ("xmfg, Cust_Part_Number, Gross_Price, POP_Code, Change_Code, Core_Price, "
+            "Price_Sheet_Number, Effective_Date")
+
+
+def _sheet_file(fx) -> str:
+    path = pricesheet.scratch_path(fx.spark, "price-sheet")
+    return pricesheet.write_price_sheet(fx.ps_load, path)
+
+
+@register("tsv_price_sheet_load", compose(("ps_load",), [], "SELECT * FROM ps_load"))
+def tsv_price_sheet_load(fx):
+    """The price sheet read back from its tab-separated file."""
+    return pricesheet.read_price_sheet(fx.spark, _sheet_file(fx))
+
+
+_TRIMMED = compose(("ps_load",), [], f"SELECT xmfg, Cust_Part_Number, Gross_Price, "
+                   f"trim(POP_Code) AS POP_Code, Change_Code, Core_Price, Price_Sheet_Number, "
+                   f"Effective_Date FROM ps_load")
+
+
+@register("landing_trim", _TRIMMED)
+def landing_trim(fx):
+    """POP_Code = LTRIM(RTRIM(POP_Code)) after the load."""
+    return R.landing_trim(fx.ps_load)
+
+
+@register("update_column_in_place", _TRIMMED)
+def update_column_in_place(fx):
+    """Table-wide column update as a projection."""
+    return R.landing_trim(fx.ps_load)
+
+
+@register("trim", _TRIMMED)
+def trim_(fx):
+    """LTRIM/RTRIM (U+0020 only)."""
+    return R.landing_trim(fx.ps_load)
+
+
+@register("landing_reload", compose(("ps_load",), [], "SELECT * FROM ps_load"))
+def landing_reload(fx):
+    """Truncate-and-reload = file load published as a new landing version."""
+    return pricesheet.publish(pricesheet.read_price_sheet(fx.spark, _sheet_file(fx)), name="landing")
+
+
+@register("staging_typed_rebuild", _pricing_sql("SELECT * FROM staging"))
+def staging_typed_rebuild(fx):
+    """Staging rows under the declared schema; any constraint violation aborts."""
+    st = enforce_staging(market.staging(_inputs(fx)))
+    return st.select(*[F.col(f.name).cast(f.dataType) for f in STAGING_SCHEMA.fields])
+
+
+@register("not_null_and_length_check", _pricing_sql(
+    "SELECT *, CAST(NULL AS VARCHAR) AS Violations FROM staging"))
+def not_null_and_length_check(fx):
+    """Staging rows with the list of violated NOT NULL / VARCHAR(n) constraints."""
+    return with_violations(market.staging(_inputs(fx)))
+
+
+@register("append_insert_select",
+          _pricing_sql("SELECT * FROM kept_matrix UNION ALL SELECT * FROM insert_matrix",
+                       ("matrix",), _MATRIX_CTES))
+def append_insert_select(fx):
+    """Kept matrix written as a table, new rows appended (INSERT ... SELECT)."""
+    st = market.staging(_inputs(fx))
+    kept = market.delete_matched_matrix(fx.matrix, st).select(*market.MATRIX_COLUMNS)
+    path = pricesheet.scratch_path(fx.spark, "matrix")
+    kept_t = pricesheet.publish(kept, path)
+    return pricesheet.append(market.insert_matrix_rows(st, kept_t), path)
+
+
+@register("ctas_replace", _export_sql("SELECT * FROM oe_export"))
+def ctas_replace(fx):
+    """SELECT ... INTO a replaced table (written as a new version, read back)."""
+    return pricesheet.publish(export.oe_tagged_export(fx.oe_list), name="export")
+
+
+_J01_SQL = _pricing_sql(
+    "SELECT d.Cust_Part_Number, d.xmfg, d.POP_Code, d.Gross_Price, l.Jobber, l.Multiplier, "
+    "l.Dealer, c.Brand, c.xmfg AS CalcXmfg, c.PriceGroup, c.Percent_of_WD "
+    "FROM rules_list l JOIN landing d ON l.PopCode = d.POP_Code JOIN rules_calc c ON d.xmfg = c.BASE_WD")
+
+
+def _rules_join(fx):
+    return R.rules_join(_inputs(fx)).select(
+        "Cust_Part_Number", "xmfg", "POP_Code", "Gross_Price", "Jobber", "Multiplier", "Dealer",
+        "Brand", "CalcXmfg", "PriceGroup", "Percent_of_WD")
+
+
+@register("join_rules_3way", _J01_SQL)
+def join_rules_3way(fx):
+    """Price sheet x list rules x customer rules (many-to-many on BASE_WD)."""
+    return _rules_join(fx)
+
+
+@register("multi_db_read", _J01_SQL)
+def multi_db_read(fx):
+    """The sheet (one database) joined to rule tables (another)."""
+    return _rules_join(fx)
+
+
+@register("erp_upload_sink_layout", _pricing_sql("SELECT * FROM insert_queue", ("upload_queue",),
+                                                 _QUEUE_CTES))
+def erp_upload_sink_layout(fx):
+    """Upload rows with the constant columns of the ERP layout."""
+    return market.upload_eligible(market.staging(_inputs(fx)), fx.rules_calc)
+
+
+# --- Projections and filters (P01-P23) --------------------------------------------------------
+_alias = {"project_alias": "price_standard", "distinct_over_superset": "price_standard",
+          "group_by_expressions": "price_ceiling", "filter_expr_not_null": "price_a08",
+          "join_left_competitor_price": "price_a08", "cte_chain": "last_shop_summary",
+          "project_star_plus": "join_left_match_flag",
+          "update_net_price": "price_net", "case_simple": "conditional_max_pivot",
+          "now": "market_price_staging"}
+
+
+def _register_alias(new_key: str, existing: str):
+    from quillprice.registry import ORACLE, QUERIES
+    QUERIES[new_key] = QUERIES[existing]
+    if existing in ORACLE:
+        ORACLE[new_key] = ORACLE[existing]
+
+
+for _k, _v in _alias.items():
+    _register_alias(_k, _v)
+
+
+@register("project_constants", _comp_sql("SELECT * FROM sheet_inserted"))
+def project_constants(fx):
+    """Inserted sheet rows: NULL placeholders and the 'WD Gross' constant."""
+    return competitor.inserted_rows(_batch(fx), fx.comp_sheet)
+
+
+_HAYDEN_SQL = _pricing_sql("SELECT FS_Part, Price FROM hayden")
+
+
+def _hayden(fx):
+    return R.competitor_price(_inputs(fx), keep_unmatched=True).withColumnRenamed("HPrice", "Price")
+
+
+@register("derived_table", _HAYDEN_SQL)
+def derived_table(fx):
+    """The competitor-price subquery (price file x group, LEFT JOIN xref)."""
+    return _hayden(fx)
+
+
+@register("join_left_xref", _HAYDEN_SQL)
+def join_left_xref(fx):
+    """Competitor part -> own part through the de-duplicated cross-reference (left)."""
+    return _hayden(fx)
+
+
+@register("filter_not_null", _comp_sql("SELECT * FROM staging_tb WHERE Flag IS NOT NULL"))
+def filter_not_null(fx):
+    """P10: Flag IS NOT NULL (batch rows that match a sheet row)."""
+    return competitor.match_flags(_batch(fx), fx.comp_sheet).filter(F.col("Flag").isNotNull())
+
+
+@register("filter_null_or_value", _pricing_sql(
+    "SELECT d.Cust_Part_Number, c.Brand, c.PriceGroup, c.SpecialPriceRoutine "
+    "FROM rules_list l JOIN landing d ON l.PopCode = d.POP_Code JOIN rules_calc c "
+    "ON d.xmfg = c.BASE_WD WHERE c.SpecialPriceRoutine IS NULL OR c.SpecialPriceRoutine = 1"))
+def filter_null_or_value(fx):
+    """SpecialPriceRoutine IS NULL OR SpecialPriceRoutine = 1."""
+    flag = F.col("SpecialPriceRoutine")
+    return (R.rules_join(_inputs(fx)).filter(flag.isNull() | (flag == 1))
+            .select("Cust_Part_Number", "Brand", "PriceGroup", "SpecialPriceRoutine"))
+
+
+@register("filter_eq_literal", compose(("upload_queue",), [],
+                                       "SELECT * FROM upload_queue WHERE Uploaded = '0'"))
+def filter_eq_literal(fx):
+    """Uploaded = '0'."""
+    return fx.upload_queue.filter(F.col("Uploaded") == "0")
+
+
+@register("filter_contains", _pricing_sql("SELECT * FROM staging WHERE ChangeCode LIKE '%New Item%'"))
+def filter_contains(fx):
+    """ChangeCode LIKE '%New Item%'."""
+    return market.staging(_inputs(fx)).filter(F.col("ChangeCode").contains(market.NEW_ITEM))
+
+
+@register("filter_self_equal", compose(("matrix",), [], "SELECT * FROM matrix WHERE Brand = Brand"))
+def filter_self_equal(fx):
+    """Brand = Brand (Catalyst folds it to Brand IS NOT NULL)."""
+    return fx.matrix.filter(F.col("Brand") == F.col("Brand"))
+
+
+# --- Joins (J02-J14) ----------------------------------------------------------------------------
+@register("join_rules_with_category", _pricing_sql(
+    "SELECT d.Cust_Part_Number, c.Brand, c.PriceGroup, r.Group1 FROM rules_list l JOIN landing d "
+    "ON l.PopCode = d.POP_Code JOIN rules_calc c ON d.xmfg = c.BASE_WD "
+    "JOIN base_ranks r ON d.Cust_Part_Number = r.BasePart"))
+def join_rules_with_category(fx):
+    """Rules join + part category table."""
+    j = R.rules_join(_inputs(fx))
+    ranks = fx.base_ranks.select("BasePart", "Group1")
+    return j.join(ranks, j["Cust_Part_Number"] == ranks["BasePart"]).select(
+        "Cust_Part_Number", "Brand", "PriceGroup", "Group1")
+
+
+@register("join_nested_taxonomy", _pricing_sql(
+    "SELECT d.Cust_Part_Number, d.xmfg, s.SRP3 FROM landing d JOIN (tax_pdm0 p0 JOIN tax_pdm1 p1 "
+    "ON p0.PDM1 = p1.PDM1 JOIN tax_setup s ON p1.PDM1 = s.PDM1) ON d.Cust_Part_Number = p0.BasePart"))
+def join_nested_taxonomy(fx):
+    """Bushy join: (PDM0 x PDM1 x setup) built first, then joined to the sheet."""
+    inp = _inputs(fx)
+    tax = R.taxonomy_dim(inp)
+    load = R.landing_trim(inp.load)
+    return load.join(tax, load["Cust_Part_Number"] == tax["BasePart"]).select(
+        "Cust_Part_Number", "xmfg", "SRP3")
+
+
+@register("join_price_file_group", compose(
+    ("price_file", "price_group"), [],
+    "SELECT f.BPLITM, f.BPUPRC, g.KICPGP FROM price_group g JOIN price_file f ON g.KIICID = f.BPICID"))
+def join_price_file_group(fx):
+    """Price file x price file group on the item group id."""
+    g = bounded_broadcast(fx.price_group)
+    f = fx.price_file
+    return f.join(g, f["BPICID"] == g["KIICID"]).select("BPLITM", "BPUPRC", "KICPGP")
+
+
+@register("join_distinct_dimension", _pricing_sql(
+    "SELECT d.Cust_Part_Number, u.Info FROM landing d JOIN (SELECT Basepart, Info FROM pack_lookup "
+    "WHERE Type = 'Standard/MinimumOrderQuantity' GROUP BY Basepart, Info) u "
+    "ON d.Cust_Part_Number = u.Basepart"))
+def join_distinct_dimension(fx):
+    """Inner join to a de-duplicated lookup."""
+    inp = _inputs(fx)
+    pack = R.pack_dim(inp)
+    load = inp.load
+    return load.join(pack, load["Cust_Part_Number"] == pack["Basepart"]).select(
+        "Cust_Part_Number", "Info")
+
+
+_DELETED_QUEUE = _pricing_sql(
+    "SELECT q.* FROM upload_queue q WHERE q.Uploaded = '0' AND EXISTS (SELECT 1 FROM staging s "
+    "WHERE rtrim(s.Cust_Part_Number) = rtrim(right(q.Item_Num, length(rtrim(q.Item_Num)) - 3)) "
+    "AND s.Brand = q.Brand AND s.PriceGroup = q.Cust_Group AND s.CalcPrice = q.Price_Per_Unit)",
+    ("upload_queue",))
+
+
+def _deleted_queue(fx):
+    return market.pending_matches(fx.upload_queue, market.staging(_inputs(fx)))
+
+
+@register("join_computed_key_suffix", _DELETED_QUEUE)
+def join_computed_key_suffix(fx):
+    """Queue rows matched on RIGHT(Item_Num, LEN - 3) and three more keys."""
+    return _deleted_queue(fx)
+
+
+@register("join_price_equality", _DELETED_QUEUE)
+def join_price_equality(fx):
+    """The same match; the price key compares stored doubles."""
+    return _deleted_queue(fx)
+
+
+@register("join_clean_key", _comp_sql("SELECT * FROM sheet_updated"))
+def join_clean_key(fx):
+    """Sheet rows joined to the batch on the punctuation-stripped part number."""
+    return competitor.updated_rows(fx.comp_sheet, _batch(fx))
+
+
+@register("distinct_via_group", _retail_sql("SELECT * FROM c_parts"))
+def distinct_via_group(fx):
+    """GROUP BY without aggregates = DISTINCT."""
+    return retail.candidate_parts(fx.retail_import)
+
+
+# --- Scalar functions (F01-F20) -------------------------------------------------------------------
+def _f_sql(fixture: str, select: str) -> str:
+    return compose((fixture,), [], select)
+
+
+_U_SQL = "CAST({p} AS DECIMAL(5,4)) * CAST(Gross_Price AS DECIMAL(7,2))"
+
+
+@register("round_decimal", _f_sql("ps_load", "SELECT Cust_Part_Number, CAST(ROUND("
+                                  + _U_SQL.format(p="0.6500") + ", 2) AS DOUBLE) AS Value FROM ps_load"))
+def round_decimal(fx):
+    """ROUND(numeric, 2), half away from zero."""
+    u = P_.pct_of(P_.dec("0.6500"), F.col("Gross_Price"))
+    return fx.ps_load.select("Cust_Part_Number", P_.round_money(u).cast("double").alias("Value"))
+
+
+@register("round_float", compose(("ps_load", "rules_list"), [],
+                                 "SELECT d.Cust_Part_Number, CAST(ROUND(d.Gross_Price * l.Jobber * "
+                                 "l.Multiplier, 2) AS DOUBLE) AS PriceList FROM ps_load d JOIN "
+                                 "rules_list l ON l.PopCode = trim(d.POP_Code)"))
+def round_float(fx):
+    """list price ROUND(gross * jobber * multiplier, 2), computed in decimal."""
+    load = R.landing_trim(fx.ps_load)
+    lst = bounded_broadcast(fx.rules_list)
+    j = load.join(lst, load["POP_Code"] == lst["PopCode"])
+    return j.select("Cust_Part_Number", P_.round_money(F.col("Gross_Price") * F.col("Jobber")
+                                                       * F.col("Multiplier")).cast("double")
+                    .alias("PriceList"))
+
+
+@register("round_dynamic_scale", compose(
+    ("ps_load", "pack_lookup"), [],
+    "SELECT d.Cust_Part_Number, u.Info, CAST(CASE WHEN CAST(trunc(2 * CAST(u.Info AS DECIMAL(5,2))) "
+    "AS INTEGER) >= 6 THEN " + _U_SQL.format(p="0.3333") + " ELSE CASE CAST(trunc(2 * CAST(u.Info AS "
+    "DECIMAL(5,2))) AS INTEGER) " + " ".join(f"WHEN {k} THEN ROUND({_U_SQL.format(p='0.3333')}, {k})"
+                                               for k in range(-6, 6))
+    + " END END AS DOUBLE) AS Value FROM ps_load d JOIN (SELECT DISTINCT Basepart, Info FROM "
+      "pack_lookup WHERE Type = 'Standard/MinimumOrderQuantity') u ON d.Cust_Part_Number = u.Basepart"))
+def round_dynamic_scale(fx):
+    """ROUND(u, 2 * pack) with a per-row length."""
+    inp = _inputs(fx)
+    pack = R.pack_dim(inp)
+    j = fx.ps_load.join(pack, F.col("Cust_Part_Number") == pack["Basepart"])
+    u = P_.pct_of(P_.dec("0.3333"), F.col("Gross_Price"))
+    length = F.lit(2) * P_.to_numeric(F.col("Info"), 5, 2)
+    return j.select("Cust_Part_Number", "Info",
+                    P_.round_dynamic_scale(u, length).cast("double").alias("Value"))
+
+
+@register("ceil_to_step", _f_sql("ps_load", "SELECT Cust_Part_Number, CAST(CAST(0.05 AS DECIMAL(2,2)) "
+                                 "* ceil(" + _U_SQL.format(p="0.8125") + " * 20) AS DOUBLE) AS Value "
+                                 "FROM ps_load"))
+def ceil_to_step(fx):
+    """round up to a multiple of 0.05."""
+    u = P_.pct_of(P_.dec("0.8125"), F.col("Gross_Price"))
+    return fx.ps_load.select("Cust_Part_Number", P_.ceil_to_nickel(u).cast("double").alias("Value"))
+
+
+@register("case_searched", _f_sql(
+    "ps_load", "SELECT Cust_Part_Number, CAST(CASE WHEN ROUND(" + _U_SQL.format(p="0.8125")
+    + ", 2) > 9.99 THEN CAST(0.05 AS DECIMAL(2,2)) * ceil(" + _U_SQL.format(p="0.8125")
+    + " * 20) ELSE ROUND(" + _U_SQL.format(p="0.8125") + ", 2) END AS DOUBLE) AS Value FROM ps_load"))
+def case_searched(fx):
+    """CASE WHEN rounded > 9.99 THEN nickel ceiling ELSE rounded END."""
+    u = P_.pct_of(P_.dec("0.8125"), F.col("Gross_Price"))
+    return fx.ps_load.select("Cust_Part_Number", P_.ceiling_price(u).cast("double").alias("Value"))
+
+
+@register("cast_float_numeric", _f_sql("upload_queue", "SELECT Item_Num, CAST(Price_Per_Unit AS "
+                                       "DECIMAL(7,2)) AS Value FROM upload_queue"))
+def cast_float_numeric(fx):
+    """CAST(float AS numeric(7,2))."""
+    return fx.upload_queue.select("Item_Num", P_.to_numeric(F.col("Price_Per_Unit"), 7, 2).alias("Value"))
+
+
+@register("cast_text_number", _f_sql("pack_lookup", "SELECT Basepart, CAST(Info AS DOUBLE) AS InfoFloat, "
+                                     "CAST(Info AS DECIMAL(5,2)) AS InfoNumeric FROM pack_lookup"))
+def cast_text_number(fx):
+    """text pack size -> float and numeric(5,2)."""
+    return fx.pack_lookup.select("Basepart", F.col("Info").cast("double").alias("InfoFloat"),
+                                 P_.to_numeric(F.col("Info"), 5, 2).alias("InfoNumeric"))
+
+
+@register("left_substring", _f_sql("price_file", "SELECT BPLITM, substr(BPLITM, 1, 3) AS Brand3, "
+                                   "substr(BPLITM, 4, 25) AS From4, substr(BPLITM, 5, 25) AS From5 "
+                                   "FROM price_file"))
+def left_substring(fx):
+    """LEFT(s, 3), SUBSTRING(s, 4, 25), SUBSTRING(s, 5, 25)."""
+    c = F.col("BPLITM")
+    return fx.price_file.select("BPLITM", F.substring(c, 1, 3).alias("Brand3"),
+                                F.substring(c, 4, 25).alias("From4"), F.substring(c, 5, 25).alias("From5"))
+
+
+@register("right_len", _f_sql("upload_queue", "SELECT Item_Num, right(Item_Num, length(rtrim(Item_Num)) "
+                              "- 3) AS Part FROM upload_queue"))
+def right_len(fx):
+    """RIGHT(s, LEN(s) - 3) (LEN ignores trailing blanks)."""
+    from quillprice.functions import text as TX
+    return fx.upload_queue.select("Item_Num", TX.strip_prefix(F.col("Item_Num"), 3).alias("Part"))
+
+
+@register("clean_part_number", _f_sql("comp_feed", "SELECT PARTNO, translate(PARTNO, ' -\\/.', '') "
+                                      "AS Clean FROM comp_feed"))
+def clean_part_number(fx):
+    """strip blank, '-', '\\', '/', '.' from part numbers."""
+    from quillprice.functions import text as TX
+    return fx.comp_feed.select("PARTNO", TX.clean_part_number(F.col("PARTNO")).alias("Clean"))
+
+
+@register("digit_prefix_strip", _f_sql(
+    "price_file", "SELECT BPLITM, ltrim(substr(BPLITM, 1, 3)) AS Brand, CASE WHEN substr(BPLITM, 4, 1) "
+    "IN ('0', ' ', '', '+', '-') THEN rtrim(substr(BPLITM, 5, 25)) WHEN substr(BPLITM, 4, 1) IN ('1', "
+    "'2', '3', '4', '5', '6', '7', '8', '9') THEN rtrim(substr(BPLITM, 4, 25)) END AS BasePart, "
+    "substr(BPLITM, 4, 1) IN ('0', ' ', '', '+', '-', '1', '2', '3', '4', '5', '6', '7', '8', '9') "
+    "AS Valid FROM price_file"))
+def digit_prefix_strip(fx):
+    """item code -> (brand, base part, valid)."""
+    from quillprice.functions import text as TX
+    brand, base, valid = TX.item_code_parts(F.col("BPLITM"))
+    return fx.price_file.select("BPLITM", brand.alias("Brand"), base.alias("BasePart"),
+                                valid.alias("Valid"))
+
+
+@register("scaled_int_price", _f_sql("price_file", "SELECT BPLITM, CAST(CAST(BPUPRC AS DECIMAL(18,0)) * "
+                                     "CAST(0.0001 AS DECIMAL(4,4)) AS DOUBLE) AS Price FROM price_file"))
+def scaled_int_price(fx):
+    """BPUPRC * .0001 as an exact decimal."""
+    return fx.price_file.select("BPLITM", P_.scaled_int_price(F.col("BPUPRC")).cast("double").alias("Price"))
+
+
+@register("arith", compose(("ps_load", "rules_list"), [],
+                           "SELECT d.Cust_Part_Number, CAST(d.Gross_Price * l.Jobber AS DOUBLE) AS "
+                           "GrossJobber, CAST(d.Gross_Price - d.Core_Price AS DOUBLE) AS NetOfCore, "
+                           "CAST(d.Gross_Price * l.Jobber * l.Dealer AS DOUBLE) AS DealerRaw FROM "
+                           "ps_load d JOIN rules_list l ON l.PopCode = trim(d.POP_Code)"))
+def arith(fx):
+    """decimal * / + - (exact until the final cast)."""
+    load = R.landing_trim(fx.ps_load)
+    lst = bounded_broadcast(fx.rules_list)
+    g, j, d = F.col("Gross_Price"), F.col("Jobber"), F.col("Dealer")
+    return load.join(lst, load["POP_Code"] == lst["PopCode"]).select(
+        "Cust_Part_Number", (g * j).cast("double").alias("GrossJobber"),
+        (g - F.col("Core_Price")).cast("double").alias("NetOfCore"),
+        (g * j * d).cast("double").alias("DealerRaw"))
+
+
+@register("date_to_yyyymmdd_int", _f_sql("comp_feed", "SELECT Date_Created, CAST(strftime(Date_Created, "
+                                         "'%Y%m%d') AS INTEGER) AS psID FROM comp_feed"))
+def date_to_yyyymmdd_int(fx):
+    """CONVERT(varchar(8), d, 112) -> int."""
+    return fx.comp_feed.select("Date_Created", D_.yyyymmdd_int(F.col("Date_Created")).alias("psID"))
+
+
+@register("parse_us_date", _f_sql("comp_feed", "SELECT PSDATE, make_date(CAST(split_part(PSDATE, '/', 3) "
+                                  "AS INTEGER), CAST(split_part(PSDATE, '/', 1) AS INTEGER), "
+                                  "CAST(split_part(PSDATE, '/', 2) AS INTEGER)) AS SheetDate FROM comp_feed"))
+def parse_us_date(fx):
+    """CONVERT(date, s, 101)."""
+    return fx.comp_feed.select("PSDATE", D_.parse_us_date(F.col("PSDATE")).alias("SheetDate"))
+
+
+@register("timestamp_to_date", _f_sql("retail_import", "SELECT DATE_CREATED, CAST(DATE_CREATED AS DATE) "
+                                      "AS ShopDay FROM retail_import"))
+def timestamp_to_date(fx):
+    """CONVERT(DATE, ts)."""
+    return fx.retail_import.select("DATE_CREATED", D_.day_of(F.col("DATE_CREATED")).alias("ShopDay"))

@@ -59,15 +59,18 @@ def staged_batch(feed: DataFrame, line_map: DataFrame, after) -> DataFrame:
 
 
 def match_flags(batch: DataFrame, sheet: DataFrame) -> DataFrame:
-    """Batch LEFT JOIN sheet on (competitor, clean part); Flag = matched key."""
-    s = sheet.select(F.col("XMfg").alias("__sx"), F.col("XMfgPartClean").alias("Flag")).distinct()
-    clean = text.clean_part_number(F.col("PARTNO"))
-    return batch.join(s, (batch["XMfg"] == s["__sx"]) & (clean == s["Flag"]), "left").drop("__sx")
-
+    """The staging table of the reference.
 
-def _batch_keys(batch: DataFrame) -> DataFrame:
-    return batch.select(F.col("XMfg").alias("__bx"),
-                        text.clean_part_number(F.col("PARTNO")).alias("__bk"))
+    batch.* plus renamed sheet columns from a LEFT JOIN on (competitor, clean
+    part number); ``Flag`` is the matched clean key, NULL for new parts.
+    """
+    s = sheet.select(
+        F.col("XMfg").alias("XMfg_2"), F.col("XMfgPartClean").alias("Flag"), "XMfgUOM", "XMfgPOP",
+        "PriceWD", "AcquisitionType", "PriceJobber", "PriceList", "PriceRetail",
+        F.col("psID").alias("old_psID"), "CoreCharge", "DateEffective", "XMfgPartType",
+        "XMfgPartCategory", "XREFGroup")
+    clean = text.clean_part_number(batch["PARTNO"])
+    return batch.join(s, (batch["XMfg"] == s["XMfg_2"]) & (clean == s["Flag"]), "left")
 
 
 def inserted_rows(batch: DataFrame, sheet: DataFrame) -> DataFrame:
@@ -103,11 +106,11 @@ def latest_per_key(batch: DataFrame) -> DataFrame:
                  .agg(best).select("__ux", "__uk", "__best.*"))
 
 
-def upsert_competitor(sheet: DataFrame, batch: DataFrame) -> DataFrame:
-    """Insert unmatched batch rows, update nine columns of matched sheet rows."""
+def updated_rows(sheet: DataFrame, batch: DataFrame) -> DataFrame:
+    """Matched sheet rows with their nine columns taken from the batch."""
     best = latest_per_key(batch)
     cond = (sheet["XMfg"] == best["__ux"]) & (sheet["XMfgPartClean"] == best["__uk"])
-    updated = sheet.join(best, cond).select(
+    return sheet.join(best, cond).select(
         *[{"psID": best["new_psID"].alias("psID"),
            "XMfgPartType": best["DESCRIP"].alias("XMfgPartType"),
            "XMfgPOP": best["POPCODE"].alias("XMfgPOP"),
@@ -118,9 +121,16 @@ def upsert_competitor(sheet: DataFrame, batch: DataFrame) -> DataFrame:
            "PriceWD": best["WD1"].cast("double").alias("PriceWD"),
            "PS_Date_Created": best["CreatDate"].alias("PS_Date_Created")}.get(c, sheet[c])
           for c in SHEET_COLUMNS])
-    untouched = sheet.join(best, cond, "left_anti")
+
+
+def upsert_competitor(sheet: DataFrame, batch: DataFrame) -> DataFrame:
+    """Insert unmatched batch rows, update nine columns of matched sheet rows."""
+    keys = batch.select(F.col("XMfg").alias("__ux"),
+                        text.clean_part_number(F.col("PARTNO")).alias("__uk"))
+    untouched = sheet.join(keys, (sheet["XMfg"] == keys["__ux"])
+                           & (sheet["XMfgPartClean"] == keys["__uk"]), "left_anti")
     return (untouched.select(*SHEET_COLUMNS)
-            .unionByName(updated)
+            .unionByName(updated_rows(sheet, batch))
             .unionByName(inserted_rows(batch, sheet)))
 
 

@@ -81,12 +81,9 @@ def market_price_matrix_refresh(matrix: DataFrame, staging_df: DataFrame,
 
 # --- X3: upload queue --------------------------------------------------------------
 
-def delete_pending_upload(queue: DataFrame, staging_df: DataFrame) -> DataFrame:
-    """Drop not-yet-uploaded queue rows that this run prices identically.
-
-    Item numbers are brand + part; the part is RIGHT(item, LEN(item) - 3)
-    (J12). Prices are compared as stored doubles, like the reference (J14).
-    """
+def _pending_match(queue: DataFrame, staging_df: DataFrame):
+    """Join condition of M06: RIGHT(item, LEN(item) - 3) = part (J12), same brand
+    and group, same stored double price (J14), row not uploaded yet."""
     keys = staging_df.select(F.rtrim("Cust_Part_Number").alias("__part"),
                              F.col("Brand").alias("__brand"),
                              F.col("PriceGroup").alias("__group"),
@@ -95,6 +92,18 @@ def delete_pending_upload(queue: DataFrame, staging_df: DataFrame) -> DataFrame:
     cond = ((part == keys["__part"]) & (queue["Brand"] == keys["__brand"])
             & (queue["Cust_Group"] == keys["__group"]) & (queue["Price_Per_Unit"] == keys["__price"])
             & (queue["Uploaded"] == F.lit("0")))
+    return keys, cond
+
+
+def pending_matches(queue: DataFrame, staging_df: DataFrame) -> DataFrame:
+    """Queue rows the delete of M06 removes."""
+    keys, cond = _pending_match(queue, staging_df)
+    return queue.join(keys, cond, "left_semi")
+
+
+def delete_pending_upload(queue: DataFrame, staging_df: DataFrame) -> DataFrame:
+    """Drop not-yet-uploaded queue rows that this run prices identically."""
+    keys, cond = _pending_match(queue, staging_df)
     return queue.join(keys, cond, "left_anti")
 
 
