@@ -1,89 +1,43 @@
 """Run registered Spark queries and their DuckDB oracle side by side.
 
 Usage: python scripts/oracle_check.py [sf_dir] [key ...]
-Compares row count, column names and the sorted multiset of rows.
 """
 
 from __future__ import annotations
 
-import math
 import sys
 import time
 
 sys.path.insert(0, __file__.rsplit("/scripts/", 1)[0])
 
-import duckdb  # noqa: E402
-
-from quillprice.fixtures_tables import TESTDATA_TABLES  # noqa: E402
+from quillprice.oracle.compare import compare, duckdb_connection  # noqa: E402
 from quillprice.registry import oracle_sql, queries  # noqa: E402
 from quillprice.session import local_session  # noqa: E402
 
 
-def norm(v):
-    if v is None:
-        return (0, "")
-    if isinstance(v, float):
-        if math.isnan(v):
-            return (1, "nan")
-        return (1, repr(float(v)))
-    if hasattr(v, "isoformat"):
-        return (1, v.isoformat(sep=" ") if hasattr(v, "hour") else v.isoformat())
-    if hasattr(v, "as_tuple"):
-        return (1, repr(float(v)))
-    return (1, repr(v))
-
-
-def rows_of(cols, rows):
-    order = sorted(range(len(cols)), key=lambda i: cols[i])
-    return sorted(tuple(norm(r[i]) for i in order) for r in rows)
-
-
 def main():
     args = sys.argv[1:]
     sf_dir = args[0] if args and args[0].startswith("/") else "/root/testdata/sf0.01"
     keys = [a for a in args if not a.startswith("/")]
     spark = local_session()
-    con = duckdb.connect()
-    for t in TESTDATA_TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    con = duckdb_connection(sf_dir)
     qs, sqls = queries(), oracle_sql()
     bad = 0
     for k in keys or list(qs):
         t0 = time.time()
         try:
             df = qs[k](spark, sf_dir)
-            cols = df.columns
-            srows = [tuple(r) for r in df.collect()]
+            if k not in sqls:
+                print(f"{k:40s} rows={df.count():7d} (no oracle)")
+                continue
+            ok, ns, nd, detail = compare(df, con, sqls[k])
         except Exception as e:  # noqa: BLE001
-            print(f"{k:40s} SPARK ERROR {type(e).__name__}: {str(e)[:300]}")
+            print(f"{k:40s} ERROR {type(e).__name__}: {str(e)[:300]}")
             bad += 1
             continue
-        ts = time.time() - t0
-        if k not in sqls:
-            print(f"{k:40s} rows={len(srows):7d} (no oracle) {ts:.1f}s")
-            continue
-        try:
-            res = con.execute(sqls[k])
-            dcols = [d[0] for d in res.description]
-            drows = res.fetchall()
-        except Exception as e:  # noqa: BLE001
-            print(f"{k:40s} DUCKDB ERROR {type(e).__name__}: {str(e)[:300]}")
-            bad += 1
-            continue
-        ok_cols = sorted(cols) == sorted(dcols)
-        ok = ok_cols and len(srows) == len(drows) and rows_of(cols, srows) == rows_of(dcols, drows)
-        status = "OK " if ok else "MISMATCH"
-        print(f"{k:40s} {status} spark={len(srows):7d} duck={len(drows):7d} {ts:.1f}s")
-        if not ok:
-            bad += 1
-            if not ok_cols:
-                print("   cols spark:", sorted(cols))
-                print("   cols duck :", sorted(dcols))
-            else:
-                a, b = rows_of(cols, srows), rows_of(dcols, drows)
-                sa, sb = set(a), set(b)
-                print("   spark-only:", [x for x in a if x not in sb][:3])
-                print("   duck-only :", [x for x in b if x not in sa][:3])
+        print(f"{k:40s} {'OK ' if ok else 'MISMATCH'} spark={ns:7d} duck={nd:7d} "
+              f"{time.time() - t0:.1f}s {detail}")
+        bad += not ok
     print("FAILED" if bad else "ALL OK", bad)
 
 
