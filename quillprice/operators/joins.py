@@ -15,18 +15,33 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(conf) if conf else DEFAULT_BROADCAST_MAX_ROWS
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Broadcast ``df`` only after checking it holds at most ``max_rows`` rows.
+def checked_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """Broadcast ``df`` only after counting that it holds at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows per partition. Beyond the
-    bound the frame is returned unchanged and Spark plans a shuffle join
-    (AQE can still turn it into a broadcast from runtime sizes).
+    The check reads at most ``max_rows + 1`` rows per partition (one job).
+    Beyond the bound the frame is returned unchanged for a shuffle join.
     """
     bound = max_rows if max_rows is not None else broadcast_limit(df)
     n = df.limit(bound + 1).count()
     return F.broadcast(df) if n <= bound else df
 
 
+def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """Broadcast the small side of a join only when its size is proven.
+
+    Used for the rule and code tables that join the big feeds on a handful of
+    distinct keys (a shuffle on such keys would put a third of the rows in
+    one task). A driver-held table (``isLocal``) is broadcast as is; any
+    other frame is counted first (``checked_broadcast``) and, beyond the
+    bound, left to a shuffle join that AQE can split when skewed.
+    Lookups keyed per part are not hinted: the planner broadcasts them only
+    when their estimated size is under ``spark.sql.autoBroadcastJoinThreshold``.
+    """
+    if df.isLocal():
+        return F.broadcast(df)
+    return checked_broadcast(df, max_rows)
+
+
 def anti_join(left: DataFrame, right: DataFrame, on: list[tuple[str, str]]) -> DataFrame:
     """LEFT JOIN right ON keys WHERE right.key IS NULL  ==  left_anti.
 

@@ -161,9 +161,7 @@ def priced_base(inp: PricingInputs, routines=ROUTINES) -> DataFrame:
 
 def taxonomy_dim(inp: PricingInputs) -> DataFrame:
     """(PDM0 x PDM1 x JDE setup) -> BasePart, SRP3 (J03, built before joining the sheet)."""
-    pdm1 = bounded_broadcast(inp.pdm1)
-    setup = bounded_broadcast(inp.setup)
-    return (inp.pdm0.join(pdm1, "PDM1").join(setup, "PDM1")
+    return (inp.pdm0.join(inp.pdm1, "PDM1").join(inp.setup, "PDM1")
                     .select("BasePart", "SRP3"))
 
 

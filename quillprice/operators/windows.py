@@ -20,14 +20,16 @@ def _asc(c: str | Column) -> Column:
 
 
 def global_row_number(df: DataFrame, order_by: list[str], id_col: str = "id",
-                      num_partitions: int | None = None, start: int = 0) -> DataFrame:
+                      num_partitions: int | None = None, start=0) -> DataFrame:
     """ROW_NUMBER() OVER (ORDER BY order_by) as bigint, computed in parallel.
 
     NULLs sort first, as in T-SQL. Rows that tie on every ordering column are
     split across partitions by a per-row tie-breaker, so a hot key or a group
     of identical rows does not land in one task. Tied rows receive
     consecutive numbers in an unspecified order (as ROW_NUMBER does).
-    Numbers run from ``start + 1``.
+    Numbers run from ``start + 1``; ``start`` is an int or a one-column
+    DataFrame holding at most one row (e.g. the highest id already used),
+    which then enters the running sum as a partition before the first.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -39,12 +41,16 @@ def global_row_number(df: DataFrame, order_by: list[str], id_col: str = "id",
                 .withColumn(_POS, F.monotonically_increasing_id()
                             - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
     counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_N))
+    if isinstance(start, DataFrame):
+        base = start.select(F.lit(-1).alias(_PID),
+                            F.coalesce(F.col(start.columns[0]).cast("long"), F.lit(0)).alias(_N))
+        counts, start = counts.unionByName(base), 0
     # One row per partition: the window over it is bounded by ``n``.
     offsets = counts.select(
         _PID,
         F.coalesce(F.sum(_N).over(Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias(_OFF))
-    return (ranged.join(F.broadcast(offsets), _PID)
+    return (ranged.join(F.broadcast(offsets.filter(F.col(_PID) >= 0)), _PID)
                   .withColumn(id_col, (F.col(_OFF) + F.col(_POS) + F.lit(start + 1)).cast("long"))
                   .drop(_PID, _POS, _TIE, _OFF))
 

@@ -168,7 +168,8 @@ def _retail_sql(select: str) -> str:
 
 
 def _retail(fx):
-    return retail.retail_state(fx.retail_import, fx.brand_registry, fx.part_registry)
+    return retail.retail_state(fx.retail_import, fx.brand_registry, fx.part_registry,
+                               publish=fx.publish("registry"))
 
 
 @register("anti_join_new_brand", _retail_sql("SELECT * FROM new_brands"))

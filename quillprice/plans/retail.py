@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quillprice.functions import dates, text
 from quillprice.operators.aggregates import conditional_max, price_stats
-from quillprice.operators.joins import anti_join, bounded_broadcast
+from quillprice.operators.joins import anti_join
 from quillprice.operators.windows import global_row_number, partition_row_number
 
 KEYS = ["RETAIL_XMFG", "CLEANPRODUCTBRAND", "CLEANPRODUCTNUMBER"]
@@ -40,10 +40,11 @@ def new_brands(feed: DataFrame, brands: DataFrame) -> DataFrame:
 def assign_brand_ids(new: DataFrame, brands: DataFrame) -> DataFrame:
     """Identity-style ids continuing after the highest registered id.
 
-    Ids follow (RetailXmfg, PRODUCTBRAND) order; the highest id is one scalar.
+    Ids follow (RetailXmfg, PRODUCTBRAND) order; the highest registered id is
+    a one-row aggregate fed into the numbering's running sum (no driver trip).
     """
-    top = brands.agg(F.max("BrandID")).first()[0] or 0
-    return global_row_number(new, ["RetailXmfg", "PRODUCTBRAND"], "BrandID", start=int(top))
+    top = brands.agg(F.max("BrandID").alias("top"))
+    return global_row_number(new, ["RetailXmfg", "PRODUCTBRAND"], "BrandID", start=top)
 
 
 def brand_registry_update(feed: DataFrame, brands: DataFrame) -> DataFrame:
@@ -172,8 +173,8 @@ def last_shop_summary(feed: DataFrame, view: DataFrame) -> DataFrame:
 
 def own_brand_parts(price_new: DataFrame, sheets: DataFrame, xref: DataFrame) -> DataFrame:
     """Current (rank 1) own-brand sheet parts mapped to base parts, distinct."""
-    s = bounded_broadcast(sheets.filter(F.col("XMfg").isin(*OWN_BRANDS) & (F.col("SheetRank") == 1))
-                          .select("psID", F.col("XMfg").alias("__sx")))
+    s = (sheets.filter(F.col("XMfg").isin(*OWN_BRANDS) & (F.col("SheetRank") == 1))
+               .select("psID", F.col("XMfg").alias("__sx")))
     x = xref.select(F.col("XMfg").alias("__xx"), "CompPart", "FS_Part")
     j = price_new.join(s, "psID").join(
         x, (F.col("XMfgPart") == x["CompPart"]) & (F.col("__sx") == x["__xx"]))
@@ -226,9 +227,15 @@ def retail_price_comparison(last_shop: DataFrame, xref: DataFrame, brand_map: Da
 
 # --- the whole procedure ----------------------------------------------------------------
 
-def retail_state(feed: DataFrame, brands: DataFrame, parts: DataFrame):
-    """Registers brands, then parts (seeing the new brands), then enriches the feed."""
-    brands2 = brand_registry_update(feed, brands)
-    parts2 = part_registry_update(feed, brands2, parts)
+def retail_state(feed: DataFrame, brands: DataFrame, parts: DataFrame, publish=None):
+    """Registers brands, then parts (seeing the new brands), then enriches the feed.
+
+    ``publish`` (DataFrame -> DataFrame) stores each new registry version and
+    returns it read back, as the reference writes its tables between
+    statements; later steps then read the stored version, not the lineage.
+    """
+    keep = publish or (lambda df: df)
+    brands2 = keep(brand_registry_update(feed, brands))
+    parts2 = keep(part_registry_update(feed, brands2, parts))
     view = parts_view(brands2, parts2)
     return brands2, parts2, view, enrich_clean_keys(feed, view)

@@ -243,6 +243,32 @@ RULES_CALC_SCHEMA = T.StructType([
 ])
 
 
+_STORED: dict = {}
+
+
+def _spark_literal(v, dtype: T.DataType) -> str:
+    typ = dtype.simpleString()
+    if v is None:
+        return f"CAST(NULL AS {typ})"
+    if isinstance(dtype, T.StringType):
+        return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"CAST('{v}' AS {typ})"
+
+
+def inline_table(spark: SparkSession, rows, schema: T.StructType) -> DataFrame:
+    """A configuration table as an inline VALUES relation.
+
+    Spark plans it as a local relation of exactly known size, so the
+    planner knows it is small (a Python-list DataFrame would be an RDD scan
+    of unknown size).
+    """
+    fields = schema.fields
+    values = ", ".join("(" + ", ".join(_spark_literal(v, f.dataType) for v, f in zip(r, fields)) + ")"
+                       for r in rows)
+    names = ", ".join(f.name for f in fields)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({names})")
+
+
 def _spark_expr(e: str) -> str:
     # Timestamps are wall-clock values (no zone) on both engines.
     return e.replace("AS TIMESTAMP)", "AS TIMESTAMP_NTZ)").replace("TIMESTAMP '", "TIMESTAMP_NTZ '")
@@ -258,9 +284,18 @@ class Fixtures:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._frames: dict[str, DataFrame] = {}
+
+    def _once(self, key: str, build) -> DataFrame:
+        # One DataFrame object per input: identical scans in a plan share it
+        # (and its exchanges can be reused); nothing is cached in memory.
+        if key not in self._frames:
+            self._frames[key] = build()
+        return self._frames[key]
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._once(f"table:{name}",
+                          lambda: self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"))
 
     def _source(self, name: str) -> DataFrame:
         if name == "part_brands":
@@ -277,7 +312,8 @@ class Fixtures:
 
     def adapter(self, name: str) -> DataFrame:
         a = ADAPTERS[name]
-        return self._source(a.source).selectExpr(*[f"{_spark_expr(e)} AS {c}" for c, e in a.columns])
+        return self._once(f"adapter:{name}", lambda: self._source(a.source).selectExpr(
+            *[f"{_spark_expr(e)} AS {c}" for c, e in a.columns]))
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in ADAPTERS:
@@ -288,36 +324,60 @@ class Fixtures:
     @property
     def rules_list(self) -> DataFrame:
         rows = [(p, _dec(j), _dec(m), _dec(d)) for p, j, m, d in RULES_LIST_ROWS]
-        return self.spark.createDataFrame(rows, RULES_LIST_SCHEMA)
+        return self._once("rules_list", lambda: inline_table(self.spark, rows, RULES_LIST_SCHEMA))
 
     @property
     def rules_calc(self) -> DataFrame:
         rows = [r[:5] + (_dec(r[5]), _dec(r[6])) + r[7:] for r in RULES_CALC_ROWS]
-        return self.spark.createDataFrame(rows, RULES_CALC_SCHEMA)
+        return self._once("rules_calc", lambda: inline_table(self.spark, rows, RULES_CALC_SCHEMA))
 
     @property
     def price_group(self) -> DataFrame:
-        return self.spark.createDataFrame(PRICE_GROUP_ROWS, "KIICID bigint, KICPGP string")
+        return self._once("price_group", lambda: inline_table(
+            self.spark, PRICE_GROUP_ROWS, T.StructType([T.StructField("KIICID", T.LongType()),
+                                                        T.StructField("KICPGP", T.StringType())])))
 
     @property
     def line_map(self) -> DataFrame:
-        return self.spark.createDataFrame(LINE_MAP_ROWS, "mfrline string, Xmfg string")
+        return self._once("line_map", lambda: inline_table(
+            self.spark, LINE_MAP_ROWS, T.StructType([T.StructField("mfrline", T.StringType()),
+                                                     T.StructField("Xmfg", T.StringType())])))
 
     # derived registries / targets ---------------------------------------------------
+    # These stand for tables that already exist when a pipeline runs; each is
+    # derived once per session and scale factor, stored in the shared
+    # checkpoint folder and read back from there.
+    def _stored(self, name: str, build) -> DataFrame:
+        from quillprice.sources.pricesheet import scratch_path
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        path = _STORED.get(key)
+        if path is None:
+            path = scratch_path(self.spark, f"fixture-{name}")
+            build().write.parquet(path)
+            _STORED[key] = path
+        return self._once(f"stored:{name}", lambda: self.spark.read.parquet(path))
+
     @property
     def brand_registry(self) -> DataFrame:
         from quillprice.sources.seeds import seed_brand_registry
-        return seed_brand_registry(self.retail_import)
+        return self._stored("brand_registry", lambda: seed_brand_registry(self.retail_import))
 
     @property
     def part_registry(self) -> DataFrame:
         from quillprice.sources.seeds import seed_part_registry
-        return seed_part_registry(self.retail_import, self.brand_registry)
+        return self._stored("part_registry",
+                            lambda: seed_part_registry(self.retail_import, self.brand_registry))
 
     @property
     def comp_sheet(self) -> DataFrame:
         from quillprice.sources.seeds import seed_competitor_sheet
-        return seed_competitor_sheet(self.comp_feed, self.line_map)
+        return self._stored("comp_sheet",
+                            lambda: seed_competitor_sheet(self.comp_feed, self.line_map))
+
+    def publish(self, name: str):
+        """A publish function for pipeline steps: store a new table version, read it back."""
+        from quillprice.sources.pricesheet import publish
+        return lambda df: publish(df, name=name)
 
 
 # ---------------------------------------------------------------------------------
