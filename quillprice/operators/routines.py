@@ -160,8 +160,14 @@ def priced_base(inp: PricingInputs, routines=ROUTINES) -> DataFrame:
 # --- lookups ----------------------------------------------------------------------
 
 def taxonomy_dim(inp: PricingInputs) -> DataFrame:
-    """(PDM0 x PDM1 x JDE setup) -> BasePart, SRP3 (J03, built before joining the sheet)."""
-    return (inp.pdm0.join(inp.pdm1, "PDM1").join(inp.setup, "PDM1")
+    """(PDM0 x PDM1 x JDE setup) -> BasePart, SRP3 (J03, built before joining the sheet).
+
+    PDM1 has few distinct values, so the category tables are broadcast after
+    a size check rather than shuffling the part-level PDM0 on that key.
+    """
+    pdm1 = bounded_broadcast(inp.pdm1)
+    setup = bounded_broadcast(inp.setup)
+    return (inp.pdm0.join(pdm1, "PDM1").join(setup, "PDM1")
                     .select("BasePart", "SRP3"))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quillprice.functions import dates, text
 from quillprice.operators.aggregates import conditional_max, price_stats
-from quillprice.operators.joins import anti_join
+from quillprice.operators.joins import anti_join, bounded_broadcast
 from quillprice.operators.windows import global_row_number, partition_row_number
 
 KEYS = ["RETAIL_XMFG", "CLEANPRODUCTBRAND", "CLEANPRODUCTNUMBER"]
@@ -57,8 +57,12 @@ def brand_registry_update(feed: DataFrame, brands: DataFrame) -> DataFrame:
 
 
 def parts_view(brands: DataFrame, parts: DataFrame) -> DataFrame:
-    """The registry view: brands joined to their parts on BrandID (inferred)."""
-    return brands.join(parts, "BrandID").select(
+    """The registry view: brands joined to their parts on BrandID (inferred).
+
+    One brand can own a large share of the parts, so the brand table is
+    broadcast after a size check instead of shuffling parts on BrandID.
+    """
+    return parts.join(bounded_broadcast(brands), "BrandID").select(
         "RetailXmfg", "PRODUCTBRAND", "PRODUCTNUMBER", "CLEANPRODUCTBRAND", "CLEANPRODUCTNUMBER",
         "PartName", "AltXmfg")
 
@@ -88,7 +92,8 @@ def new_parts(feed: DataFrame, brands: DataFrame, parts: DataFrame) -> DataFrame
 def part_registry_update(feed: DataFrame, brands: DataFrame, parts: DataFrame) -> DataFrame:
     """Registry + new parts under their (possibly new) brand, with a clean number."""
     fresh = new_parts(feed, brands, parts)
-    b = brands.select("BrandID", F.col("RetailXmfg").alias("__x"), F.col("PRODUCTBRAND").alias("__b"))
+    b = bounded_broadcast(brands.select("BrandID", F.col("RetailXmfg").alias("__x"),
+                                        F.col("PRODUCTBRAND").alias("__b")))
     added = fresh.join(b, (fresh["RETAIL_XMFG"] == b["__x"]) & (fresh["PRODUCTBRAND"] == b["__b"])) \
                  .select("BrandID", "PRODUCTNUMBER", F.col("PRODUCTNAME").alias("PartName"),
                          F.trim(text.clean_part_number(F.col("PRODUCTNUMBER")))
@@ -173,8 +178,8 @@ def last_shop_summary(feed: DataFrame, view: DataFrame) -> DataFrame:
 
 def own_brand_parts(price_new: DataFrame, sheets: DataFrame, xref: DataFrame) -> DataFrame:
     """Current (rank 1) own-brand sheet parts mapped to base parts, distinct."""
-    s = (sheets.filter(F.col("XMfg").isin(*OWN_BRANDS) & (F.col("SheetRank") == 1))
-               .select("psID", F.col("XMfg").alias("__sx")))
+    s = bounded_broadcast(sheets.filter(F.col("XMfg").isin(*OWN_BRANDS) & (F.col("SheetRank") == 1))
+                          .select("psID", F.col("XMfg").alias("__sx")))
     x = xref.select(F.col("XMfg").alias("__xx"), "CompPart", "FS_Part")
     j = price_new.join(s, "psID").join(
         x, (F.col("XMfgPart") == x["CompPart"]) & (F.col("__sx") == x["__xx"]))
