@@ -21,7 +21,8 @@ from quillprice.operators.routines import PricingInputs  # noqa: E402
 from quillprice.plans import procedures as P  # noqa: E402
 from quillprice.session import local_session  # noqa: E402
 from quillprice.sources.fixtures import LOAD_TS, Fixtures  # noqa: E402
-from quillprice.sources.pricesheet import publish, scratch_path  # noqa: E402
+from quillprice.session import scratch_path
+from quillprice.sources.pricesheet import publish  # noqa: E402
 
 
 def main() -> None:

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillprice.session import materialize
+
 _PID, _POS, _TIE, _N, _OFF = "__pid", "__pos", "__tie", "__n", "__off"
 
 
@@ -27,6 +29,12 @@ def global_row_number(df: DataFrame, order_by: list[str], id_col: str = "id",
     split across partitions by a per-row tie-breaker, so a hot key or a group
     of identical rows does not land in one task. Tied rows receive
     consecutive numbers in an unspecified order (as ROW_NUMBER does).
+
+    The tie-breaker is assigned once and the tagged rows are written to the
+    shared checkpoint folder before ranging: the row positions and the
+    per-partition counts then come from the same stored rows (and the same
+    reused range shuffle), even if a stage is recomputed after a lost
+    executor.
     Numbers run from ``start + 1``; ``start`` is an int or a one-column
     DataFrame holding at most one row (e.g. the highest id already used),
     which then enters the running sum as a partition before the first.
@@ -34,8 +42,8 @@ def global_row_number(df: DataFrame, order_by: list[str], id_col: str = "id",
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = [_asc(c) for c in order_by] + [F.col(_TIE).asc()]
-    ranged = (df.withColumn(_TIE, F.monotonically_increasing_id())
-                .repartitionByRange(n, *ordered)
+    tagged = materialize(df.withColumn(_TIE, F.monotonically_increasing_id()), "row-number")
+    ranged = (tagged.repartitionByRange(n, *ordered)
                 .sortWithinPartitions(*ordered)
                 .withColumn(_PID, F.spark_partition_id())
                 .withColumn(_POS, F.monotonically_increasing_id()

@@ -349,10 +349,10 @@ def filter_in_on_clause(fx):
 
 
 def _batch(fx):
-    m = competitor.high_water_marks(fx.comp_feed, fx.line_map, fx.comp_sheet).first()
-    after = m["old_mark"] if m["go"] else None
-    batch = competitor.staged_batch(fx.comp_feed, fx.line_map, after)
-    return batch if m["go"] else batch.limit(0)
+    batch = competitor.gated_batch(fx.comp_feed, fx.line_map, fx.comp_sheet)
+    if batch is None:            # gate closed: the procedure stages nothing
+        batch = competitor.staged_batch(fx.comp_feed, fx.line_map, None).filter(F.lit(False))
+    return batch
 
 
 @register("filter_gt_scalar", _comp_sql("SELECT * FROM c_batch"))

@@ -134,16 +134,25 @@ def upsert_competitor(sheet: DataFrame, batch: DataFrame) -> DataFrame:
             .unionByName(inserted_rows(batch, sheet)))
 
 
-def competitor_incremental_upsert(feed: DataFrame, line_map: DataFrame, sheet: DataFrame,
-                                  bootstrap: bool = False) -> DataFrame:
-    """Gate on the high-water marks, then upsert the newer rows.
+def gated_batch(feed: DataFrame, line_map: DataFrame, sheet: DataFrame,
+                bootstrap: bool = False) -> DataFrame | None:
+    """The batch the gate lets through, or None when the gate is closed.
 
     The gate is a driver-side decision on one aggregated row. An empty sheet
     has no mark and loads nothing unless ``bootstrap`` is set (Q16).
     """
     m = high_water_marks(feed, line_map, sheet).first()
     if m["old_mark"] is None and bootstrap:
-        return upsert_competitor(sheet, staged_batch(feed, line_map, None))
+        return staged_batch(feed, line_map, None)
     if not m["go"]:
+        return None
+    return staged_batch(feed, line_map, m["old_mark"])
+
+
+def competitor_incremental_upsert(feed: DataFrame, line_map: DataFrame, sheet: DataFrame,
+                                  bootstrap: bool = False) -> DataFrame:
+    """Gate on the high-water marks, then upsert the newer rows."""
+    batch = gated_batch(feed, line_map, sheet, bootstrap)
+    if batch is None:
         return sheet.select(*SHEET_COLUMNS)
-    return upsert_competitor(sheet, staged_batch(feed, line_map, m["old_mark"]))
+    return upsert_competitor(sheet, batch)

@@ -348,7 +348,7 @@ class Fixtures:
     # derived once per session and scale factor, stored in the shared
     # checkpoint folder and read back from there.
     def _stored(self, name: str, build) -> DataFrame:
-        from quillprice.sources.pricesheet import scratch_path
+        from quillprice.session import scratch_path
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
         path = _STORED.get(key)
         if path is None:

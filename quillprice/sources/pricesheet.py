@@ -9,12 +9,10 @@ overwrites the files it is reading.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from quillprice.session import ensure_checkpoint_dir
+from quillprice.session import scratch_path
 
 # Column order of the price sheet file (the load is positional).
 PRICE_SHEET_SCHEMA = T.StructType([
@@ -50,11 +48,6 @@ def write_price_sheet(df: DataFrame, path: str) -> str:
     return path
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder (never machine-local on a cluster)."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/quillprice/{name}-{uuid.uuid4().hex}"
-
-
 def publish(df: DataFrame, path: str | None = None, name: str = "table") -> DataFrame:
     """Replace a table by writing a new version and reading it back.
 
