@@ -640,8 +640,9 @@ _alias = {"project_alias": "price_standard", "distinct_over_superset": "price_st
 
 
 def _register_alias(new_key: str, existing: str):
-    from quillprice.registry import ORACLE, QUERIES
+    from quillprice.registry import ORACLE, QUERIES, RAW_QUERIES
     QUERIES[new_key] = QUERIES[existing]
+    RAW_QUERIES[new_key] = RAW_QUERIES[existing]
     if existing in ORACLE:
         ORACLE[new_key] = ORACLE[existing]
 

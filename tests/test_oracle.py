@@ -22,6 +22,19 @@ def test_every_query_has_an_oracle():
     assert set(queries()) == set(oracle_sql())
 
 
+def test_decimal_output_list_matches_spark_schemas(spark):
+    from pyspark.sql import types as T
+    from quillprice.registry import DECIMAL_OUTPUTS, QUERIES, RAW_QUERIES
+    from quillprice.sources.fixtures import Fixtures
+    fx = Fixtures(spark, SF_SMALL)
+    for key, raw in RAW_QUERIES.items():
+        decimals = tuple(f.name for f in raw(fx).schema.fields
+                         if isinstance(f.dataType, T.DecimalType))
+        assert decimals == DECIMAL_OUTPUTS.get(key, ()), key
+        presented = QUERIES[key](spark, SF_SMALL).schema.fields
+        assert not any(isinstance(f.dataType, T.DecimalType) for f in presented), key
+
+
 @pytest.mark.parametrize("key", PIPELINES)
 def test_pipeline_matches_oracle(spark, con, key):
     ok, ns, nd, detail = compare(queries()[key](spark, SF_SMALL), con, oracle_sql()[key])
