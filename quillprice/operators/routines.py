@@ -86,6 +86,7 @@ class PricingInputs:
     xref: DataFrame          # XMfg, CompPart, FS_Part, ...
     pack: DataFrame          # Basepart, Info, Type
     load_ts: str | None = None
+    fix_pack_rounding: bool = False   # SURVEY Q5: round the unit price, then scale by pack
     extra: dict = field(default_factory=dict)
 
     @classmethod
@@ -266,9 +267,10 @@ def routine_rows(inp: PricingInputs, routines=ROUTINES) -> DataFrame:
             pack_dim(inp), F.col("Cust_Part_Number") == F.col("Basepart"))
         pack = pricing.to_numeric(F.col("Info"), 5, 2)
         fs_wd = gross.cast("double") * F.col("Info").cast("double")
+        low = (pricing.round_money(u) * pack if inp.fix_pack_rounding
+               else pricing.round_dynamic_scale(u, F.lit(2) * pack))
         r8 = F.when(pricing.round_money(u) > pricing.dec(pricing.CEILING_THRESHOLD),
-                    pricing.ceil_to_nickel(u, pack)).otherwise(
-                        pricing.round_dynamic_scale(u, F.lit(2) * pack))
+                    pricing.ceil_to_nickel(u, pack)).otherwise(low)
         r9 = pricing.round_money(u * pack)
         branches.append(_routine_select(packed, F.when(_is("R8"), r8).otherwise(r9),
                                         fs_wd, gross, inp.load_ts))

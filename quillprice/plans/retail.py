@@ -75,23 +75,31 @@ def candidate_parts(feed: DataFrame) -> DataFrame:
             .select("RETAIL_XMFG", "PRODUCTBRAND", "PRODUCTNUMBER", "PRODUCTNAME").distinct())
 
 
-def new_parts(feed: DataFrame, brands: DataFrame, parts: DataFrame) -> DataFrame:
+def new_parts(feed: DataFrame, brands: DataFrame, parts: DataFrame,
+              one_name_per_part: bool = False) -> DataFrame:
     """J09 + W02: unregistered (retailer, brand, number, name), numbered per key.
 
     RN partitions by all four columns of a distinct set, so it is always 1
     and never filtered (SURVEY Q15): a part with two names is new twice.
+    ``one_name_per_part=True`` keeps the lowest name per part instead (an
+    aggregate, so a part with many names is combined map-side).
     """
     view = parts_view(brands, parts)
-    cand = anti_join(candidate_parts(feed), view,
+    cand = candidate_parts(feed)
+    if one_name_per_part:
+        cand = cand.groupBy("RETAIL_XMFG", "PRODUCTBRAND", "PRODUCTNUMBER").agg(
+            F.min("PRODUCTNAME").alias("PRODUCTNAME"))
+    cand = anti_join(cand, view,
                      [("RETAIL_XMFG", "RetailXmfg"), ("PRODUCTBRAND", "PRODUCTBRAND"),
                       ("PRODUCTNUMBER", "PRODUCTNUMBER")])
     return partition_row_number(cand, ["RETAIL_XMFG", "PRODUCTBRAND", "PRODUCTNUMBER",
                                        "PRODUCTNAME"], ["PRODUCTNAME"], "RN")
 
 
-def part_registry_update(feed: DataFrame, brands: DataFrame, parts: DataFrame) -> DataFrame:
+def part_registry_update(feed: DataFrame, brands: DataFrame, parts: DataFrame,
+                         one_name_per_part: bool = False) -> DataFrame:
     """Registry + new parts under their (possibly new) brand, with a clean number."""
-    fresh = new_parts(feed, brands, parts)
+    fresh = new_parts(feed, brands, parts, one_name_per_part)
     b = bounded_broadcast(brands.select("BrandID", F.col("RetailXmfg").alias("__x"),
                                         F.col("PRODUCTBRAND").alias("__b")))
     added = fresh.join(b, (fresh["RETAIL_XMFG"] == b["__x"]) & (fresh["PRODUCTBRAND"] == b["__b"])) \

@@ -97,3 +97,13 @@ def test_staging_has_declared_columns(spark):
     calc = calc_rows(spark, [("BR1", "F0", "W0", "G01", "0.5000", None, 0, None)])
     st = R.market_price_staging(inputs(spark, load, calc))
     assert st.columns == R.STAGING_NAMES
+
+
+def test_fixed_pack_rounding_option(spark):
+    # Q5 kept by default (3.3363); the fix rounds the unit price, then scales by pack.
+    load = sheet_rows(spark, [("W0", "P1", "10.01", "E", "x", None)])
+    calc = calc_rows(spark, [("BR6", "F5", "W0", "G08", "0.3333", None, 1, "UOM")])
+    inp = inputs(spark, load, calc, pack=[("P1", "2", MOQ)])
+    assert [r.CalcPrice for r in R.routine_output(inp, "R8").collect()] == [3.3363]
+    inp.fix_pack_rounding = True
+    assert [r.CalcPrice for r in R.routine_output(inp, "R8").collect()] == [6.68]

@@ -50,3 +50,28 @@ def test_latest_day_only_and_null_keys_dropped(spark):
     assert [(r.LastShop, r.MinPrice, r.MaxPrice, r.AvgPrice, r.ShopCnt) for r in stats] == [
         (dt.date(2018, 1, 1), 7.0, 9.0, 8.0, 2)]
     assert retail.last_shop_stats(feed).count() == 0          # clean keys still NULL
+
+
+def test_one_name_per_part_option(spark):
+    feed = _feed(spark, [("AZR", "B0", "A-1", "one", "5.00", "1", dt.datetime(2017, 1, 1, 10)),
+                         ("AZR", "B0", "A-1", "two", "6.00", "2", dt.datetime(2017, 1, 1, 15))])
+    brands = spark.createDataFrame([(1, "AZR", "B0", "B0", "HDC")], BRANDS)
+    parts = spark.createDataFrame([], PARTS)
+    out = retail.part_registry_update(feed, brands, parts, one_name_per_part=True).collect()
+    assert [(r.PartName, r.CLEANPRODUCTNUMBER) for r in out] == [("one", "A1")]
+
+
+def test_single_pass_stats_equal_self_join_form(spark):
+    from pyspark.sql import functions as F
+    from quillprice.functions.pricing import exact_avg
+    from quillprice.sources.fixtures import Fixtures
+    fx = Fixtures(spark, "/root/testdata/sf0.01")
+    _, _, _, feed = retail.retail_state(fx.retail_import, fx.brand_registry, fx.part_registry)
+    rows = retail.latest_day_rows(feed)                       # J15: the reference's self-join
+    joined = rows.groupBy(*retail.KEYS, "LastShop").agg(
+        F.min("PRICE").cast("double").alias("MinPrice"), F.max("PRICE").cast("double").alias("MaxPrice"),
+        exact_avg(F.col("PRICE")).alias("AvgPrice"), exact_avg(F.col("COREPRICE")).alias("AvgCore"),
+        F.countDistinct("ZIPCODE").alias("ShopCnt"))
+    single = retail.last_shop_stats(feed).select(*joined.columns)
+    assert single.exceptAll(joined).count() == 0 and joined.exceptAll(single).count() == 0
+    assert single.count() > 1000
