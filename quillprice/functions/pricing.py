@@ -80,6 +80,3 @@ def exact_avg(c: Column, scale: int = 2) -> Column:
     n = F.count(c)
     return F.when(n > 0, s / n)
 
-
-def to_float(c: Column) -> Column:
-    return c.cast("double")

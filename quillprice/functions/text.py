@@ -24,9 +24,6 @@ def sql_len(c: Column) -> Column:
     return F.length(F.rtrim(c))
 
 
-def sql_right(c: Column, n: Column) -> Column:
-    """RIGHT(c, n)."""
-    return F.right(c, n)
 
 
 def strip_prefix(c: Column, n: int = 3) -> Column:
@@ -39,9 +36,6 @@ def not_blank(c: Column) -> Column:
     return F.rtrim(c) != F.lit("")
 
 
-def padded_eq(a: Column, b: Column) -> Column:
-    """a = b ignoring trailing blanks, as T-SQL compares strings."""
-    return F.rtrim(a) == F.rtrim(b)
 
 
 # Characters that T-SQL converts to the integer 0 when a one-character string

@@ -8,19 +8,6 @@ from pyspark.sql import functions as F
 from quillprice.functions.pricing import exact_avg
 
 
-def distinct_over_superset(df: DataFrame, out_cols: list[str], extra_keys: list[str]) -> DataFrame:
-    """GROUP BY out_cols + extra_keys, SELECT out_cols (A02, SURVEY Q6).
-
-    Rows equal on ``out_cols`` but different on ``extra_keys`` stay duplicated.
-    Distinct is a hash aggregate with a map-side partial step, so a hot group
-    is combined before the shuffle.
-    """
-    return df.select(*out_cols, *extra_keys).distinct().select(*out_cols)
-
-
-def latest_day(df: DataFrame, keys: list[str], ts_col: str, out: str = "LastShop") -> DataFrame:
-    """CONVERT(DATE, MAX(ts)) per key."""
-    return df.groupBy(*keys).agg(F.to_date(F.max(ts_col)).alias(out))
 
 
 def price_stats(df: DataFrame, keys: list[str], price: str = "PRICE", core: str = "COREPRICE",

@@ -52,10 +52,3 @@ def anti_join(left: DataFrame, right: DataFrame, on: list[tuple[str, str]]) -> D
     cond = [left[lc] == r[f"__r{i}"] for i, (lc, _) in enumerate(on)]
     return left.join(r, cond, "left_anti")
 
-
-def keys_equal(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
-    cond = None
-    for lc, rc in pairs:
-        c = left[lc] == right[rc]
-        cond = c if cond is None else cond & c
-    return cond

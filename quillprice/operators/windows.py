@@ -21,6 +21,24 @@ def _asc(c: str | Column) -> Column:
     return col.asc_nulls_first()
 
 
+def ordered_partitions(df: DataFrame, order_by: list[str],
+                       num_partitions: int | None = None) -> DataFrame:
+    """Rows range-partitioned and sorted by ``order_by`` plus a stored tie-breaker.
+
+    Adds ``__pid`` (partition index) and ``__pos`` (0-based position in the
+    partition). The tie-breaker makes every row's sort key unique, so the
+    range boundaries can cut through a hot key or a group of copies.
+    """
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = [_asc(c) for c in order_by] + [F.col(_TIE).asc()]
+    tagged = materialize(df.withColumn(_TIE, F.monotonically_increasing_id()), "row-number")
+    return (tagged.repartitionByRange(n, *ordered)
+                  .sortWithinPartitions(*ordered)
+                  .withColumn(_PID, F.spark_partition_id())
+                  .withColumn(_POS, F.monotonically_increasing_id()
+                              - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
+
+
 def global_row_number(df: DataFrame, order_by: list[str], id_col: str = "id",
                       num_partitions: int | None = None, start=0) -> DataFrame:
     """ROW_NUMBER() OVER (ORDER BY order_by) as bigint, computed in parallel.
@@ -39,21 +57,14 @@ def global_row_number(df: DataFrame, order_by: list[str], id_col: str = "id",
     DataFrame holding at most one row (e.g. the highest id already used),
     which then enters the running sum as a partition before the first.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = [_asc(c) for c in order_by] + [F.col(_TIE).asc()]
-    tagged = materialize(df.withColumn(_TIE, F.monotonically_increasing_id()), "row-number")
-    ranged = (tagged.repartitionByRange(n, *ordered)
-                .sortWithinPartitions(*ordered)
-                .withColumn(_PID, F.spark_partition_id())
-                .withColumn(_POS, F.monotonically_increasing_id()
-                            - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
+    ranged = ordered_partitions(df, order_by, num_partitions)
     counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_N))
     if isinstance(start, DataFrame):
         base = start.select(F.lit(-1).alias(_PID),
                             F.coalesce(F.col(start.columns[0]).cast("long"), F.lit(0)).alias(_N))
         counts, start = counts.unionByName(base), 0
-    # One row per partition: the window over it is bounded by ``n``.
+    # One row per range partition (plus the start row): the window and the
+    # broadcast below are bounded by the partition count, not by the data.
     offsets = counts.select(
         _PID,
         F.coalesce(F.sum(_N).over(Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)),

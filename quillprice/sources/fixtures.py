@@ -17,9 +17,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-          "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
-
 # One load stamp per run: the reference stamps NOW() per statement.
 LOAD_TS = "2017-09-04 17:53:00"
 

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import types as T
-
 from quillprice.operators.routines import PricingInputs
 from quillprice.sources.fixtures import RULES_CALC_SCHEMA, RULES_LIST_SCHEMA
 from quillprice.sources.pricesheet import PRICE_SHEET_SCHEMA
@@ -51,5 +49,3 @@ def inputs(spark, load, calc, ranks=(), pdm0=(), setup=(), price_file=(), xref=(
         pack=s(list(pack), "Basepart string, Info string, Type string"),
         load_ts=LOAD_TS)
 
-
-EMPTY = T.StructType([])

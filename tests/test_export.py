@@ -57,3 +57,14 @@ def test_numbering_plan_has_no_single_partition_over_rows(spark):
                              ["Manufacturer", "PartNumber"])._jdf.queryExecution() \
         .executedPlan().toString()
     assert "rangepartitioning" in plan.lower()
+
+
+def test_hot_group_of_copies_is_split_across_partitions(spark):
+    from quillprice.operators.windows import ordered_partitions
+    hot = [("HOT", "same")] * 3000                     # one group of identical rows: 1/3 of all
+    rest = [(f"m{i % 40}", f"p{i}") for i in range(6000)]
+    df = spark.createDataFrame(hot + rest, "m string, p string").repartition(8)
+    sizes = [r["count"] for r in ordered_partitions(df, ["m", "p"], 8).groupBy("__pid").count().collect()]
+    assert sum(sizes) == 9000 and max(sizes) < 3000 / 2
+    ids = [r.id for r in global_row_number(df, ["m", "p"], "id", num_partitions=8).collect()]
+    assert sorted(ids) == list(range(1, 9001))

@@ -35,3 +35,21 @@ def test_last_shop_scans_the_feed_once(spark, tmp_path):
     plan = _plan(stats)
     assert plan.count("FileScan parquet") == 1
     assert "PushedFilters: [IsNotNull(PRICE)" in plan or "IsNotNull(PRICE)" in plan
+
+
+def test_hot_keys_are_combined_before_the_shuffle(spark):
+    from quillprice.plans import competitor
+    fx = Fixtures(spark, SF_SMALL)
+    batch = competitor.staged_batch(fx.comp_feed, fx.line_map, None)
+    plan = _plan(competitor.latest_per_key(batch))
+    # the one-row-per-key pick is a partial aggregate, not a sort of each key's rows
+    assert "partial_max" in plan and "Window" not in plan
+    stats = _plan(retail.last_shop_stats(fx.retail_import))
+    assert "partial_min" in stats and "partial_sum" in stats
+
+
+def test_rule_joins_never_shuffle_the_price_sheet(spark):
+    plan = queries()["market_price_staging"](spark, SF_SMALL)._jdf.queryExecution() \
+        .executedPlan().toString()
+    for key in ("hashpartitioning(xmfg", "hashpartitioning(POP_Code", "hashpartitioning(BASE_WD"):
+        assert key not in plan
