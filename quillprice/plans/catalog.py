@@ -6,11 +6,20 @@ factor (whole tables, no sampling) and returns a DataFrame.
 
 from __future__ import annotations
 
-from quillprice.oracle import compose
-from quillprice.oracle.pricing_sql import PRICING_FIXTURES, ROUTINE_COLS, pricing_ctes
+from pyspark.sql import functions as F
+
+from quillprice.functions import dates as D_
+from quillprice.functions import pricing as P_
+from quillprice.functions import text as T_
 from quillprice.operators import routines as R
-from quillprice.plans import market
+from quillprice.operators.aggregates import min_max_by
+from quillprice.operators.constraints import STAGING_SCHEMA, enforce_staging, with_violations
+from quillprice.operators.joins import bounded_broadcast
+from quillprice.oracle import compose, feeds_sql, retail_sql
+from quillprice.oracle.pricing_sql import PRICING_FIXTURES, ROUTINE_COLS, pricing_ctes
+from quillprice.plans import competitor, export, market, pivots, retail
 from quillprice.registry import register
+from quillprice.sources import pricesheet
 from quillprice.sources.fixtures import LOAD_TS
 
 
@@ -56,7 +65,7 @@ def market_price_staging(fx):
 def union_all_routines(fx):
     """Nine routine outputs appended without cross-routine de-duplication."""
     return R.routine_rows(_inputs(fx)).withColumn(
-        "CalcPrice", R.F.col("__calc_dec").cast("double")).select(*R.ROUTINE_NAMES)
+        "CalcPrice", F.col("__calc_dec").cast("double")).select(*R.ROUTINE_NAMES)
 
 
 # --- X2 / M05 / M07: matrix ----------------------------------------------------------
@@ -156,11 +165,6 @@ def upload_queue_refresh(fx):
 
 
 # --- X4-X8: retail survey ---------------------------------------------------------------
-from pyspark.sql import functions as F  # noqa: E402
-
-from quillprice.functions import text as T_  # noqa: E402
-from quillprice.oracle import retail_sql  # noqa: E402
-from quillprice.plans import retail  # noqa: E402
 
 
 def _retail_sql(select: str) -> str:
@@ -317,8 +321,6 @@ def filter_ne_3vl(fx):
 
 
 # --- X9 / X13: competitor feed ------------------------------------------------------------
-from quillprice.oracle import feeds_sql  # noqa: E402
-from quillprice.plans import competitor, export, pivots  # noqa: E402
 
 
 def _comp_sql(select: str, extra=()) -> str:
@@ -482,7 +484,6 @@ def order_by_ordinal(fx):
 @register("group_min_max_id", _export_sql("SELECT * FROM oe_mm"))
 def group_min_max_id(fx):
     """MIN/MAX id per manufacturer."""
-    from quillprice.operators.aggregates import min_max_by
     return min_max_by(export.numbered_list(fx.oe_list), "Manufacturer", "id")
 
 
@@ -518,10 +519,6 @@ def order_by_columns(fx):
 
 
 # --- Sources and sinks (S01-S09) -----------------------------------------------------------
-from quillprice.functions import dates as D_, pricing as P_  # noqa: E402
-from quillprice.operators.constraints import STAGING_SCHEMA, enforce_staging, with_violations  # noqa: E402
-from quillprice.operators.joins import bounded_broadcast  # noqa: E402
-from quillprice.sources import pricesheet  # noqa: E402
 
 _PS_COLS = ("xmfg, Cust_Part_Number, Gross_Price, POP_Code, Change_Code, Core_Price, "
             "Price_Sheet_Number, Effective_Date")
@@ -892,16 +889,14 @@ def left_substring(fx):
                               "- 3) AS Part FROM upload_queue"))
 def right_len(fx):
     """RIGHT(s, LEN(s) - 3) (LEN ignores trailing blanks)."""
-    from quillprice.functions import text as TX
-    return fx.upload_queue.select("Item_Num", TX.strip_prefix(F.col("Item_Num"), 3).alias("Part"))
+    return fx.upload_queue.select("Item_Num", T_.strip_prefix(F.col("Item_Num"), 3).alias("Part"))
 
 
 @register("clean_part_number", _f_sql("comp_feed", "SELECT PARTNO, translate(PARTNO, ' -\\/.', '') "
                                       "AS Clean FROM comp_feed"))
 def clean_part_number(fx):
     """strip blank, '-', '\\', '/', '.' from part numbers."""
-    from quillprice.functions import text as TX
-    return fx.comp_feed.select("PARTNO", TX.clean_part_number(F.col("PARTNO")).alias("Clean"))
+    return fx.comp_feed.select("PARTNO", T_.clean_part_number(F.col("PARTNO")).alias("Clean"))
 
 
 @register("digit_prefix_strip", _f_sql(
@@ -912,8 +907,7 @@ def clean_part_number(fx):
     "AS Valid FROM price_file"))
 def digit_prefix_strip(fx):
     """item code -> (brand, base part, valid)."""
-    from quillprice.functions import text as TX
-    brand, base, valid = TX.item_code_parts(F.col("BPLITM"))
+    brand, base, valid = T_.item_code_parts(F.col("BPLITM"))
     return fx.price_file.select("BPLITM", brand.alias("Brand"), base.alias("BasePart"),
                                 valid.alias("Valid"))
 
