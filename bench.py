@@ -31,7 +31,8 @@ def main() -> None:
     spark = local_session(cpus=cpus)
     spark.range(1000).selectExpr("sum(id)").collect()            # JVM warm-up
     fx = Fixtures(spark, sf_dir)
-    for existing in (fx.brand_registry, fx.part_registry, fx.comp_sheet):
+    for existing in (fx.brand_registry, fx.part_registry, fx.comp_sheet, fx.tax_pdm1,
+                     fx.tax_setup, fx.price_sheets, fx.comp_xref):
         existing.count()                                          # pre-existing tables
     root = scratch_path(spark, "bench")
 

@@ -241,6 +241,7 @@ RULES_CALC_SCHEMA = T.StructType([
 
 
 _STORED: dict = {}
+_DISTINCT_SOURCES = ("part_brands", "part_sheet_ids", "lineitem_lines")
 
 
 def _spark_literal(v, dtype: T.DataType) -> str:
@@ -309,8 +310,14 @@ class Fixtures:
 
     def adapter(self, name: str) -> DataFrame:
         a = ADAPTERS[name]
-        return self._once(f"adapter:{name}", lambda: self._source(a.source).selectExpr(
-            *[f"{_spark_expr(e)} AS {c}" for c, e in a.columns]))
+
+        def build():
+            return self._source(a.source).selectExpr(
+                *[f"{_spark_expr(e)} AS {c}" for c, e in a.columns])
+        if a.source in _DISTINCT_SOURCES:
+            # small code tables derived by a DISTINCT: stored once, like existing tables
+            return self._stored(name, build)
+        return self._once(f"adapter:{name}", build)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in ADAPTERS:
