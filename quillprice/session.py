@@ -41,6 +41,19 @@ def local_session(cpus: int | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def submitted_session(app_name: str = "quillprice") -> SparkSession:
+    """The session of a ``spark-submit`` run (master and resources from the submit).
+
+    Without a submitted master PySpark falls back to ``local[*]``.
+    """
+    builder = SparkSession.builder.appName(app_name)
+    for k, v in SESSION_DEFAULTS.items():
+        builder = builder.config(k, v)
+    spark = builder.getOrCreate()
+    ensure_checkpoint_dir(spark)
+    return spark
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
