@@ -107,3 +107,13 @@ def test_fixed_pack_rounding_option(spark):
     assert [r.CalcPrice for r in R.routine_output(inp, "R8").collect()] == [3.3363]
     inp.fix_pack_rounding = True
     assert [r.CalcPrice for r in R.routine_output(inp, "R8").collect()] == [6.68]
+
+
+def test_two_pack_sizes_fan_out(spark):
+    # The lookup is de-duplicated on (part, pack), so two pack sizes give two rows
+    load = sheet_rows(spark, [("W0", "P1", "30.01", "E", "x", None)])
+    calc = calc_rows(spark, [("BR6", "F5", "W0", "G09", "0.5000", None, 1, "No_Ceiling_UOM")])
+    inp = inputs(spark, load, calc, pack=[("P1", "2", MOQ), ("P1", "2", MOQ), ("P1", "4", MOQ),
+                                          ("P1", "9", "Other")])
+    rows = sorted((r.FS_WD, r.CalcPrice) for r in R.routine_output(inp, "R9").collect())
+    assert rows == [(60.02, 30.01), (120.04, 60.02)]

@@ -113,3 +113,18 @@ def test_empty_sheet_loads_nothing_unless_bootstrapped(spark):
     assert competitor.competitor_incremental_upsert(feed, fx.line_map, empty).count() == 0
     assert competitor.competitor_incremental_upsert(feed, fx.line_map, empty,
                                                     bootstrap=True).count() == 1
+
+
+def test_empty_matrix_receives_every_distinct_staging_row(spark):
+    st = _staging(spark, [("BR1", "P1", "G01", 6.5, "x"), ("BR1", "P1", "G01", 6.5, "x"),
+                          ("BR1", "P2", "G01", 7.5, "x")])
+    empty = _matrix(spark, [])
+    out = market.market_price_matrix_refresh(empty, st).collect()
+    assert sorted(r.PartNumber for r in out) == ["P1", "P2"]
+
+
+def test_empty_queue_and_no_eligible_rules(spark):
+    fx = Fixtures(spark, "/root/testdata/sf0.001")
+    st = _staging(spark, [("BR1", "P1", "G01", 6.5, "No Change")])
+    q = fx.upload_queue.filter(F.lit(False))
+    assert market.upload_queue_refresh(q, st, fx.rules_calc).count() == 0
