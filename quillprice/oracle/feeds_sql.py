@@ -1,115 +1,131 @@
 """DuckDB oracle SQL for the competitor refresh (X9, X13), the pivots (X10,
-X11, J19) and the OE export (X12)."""
+X11, J19) and the OE export (X12), written independently of the Spark plan."""
 
 from __future__ import annotations
 
 COMP_FIXTURES = ("comp_feed", "line_map", "comp_sheet", "comp_xref")
 EXPORT_FIXTURES = ("oe_list",)
 
-_CLEAN = "translate({c}, ' -\\/.', '')"
+# The pivot column lists (same order as the reference).
+COMPETITORS = ("DOR", "VDO", "GAT", "GIL", "GPD", "MEI", "SNT", "SPI", "TAP", "UAC", "USM")
+RETAILERS = ("AZR", "ADV", "ORY", "NAP", "PBR", "PAG", "ROC", "SMR", "AMZ")
+
+
+def _clean(c: str) -> str:
+    return f"translate({c}, ' -\\/.', '')"
+
+
+_COMP_IN = ", ".join(f"'{c}'" for c in COMPETITORS)
 
 COMP_CTES = [
+    # feed rows of lines that map to a competitor code
     """mapped AS (
-    SELECT t0.*, t1.Xmfg FROM comp_feed t0 JOIN line_map t1
-      ON t0.MFRLINE = t1.mfrline AND t1.Xmfg IS NOT NULL)""",
+    SELECT n.*, lm.Xmfg FROM comp_feed n JOIN line_map lm ON lm.mfrline = n.MFRLINE
+    WHERE lm.Xmfg IS NOT NULL)""",
+    # Both marks; the gate is open only when the feed is strictly newer
     """marks AS (
-    SELECT (SELECT max(Date_Created) FROM mapped) AS new_mark,
-           (SELECT max(PS_Date_Created) FROM comp_sheet) AS old_mark)""",
+    SELECT max(ts) FILTER (WHERE src = 1) AS new_mark, max(ts) FILTER (WHERE src = 2) AS old_mark
+    FROM (SELECT Date_Created AS ts, 1 AS src FROM mapped
+          UNION ALL SELECT PS_Date_Created, 2 FROM comp_sheet) u)""",
+    # rows newer than the sheet's mark, with the sheet id and the parsed sheet date
     """c_batch AS (
-    SELECT t0.MFRLINE, t0.MFRNAME, CAST(strftime(t0.Date_Created, '%Y%m%d') AS INTEGER) AS new_psID,
-           make_date(CAST(split_part(t0.PSDATE, '/', 3) AS INTEGER),
-                     CAST(split_part(t0.PSDATE, '/', 1) AS INTEGER),
-                     CAST(split_part(t0.PSDATE, '/', 2) AS INTEGER)) AS PSDATE,
-           t0.PARTNO, t0.DESCRIP, t0.POPCODE, t0.UOM1, t0.WD1, t0.JOBBER1, t0.Xmfg AS XMfg,
-           t0.Date_Created AS CreatDate
-    FROM mapped t0, marks m
-    WHERE t0.Date_Created > m.old_mark AND m.new_mark > m.old_mark)""",
+    SELECT n.MFRLINE, n.MFRNAME,
+           (year(n.Date_Created) * 10000 + month(n.Date_Created) * 100
+            + day(n.Date_Created))::INTEGER AS new_psID,
+           make_date(split_part(n.PSDATE, '/', 3)::INTEGER, split_part(n.PSDATE, '/', 1)::INTEGER,
+                     split_part(n.PSDATE, '/', 2)::INTEGER) AS PSDATE,
+           n.PARTNO, n.DESCRIP, n.POPCODE, n.UOM1, n.WD1, n.JOBBER1, n.Xmfg AS XMfg,
+           n.Date_Created AS CreatDate
+    FROM mapped n, marks k
+    WHERE k.new_mark > k.old_mark AND n.Date_Created > k.old_mark)""",
+    # Batch rows with the matched sheet columns (NULL when new)
     f"""staging_tb AS (
-    SELECT t0.*, t1.XMfg AS XMfg_2, t1.XMfgPartClean AS Flag, t1.XMfgUOM, t1.XMfgPOP, t1.PriceWD,
-           t1.AcquisitionType, t1.PriceJobber, t1.PriceList, t1.PriceRetail, t1.psID AS old_psID,
-           t1.CoreCharge, t1.DateEffective, t1.XMfgPartType, t1.XMfgPartCategory, t1.XREFGroup
-    FROM c_batch t0 LEFT JOIN comp_sheet t1
-      ON t0.XMfg = t1.XMfg AND {_CLEAN.format(c='t0.PARTNO')} = t1.XMfgPartClean)""",
+    SELECT b.*, s.XMfg AS XMfg_2, s.XMfgPartClean AS Flag, s.XMfgUOM, s.XMfgPOP, s.PriceWD,
+           s.AcquisitionType, s.PriceJobber, s.PriceList, s.PriceRetail, s.psID AS old_psID,
+           s.CoreCharge, s.DateEffective, s.XMfgPartType, s.XMfgPartCategory, s.XREFGroup
+    FROM c_batch b LEFT JOIN comp_sheet s
+      ON s.XMfg = b.XMfg AND s.XMfgPartClean = {_clean('b.PARTNO')})""",
+    # one batch row per key: newest stamp, then highest price, then the other fields
     f"""best AS (
-    SELECT * FROM (
-        SELECT c.*, {_CLEAN.format(c='c.PARTNO')} AS clean,
-               ROW_NUMBER() OVER (PARTITION BY c.XMfg, {_CLEAN.format(c='c.PARTNO')}
-                   ORDER BY c.CreatDate DESC NULLS LAST, c.WD1 DESC NULLS LAST,
-                            c.JOBBER1 DESC NULLS LAST, c.PARTNO DESC NULLS LAST,
-                            c.DESCRIP DESC NULLS LAST, c.POPCODE DESC NULLS LAST,
-                            c.UOM1 DESC NULLS LAST, c.PSDATE DESC NULLS LAST) AS rn
-        FROM c_batch c) q WHERE rn = 1)""",
+    SELECT * EXCLUDE (pick) FROM (
+        SELECT b.*, {_clean('b.PARTNO')} AS clean,
+               row_number() OVER w AS pick
+        FROM c_batch b
+        WINDOW w AS (PARTITION BY b.XMfg, {_clean('b.PARTNO')}
+                     ORDER BY b.CreatDate DESC NULLS LAST, b.WD1 DESC NULLS LAST,
+                              b.JOBBER1 DESC NULLS LAST, b.PARTNO DESC NULLS LAST,
+                              b.DESCRIP DESC NULLS LAST, b.POPCODE DESC NULLS LAST,
+                              b.UOM1 DESC NULLS LAST, b.PSDATE DESC NULLS LAST)) r
+    WHERE pick = 1)""",
     """sheet_updated AS (
-    SELECT b.new_psID AS psID, s.XREFGroup, s.XMfgPartCategory, b.DESCRIP AS XMfgPartType, s.XMfg,
-           s.XMfgSKU, s.XMfgPart, s.XMfgPartClean, s.XMfgPartSuper, s.XMfgPartSuperClean,
-           b.POPCODE AS XMfgPOP, b.UOM1 AS XMfgUOM, b.PSDATE AS DateEffective, s.CoreCharge,
-           s.AcquisitionType, CAST(b.WD1 AS DOUBLE) AS PriceAcquistion,
-           CAST(b.JOBBER1 AS DOUBLE) AS PriceJobber, CAST(b.WD1 AS DOUBLE) AS PriceWD, s.PriceList,
-           s.PriceRetail, s.PriceProgramStart, b.CreatDate AS PS_Date_Created
-    FROM comp_sheet s JOIN best b ON s.XMfgPartClean = b.clean AND s.XMfg = b.XMfg)""",
+    SELECT s.* REPLACE (w.new_psID AS psID, w.DESCRIP AS XMfgPartType, w.POPCODE AS XMfgPOP,
+                        w.UOM1 AS XMfgUOM, w.PSDATE AS DateEffective,
+                        w.WD1::DOUBLE AS PriceAcquistion, w.JOBBER1::DOUBLE AS PriceJobber,
+                        w.WD1::DOUBLE AS PriceWD, w.CreatDate AS PS_Date_Created)
+    FROM comp_sheet s JOIN best w ON w.XMfg = s.XMfg AND w.clean = s.XMfgPartClean)""",
     """sheet_kept AS (
     SELECT s.* FROM comp_sheet s
-    WHERE NOT EXISTS (SELECT 1 FROM best b WHERE s.XMfgPartClean = b.clean AND s.XMfg = b.XMfg))""",
+    WHERE NOT EXISTS (SELECT 1 FROM best w WHERE w.XMfg = s.XMfg AND w.clean = s.XMfgPartClean))""",
     f"""sheet_inserted AS (
-    SELECT new_psID AS psID, CAST(NULL AS VARCHAR) AS XREFGroup, CAST(NULL AS VARCHAR) AS XMfgPartCategory,
-           DESCRIP AS XMfgPartType, XMfg, CAST(NULL AS VARCHAR) AS XMfgSKU, PARTNO AS XMfgPart,
-           {_CLEAN.format(c='PARTNO')} AS XMfgPartClean, CAST(NULL AS VARCHAR) AS XMfgPartSuper,
-           CAST(NULL AS VARCHAR) AS XMfgPartSuperClean, POPCODE AS XMfgPOP, UOM1 AS XMfgUOM,
-           PSDATE AS DateEffective, CAST(NULL AS DOUBLE) AS CoreCharge, 'WD Gross' AS AcquisitionType,
-           CAST(WD1 AS DOUBLE) AS PriceAcquistion, CAST(JOBBER1 AS DOUBLE) AS PriceJobber,
-           CAST(WD1 AS DOUBLE) AS PriceWD, CAST(NULL AS DOUBLE) AS PriceList,
-           CAST(NULL AS DOUBLE) AS PriceRetail, CAST(NULL AS DOUBLE) AS PriceProgramStart,
+    SELECT new_psID AS psID, NULL::VARCHAR AS XREFGroup, NULL::VARCHAR AS XMfgPartCategory,
+           DESCRIP AS XMfgPartType, XMfg, NULL::VARCHAR AS XMfgSKU, PARTNO AS XMfgPart,
+           {_clean('PARTNO')} AS XMfgPartClean, NULL::VARCHAR AS XMfgPartSuper,
+           NULL::VARCHAR AS XMfgPartSuperClean, POPCODE AS XMfgPOP, UOM1 AS XMfgUOM,
+           PSDATE AS DateEffective, NULL::DOUBLE AS CoreCharge, 'WD Gross' AS AcquisitionType,
+           WD1::DOUBLE AS PriceAcquistion, JOBBER1::DOUBLE AS PriceJobber, WD1::DOUBLE AS PriceWD,
+           NULL::DOUBLE AS PriceList, NULL::DOUBLE AS PriceRetail, NULL::DOUBLE AS PriceProgramStart,
            CreatDate AS PS_Date_Created
     FROM staging_tb WHERE Flag IS NULL)""",
     """sheet2 AS (
-    SELECT * FROM sheet_kept UNION ALL SELECT * FROM sheet_updated
-    UNION ALL SELECT * FROM sheet_inserted)""",
-    """comp_c AS (
-    SELECT t1.FS_Part, t0.XMfg AS CompXMfg,
-           CASE WHEN count(t0.PriceWD) > 0
-                THEN CAST(sum(CAST(t0.PriceWD AS DECIMAL(38,2))) AS DOUBLE) / count(t0.PriceWD) END
-               AS WDPrice
-    FROM sheet2 t0 JOIN comp_xref t1 ON t0.XMfg = t1.XMfg AND t0.XMfgPart = t1.CompPart
-    WHERE t1.FS_Part NOT LIKE 'N%' AND t0.PriceWD <> 0
-      AND t0.XMfg IN ('DOR', 'VDO', 'GAT', 'GIL', 'GPD', 'MEI', 'SNT', 'SPI', 'TAP', 'UAC', 'USM')
-    GROUP BY t1.FS_Part, t0.XMfg)""",
+    SELECT * FROM sheet_kept UNION ALL BY NAME SELECT * FROM sheet_updated
+    UNION ALL BY NAME SELECT * FROM sheet_inserted)""",
+    # Mean WD price per own part and competitor (exact decimal sum, one division)
+    f"""comp_c AS (
+    SELECT x.FS_Part, s.XMfg AS CompXMfg,
+           if(count(s.PriceWD) = 0, NULL,
+              sum(s.PriceWD::DECIMAL(38,2))::DOUBLE / count(s.PriceWD)) AS WDPrice
+    FROM sheet2 s JOIN comp_xref x ON x.XMfg = s.XMfg AND x.CompPart = s.XMfgPart
+    WHERE s.XMfg IN ({_COMP_IN}) AND s.PriceWD <> 0 AND NOT starts_with(x.FS_Part, 'N')
+    GROUP BY x.FS_Part, s.XMfg)""",
 ]
 
-COMPETITORS = ("DOR", "VDO", "GAT", "GIL", "GPD", "MEI", "SNT", "SPI", "TAP", "UAC", "USM")
-RETAILERS = ("AZR", "ADV", "ORY", "NAP", "PBR", "PAG", "ROC", "SMR", "AMZ")
-
 COMP_PIVOT = ("comp_pivot AS (SELECT FS_Part, "
-              + ", ".join(f"avg(CASE WHEN CompXMfg = '{c}' THEN WDPrice END) AS {c}" for c in COMPETITORS)
+              + ", ".join(f"avg(WDPrice) FILTER (WHERE CompXMfg = '{c}') AS {c}" for c in COMPETITORS)
               + " FROM comp_c GROUP BY FS_Part)")
 
 
-def _exact(v: str, scale: int) -> str:
-    return (f"CASE WHEN count({v}) > 0 THEN CAST(sum(CAST({v} AS DECIMAL(38,{scale}))) AS DOUBLE) "
-            f"/ count({v}) END")
+def _mean6(r: str) -> str:
+    v = f"AvgPrice) FILTER (WHERE RETAIL_XMFG = '{r}')"
+    return (f"if(count({v} = 0, NULL, sum(AvgPrice::DECIMAL(38,6)) FILTER (WHERE RETAIL_XMFG = '{r}')"
+            f"::DOUBLE / count({v}) AS {r}")
 
 
-RETAIL_PIVOT = ("retail_pivot AS (SELECT BasePart, "
-                + ", ".join(f"{_exact(f'CASE WHEN RETAIL_XMFG = {chr(39)}{r}{chr(39)} THEN AvgPrice END', 6)} AS {r}"
-                            for r in RETAILERS)
+RETAIL_PIVOT = ("retail_pivot AS (SELECT BasePart, " + ", ".join(_mean6(r) for r in RETAILERS)
                 + " FROM (SELECT BasePart, RetailXmfg AS RETAIL_XMFG, AvgPrice FROM comparison "
-                  "WHERE BasePart NOT LIKE 'N%') c GROUP BY BasePart)")
+                  "WHERE NOT starts_with(BasePart, 'N')) c GROUP BY BasePart)")
 
 EXPORT_CTES = [
+    # Global numbering by (Manufacturer, PartNumber), NULLs first
     """oe_body AS (
     SELECT Manufacturer, PartNumber,
-           CAST(ROW_NUMBER() OVER (ORDER BY Manufacturer NULLS FIRST, PartNumber NULLS FIRST) AS BIGINT)
-               AS id
+           row_number() OVER (ORDER BY Manufacturer NULLS FIRST, PartNumber NULLS FIRST)::BIGINT AS id
     FROM oe_list)""",
+    # A08
     """oe_mm AS (SELECT Manufacturer, min(id) AS MinID, max(id) AS MaxID FROM oe_body
     GROUP BY Manufacturer)""",
+    # open tag one before the first id, close tag one after the last; a NULL
+    # manufacturer matches nothing, so its tags carry NULL text and id
     """oe_tags AS (
-    SELECT Manufacturer, '<' || Manufacturer || '>' AS PartNumber,
-           CASE WHEN Manufacturer IS NOT NULL THEN MinID - 1 END AS id FROM oe_mm
+    SELECT Manufacturer, concat_ws('', '<', Manufacturer, '>') AS PartNumber, MinID - 1 AS id
+    FROM oe_mm WHERE Manufacturer IS NOT NULL
+    UNION ALL
+    SELECT Manufacturer, concat_ws('', '</', Manufacturer, '>'), MaxID + 1
+    FROM oe_mm WHERE Manufacturer IS NOT NULL
+    UNION ALL
+    SELECT NULL, NULL, NULL FROM oe_mm WHERE Manufacturer IS NULL
     UNION ALL
-    SELECT Manufacturer, '</' || Manufacturer || '>' AS PartNumber,
-           CASE WHEN Manufacturer IS NOT NULL THEN MaxID + 1 END AS id FROM oe_mm)""",
+    SELECT NULL, NULL, NULL FROM oe_mm WHERE Manufacturer IS NULL)""",
     """oe_export AS (
-    SELECT Manufacturer, PartNumber, id
-    FROM (SELECT * FROM oe_body UNION ALL SELECT * FROM oe_tags) u
-    GROUP BY Manufacturer, PartNumber, id)""",
+    SELECT DISTINCT Manufacturer, PartNumber, id
+    FROM (SELECT * FROM oe_body UNION ALL SELECT * FROM oe_tags) u)""",
 ]

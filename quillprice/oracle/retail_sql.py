@@ -1,8 +1,9 @@
-"""DuckDB oracle SQL for the retail survey procedure (X4-X8 and their parts).
+"""DuckDB oracle SQL for the retail survey (X4-X8 and their parts).
 
-Follows the reference's statement order: brands, then parts (seeing the new
-brands), then the feed update through the view, then the latest-shop CTEs
-(with the self-join on the latest day) and the comparison.
+Written independently of the Spark plan: anti joins as NOT EXISTS, the
+latest shop day as a window over the priced rows, own-brand columns as
+FILTER aggregates. Step order follows the procedure: brands, parts (which
+see the new brands), feed enrichment, latest-day statistics, comparison.
 """
 
 from __future__ import annotations
@@ -10,114 +11,118 @@ from __future__ import annotations
 RETAIL_FIXTURES = ("retail_import", "brand_registry", "part_registry", "price_new", "price_sheets",
                    "xref", "base_ranks")
 
-CLEAN = "translate({c}, ' -\\/.', '')"
+_KEYS = "RETAIL_XMFG, CLEANPRODUCTBRAND, CLEANPRODUCTNUMBER"
 
 CTES = [
+    # Priced rows with a brand whose (retailer, brand) is unknown
     """new_brands AS (
-    SELECT t0.RETAIL_XMFG AS RetailXmfg, t0.PRODUCTBRAND
-    FROM retail_import t0 LEFT JOIN brand_registry t1
-      ON t0.RETAIL_XMFG = t1.RetailXmfg AND t0.PRODUCTBRAND = t1.PRODUCTBRAND
-    WHERE t0.PRICE > 0 AND rtrim(t0.PRODUCTBRAND) <> '' AND t1.PRODUCTBRAND IS NULL
-    GROUP BY t0.RETAIL_XMFG, t0.PRODUCTBRAND)""",
+    SELECT DISTINCT r.RETAIL_XMFG AS RetailXmfg, r.PRODUCTBRAND
+    FROM retail_import r
+    WHERE r.PRICE > 0 AND rtrim(r.PRODUCTBRAND) <> ''
+      AND NOT EXISTS (SELECT 1 FROM brand_registry k
+                      WHERE k.RetailXmfg = r.RETAIL_XMFG AND k.PRODUCTBRAND = r.PRODUCTBRAND))""",
+    # Ids continue after the highest registered one, in key order
     """new_brand_ids AS (
-    SELECT (SELECT COALESCE(max(BrandID), 0) FROM brand_registry)
-           + CAST(ROW_NUMBER() OVER (ORDER BY RetailXmfg NULLS FIRST, PRODUCTBRAND NULLS FIRST)
-                  AS BIGINT) AS BrandID, RetailXmfg, PRODUCTBRAND
-    FROM new_brands)""",
+    SELECT n.RetailXmfg, n.PRODUCTBRAND,
+           hi.top + CAST(row_number() OVER (ORDER BY n.RetailXmfg NULLS FIRST,
+                                            n.PRODUCTBRAND NULLS FIRST) AS BIGINT) AS BrandID
+    FROM new_brands n CROSS JOIN (SELECT coalesce(max(BrandID), 0) AS top FROM brand_registry) hi)""",
     """brands2 AS (
     SELECT BrandID, RetailXmfg, PRODUCTBRAND, CLEANPRODUCTBRAND, AltXmfg FROM brand_registry
     UNION ALL
-    SELECT BrandID, RetailXmfg, PRODUCTBRAND, CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR)
-    FROM new_brand_ids)""",
+    SELECT BrandID, RetailXmfg, PRODUCTBRAND, NULL::VARCHAR, NULL::VARCHAR FROM new_brand_ids)""",
     """view1 AS (
-    SELECT b.RetailXmfg, b.PRODUCTBRAND, p.PRODUCTNUMBER, b.CLEANPRODUCTBRAND, p.CLEANPRODUCTNUMBER,
-           p.PartName, b.AltXmfg
-    FROM brands2 b JOIN part_registry p ON b.BrandID = p.BrandID)""",
+    SELECT g.RetailXmfg, g.PRODUCTBRAND, q.PRODUCTNUMBER, g.CLEANPRODUCTBRAND,
+           q.CLEANPRODUCTNUMBER, q.PartName, g.AltXmfg
+    FROM part_registry q JOIN brands2 g USING (BrandID))""",
+    # X5 / J09 / W02
     """c_parts AS (
-    SELECT RETAIL_XMFG, PRODUCTBRAND, PRODUCTNUMBER, PRODUCTNAME FROM retail_import
-    WHERE PRICE > 0 AND rtrim(PRODUCTNUMBER) <> '' AND rtrim(PRODUCTBRAND) <> ''
-    GROUP BY RETAIL_XMFG, PRODUCTBRAND, PRODUCTNUMBER, PRODUCTNAME)""",
+    SELECT DISTINCT RETAIL_XMFG, PRODUCTBRAND, PRODUCTNUMBER, PRODUCTNAME
+    FROM retail_import
+    WHERE PRICE > 0 AND rtrim(PRODUCTNUMBER) <> '' AND rtrim(PRODUCTBRAND) <> '')""",
     """c1_parts AS (
-    SELECT t0.RETAIL_XMFG, t0.PRODUCTBRAND, t0.PRODUCTNUMBER, t0.PRODUCTNAME,
-           CAST(ROW_NUMBER() OVER (PARTITION BY t0.RETAIL_XMFG, t0.PRODUCTBRAND, t0.PRODUCTNUMBER,
-                                   t0.PRODUCTNAME ORDER BY t0.PRODUCTNAME) AS BIGINT) AS RN
-    FROM c_parts t0 LEFT JOIN view1 t1
-      ON t0.RETAIL_XMFG = t1.RetailXmfg AND t0.PRODUCTBRAND = t1.PRODUCTBRAND
-     AND t0.PRODUCTNUMBER = t1.PRODUCTNUMBER
-    WHERE t1.PRODUCTNUMBER IS NULL)""",
+    SELECT c.RETAIL_XMFG, c.PRODUCTBRAND, c.PRODUCTNUMBER, c.PRODUCTNAME,
+           CAST(row_number() OVER (PARTITION BY c.RETAIL_XMFG, c.PRODUCTBRAND, c.PRODUCTNUMBER,
+                                                c.PRODUCTNAME ORDER BY c.PRODUCTNAME) AS BIGINT) AS RN
+    FROM c_parts c
+    WHERE NOT EXISTS (SELECT 1 FROM view1 v WHERE v.RetailXmfg = c.RETAIL_XMFG
+                      AND v.PRODUCTBRAND = c.PRODUCTBRAND AND v.PRODUCTNUMBER = c.PRODUCTNUMBER))""",
     """new_parts AS (
-    SELECT t1.BrandID, t0.PRODUCTNUMBER, t0.PRODUCTNAME AS PartName,
-           rtrim(ltrim(replace(replace(replace(replace(replace(t0.PRODUCTNUMBER, '-', ''), '\\', ''),
-                 ' ', ''), '/', ''), '.', ''))) AS CLEANPRODUCTNUMBER
-    FROM c1_parts t0 JOIN brands2 t1
-      ON t0.RETAIL_XMFG = t1.RetailXmfg AND t0.PRODUCTBRAND = t1.PRODUCTBRAND)""",
+    SELECT g.BrandID, c.PRODUCTNUMBER, c.PRODUCTNAME AS PartName,
+           trim(translate(c.PRODUCTNUMBER, ' -\\/.', '')) AS CLEANPRODUCTNUMBER
+    FROM c1_parts c JOIN brands2 g
+      ON g.RetailXmfg = c.RETAIL_XMFG AND g.PRODUCTBRAND = c.PRODUCTBRAND)""",
     """parts2 AS (
     SELECT BrandID, PRODUCTNUMBER, PartName, CLEANPRODUCTNUMBER FROM part_registry
-    UNION ALL SELECT * FROM new_parts)""",
+    UNION ALL SELECT BrandID, PRODUCTNUMBER, PartName, CLEANPRODUCTNUMBER FROM new_parts)""",
     """view2 AS (
-    SELECT b.RetailXmfg, b.PRODUCTBRAND, p.PRODUCTNUMBER, b.CLEANPRODUCTBRAND, p.CLEANPRODUCTNUMBER,
-           p.PartName, b.AltXmfg
-    FROM brands2 b JOIN parts2 p ON b.BrandID = p.BrandID)""",
+    SELECT g.RetailXmfg, g.PRODUCTBRAND, q.PRODUCTNUMBER, g.CLEANPRODUCTBRAND,
+           q.CLEANPRODUCTNUMBER, q.PartName, g.AltXmfg
+    FROM parts2 q JOIN brands2 g USING (BrandID))""",
+    # Matched feed rows take the registry's (lowest) clean values
     """feed2 AS (
-    SELECT t0.RETAIL_XMFG, t0.PRODUCTBRAND, t0.PRODUCTNUMBER, t0.PRODUCTNAME, t0.PRICE,
-           t0.COREPRICE, t0.ZIPCODE, t0.DATE_CREATED,
-           CASE WHEN v.hit IS NOT NULL THEN v.cb ELSE t0.CLEANPRODUCTBRAND END AS CLEANPRODUCTBRAND,
-           CASE WHEN v.hit IS NOT NULL THEN v.cn ELSE t0.CLEANPRODUCTNUMBER END AS CLEANPRODUCTNUMBER
-    FROM retail_import t0 LEFT JOIN (
-        SELECT RetailXmfg, PRODUCTBRAND, PRODUCTNUMBER, min(CLEANPRODUCTBRAND) AS cb,
-               min(CLEANPRODUCTNUMBER) AS cn, 1 AS hit
-        FROM view2 GROUP BY RetailXmfg, PRODUCTBRAND, PRODUCTNUMBER) v
-      ON t0.RETAIL_XMFG = v.RetailXmfg AND t0.PRODUCTBRAND = v.PRODUCTBRAND
-     AND t0.PRODUCTNUMBER = v.PRODUCTNUMBER)""",
-    """ls_c AS (
-    SELECT RETAIL_XMFG, CLEANPRODUCTBRAND, CLEANPRODUCTNUMBER, CAST(max(DATE_CREATED) AS DATE) AS LastShop
-    FROM feed2 WHERE PRICE > 0 GROUP BY RETAIL_XMFG, CLEANPRODUCTBRAND, CLEANPRODUCTNUMBER)""",
-    """ls_c1 AS (
-    SELECT t0.RETAIL_XMFG, t0.CLEANPRODUCTBRAND, t0.CLEANPRODUCTNUMBER, t0.PRICE, t0.COREPRICE,
-           t0.ZIPCODE, t1.LastShop
-    FROM feed2 t0 JOIN ls_c t1
-      ON t0.RETAIL_XMFG = t1.RETAIL_XMFG AND t0.CLEANPRODUCTNUMBER = t1.CLEANPRODUCTNUMBER
-     AND t0.CLEANPRODUCTBRAND = t1.CLEANPRODUCTBRAND AND CAST(t0.DATE_CREATED AS DATE) = t1.LastShop
-    WHERE t0.PRICE > 0)""",
-    """ls_c2 AS (
-    SELECT RETAIL_XMFG, CLEANPRODUCTBRAND, CLEANPRODUCTNUMBER,
-           CAST(min(PRICE) AS DOUBLE) AS MinPrice, CAST(max(PRICE) AS DOUBLE) AS MaxPrice,
-           CASE WHEN count(PRICE) > 0 THEN CAST(sum(CAST(PRICE AS DECIMAL(38,2))) AS DOUBLE)
-                / count(PRICE) END AS AvgPrice,
-           CASE WHEN count(COREPRICE) > 0 THEN CAST(sum(CAST(COREPRICE AS DECIMAL(38,2))) AS DOUBLE)
-                / count(COREPRICE) END AS AvgCore,
-           count(DISTINCT ZIPCODE) AS ShopCnt, LastShop
-    FROM ls_c1 GROUP BY RETAIL_XMFG, CLEANPRODUCTBRAND, CLEANPRODUCTNUMBER, LastShop)""",
+    SELECT r.RETAIL_XMFG, r.PRODUCTBRAND, r.PRODUCTNUMBER, r.PRODUCTNAME, r.PRICE, r.COREPRICE,
+           r.ZIPCODE, r.DATE_CREATED,
+           if(m.matched, m.cb, r.CLEANPRODUCTBRAND) AS CLEANPRODUCTBRAND,
+           if(m.matched, m.cn, r.CLEANPRODUCTNUMBER) AS CLEANPRODUCTNUMBER
+    FROM retail_import r
+    LEFT JOIN (SELECT RetailXmfg, PRODUCTBRAND, PRODUCTNUMBER, true AS matched,
+                      min(CLEANPRODUCTBRAND) AS cb, min(CLEANPRODUCTNUMBER) AS cn
+               FROM view2 GROUP BY ALL) m
+      ON m.RetailXmfg = r.RETAIL_XMFG AND m.PRODUCTBRAND = r.PRODUCTBRAND
+     AND m.PRODUCTNUMBER = r.PRODUCTNUMBER)""",
+    # Newest shop day per key (NULL keys form their own groups)
+    f"""ls_c AS (
+    SELECT {_KEYS}, max(DATE_CREATED)::DATE AS LastShop
+    FROM feed2 WHERE PRICE > 0 GROUP BY ALL)""",
+    # Priced rows of each key's newest day (keys must be known to match)
+    f"""ls_c1 AS (
+    SELECT {_KEYS}, PRICE, COREPRICE, ZIPCODE, shop_day AS LastShop
+    FROM (SELECT *, DATE_CREATED::DATE AS shop_day,
+                 max(DATE_CREATED::DATE) OVER (PARTITION BY {_KEYS}) AS newest
+          FROM feed2
+          WHERE PRICE > 0 AND RETAIL_XMFG IS NOT NULL AND CLEANPRODUCTBRAND IS NOT NULL
+            AND CLEANPRODUCTNUMBER IS NOT NULL) d
+    WHERE shop_day = newest)""",
+    # A06 / A07
+    f"""ls_c2 AS (
+    SELECT {_KEYS}, LastShop,
+           min(PRICE)::DOUBLE AS MinPrice, max(PRICE)::DOUBLE AS MaxPrice,
+           if(count(PRICE) = 0, NULL, sum(PRICE::DECIMAL(38,2))::DOUBLE / count(PRICE)) AS AvgPrice,
+           if(count(COREPRICE) = 0, NULL,
+              sum(COREPRICE::DECIMAL(38,2))::DOUBLE / count(COREPRICE)) AS AvgCore,
+           count(DISTINCT ZIPCODE) AS ShopCnt
+    FROM ls_c1 GROUP BY ALL)""",
+    # X6
     """last_shop AS (
-    SELECT t1.RetailXmfg, t1.CLEANPRODUCTBRAND, t1.CLEANPRODUCTNUMBER, t1.PartName, t0.MinPrice,
-           t0.MaxPrice, t0.AvgPrice, t0.AvgCore, t0.ShopCnt, t0.LastShop, t1.AltXmfg
-    FROM ls_c2 t0 JOIN view2 t1
-      ON t0.CLEANPRODUCTBRAND = t1.CLEANPRODUCTBRAND AND t0.CLEANPRODUCTNUMBER = t1.CLEANPRODUCTNUMBER
-     AND t0.RETAIL_XMFG = t1.RetailXmfg)""",
+    SELECT v.RetailXmfg, v.CLEANPRODUCTBRAND, v.CLEANPRODUCTNUMBER, v.PartName, s.MinPrice,
+           s.MaxPrice, s.AvgPrice, s.AvgCore, s.ShopCnt, s.LastShop, v.AltXmfg
+    FROM ls_c2 s JOIN view2 v
+      ON v.RetailXmfg = s.RETAIL_XMFG AND v.CLEANPRODUCTBRAND = s.CLEANPRODUCTBRAND
+     AND v.CLEANPRODUCTNUMBER = s.CLEANPRODUCTNUMBER)""",
+    # J18, J17 (+P15), A12
     """bp_c0 AS (
-    SELECT t1.XMfg, t2.FS_Part AS BasePart, t0.XMfgPart AS BrandPart
-    FROM price_new t0 JOIN price_sheets t1 ON t0.psID = t1.psID
-    JOIN xref t2 ON t0.XMfgPart = t2.CompPart AND t1.XMfg = t2.XMfg
-    WHERE t1.XMfg IN ('HDC', 'ACI', 'PRO') AND t1.SheetRank = 1
-    GROUP BY t1.XMfg, t2.FS_Part, t0.XMfgPart)""",
+    SELECT DISTINCT h.XMfg, x.FS_Part AS BasePart, n.XMfgPart AS BrandPart
+    FROM price_new n JOIN price_sheets h USING (psID)
+    JOIN xref x ON x.CompPart = n.XMfgPart AND x.XMfg = h.XMfg
+    WHERE h.SheetRank = 1 AND h.XMfg IN ('ACI', 'PRO', 'HDC'))""",
     """bp_c1 AS (
-    SELECT t0.BasePart, t1.XMfg, t1.BrandPart FROM base_ranks t0
-    LEFT JOIN bp_c0 t1 ON t0.BasePart = t1.BasePart
-    WHERE LFC LIKE '2%' OR LFC LIKE '3%' OR LFC LIKE '4%')""",
+    SELECT r.BasePart, o.XMfg, o.BrandPart
+    FROM base_ranks r LEFT JOIN bp_c0 o ON o.BasePart = r.BasePart
+    WHERE substr(r.LFC, 1, 1) IN ('2', '3', '4'))""",
     """bp_c2 AS (
     SELECT BasePart,
-           max(CASE XMfg WHEN 'ACI' THEN BrandPart ELSE NULL END) AS ACI,
-           max(CASE XMfg WHEN 'PRO' THEN BrandPart ELSE NULL END) AS PRO,
-           max(CASE XMfg WHEN 'HDC' THEN BrandPart ELSE NULL END) AS Hayden
+           max(BrandPart) FILTER (WHERE XMfg = 'ACI') AS ACI,
+           max(BrandPart) FILTER (WHERE XMfg = 'PRO') AS PRO,
+           max(BrandPart) FILTER (WHERE XMfg = 'HDC') AS Hayden
     FROM bp_c1 GROUP BY BasePart)""",
+    # X8
     """comparison AS (
-    SELECT t1.FS_Part AS BasePart, t2.ACI, t2.PRO AS ProSource, t2.Hayden, t0.RetailXmfg,
-           t0.AltXmfg AS ALTXMFG, t0.CLEANPRODUCTNUMBER AS MfgPart, t0.CLEANPRODUCTBRAND AS MfgBrand,
-           t0.PartName AS MfgDescription, t0.MinPrice, t0.MaxPrice, t0.AvgPrice, t0.AvgCore,
-           t0.ShopCnt, t0.LastShop, t1.D_I
-    FROM last_shop t0 JOIN xref t1 ON t0.CLEANPRODUCTNUMBER = t1.CompClean AND t0.AltXmfg = t1.XMfg
-    JOIN bp_c2 t2 ON t1.FS_Part = t2.BasePart
-    GROUP BY t1.FS_Part, t2.ACI, t2.PRO, t2.Hayden, t0.RetailXmfg, t0.AltXmfg, t0.CLEANPRODUCTNUMBER,
-             t0.CLEANPRODUCTBRAND, t0.PartName, t0.MinPrice, t0.MaxPrice, t0.AvgPrice, t0.AvgCore,
-             t0.ShopCnt, t0.LastShop, t1.D_I)""",
+    SELECT DISTINCT x.FS_Part AS BasePart, b.ACI, b.PRO AS ProSource, b.Hayden, s.RetailXmfg,
+           s.AltXmfg AS ALTXMFG, s.CLEANPRODUCTNUMBER AS MfgPart, s.CLEANPRODUCTBRAND AS MfgBrand,
+           s.PartName AS MfgDescription, s.MinPrice, s.MaxPrice, s.AvgPrice, s.AvgCore, s.ShopCnt,
+           s.LastShop, x.D_I
+    FROM last_shop s
+    JOIN xref x ON x.CompClean = s.CLEANPRODUCTNUMBER AND x.XMfg = s.AltXmfg
+    JOIN bp_c2 b ON b.BasePart = x.FS_Part)""",
 ]

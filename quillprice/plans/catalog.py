@@ -69,17 +69,23 @@ def union_all_routines(fx):
 
 
 # --- X2 / M05 / M07: matrix ----------------------------------------------------------
+# Matrix rows re-priced in this run go (any brand, NULL brands stay); staging rows
+# go in when no matrix row has their key, or one that does has no Xmfg.
 _KEPT_MATRIX = """kept_matrix AS (
-    SELECT m.* FROM matrix m
-    WHERE NOT EXISTS (SELECT 1 FROM staging s WHERE s.Cust_Part_Number = m.PartNumber
-                      AND m.Brand = m.Brand AND s.PriceGroup = m.PriceGroup))"""
+    SELECT * FROM matrix m
+    WHERE m.Brand IS NULL OR NOT EXISTS (
+        SELECT 1 FROM staging z WHERE z.Cust_Part_Number = m.PartNumber
+        AND z.PriceGroup = m.PriceGroup))"""
 _INSERT_MATRIX = """insert_matrix AS (
-    SELECT DISTINCT s.Brand, s.Xmfg, s.Cust_Part_Number AS PartNumber, s.Price_Type, s.FS_WD,
-           s.PriceGroup, s.CalcPrice, s.Percent_of_WD AS Perecnt_of_WD, s.LoadDate AS PriceDate,
-           s.PriceList AS ListPrice, s.PriceJobber AS JobberPrice, s.PriceDealer AS DealerPrice
-    FROM staging s LEFT JOIN kept_matrix t ON s.Brand = t.Brand AND s.PriceGroup = t.PriceGroup
-         AND s.Cust_Part_Number = t.PartNumber
-    WHERE t.Xmfg IS NULL)"""
+    SELECT DISTINCT z.Brand, z.Xmfg, z.Cust_Part_Number AS PartNumber, z.Price_Type, z.FS_WD,
+           z.PriceGroup, z.CalcPrice, z.Percent_of_WD AS Perecnt_of_WD, z.LoadDate AS PriceDate,
+           z.PriceList AS ListPrice, z.PriceJobber AS JobberPrice, z.PriceDealer AS DealerPrice
+    FROM staging z
+    WHERE NOT EXISTS (SELECT 1 FROM kept_matrix k WHERE k.Brand = z.Brand
+                      AND k.PriceGroup = z.PriceGroup AND k.PartNumber = z.Cust_Part_Number)
+       OR EXISTS (SELECT 1 FROM kept_matrix k WHERE k.Brand = z.Brand
+                  AND k.PriceGroup = z.PriceGroup AND k.PartNumber = z.Cust_Part_Number
+                  AND k.Xmfg IS NULL))"""
 _MATRIX_CTES = [_KEPT_MATRIX, _INSERT_MATRIX]
 
 
@@ -129,8 +135,8 @@ _INSERT_QUEUE = """insert_queue AS (
            '0' AS Uploaded
     FROM staging s JOIN rules_calc c ON s.Xmfg = c.xmfg AND s.Brand = c.Brand
          AND s.PriceGroup = c.PriceGroup
-    WHERE (c.JDE_Upload = 'Y' AND s.ChangeCode LIKE '%New Item%')
-       OR (c.PriceAdj_Upload = 'Y' AND s.ChangeCode LIKE '%Price Adjustment%'))"""
+    WHERE (c.JDE_Upload = 'Y' AND contains(s.ChangeCode, 'New Item'))
+       OR (c.PriceAdj_Upload = 'Y' AND contains(s.ChangeCode, 'Price Adjustment')))"""
 _QUEUE_CTES = [_KEPT_QUEUE, _INSERT_QUEUE]
 
 
