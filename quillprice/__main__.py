@@ -7,9 +7,10 @@
     python -m quillprice export      --tables DIR --out DIR
     python -m quillprice seed        --testdata SF_DIR --out DIR
 
-``--tables`` holds one parquet folder per input table, named as in
-FIXTURES.md §A (for example ``TCD_MarketPricing_Calculations``). Every
-published table is written to ``--out/<name>`` (a new folder per run).
+``--tables`` holds one parquet folder per input table, named by role
+(``rules_calc``, ``retail_import``, ... see ``TABLES``; layouts in FIXTURES.md
+§A). Every published table is written to ``--out/<name>``; the pivots read the
+retail comparison from ``--tables/retail_prices``.
 ``seed`` writes such a table folder (and a price sheet file
 ``price_sheet.tsv``) from the testdata adapters. Run under ``spark-submit``
 on a cluster; plain ``python -m`` gives a local session.
@@ -24,32 +25,11 @@ from quillprice.plans import procedures as P
 from quillprice.session import submitted_session
 from quillprice.sources.pricesheet import publish, read_price_sheet
 
-# Reference table name -> fixture attribute.
-TABLES = {
-    "TCD_MarketPricing_ListPrice": "rules_list",
-    "TCD_MarketPricing_Calculations": "rules_calc",
-    "DW_BaseData_Ranks": "base_ranks",
-    "DW_TAX_PDM0": "tax_pdm0",
-    "DW_TAX_PDM1": "tax_pdm1",
-    "DW_TAX_PDM1_JDESetup": "tax_setup",
-    "F4106_PriceFile": "price_file",
-    "F4094_PriceFileGroup": "price_group",
-    "DW_XRF_Xref": "xref",
-    "DW_PIE_Superset": "pack_lookup",
-    "TCD_MarketPricing_Parts": "matrix",
-    "JDFDTAFS_FIM4106W": "upload_queue",
-    "PRS_Import_Retail": "retail_import",
-    "PRS_Retail_Brand": "brand_registry",
-    "PRS_Retail_Parts": "part_registry",
-    "DW_XRF_PricingNEW": "price_new",
-    "DW_XRF_PriceSheets": "price_sheets",
-    "Nuway_Import": "comp_feed",
-    "MFNline_Name": "line_map",
-    "Comp_PriceSheet": "comp_sheet",
-    "Comp_Xref": "comp_xref",
-    "Build_AccPI_OEList": "oe_list",
-    "PRS_Retail_Prices": None,          # written by the retail procedure, read by pivots
-}
+# Input table folders (the reference-shaped tables of FIXTURES.md §A, by role).
+TABLES = ("rules_list", "rules_calc", "base_ranks", "tax_pdm0", "tax_pdm1", "tax_setup",
+          "price_file", "price_group", "xref", "pack_lookup", "matrix", "upload_queue",
+          "retail_import", "brand_registry", "part_registry", "price_new", "price_sheets",
+          "comp_feed", "line_map", "comp_sheet", "comp_xref", "oe_list")
 
 
 def main(argv=None, spark=None) -> None:
@@ -73,9 +53,8 @@ def main(argv=None, spark=None) -> None:
     if a.procedure == "seed":
         from quillprice.sources.fixtures import Fixtures
         fx = Fixtures(spark, a.testdata)
-        for name, attr in TABLES.items():
-            if attr:
-                getattr(fx, attr).write.parquet(f"{out}/{name}")
+        for name in TABLES:
+            getattr(fx, name).write.parquet(f"{out}/{name}")
         from quillprice.sources.pricesheet import write_price_sheet
         write_price_sheet(fx.ps_load, f"{out}/price_sheet.tsv")
 
@@ -86,24 +65,24 @@ def main(argv=None, spark=None) -> None:
         pass
     elif a.procedure == "price-sheet":
         inp = PricingInputs(
-            load=read_price_sheet(spark, a.sheet), rules_list=t("TCD_MarketPricing_ListPrice"),
-            rules_calc=t("TCD_MarketPricing_Calculations"), ranks=t("DW_BaseData_Ranks"),
-            pdm0=t("DW_TAX_PDM0"), pdm1=t("DW_TAX_PDM1"), setup=t("DW_TAX_PDM1_JDESetup"),
-            price_file=t("F4106_PriceFile"), price_group=t("F4094_PriceFileGroup"),
-            xref=t("DW_XRF_Xref"), pack=t("DW_PIE_Superset"), load_ts=a.load_ts)
-        P.price_sheet_procedure(inp, t("TCD_MarketPricing_Parts"), t("JDFDTAFS_FIM4106W"), pub)
+            load=read_price_sheet(spark, a.sheet), rules_list=t("rules_list"),
+            rules_calc=t("rules_calc"), ranks=t("base_ranks"),
+            pdm0=t("tax_pdm0"), pdm1=t("tax_pdm1"), setup=t("tax_setup"),
+            price_file=t("price_file"), price_group=t("price_group"),
+            xref=t("xref"), pack=t("pack_lookup"), load_ts=a.load_ts)
+        P.price_sheet_procedure(inp, t("matrix"), t("upload_queue"), pub)
     elif a.procedure == "retail":
-        P.retail_procedure(t("PRS_Import_Retail"), t("PRS_Retail_Brand"), t("PRS_Retail_Parts"),
-                           t("DW_XRF_PricingNEW"), t("DW_XRF_PriceSheets"), t("DW_XRF_Xref"),
-                           t("DW_BaseData_Ranks"), pub)
+        P.retail_procedure(t("retail_import"), t("brand_registry"), t("part_registry"),
+                           t("price_new"), t("price_sheets"), t("xref"),
+                           t("base_ranks"), pub)
     elif a.procedure == "competitor":
         from quillprice.plans.competitor import competitor_incremental_upsert
-        pub(competitor_incremental_upsert(t("Nuway_Import"), t("MFNline_Name"),
-                                          t("Comp_PriceSheet"), a.bootstrap), "comp_sheet")
+        pub(competitor_incremental_upsert(t("comp_feed"), t("line_map"),
+                                          t("comp_sheet"), a.bootstrap), "comp_sheet")
     elif a.procedure == "pivots":
-        P.pivot_procedure(t("Comp_PriceSheet"), t("Comp_Xref"), t("PRS_Retail_Prices"), pub)
+        P.pivot_procedure(t("comp_sheet"), t("comp_xref"), t("retail_prices"), pub)
     elif a.procedure == "export":
-        P.export_procedure(t("Build_AccPI_OEList"), pub)
+        P.export_procedure(t("oe_list"), pub)
     if own:
         spark.stop()
 

@@ -161,7 +161,7 @@ def priced_base(inp: PricingInputs, routines=ROUTINES) -> DataFrame:
 # --- lookups ----------------------------------------------------------------------
 
 def taxonomy_dim(inp: PricingInputs) -> DataFrame:
-    """(PDM0 x PDM1 x JDE setup) -> BasePart, SRP3 (J03, built before joining the sheet).
+    """(PDM0 x PDM1 x PDM1 setup) -> BasePart, SRP3 (J03, built before joining the sheet).
 
     PDM1 has few distinct values, so the category tables are broadcast after
     a size check rather than shuffling the part-level PDM0 on that key.

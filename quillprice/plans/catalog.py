@@ -150,7 +150,7 @@ def delete_pending_upload(fx):
 @register("filter_upload_eligibility",
           _pricing_sql("SELECT * FROM insert_queue", ("upload_queue",), _QUEUE_CTES))
 def filter_upload_eligibility(fx):
-    """(JDE flag and 'New Item') or (adjustment flag and 'Price Adjustment')."""
+    """(upload flag and 'New Item') or (adjustment flag and 'Price Adjustment')."""
     return market.upload_eligible(market.staging(_inputs(fx)), fx.rules_calc)
 
 

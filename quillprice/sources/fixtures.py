@@ -38,7 +38,7 @@ class Adapter:
 
 
 ADAPTERS: dict[str, Adapter] = {
-    # price sheet landing rows (Bulk_Insert_Price_Sheet landing table)
+    # price sheet landing rows
     "ps_load": Adapter("part", (
         ("xmfg", "'W' || CAST(p_partkey % 3 AS STRING)"),
         ("Cust_Part_Number", _OWN_PART),
