@@ -32,6 +32,7 @@ def local_session(cpus: int | None = None, shuffle_partitions: int | None = None
         .appName(app_name)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or n))
         .config("spark.driver.memory", "8g")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for k, v in SESSION_DEFAULTS.items():
         builder = builder.config(k, v)

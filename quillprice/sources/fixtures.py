@@ -242,6 +242,7 @@ RULES_CALC_SCHEMA = T.StructType([
 
 _STORED: dict = {}
 _DISTINCT_SOURCES = ("part_brands", "part_sheet_ids", "lineitem_lines")
+_STORED_FEEDS = ("retail_import", "comp_feed")
 
 
 def _spark_literal(v, dtype: T.DataType) -> str:
@@ -314,8 +315,9 @@ class Fixtures:
         def build():
             return self._source(a.source).selectExpr(
                 *[f"{_spark_expr(e)} AS {c}" for c, e in a.columns])
-        if a.source in _DISTINCT_SOURCES:
-            # small code tables derived by a DISTINCT: stored once, like existing tables
+        if a.source in _DISTINCT_SOURCES or name in _STORED_FEEDS:
+            # code tables derived by a DISTINCT, and the two incoming feeds: stored
+            # once, as the tables they stand for already exist when a procedure runs
             return self._stored(name, build)
         return self._once(f"adapter:{name}", build)
 
