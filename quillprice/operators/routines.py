@@ -17,7 +17,7 @@ nine de-duplications:
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -85,9 +85,10 @@ class PricingInputs:
     price_group: DataFrame   # KIICID, KICPGP
     xref: DataFrame          # XMfg, CompPart, FS_Part, ...
     pack: DataFrame          # Basepart, Info, Type
-    load_ts: str | None = None
+    # One stamp for the run, or {routine: stamp} to reproduce the per-statement
+    # NOW() of the reference; None = current local time.
+    load_ts: str | dict | None = None
     fix_pack_rounding: bool = False   # SURVEY Q5: round the unit price, then scale by pack
-    extra: dict = field(default_factory=dict)
 
     @classmethod
     def from_fixtures(cls, fx, load_ts: str | None) -> "PricingInputs":
@@ -209,14 +210,25 @@ def _list_prices(price: Column) -> list[Column]:
             pricing.round_money(price * j * d).cast("double").alias("PriceDealer")]
 
 
+def _stamp(load_ts) -> Column:
+    if not isinstance(load_ts, dict):
+        return dates.load_stamp(load_ts)
+    expr = None
+    for routine, ts in load_ts.items():
+        cond = F.col("routine") == routine
+        expr = F.when(cond, dates.load_stamp(ts)) if expr is None else expr.when(
+            cond, dates.load_stamp(ts))
+    return expr.otherwise(dates.load_stamp(None)) if expr is not None else dates.load_stamp(None)
+
+
 def _routine_select(df: DataFrame, calc: Column, fs_wd: Column, list_base: Column,
-                    load_ts: str | None) -> DataFrame:
+                    load_ts) -> DataFrame:
     return df.select(
         "routine", _LOAD_XMFG, "Brand", "Xmfg", "Cust_Part_Number", "Price_Type",
         fs_wd.cast("double").alias("FS_WD"), "PriceGroup",
         calc.cast("decimal(28,8)").alias(_CALC),
         F.col("Percent_of_WD").cast("double").alias("Percent_of_WD"),
-        dates.load_stamp(load_ts).alias("LoadDate"),
+        _stamp(load_ts).alias("LoadDate"),
         *_list_prices(list_base),
         F.col("POP_Code").alias("POP"), F.col("Change_Code").alias("ChangeCode"),
         F.col("Core_Price").cast("double").alias("CorePrice"),

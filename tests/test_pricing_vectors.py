@@ -117,3 +117,23 @@ def test_two_pack_sizes_fan_out(spark):
                                           ("P1", "9", "Other")])
     rows = sorted((r.FS_WD, r.CalcPrice) for r in R.routine_output(inp, "R9").collect())
     assert rows == [(60.02, 30.01), (120.04, 60.02)]
+
+
+def test_per_routine_load_stamps(spark):
+    # Q7: stamps per statement make the R1 and R2 rows of one rule differ in LoadDate,
+    # so both survive the matrix insert's GROUP BY
+    from quillprice.plans import market
+    load = sheet_rows(spark, [("W0", "P1", "12.34", "E", "x", None)])
+    calc = calc_rows(spark, [("BR2", "F1", "W0", "G02", "0.5000", None, None, "Ceiling")])
+    inp = inputs(spark, load, calc)
+    inp.load_ts = {"R1": "2017-09-04 17:53:00", "R2": "2017-09-04 17:53:01"}
+    st = R.market_price_staging(inp)
+    assert sorted(str(r.LoadDate) for r in st.collect()) == ["2017-09-04 17:53:00",
+                                                            "2017-09-04 17:53:01"]
+    empty = spark.createDataFrame([], "Brand string, Xmfg string, PartNumber string, "
+                                  "Price_Type string, FS_WD double, PriceGroup string, "
+                                  "CalcPrice double, Perecnt_of_WD double, PriceDate timestamp_ntz, "
+                                  "ListPrice double, JobberPrice double, DealerPrice double")
+    assert market.market_price_matrix_refresh(empty, st).count() == 2
+    inp.load_ts = "2017-09-04 17:53:00"
+    assert market.market_price_matrix_refresh(empty, R.market_price_staging(inp)).count() == 1
