@@ -52,3 +52,56 @@ def anti_join(left: DataFrame, right: DataFrame, on: list[tuple[str, str]]) -> D
     cond = [left[lc] == r[f"__r{i}"] for i, (lc, _) in enumerate(on)]
     return left.join(r, cond, "left_anti")
 
+
+
+HOT_ROWS_CONF = "quillprice.skew.hotKeyRows"
+SALTS_CONF = "quillprice.skew.salts"
+
+
+def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
+    """True when ``df`` is driver-held or holds at most ``max_rows`` rows (bounded read)."""
+    if df.isLocal():
+        return True
+    bound = max_rows if max_rows is not None else broadcast_limit(df)
+    return df.limit(bound + 1).count() <= bound
+
+
+def lookup_join(big: DataFrame, lookup: DataFrame, on: list[tuple[str, str]],
+                how: str = "left", hot_rows: int | None = None,
+                salts: int | None = None) -> DataFrame:
+    """Join a big frame to a lookup that has one row per key, safe for hot keys.
+
+    * A lookup within the broadcast bound is broadcast: the big side is not
+      shuffled at all.
+    * Otherwise keys holding at least ``hot_rows`` big-side rows are found
+      with one aggregate over the key columns (a bounded list: at most
+      rows / hot_rows keys) and split over ``salts`` tasks. The big side's
+      rows of a hot key get a salt from a hash of the row, and the lookup row
+      of a hot key is replicated once per salt; all other keys get salt 0.
+    ``on`` lists (big column, lookup column) pairs.
+    """
+    conf = big.sparkSession.conf
+    if fits_broadcast(lookup):
+        cond = [big[b] == lookup[k] for b, k in on]
+        return big.join(F.broadcast(lookup), cond, how)
+    hot_rows = hot_rows or int(conf.get(HOT_ROWS_CONF, None) or 5_000_000)
+    salts = salts or int(conf.get(SALTS_CONF, None) or 32)
+    bkeys = [b for b, _ in on]
+    hot = (big.groupBy(*bkeys).count().filter(F.col("count") >= hot_rows)
+              .select(*[F.col(b).alias(f"__h{i}") for i, b in enumerate(bkeys)])
+              .withColumn("__hot", F.lit(True)))
+    hot = F.broadcast(hot) if fits_broadcast(hot) else hot
+    hot_big = [big[b] == hot[f"__h{i}"] for i, b in enumerate(bkeys)]
+    salted_big = (big.join(hot, hot_big, "left")
+                     .withColumn("__salt", F.when(F.col("__hot"), F.pmod(
+                         F.xxhash64(*[big[c] for c in big.columns]), F.lit(salts))).otherwise(F.lit(0)))
+                     .drop(*[f"__h{i}" for i in range(len(bkeys))], "__hot"))
+    hot_lk = [lookup[k] == hot[f"__h{i}"] for i, (_, k) in enumerate(on)]
+    salted_lk = (lookup.join(hot, hot_lk, "left")
+                       .withColumn("__lsalt", F.explode(F.when(
+                           F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
+                           .otherwise(F.array(F.lit(0)))))
+                       .drop(*[f"__h{i}" for i in range(len(bkeys))], "__hot"))
+    cond = [salted_big[b] == salted_lk[k] for b, k in on] + [
+        salted_big["__salt"] == salted_lk["__lsalt"]]
+    return salted_big.join(salted_lk, cond, how).drop("__salt", "__lsalt")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quillprice.functions import dates, text
 from quillprice.operators.aggregates import conditional_max, price_stats
-from quillprice.operators.joins import anti_join, bounded_broadcast
+from quillprice.operators.joins import anti_join, bounded_broadcast, lookup_join
 from quillprice.operators.windows import global_row_number, partition_row_number
 
 KEYS = ["RETAIL_XMFG", "CLEANPRODUCTBRAND", "CLEANPRODUCTNUMBER"]
@@ -116,13 +116,15 @@ def enrich_clean_keys(feed: DataFrame, view: DataFrame) -> DataFrame:
 
     The registry is reduced to one row per key first (MIN of each clean value,
     SURVEY Q11), so the UPDATE-with-join cannot pick arbitrarily. Matched rows
-    take the registry value even when it is NULL.
+    take the registry value even when it is NULL. The join is a
+    ``lookup_join``: a product holding a large share of the feed is salted
+    over several tasks when the registry is too big to broadcast.
     """
     v = view.groupBy(F.col("RetailXmfg").alias("__x"), F.col("PRODUCTBRAND").alias("__b"),
                      F.col("PRODUCTNUMBER").alias("__n")).agg(
         F.min("CLEANPRODUCTBRAND").alias("__cb"), F.min("CLEANPRODUCTNUMBER").alias("__cn"))
-    j = feed.join(v, (feed["RETAIL_XMFG"] == v["__x"]) & (feed["PRODUCTBRAND"] == v["__b"])
-                  & (feed["PRODUCTNUMBER"] == v["__n"]), "left")
+    j = lookup_join(feed, v, [("RETAIL_XMFG", "__x"), ("PRODUCTBRAND", "__b"),
+                              ("PRODUCTNUMBER", "__n")], "left")
     hit = F.col("__x").isNotNull()
     out = [F.when(hit, F.col("__cb")).otherwise(feed["CLEANPRODUCTBRAND"]).alias(c)
            if c == "CLEANPRODUCTBRAND" else

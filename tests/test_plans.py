@@ -58,3 +58,46 @@ def test_rule_joins_never_shuffle_the_price_sheet(spark):
     # the sheet joins the rule tables on xmfg / POP_Code (few distinct values): never shuffled
     for key in ("xmfg", "POP_Code", "BASE_WD", "PopCode"):
         assert not re.search(rf"hashpartitioning\({key}#\d+, \d+\)", plan), key
+
+
+def test_hot_product_in_feed_enrichment_is_salted(spark):
+    """M03 joins the feed to the registry on (retailer, brand, number). With one
+    product holding a third of the feed rows and a registry over the broadcast
+    bound, the product's rows are salted over several tasks."""
+    import datetime as dt
+    from decimal import Decimal
+    from pyspark.sql import functions as F
+    feed_schema = ("RETAIL_XMFG string, PRODUCTBRAND string, PRODUCTNUMBER string, "
+                   "PRODUCTNAME string, PRICE decimal(12,2), COREPRICE decimal(12,2), ZIPCODE string, "
+                   "DATE_CREATED timestamp_ntz, CLEANPRODUCTBRAND string, CLEANPRODUCTNUMBER string")
+    ts = dt.datetime(2018, 1, 1, 10)
+    rows = [("AZR", "B0", "HOT", "n", Decimal(i % 997) / 100, None, str(i % 50), ts, None, None)
+            for i in range(20000)]
+    rows += [("AZR", "B0", f"P{i}", "n", Decimal("5.00"), None, "1", ts, None, None)
+             for i in range(40000)]
+    feed = spark.createDataFrame(rows, feed_schema)
+    view = spark.createDataFrame([("AZR", "B0", f"P{i}", "B0", f"P{i}", "n", "HDC")
+                                  for i in range(40000)] + [("AZR", "B0", "HOT", "B0", "HOT", "n", "HDC")],
+                                 "RetailXmfg string, PRODUCTBRAND string, PRODUCTNUMBER string, "
+                                 "CLEANPRODUCTBRAND string, CLEANPRODUCTNUMBER string, PartName string, "
+                                 "AltXmfg string")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.shuffle.partitions": "16",
+            "quillprice.broadcast.maxRows": "1000",      # registry is "too big" to broadcast
+            "quillprice.skew.hotKeyRows": "5000", "quillprice.skew.salts": "16"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = retail.enrich_clean_keys(feed, view)
+        assert out.filter(out.CLEANPRODUCTNUMBER.isNotNull()).count() == 60000
+        assert out.exceptAll(feed.withColumn("CLEANPRODUCTBRAND", F.lit("B0"))
+                             .withColumn("CLEANPRODUCTNUMBER", feed.PRODUCTNUMBER)).count() == 0
+        hot_parts = (out.filter(out.PRODUCTNUMBER == "HOT")
+                        .groupBy(F.spark_partition_id()).count().collect())
+        assert len(hot_parts) > 4 and max(r["count"] for r in hot_parts) < 20000 / 2
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
