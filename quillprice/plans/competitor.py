@@ -125,8 +125,9 @@ def updated_rows(sheet: DataFrame, batch: DataFrame) -> DataFrame:
 
 def upsert_competitor(sheet: DataFrame, batch: DataFrame) -> DataFrame:
     """Insert unmatched batch rows, update nine columns of matched sheet rows."""
+    # distinct first: a part repeated across much of the batch becomes one key
     keys = batch.select(F.col("XMfg").alias("__ux"),
-                        text.clean_part_number(F.col("PARTNO")).alias("__uk"))
+                        text.clean_part_number(F.col("PARTNO")).alias("__uk")).distinct()
     untouched = sheet.join(keys, (sheet["XMfg"] == keys["__ux"])
                            & (sheet["XMfgPartClean"] == keys["__uk"]), "left_anti")
     return (untouched.select(*SHEET_COLUMNS)

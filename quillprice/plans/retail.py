@@ -143,15 +143,18 @@ def latest_shop_day(feed: DataFrame) -> DataFrame:
 def latest_day_rows(feed: DataFrame) -> DataFrame:
     """Priced rows on their key's latest shop day.
 
-    The latest day per key is a small aggregate; joining it back on (key,
-    day) keeps a hot key's rows spread over tasks (AQE splits skew).
+    The latest day per key is a small aggregate, joined back on (key, day)
+    with ``lookup_join``, so a key with a large share of the rows is salted
+    over several tasks when the aggregate is too big to broadcast.
     """
     last = latest_shop_day(feed).filter(
         F.col("CLEANPRODUCTBRAND").isNotNull() & F.col("CLEANPRODUCTNUMBER").isNotNull()
-        & F.col("RETAIL_XMFG").isNotNull())
+        & F.col("RETAIL_XMFG").isNotNull()).select(
+        *[F.col(k).alias(f"__l{i}") for i, k in enumerate(KEYS)], "LastShop")
     rows = _priced(feed).withColumn("__day", dates.day_of(F.col("DATE_CREATED")))
-    j = rows.join(last, [rows[k] == last[k] for k in KEYS] + [rows["__day"] == last["LastShop"]])
-    return j.select(*[rows[k] for k in KEYS], "PRICE", "COREPRICE", "ZIPCODE", "LastShop")
+    j = lookup_join(rows, last, [(k, f"__l{i}") for i, k in enumerate(KEYS)]
+                    + [("__day", "LastShop")], "inner")
+    return j.select(*KEYS, "PRICE", "COREPRICE", "ZIPCODE", "LastShop")
 
 
 def last_shop_stats(feed: DataFrame) -> DataFrame:
