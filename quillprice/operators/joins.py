@@ -68,7 +68,7 @@ def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
 
 def lookup_join(big: DataFrame, lookup: DataFrame, on: list[tuple[str, str]],
                 how: str = "left", hot_rows: int | None = None,
-                salts: int | None = None) -> DataFrame:
+                salts: int | None = None, size_from: DataFrame | None = None) -> DataFrame:
     """Join a big frame to a lookup that has one row per key, safe for hot keys.
 
     * A lookup within the broadcast bound is broadcast: the big side is not
@@ -78,10 +78,12 @@ def lookup_join(big: DataFrame, lookup: DataFrame, on: list[tuple[str, str]],
       rows / hot_rows keys) and split over ``salts`` tasks. The big side's
       rows of a hot key get a salt from a hash of the row, and the lookup row
       of a hot key is replicated once per salt; all other keys get salt 0.
-    ``on`` lists (big column, lookup column) pairs.
+    ``on`` lists (big column, lookup column) pairs. ``size_from`` is a cheaper
+    frame with at least as many rows as the lookup (for example the table it
+    is aggregated from) to run the size check on.
     """
     conf = big.sparkSession.conf
-    if fits_broadcast(lookup):
+    if fits_broadcast(size_from if size_from is not None else lookup):
         cond = [big[b] == lookup[k] for b, k in on]
         return big.join(F.broadcast(lookup), cond, how)
     hot_rows = hot_rows or int(conf.get(HOT_ROWS_CONF, None) or 5_000_000)

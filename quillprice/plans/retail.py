@@ -123,8 +123,9 @@ def enrich_clean_keys(feed: DataFrame, view: DataFrame) -> DataFrame:
     v = view.groupBy(F.col("RetailXmfg").alias("__x"), F.col("PRODUCTBRAND").alias("__b"),
                      F.col("PRODUCTNUMBER").alias("__n")).agg(
         F.min("CLEANPRODUCTBRAND").alias("__cb"), F.min("CLEANPRODUCTNUMBER").alias("__cn"))
+    # the per-key registry has at most as many rows as the view it comes from
     j = lookup_join(feed, v, [("RETAIL_XMFG", "__x"), ("PRODUCTBRAND", "__b"),
-                              ("PRODUCTNUMBER", "__n")], "left")
+                              ("PRODUCTNUMBER", "__n")], "left", size_from=view)
     hit = F.col("__x").isNotNull()
     out = [F.when(hit, F.col("__cb")).otherwise(feed["CLEANPRODUCTBRAND"]).alias(c)
            if c == "CLEANPRODUCTBRAND" else
