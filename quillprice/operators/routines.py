@@ -89,6 +89,9 @@ class PricingInputs:
     # NOW() of the reference; None = current local time.
     load_ts: str | dict | None = None
     fix_pack_rounding: bool = False   # SURVEY Q5: round the unit price, then scale by pack
+    # SURVEY Q2: compare rule texts (notes, flags, groups, codes) like a
+    # case-insensitive, trailing-blank-insensitive server collation
+    case_insensitive: bool = False
 
     @classmethod
     def from_fixtures(cls, fx, load_ts: str | None) -> "PricingInputs":
@@ -104,29 +107,44 @@ def _flag_in(flag: Column, value: int) -> Column:
     return flag.isNull() | (flag == F.lit(value))
 
 
-def routine_membership(calc: DataFrame) -> Column:
+def text_eq(c: Column, value: str, case_insensitive: bool = False) -> Column:
+    """c = value, binary by default; optionally ignoring case and trailing blanks."""
+    if case_insensitive:
+        return F.lower(F.rtrim(c)) == F.lit(value.rstrip().lower())
+    return c == F.lit(value)
+
+
+def text_in(c: Column, values, case_insensitive: bool = False) -> Column:
+    if case_insensitive:
+        return F.lower(F.rtrim(c)).isin(*[v.rstrip().lower() for v in values])
+    return c.isin(*values)
+
+
+def routine_membership(calc: DataFrame, case_insensitive: bool = False) -> Column:
     """Array of routines a customer rule row takes part in (rule-side filters)."""
     pct_ok = F.col("Percent_of_WD").isNotNull()
     flag = F.col("SpecialPriceRoutine")
-    note = F.col("SpecialPriceRoutine_Note")
+
+    def note(r):
+        return text_eq(F.col("SpecialPriceRoutine_Note"), NOTE[r], case_insensitive)
     members = {
         "R1": pct_ok & _flag_in(flag, 0),
-        "R2": (note == NOTE["R2"]) & pct_ok,
-        "R3": _flag_in(flag, 1) & pct_ok & (note == NOTE["R3"]),
-        "R4": _flag_in(flag, 1) & pct_ok & (note == NOTE["R4"]),
-        "R5": _flag_in(flag, 1) & pct_ok & (note == NOTE["R5"]),
-        "R6": note == NOTE["R6"],
-        "R7": note == NOTE["R7"],
-        "R8": note == NOTE["R8"],
-        "R9": note == NOTE["R9"],
+        "R2": note("R2") & pct_ok,
+        "R3": _flag_in(flag, 1) & pct_ok & note("R3"),
+        "R4": _flag_in(flag, 1) & pct_ok & note("R4"),
+        "R5": _flag_in(flag, 1) & pct_ok & note("R5"),
+        "R6": note("R6"),
+        "R7": note("R7"),
+        "R8": note("R8"),
+        "R9": note("R9"),
     }
     return F.array_compact(F.array(*[F.when(cond, F.lit(r)) for r, cond in members.items()]))
 
 
-def tagged_rules(calc: DataFrame, routines=ROUTINES) -> DataFrame:
+def tagged_rules(calc: DataFrame, routines=ROUTINES, case_insensitive: bool = False) -> DataFrame:
     """BrandType = 'Y' rules exploded to one row per (rule, routine)."""
-    return (calc.filter(F.col("BrandType") == "Y")
-                .withColumn("routine", F.explode(routine_membership(calc)))
+    return (calc.filter(text_eq(F.col("BrandType"), "Y", case_insensitive))
+                .withColumn("routine", F.explode(routine_membership(calc, case_insensitive)))
                 .filter(F.col("routine").isin(*routines)))
 
 
@@ -148,7 +166,7 @@ def priced_base(inp: PricingInputs, routines=ROUTINES) -> DataFrame:
     """price sheet x list rules x tagged customer rules."""
     load = landing_trim(inp.load)
     lst = bounded_broadcast(inp.rules_list)
-    calc = bounded_broadcast(tagged_rules(inp.rules_calc, routines))
+    calc = bounded_broadcast(tagged_rules(inp.rules_calc, routines, inp.case_insensitive))
     return (load.join(lst, load["POP_Code"] == lst["PopCode"])
                 .join(calc, load["xmfg"] == calc["BASE_WD"])
                 .select(load["xmfg"].alias(_LOAD_XMFG), load["Cust_Part_Number"],
@@ -255,18 +273,20 @@ def routine_rows(inp: PricingInputs, routines=ROUTINES) -> DataFrame:
         ranked = base.filter(_is("R3", "R4", "R5")).join(
             inp.ranks.select("BasePart", "Group1"), F.col("Cust_Part_Number") == F.col("BasePart"))
         in_group = reduce(lambda a, b: a | b, [
-            _is(r) & F.col("Group1").isin(*groups) for r, groups in RANK_GROUP.items()])
+            _is(r) & text_in(F.col("Group1"), groups, inp.case_insensitive)
+            for r, groups in RANK_GROUP.items()])
         branches.append(_routine_select(ranked.filter(in_group), pricing.round_money(u),
                                         gross, gross, inp.load_ts))
 
     if set(routines) & {"R6", "R7"}:
         taxed = base.filter(_is("R6", "R7")).join(
             taxonomy_dim(inp), F.col("Cust_Part_Number") == F.col("BasePart"))
-        non_a08 = taxed.filter(_is("R6") & (F.col("SRP3") != A08))
+        srp3_a08 = text_eq(F.col("SRP3"), A08, inp.case_insensitive)
+        non_a08 = taxed.filter(_is("R6") & ~srp3_a08)
         branches.append(_routine_select(non_a08, pricing.ceiling_price(u), gross, gross,
                                         inp.load_ts))
         if "R7" in routines:
-            a08 = (taxed.filter(_is("R7") & (F.col("SRP3") == A08)
+            a08 = (taxed.filter(_is("R7") & srp3_a08
                                 & F.col("Percent_of_WD").isNotNull())
                         .join(competitor_price(inp), F.col("Cust_Part_Number") == F.col("FS_Part")))
             h = F.col("HPrice")

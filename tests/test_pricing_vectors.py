@@ -137,3 +137,14 @@ def test_per_routine_load_stamps(spark):
     assert market.market_price_matrix_refresh(empty, st).count() == 2
     inp.load_ts = "2017-09-04 17:53:00"
     assert market.market_price_matrix_refresh(empty, R.market_price_staging(inp)).count() == 1
+
+
+def test_case_insensitive_rule_texts_option(spark):
+    # Q2: binary by default; the option compares like a case- and
+    # trailing-blank-insensitive collation
+    load = sheet_rows(spark, [("W0", "P1", "12.31", "E", "x", None)])
+    calc = calc_rows(spark, [("BR2", "F1", "W0", "G13", "0.8125", None, 1, "ceiling  ")])
+    inp = inputs(spark, load, calc)
+    assert R.routine_output(inp, "R2").count() == 0
+    inp.case_insensitive = True
+    assert [r.CalcPrice for r in R.routine_output(inp, "R2").collect()] == [10.05]
