@@ -23,20 +23,26 @@ def _asc(c: str | Column) -> Column:
 
 def ordered_partitions(df: DataFrame, order_by: list[str],
                        num_partitions: int | None = None) -> DataFrame:
-    """Rows range-partitioned and sorted by ``order_by`` plus a stored tie-breaker.
+    """Rows range-partitioned and sorted by ``order_by`` plus a tie-breaker, then stored.
 
     Adds ``__pid`` (partition index) and ``__pos`` (0-based position in the
     partition). The tie-breaker makes every row's sort key unique, so the
     range boundaries can cut through a hot key or a group of copies.
+
+    Both the tagged and the ranged rows are written to the shared checkpoint
+    folder: every later read of ``__pid`` and ``__pos`` sees the same stored
+    values, so nothing rests on two range shuffles sampling alike or on one
+    being reused.
     """
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = [_asc(c) for c in order_by] + [F.col(_TIE).asc()]
     tagged = materialize(df.withColumn(_TIE, F.monotonically_increasing_id()), "row-number")
-    return (tagged.repartitionByRange(n, *ordered)
-                  .sortWithinPartitions(*ordered)
-                  .withColumn(_PID, F.spark_partition_id())
-                  .withColumn(_POS, F.monotonically_increasing_id()
-                              - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
+    ranged = (tagged.repartitionByRange(n, *ordered)
+                    .sortWithinPartitions(*ordered)
+                    .withColumn(_PID, F.spark_partition_id())
+                    .withColumn(_POS, F.monotonically_increasing_id()
+                                - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
+    return materialize(ranged, "ranged")
 
 
 def global_row_number(df: DataFrame, order_by: list[str], id_col: str = "id",
@@ -48,11 +54,8 @@ def global_row_number(df: DataFrame, order_by: list[str], id_col: str = "id",
     of identical rows does not land in one task. Tied rows receive
     consecutive numbers in an unspecified order (as ROW_NUMBER does).
 
-    The tie-breaker is assigned once and the tagged rows are written to the
-    shared checkpoint folder before ranging: the row positions and the
-    per-partition counts then come from the same stored rows (and the same
-    reused range shuffle), even if a stage is recomputed after a lost
-    executor.
+    Positions and per-partition counts are read from one stored table
+    (``ordered_partitions``), whatever other columns ``df`` has.
     Numbers run from ``start + 1``; ``start`` is an int or a one-column
     DataFrame holding at most one row (e.g. the highest id already used),
     which then enters the running sum as a partition before the first.

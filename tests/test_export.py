@@ -51,12 +51,20 @@ def test_export_row_count_and_nesting(spark):
         assert parts[0] == f"<{m}>" and parts[-1] == f"</{m}>"
 
 
-def test_numbering_plan_has_no_single_partition_over_rows(spark):
-    from quillprice.sources.fixtures import Fixtures
-    plan = global_row_number(Fixtures(spark, "/root/testdata/sf0.001").oe_list,
-                             ["Manufacturer", "PartNumber"])._jdf.queryExecution() \
-        .executedPlan().toString()
-    assert "rangepartitioning" in plan.lower()
+def test_numbering_does_not_rest_on_shuffle_reuse(spark):
+    # a payload column beside the order column, many rows, and no exchange reuse
+    df = spark.range(400_000, numPartitions=8).select(
+        ((F.col("id") * 7919) % 400_000).alias("k"), F.sha1(F.col("id").cast("string")).alias("payload"))
+    before = spark.conf.get("spark.sql.exchange.reuse")
+    for reuse in ("true", "false"):
+        spark.conf.set("spark.sql.exchange.reuse", reuse)
+        try:
+            got = global_row_number(df, ["k"], "id", num_partitions=8)
+            off = got.agg(F.count("*").alias("n"), F.countDistinct("id").alias("d"),
+                          F.sum((F.col("id") != F.col("k") + 1).cast("int")).alias("wrong")).first()
+        finally:
+            spark.conf.set("spark.sql.exchange.reuse", before)
+        assert (off.n, off.d, off.wrong) == (400_000, 400_000, 0)
 
 
 def test_hot_group_of_copies_is_split_across_partitions(spark):
