@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillprice.llm import bpe, language, quality
 from quillprice.llm.common import table
 from quillprice.llm.exact_dedup import exact_groups
 from quillprice.llm.mixing import document_copies
+from quillprice.llm.simhash import near_duplicates
+from quillprice.llm.warc import read_archives, write_archives
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,6 +52,31 @@ FROM placed
 """
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprints of all documents and the groups linked within the error."""
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write all pages to WARC archives and read the archives back."""
+    return read_archives(write_archives(table(spark, sf_dir, "pages"))).drop("url")
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encode and decode all documents."""
+    return bpe.digests(table(spark, sf_dir, "documents"))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of all documents."""
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents."""
+    return language.identify_all(table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts over all documents; the largest doc_id stays."""
     return exact_groups(table(spark, sf_dir, "documents"))
@@ -66,6 +94,11 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_simhash": op2_simhash,
+    "op3_warc": op3_warc,
+    "op4_bpe": op4_bpe,
+    "op5_quality": op5_quality,
+    "op6_language": op6_language,
     "op8_exact_dedup": op8_exact_dedup,
 }
 
