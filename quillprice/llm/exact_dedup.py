@@ -224,7 +224,8 @@ def exact_dedup(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFrame:
     packed = docs.select(
         F.col("doc_id").cast("long").alias("id"), text_or_empty().alias("content"),
         F.xxhash64(text_or_empty()).alias("h"),
-        F.struct(*[docs[c] for c in columns if c != "text"], docs["text"].isNull().alias("__null")).alias("row"))
+        F.struct(docs["text"].isNull().alias("null"),
+                 *[docs[c].alias(f"c{i}") for i, c in enumerate(columns) if c != "text"]).alias("row"))
 
     def collapse(batches):
         for batch in batches:
@@ -254,7 +255,6 @@ def exact_dedup(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFrame:
             yield _record(rows, schema)
 
     kept = (packed.mapInArrow(collapse, packed.schema).repartition("h").mapInArrow(resolve, packed.schema))
-    out = [F.when(~F.col("row")["__null"], F.col("content")).alias("text") if c == "text"
-           else F.col("row")[c].alias(c) for c in columns]
+    out = [F.when(~F.col("row.null"), F.col("content")).alias("text") if c == "text"
+           else F.col(f"row.c{i}").alias(c) for i, c in enumerate(columns)]
     return kept.select(*out)
-

@@ -164,7 +164,10 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> CodeModel | None:
 
 
 def identify(docs: DataFrame, model: CodeModel | None) -> DataFrame:
-    """``docs`` with lang_pred, score and ambiguous; only the text goes to Python."""
+    """``docs`` with lang_pred, score and ambiguous (columns of these names are replaced).
+
+    Only the text goes to Python.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double, ambiguous boolean")
@@ -178,7 +181,9 @@ def identify(docs: DataFrame, model: CodeModel | None) -> DataFrame:
                 lang[at], score[at], unsure[at] = shared.value.decode(np.stack([vectors[i] for i in at]))
         return pd.DataFrame({"lang_pred": lang, "score": score, "ambiguous": unsure})
 
-    return docs.withColumn("__p", predict("text")).select(*docs.columns, "__p.*")
+    new = ("lang_pred", "score", "ambiguous")
+    rows = docs.select(F.struct("*").alias("doc"), predict("text").alias("p"))
+    return rows.select(*[F.col(f"doc.`{c}`") for c in docs.columns if c not in new], "p.*")
 
 
 def identify_all(docs: DataFrame) -> DataFrame:

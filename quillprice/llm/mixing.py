@@ -98,23 +98,22 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT, seed: st
     every column share one such key and their copies are added up; they are
     collapsed by a partial aggregate before they are emitted.
     """
-    columns = docs.columns
-    keyed = docs.withColumn("__row", F.xxhash64(*[docs[c] for c in columns]))
-    copies = (document_copies(keyed, ["doc_id", "__row"], weights, max_repeat, seed)
-              .groupBy(F.col("doc_id").alias("__id"), F.col("__row").alias("__key"))
-              .agg(F.sum("copies").alias("__copies"), F.count(F.lit(1)).alias("__rows"))
-              .filter("__copies > 0"))
+    # The whole row travels as one struct, so that its column names meet no others.
+    rows = docs.select(F.struct("*").alias("doc"), F.xxhash64(*docs.columns).alias("row"))
+    keys = rows.select("doc.doc_id", "doc.source", "doc.text", "row")
+    copies = (document_copies(keys, ["doc_id", "row"], weights, max_repeat, seed)
+              .groupBy(F.col("doc_id").alias("id"), F.col("row").alias("key"))
+              .agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("alike"))
+              .filter("copies > 0"))
     copies = materialize(copies, "mix-copies")
 
-    def emitted(rows: DataFrame) -> DataFrame:
-        return (rows.withColumn("__i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
-                    .select(*columns))
+    def emitted(found: DataFrame) -> DataFrame:
+        return (found.withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+                     .select("doc.*"))
 
     def found(own: DataFrame) -> DataFrame:
-        return keyed.join(own, keyed["doc_id"].eqNullSafe(own["__id"]) & (keyed["__row"] == own["__key"]))
+        return rows.join(own, F.col("doc.doc_id").eqNullSafe(F.col("id")) & (F.col("row") == F.col("key")))
 
-    once = emitted(found(copies.filter("__rows = 1")))
-    alike = (found(copies.filter("__rows > 1")).groupBy("__id", "__row")
-             .agg(F.first(F.struct(*columns)).alias("__doc"), F.first("__copies").alias("__copies"))
-             .select("__doc.*", "__copies"))
-    return once.unionByName(emitted(alike))
+    alike = (found(copies.filter("alike > 1")).groupBy("id", "row")
+             .agg(F.first("doc").alias("doc"), F.first("copies").alias("copies")))
+    return emitted(found(copies.filter("alike = 1"))).unionByName(emitted(alike))

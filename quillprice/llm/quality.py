@@ -26,7 +26,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillprice.llm.common import crc_mod, text_or_empty
@@ -217,24 +217,26 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
     return fit(np.array(rows["x"].tolist()), rows["ys"].to_numpy(float))
 
 
-def score(docs: DataFrame, model: AdditiveModel, name: str = "score") -> DataFrame:
-    """``docs`` with a score column; only the text goes to Python."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def scorer(spark: SparkSession, model: AdditiveModel):
+    """A function of a text column; only the text goes to Python."""
+    shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
     def scored(texts: pd.Series) -> pd.Series:
         return pd.Series(shared.value.score(np.array([features(t) for t in texts]).reshape(-1, len(FEATURES))))
 
-    return docs.withColumn(name, scored(text_or_empty()))
+    return scored
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score, predicted."""
-    scored = score(docs.select("doc_id", "text"), train(docs, labels))
+    score = scorer(docs.sparkSession, train(docs, labels))
+    scored = docs.select("doc_id", score(text_or_empty()).alias("score"))
     return scored.select("doc_id", (crc_mod("doc_id", FOLDS) == 0).alias("held_out"), "score",
                          F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that score ``threshold`` or more, columns as they were."""
-    return score(docs, train(docs, labels), "__score").filter(F.col("__score") >= threshold).drop("__score")
+    score = scorer(docs.sparkSession, train(docs, labels))
+    return docs.filter(score(text_or_empty()) >= threshold)

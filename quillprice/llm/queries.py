@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillprice.llm import bpe, language, quality
+from quillprice.llm import bpe, language, licenses, quality
 from quillprice.llm.common import table
 from quillprice.llm.exact_dedup import exact_groups
+from quillprice.llm.line_dedup import remove_boilerplate
 from quillprice.llm.mixing import document_copies
+from quillprice.llm.neighbors import nearest
 from quillprice.llm.simhash import near_duplicates
 from quillprice.llm.warc import read_archives, write_archives
 
@@ -77,6 +79,14 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify_all(table(spark, sf_dir, "documents"))
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of all documents, each a file in a directory of its source."""
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.floor(F.col("doc_id") / 1000).cast("string"),
+                       F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    return licenses.scan(docs.select("doc_id", path.alias("path"), "text"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts over all documents; the largest doc_id stays."""
     return exact_groups(table(spark, sf_dir, "documents"))
@@ -92,6 +102,39 @@ FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines that stand on many sites."""
+    clean = remove_boilerplate(table(spark, sf_dir, "documents"))
+    return clean.select("doc_id", "n_lines", "n_removed",
+                        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
+
+
+OP9_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
+         generate_subscripts(string_split(text, chr(10)), 1) AS pos
+  FROM documents),
+keyed AS (
+  SELECT *, trim(line, ' ' || chr(9) || chr(13)) AS k FROM lines),
+bad AS (
+  SELECT k FROM keyed
+  WHERE len(regexp_extract_all(k, '[^\x20\x09-\x0D]+')) >= 4
+  GROUP BY k HAVING count(DISTINCT coalesce('s' || source, '')) >= 5),
+cleaned AS (
+  SELECT doc_id, count(*) AS n_lines, count(bad.k) AS n_removed,
+         coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE bad.k IS NULL), '') AS body
+  FROM keyed LEFT JOIN bad ON keyed.k = bad.k GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(body, '')) AS text_sha256
+FROM documents d LEFT JOIN cleaned c ON d.doc_id = c.doc_id
+"""
+
+
+def op10_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows by inner product of every row whose vec_id 20 divides."""
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_simhash": op2_simhash,
@@ -99,10 +142,14 @@ QUERIES = {
     "op4_bpe": op4_bpe,
     "op5_quality": op5_quality,
     "op6_language": op6_language,
+    "op7_licenses": op7_licenses,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_line_dedup": op9_line_dedup,
+    "op10_neighbors": op10_neighbors,
 }
 
 ORACLE = {
     "op1_mixing": OP1_SQL,
     "op8_exact_dedup": OP8_SQL,
+    "op9_line_dedup": OP9_SQL,
 }
