@@ -1,13 +1,14 @@
 """License scans (DataFrame functions only).
 
-A passage is a run of lines that speak of licences: lines with a cue word, and
-between or beside them lines most of whose words occur in the templates. Each
-passage and each template is a sparse TF-IDF vector over its words; a passage has
-the licence of the template with the largest cosine, if that reaches
-``THRESHOLD``. A file's own licence is that of its best passage.
-
-A file is a licence file if its name says so or if licence passages make up at
-least ``SHARE`` of its words. A directory has the licence of its best licence
+A header is a run of lines that speak of licences: lines with a cue word, and
+between or beside them lines most of whose words occur in the templates. The
+run, each of its lines with a cue, and each template is a sparse TF-IDF vector
+over its words; a passage has the licence of the template with the largest
+cosine, if that reaches ``THRESHOLD``. A file's own licence is that of its best
+passage.
+
+A file is a licence file if its name says so and it has a licence, or if
+licensed passages make up at least ``SHARE`` of its words. A directory has the licence of its best licence
 file. A file without a licence of its own inherits that of the nearest ancestor
 directory that has one: the distinct directories are joined, by each of their
 ancestor paths, to the licensed directories, and the deepest one wins.
@@ -29,9 +30,9 @@ from pyspark.sql import functions as F
 from quillprice.session import materialize
 
 THRESHOLD = 0.6
-SHARE = 0.5
+SHARE = 1.0
 LINE_SHARE = 0.8
-LINE_WORDS = 5
+LINE_WORDS = 3
 TOKEN = "[a-z0-9]+"
 CUE = (r"(?i)licen[cs]e|copyright|copyleft|redistribut|warrant|all rights reserved|public domain|spdx"
        r"|creative commons|\bcc[ -](by|0)")
@@ -92,7 +93,10 @@ def _tokens(text: Column) -> Column:
 
 
 def passages(files: DataFrame, templates=TEMPLATES) -> DataFrame:
-    """(file, words of the file, at, tokens): the passages of the files that have a cue anywhere."""
+    """(file, words of the file, at, unit, tokens): the runs of the files that have a cue anywhere.
+
+    The units of a run are the whole run and each of its lines with a cue.
+    """
     vocabulary = F.array(*[F.lit(w) for w in sorted(template_weights(templates)[1])])
 
     def speaks(line: Column) -> Column:
@@ -104,10 +108,13 @@ def passages(files: DataFrame, templates=TEMPLATES) -> DataFrame:
     runs = F.split(F.array_join(F.transform(F.split("text", "\n"),
                                             lambda x: F.when(speaks(x), x).otherwise(F.lit("\u0001"))), "\n"),
                    "\u0001")
+    run = F.btrim("run", F.lit("\n"))
+    units = F.array_distinct(F.concat(F.array(run), F.filter(F.split(run, "\n"), lambda x: x.rlike(CUE))))
     return (files.filter(F.col("text").rlike(CUE))
                  .select("file", F.size(_tokens(F.col("text"))).alias("words"), F.posexplode(runs).alias("at", "run"))
                  .filter(F.col("run").rlike(CUE))
-                 .select("file", "words", "at", _tokens(F.col("run")).alias("tokens")))
+                 .select("file", "words", "at", F.posexplode(units).alias("unit", "passage"))
+                 .select("file", "words", "at", "unit", _tokens(F.col("passage")).alias("tokens")))
 
 
 def own_licences(files: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
@@ -120,23 +127,25 @@ def own_licences(files: DataFrame, templates=TEMPLATES, threshold: float = THRES
     # Both tables come from the fixed list of templates, so they are small whatever the input.
     weights = F.broadcast(spark.createDataFrame(rows, "template int, license string, word string, weight double"))
     known = F.broadcast(spark.createDataFrame(sorted(idf.items()), "w string, idf double"))
+    unit = ["file", "words", "at", "unit", "size"]
     words = (passages(files, templates)
-             .select("file", "words", "at", F.size("tokens").alias("size"), F.explode("tokens").alias("word"))
-             .groupBy("file", "words", "at", "size", "word").agg(F.count(F.lit(1)).alias("n"))
+             .select("file", "words", "at", "unit", F.size("tokens").alias("size"), F.explode("tokens").alias("word"))
+             .groupBy(*unit, "word").agg(F.count(F.lit(1)).alias("n"))
              .join(known, F.col("word") == F.col("w"), "left")
              .withColumn("v", F.col("n") * F.coalesce("idf", F.lit(other))))
-    norms = words.groupBy("file", "at").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"))
-    dots = (words.join(weights, "word").groupBy("file", "words", "at", "size", "template", "license")
+    norms = words.groupBy("file", "at", "unit").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"))
+    dots = (words.join(weights, "word").groupBy(*unit, "template", "license")
                  .agg(F.sum(F.col("v") * F.col("weight")).alias("dot")))
-    scored = (dots.join(norms, ["file", "at"])
+    scored = (dots.join(norms, ["file", "at", "unit"])
                   .withColumn("score", F.round(F.col("dot") / F.col("norm"), 6))
-                  .groupBy("file", "words", "at", "size")
-                  .agg(F.min(F.struct((-F.col("score")).alias("minus"), "license")).alias("best"))
+                  .groupBy(*unit).agg(F.min(F.struct((-F.col("score")).alias("minus"), "license")).alias("best"))
                   .filter(-F.col("best.minus") >= threshold))
-    return (scored.groupBy("file", "words")
-                  .agg(F.min("best").alias("best"), F.sum("size").alias("licensed"))
-                  .select("file", F.col("best.license").alias("license"), (-F.col("best.minus")).alias("score"),
-                          (F.col("licensed") / F.col("words")).alias("share")))
+    # A run counts once, with its longest licensed unit.
+    runs = scored.groupBy("file", "words", "at").agg(F.min("best").alias("best"), F.max("size").alias("size"))
+    return (runs.groupBy("file", "words")
+                .agg(F.min("best").alias("best"), F.sum("size").alias("licensed"))
+                .select("file", F.col("best.license").alias("license"), (-F.col("best.minus")).alias("score"),
+                        (F.col("licensed") / F.col("words")).alias("share")))
 
 
 def _directory(path: Column) -> Column:
