@@ -36,6 +36,7 @@ DIM = 2048
 UNKNOWN = "und"
 CLOSE = 0.6        #: score below which the runner-up counts as nearly as close
 STEPS, RATE, DECAY = 120, 0.3, 1e-4
+TOGETHER = 256         #: vectors held at once
 _PIECE = 1 << 19
 _letters: np.ndarray | None = None
 
@@ -149,9 +150,10 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> CodeModel | None:
     chosen = (known.filter(F.pmod(hashed, F.lit(1_000_000)) < part[F.col("__lang")] * 1_000_000)
                    .orderBy(hashed, "__id", "__lang").limit(sample).dropDuplicates())
 
-    @F.pandas_udf("array<float>")
+    @F.pandas_udf("binary")
     def vector(texts: pd.Series) -> pd.Series:
-        return pd.Series([ngrams(t) for t in texts])
+        found = (ngrams(t) for t in texts)
+        return pd.Series([None if v is None else v.astype(np.float32).tobytes() for v in found], dtype=object)
 
     # The sample is bounded by its limit, so broadcasting it moves no text.
     rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("__id"))
@@ -160,7 +162,8 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> CodeModel | None:
                 .sort_values(["__id", "__lang"]))
     if not len(rows):
         return None
-    return fit(np.array(rows["x"].tolist(), float), rows["__lang"].tolist())
+    x = np.frombuffer(b"".join(rows["x"]), np.float32).reshape(len(rows), DIM)
+    return fit(x.astype(float), rows["__lang"].tolist())
 
 
 def identify(docs: DataFrame, model: CodeModel | None) -> DataFrame:
@@ -174,11 +177,11 @@ def identify(docs: DataFrame, model: CodeModel | None) -> DataFrame:
     def predict(texts: pd.Series) -> pd.DataFrame:
         n = len(texts)
         lang, score, unsure = np.full(n, UNKNOWN, object), np.zeros(n), np.ones(n, bool)
-        if shared.value is not None:
-            vectors = [ngrams(t) for t in texts]
-            at = np.array([i for i, v in enumerate(vectors) if v is not None], int)
-            if len(at):
-                lang[at], score[at], unsure[at] = shared.value.decode(np.stack([vectors[i] for i in at]))
+        for first in range(0, n if shared.value is not None else 0, TOGETHER):
+            found = [(i, v) for i in range(first, min(first + TOGETHER, n)) if (v := ngrams(texts.iloc[i])) is not None]
+            if found:
+                at = np.array([i for i, _ in found])
+                lang[at], score[at], unsure[at] = shared.value.decode(np.stack([v for _, v in found]))
         return pd.DataFrame({"lang_pred": lang, "score": score, "ambiguous": unsure})
 
     new = ("lang_pred", "score", "ambiguous")
