@@ -9,8 +9,9 @@
 
 ``--tables`` holds one parquet folder per input table, named by role
 (``rules_calc``, ``retail_import``, ... see ``TABLES``; layouts in FIXTURES.md
-§A). Every published table is written to ``--out/<name>``; the pivots read the
-retail comparison from ``--tables/retail_prices``.
+§A). Every published table is written to ``--out/<name>``. The pivots read the
+competitor sheet and the retail comparison that were published there, and the
+folders of these names in ``--tables`` only where ``--out`` has none.
 ``seed`` writes such a table folder (and a price sheet file
 ``price_sheet.tsv``) from the testdata adapters. Run under ``spark-submit``
 on a cluster; plain ``python -m`` gives a local session.
@@ -23,7 +24,7 @@ import argparse
 from quillprice.operators.routines import PricingInputs
 from quillprice.plans import procedures as P
 from quillprice.session import submitted_session
-from quillprice.sources.pricesheet import publish, read_price_sheet
+from quillprice.sources.pricesheet import exists, publish, read_price_sheet
 
 # Input table folders (the reference-shaped tables of FIXTURES.md §A, by role).
 TABLES = ("rules_list", "rules_calc", "base_ranks", "tax_pdm0", "tax_pdm1", "tax_setup",
@@ -61,6 +62,10 @@ def main(argv=None, spark=None) -> None:
     def t(name):
         return spark.read.parquet(f"{a.tables.rstrip('/')}/{name}")
 
+    def published(name):
+        made = f"{out}/{name}"
+        return spark.read.parquet(made) if exists(spark, made) else t(name)
+
     if a.procedure == "seed":
         pass
     elif a.procedure == "price-sheet":
@@ -80,7 +85,7 @@ def main(argv=None, spark=None) -> None:
         pub(competitor_incremental_upsert(t("comp_feed"), t("line_map"),
                                           t("comp_sheet"), a.bootstrap), "comp_sheet")
     elif a.procedure == "pivots":
-        P.pivot_procedure(t("comp_sheet"), t("comp_xref"), t("retail_prices"), pub)
+        P.pivot_procedure(published("comp_sheet"), t("comp_xref"), published("retail_prices"), pub)
     elif a.procedure == "export":
         P.export_procedure(t("oe_list"), pub)
     if own:

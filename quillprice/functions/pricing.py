@@ -10,9 +10,11 @@ from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 NICKEL = Decimal("0.05")
 CEILING_THRESHOLD = Decimal("9.99")
+AVG_DECIMALS = 12
 
 
 def dec(value: str | int) -> Column:
@@ -70,13 +72,14 @@ def scaled_int_price(c: Column) -> Column:
     return c.cast("decimal(18,0)") * dec("0.0001")
 
 
-def exact_avg(c: Column, scale: int = 2) -> Column:
+def exact_avg(c: Column, data_type: T.DataType) -> Column:
     """AVG as exact decimal sum / count, divided once in DOUBLE.
 
-    A double ``avg`` depends on summation order; summing the decimal values
-    is exact, so every engine and every partitioning gets the same number.
+    A double ``avg`` depends on summation order; a decimal sum does not. Decimal
+    values are summed as they are stored; doubles at ``AVG_DECIMALS`` decimals,
+    below the precision of a double price.
     """
-    s = F.sum(c.cast(f"decimal(38,{scale})")).cast("double")
+    exact = c if isinstance(data_type, T.DecimalType) else c.cast(f"decimal(28,{AVG_DECIMALS})")
     n = F.count(c)
-    return F.when(n > 0, s / n)
+    return F.when(n > 0, F.sum(exact).cast("double") / n)
 

@@ -16,8 +16,8 @@ def price_stats(df: DataFrame, keys: list[str], price: str = "PRICE", core: str
     return df.groupBy(*keys).agg(
         F.min(price).cast("double").alias("MinPrice"),
         F.max(price).cast("double").alias("MaxPrice"),
-        exact_avg(F.col(price)).alias("AvgPrice"),
-        exact_avg(F.col(core)).alias("AvgCore"),
+        exact_avg(F.col(price), df.schema[price].dataType).alias("AvgPrice"),
+        exact_avg(F.col(core), df.schema[core].dataType).alias("AvgCore"),
         F.countDistinct(zip_col).alias("ShopCnt"),
     )
 
@@ -33,11 +33,11 @@ def conditional_max(value: str, key: str, when_value: str) -> Column:
 
 
 def fixed_pivot_avg(df: DataFrame, row_key: str, pivot_col: str, values: list[str],
-                    value_col: str, scale: int = 2) -> DataFrame:
+                    value_col: str) -> DataFrame:
     """PIVOT (AVG(value) FOR pivot_col IN (values)) with a fixed column list.
 
     The explicit list avoids the extra job that discovers pivot values; a
     row whose pivot value is not listed still yields its row key (all NULL).
     """
     return (df.groupBy(row_key).pivot(pivot_col, values)
-              .agg(exact_avg(F.col(value_col), scale)))
+              .agg(exact_avg(F.col(value_col), df.schema[value_col].dataType)))

@@ -1,45 +1,18 @@
-"""Join helpers: size-checked broadcast and the anti/left-join forms the
-reference writes as LEFT JOIN ... IS NULL."""
+"""Join helpers: the anti/left-join forms the reference writes as LEFT JOIN ... IS NULL,
+and a lookup join that stays even under hot keys.
+
+No join is hinted. The rule and code tables are inline ``VALUES`` relations or
+stored tables, so the planner knows their bytes and broadcasts them under
+``spark.sql.autoBroadcastJoinThreshold``; beyond it, AQE decides from the
+sizes at run time and splits skewed partitions.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_MAX_ROWS_CONF = "quillprice.broadcast.maxRows"
-DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
-
-
-def broadcast_limit(df: DataFrame) -> int:
-    conf = df.sparkSession.conf.get(BROADCAST_MAX_ROWS_CONF, None)
-    return int(conf) if conf else DEFAULT_BROADCAST_MAX_ROWS
-
-
-def checked_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Broadcast ``df`` only after counting that it holds at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows per partition (one job).
-    Beyond the bound the frame is returned unchanged for a shuffle join.
-    """
-    bound = max_rows if max_rows is not None else broadcast_limit(df)
-    n = df.limit(bound + 1).count()
-    return F.broadcast(df) if n <= bound else df
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Broadcast the small side of a join only when its size is proven.
-
-    Used for the rule and code tables that join the big feeds on a handful of
-    distinct keys (a shuffle on such keys would put a third of the rows in
-    one task). A driver-held table (``isLocal``) is broadcast as is; any
-    other frame is counted first (``checked_broadcast``) and, beyond the
-    bound, left to a shuffle join that AQE can split when skewed.
-    Lookups keyed per part are not hinted: the planner broadcasts them only
-    when their estimated size is under ``spark.sql.autoBroadcastJoinThreshold``.
-    """
-    if df.isLocal():
-        return F.broadcast(df)
-    return checked_broadcast(df, max_rows)
+from quillprice.session import materialize
 
 
 def anti_join(left: DataFrame, right: DataFrame, on: list[tuple[str, str]]) -> DataFrame:
@@ -53,57 +26,16 @@ def anti_join(left: DataFrame, right: DataFrame, on: list[tuple[str, str]]) -> D
     return left.join(r, cond, "left_anti")
 
 
-
-HOT_ROWS_CONF = "quillprice.skew.hotKeyRows"
-SALTS_CONF = "quillprice.skew.salts"
-
-
-def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
-    """True when ``df`` is driver-held or holds at most ``max_rows`` rows (bounded read)."""
-    if df.isLocal():
-        return True
-    bound = max_rows if max_rows is not None else broadcast_limit(df)
-    return df.limit(bound + 1).count() <= bound
-
-
 def lookup_join(big: DataFrame, lookup: DataFrame, on: list[tuple[str, str]],
-                how: str = "left", hot_rows: int | None = None,
-                salts: int | None = None, size_from: DataFrame | None = None) -> DataFrame:
+                how: str = "left") -> DataFrame:
     """Join a big frame to a lookup that has one row per key, safe for hot keys.
 
-    * A lookup within the broadcast bound is broadcast: the big side is not
-      shuffled at all.
-    * Otherwise keys holding at least ``hot_rows`` big-side rows are found
-      with one aggregate over the key columns (a bounded list: at most
-      rows / hot_rows keys) and split over ``salts`` tasks. The big side's
-      rows of a hot key get a salt from a hash of the row, and the lookup row
-      of a hot key is replicated once per salt; all other keys get salt 0.
-    ``on`` lists (big column, lookup column) pairs. ``size_from`` is a cheaper
-    frame with at least as many rows as the lookup (for example the table it
-    is aggregated from) to run the size check on.
+    The lookup is stored first. Its size is then known, so a small one is
+    broadcast and the big side does not move. A large one is read back as a
+    plain table: both sides of the join are then shuffles of their own, which
+    is what AQE needs to split a key (or the NULL keys, which match nothing)
+    that holds a large share of the rows, identical rows included.
+    ``on`` lists (big column, lookup column) pairs.
     """
-    conf = big.sparkSession.conf
-    if fits_broadcast(size_from if size_from is not None else lookup):
-        cond = [big[b] == lookup[k] for b, k in on]
-        return big.join(F.broadcast(lookup), cond, how)
-    hot_rows = hot_rows or int(conf.get(HOT_ROWS_CONF, None) or 5_000_000)
-    salts = salts or int(conf.get(SALTS_CONF, None) or 32)
-    bkeys = [b for b, _ in on]
-    hot = (big.groupBy(*bkeys).count().filter(F.col("count") >= hot_rows)
-              .select(*[F.col(b).alias(f"__h{i}") for i, b in enumerate(bkeys)])
-              .withColumn("__hot", F.lit(True)))
-    hot = F.broadcast(hot) if fits_broadcast(hot) else hot
-    hot_big = [big[b] == hot[f"__h{i}"] for i, b in enumerate(bkeys)]
-    salted_big = (big.join(hot, hot_big, "left")
-                     .withColumn("__salt", F.when(F.col("__hot"), F.pmod(
-                         F.xxhash64(*[big[c] for c in big.columns]), F.lit(salts))).otherwise(F.lit(0)))
-                     .drop(*[f"__h{i}" for i in range(len(bkeys))], "__hot"))
-    hot_lk = [lookup[k] == hot[f"__h{i}"] for i, (_, k) in enumerate(on)]
-    salted_lk = (lookup.join(hot, hot_lk, "left")
-                       .withColumn("__lsalt", F.explode(F.when(
-                           F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-                           .otherwise(F.array(F.lit(0)))))
-                       .drop(*[f"__h{i}" for i in range(len(bkeys))], "__hot"))
-    cond = [salted_big[b] == salted_lk[k] for b, k in on] + [
-        salted_big["__salt"] == salted_lk["__lsalt"]]
-    return salted_big.join(salted_lk, cond, how).drop("__salt", "__lsalt")
+    stored = materialize(lookup, "lookup")
+    return big.join(stored, [big[b] == stored[k] for b, k in on], how)

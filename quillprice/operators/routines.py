@@ -24,7 +24,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillprice.functions import dates, pricing, text
-from quillprice.operators.joins import bounded_broadcast
 
 ROUTINES = ("R1", "R2", "R3", "R4", "R5", "R6", "R7", "R8", "R9")
 
@@ -92,6 +91,9 @@ class PricingInputs:
     # SURVEY Q2: compare rule texts (notes, flags, groups, codes) like a
     # case-insensitive, trailing-blank-insensitive server collation
     case_insensitive: bool = False
+    # SURVEY Q4: leave competitor prices with a malformed item code to
+    # ``rejected_codes``; by default they fail the job
+    reject_bad_codes: bool = False
 
     @classmethod
     def from_fixtures(cls, fx, load_ts: str | None) -> "PricingInputs":
@@ -156,8 +158,8 @@ def landing_trim(load: DataFrame) -> DataFrame:
 def rules_join(inp: PricingInputs) -> DataFrame:
     """J01 as written: price sheet x list rules x customer rules (no routine tagging)."""
     load = landing_trim(inp.load)
-    lst = bounded_broadcast(inp.rules_list)
-    calc = bounded_broadcast(inp.rules_calc.withColumnRenamed("xmfg", "CalcXmfg"))
+    lst = inp.rules_list
+    calc = inp.rules_calc.withColumnRenamed("xmfg", "CalcXmfg")
     return (load.join(lst, load["POP_Code"] == lst["PopCode"])
                 .join(calc, load["xmfg"] == calc["BASE_WD"]))
 
@@ -165,8 +167,8 @@ def rules_join(inp: PricingInputs) -> DataFrame:
 def priced_base(inp: PricingInputs, routines=ROUTINES) -> DataFrame:
     """price sheet x list rules x tagged customer rules."""
     load = landing_trim(inp.load)
-    lst = bounded_broadcast(inp.rules_list)
-    calc = bounded_broadcast(tagged_rules(inp.rules_calc, routines, inp.case_insensitive))
+    lst = inp.rules_list
+    calc = tagged_rules(inp.rules_calc, routines, inp.case_insensitive)
     return (load.join(lst, load["POP_Code"] == lst["PopCode"])
                 .join(calc, load["xmfg"] == calc["BASE_WD"])
                 .select(load["xmfg"].alias(_LOAD_XMFG), load["Cust_Part_Number"],
@@ -182,29 +184,46 @@ def priced_base(inp: PricingInputs, routines=ROUTINES) -> DataFrame:
 def taxonomy_dim(inp: PricingInputs) -> DataFrame:
     """(PDM0 x PDM1 x PDM1 setup) -> BasePart, SRP3 (J03, built before joining the sheet).
 
-    PDM1 has few distinct values, so the category tables are broadcast after
-    a size check rather than shuffling the part-level PDM0 on that key.
+    PDM1 has few distinct values and the category tables one row for each, so
+    the planner broadcasts them and the part-level PDM0 stays where it is.
     """
-    pdm1 = bounded_broadcast(inp.pdm1)
-    setup = bounded_broadcast(inp.setup)
-    return (inp.pdm0.join(pdm1, "PDM1").join(setup, "PDM1")
+    return (inp.pdm0.join(inp.pdm1, "PDM1").join(inp.setup, "PDM1")
                     .select("BasePart", "SRP3"))
 
 
+def competitor_codes(inp: PricingInputs) -> DataFrame:
+    """Price file rows of brand 625 in the competitor price group."""
+    groups = inp.price_group.filter(F.col("KICPGP") == COMPETITOR_PRICE_GROUP)
+    brand, _, _ = text.item_code_parts(F.col("BPLITM"))
+    return (inp.price_file.join(groups, F.col("BPICID") == F.col("KIICID"))
+                          .filter(brand == COMPETITOR_BRAND))
+
+
+def rejected_codes(inp: PricingInputs) -> DataFrame:
+    """The reject table: competitor price rows whose item code is malformed."""
+    _, _, valid = text.item_code_parts(F.col("BPLITM"))
+    return competitor_codes(inp).filter(~F.coalesce(valid, F.lit(False))).select(*inp.price_file.columns)
+
+
 def competitor_price(inp: PricingInputs, keep_unmatched: bool = False) -> DataFrame:
     """Competitor (brand 625, group HYFILTR) prices keyed by own part.
 
     The reference left-joins the cross-reference and then drops NULL prices
     and NULL part matches in WHERE (SURVEY Q13), so the routine uses inner
     joins; ``keep_unmatched`` gives the derived table as written (P04, J05).
+    A malformed item code fails the job, as it fails the reference's statement;
+    with ``inp.reject_bad_codes`` such rows are left to ``rejected_codes``.
     """
-    groups = bounded_broadcast(inp.price_group.filter(F.col("KICPGP") == COMPETITOR_PRICE_GROUP))
     brand, base, valid = text.item_code_parts(F.col("BPLITM"))
-    prices = (inp.price_file.join(groups, F.col("BPICID") == F.col("KIICID"))
-                            .filter(brand == COMPETITOR_BRAND)
-                            .filter(valid)
-                            .select(base.alias("BasePart"),
-                                    pricing.scaled_int_price(F.col("BPUPRC")).alias("HPrice")))
+    codes = competitor_codes(inp)
+    if inp.reject_bad_codes:
+        codes = codes.filter(valid)
+    else:
+        # It names the group, so that it is evaluated after the join to the groups.
+        base = F.when(valid, base).when(F.col("KICPGP") == COMPETITOR_PRICE_GROUP, F.raise_error(
+            F.concat(F.lit("malformed item code: "), F.col("BPLITM"))).cast("string"))
+    prices = codes.select(base.alias("BasePart"),
+                          pricing.scaled_int_price(F.col("BPUPRC")).alias("HPrice"))
     xref = (inp.xref.filter(F.col("XMfg") == COMPETITOR_XMFG)
                     .select("CompPart", "FS_Part").distinct())
     how = "left" if keep_unmatched else "inner"
@@ -329,13 +348,14 @@ def apply_net_price(rows: DataFrame, calc: DataFrame) -> DataFrame:
     """PriceNet = ROUND(CAST(CalcPrice AS (7,2)) * CAST(pog AS (7,2)), 2).
 
     The percent is cast to two decimals as in the reference (SURVEY Q12).
-    Rows without a rule keep NULL net price and percent.
+    Rows without a rule keep NULL net price and percent; only rows with one are
+    cast, so a price beyond numeric(7,2) is no error where no rule needs it.
     """
-    rules = bounded_broadcast(net_price_rules(calc))
+    rules = net_price_rules(calc)
     joined = rows.join(rules, (rows["Xmfg"] == rules["xmfg"]) & (rows["Brand"] == rules["Brand"])
                        & (rows["PriceGroup"] == rules["PriceGroup"]), "left")
-    net = pricing.round_money(pricing.to_numeric(rows[_CALC], 7, 2)
-                              * pricing.to_numeric(rules["__pog"], 7, 2))
+    net = F.when(rules["__pog"].isNotNull(), pricing.round_money(
+        pricing.to_numeric(rows[_CALC], 7, 2) * pricing.to_numeric(rules["__pog"], 7, 2)))
     return joined.select(
         *[rows[c] for c in rows.columns if c not in ("Percent_of_Gross", "PriceNet")],
         rules["__pog"].cast("double").alias("Percent_of_Gross"),

@@ -79,11 +79,11 @@ COMP_CTES = [
     """sheet2 AS (
     SELECT * FROM sheet_kept UNION ALL BY NAME SELECT * FROM sheet_updated
     UNION ALL BY NAME SELECT * FROM sheet_inserted)""",
-    # Mean WD price per own part and competitor (exact decimal sum, one division)
+    # Mean WD price per own part and competitor (stored prices have four decimals)
     f"""comp_c AS (
     SELECT x.FS_Part, s.XMfg AS CompXMfg,
            if(count(s.PriceWD) = 0, NULL,
-              sum(s.PriceWD::DECIMAL(38,2))::DOUBLE / count(s.PriceWD)) AS WDPrice
+              sum(s.PriceWD::DECIMAL(18,6))::DOUBLE / count(s.PriceWD)) AS WDPrice
     FROM sheet2 s JOIN comp_xref x ON x.XMfg = s.XMfg AND x.CompPart = s.XMfgPart
     WHERE s.XMfg IN ({_COMP_IN}) AND s.PriceWD <> 0 AND NOT starts_with(x.FS_Part, 'N')
     GROUP BY x.FS_Part, s.XMfg)""",
@@ -94,13 +94,8 @@ COMP_PIVOT = ("comp_pivot AS (SELECT FS_Part, "
               + " FROM comp_c GROUP BY FS_Part)")
 
 
-def _mean6(r: str) -> str:
-    v = f"AvgPrice) FILTER (WHERE RETAIL_XMFG = '{r}')"
-    return (f"if(count({v} = 0, NULL, sum(AvgPrice::DECIMAL(38,6)) FILTER (WHERE RETAIL_XMFG = '{r}')"
-            f"::DOUBLE / count({v}) AS {r}")
-
-
-RETAIL_PIVOT = ("retail_pivot AS (SELECT BasePart, " + ", ".join(_mean6(r) for r in RETAILERS)
+RETAIL_PIVOT = ("retail_pivot AS (SELECT BasePart, "
+                + ", ".join(f"avg(AvgPrice) FILTER (WHERE RETAIL_XMFG = '{r}') AS {r}" for r in RETAILERS)
                 + " FROM (SELECT BasePart, RetailXmfg AS RETAIL_XMFG, AvgPrice FROM comparison "
                   "WHERE NOT starts_with(BasePart, 'N')) c GROUP BY BasePart)")
 

@@ -88,9 +88,9 @@ CTES = [
     f"""ls_c2 AS (
     SELECT {_KEYS}, LastShop,
            min(PRICE)::DOUBLE AS MinPrice, max(PRICE)::DOUBLE AS MaxPrice,
-           if(count(PRICE) = 0, NULL, sum(PRICE::DECIMAL(38,2))::DOUBLE / count(PRICE)) AS AvgPrice,
+           if(count(PRICE) = 0, NULL, sum(PRICE)::DOUBLE / count(PRICE)) AS AvgPrice,
            if(count(COREPRICE) = 0, NULL,
-              sum(COREPRICE::DECIMAL(38,2))::DOUBLE / count(COREPRICE)) AS AvgCore,
+              sum(COREPRICE)::DOUBLE / count(COREPRICE)) AS AvgCore,
            count(DISTINCT ZIPCODE) AS ShopCnt
     FROM ls_c1 GROUP BY ALL)""",
     # X6

@@ -6,6 +6,8 @@ factor (whole tables, no sampling) and returns a DataFrame.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from quillprice.functions import dates as D_
@@ -14,7 +16,6 @@ from quillprice.functions import text as T_
 from quillprice.operators import routines as R
 from quillprice.operators.aggregates import min_max_by
 from quillprice.operators.constraints import STAGING_SCHEMA, enforce_staging, with_violations
-from quillprice.operators.joins import bounded_broadcast
 from quillprice.oracle import compose, feeds_sql, retail_sql
 from quillprice.oracle.pricing_sql import PRICING_FIXTURES, ROUTINE_COLS, pricing_ctes
 from quillprice.plans import competitor, export, market, pivots, retail
@@ -120,13 +121,18 @@ def market_price_matrix_refresh(fx):
 
 
 # --- X3 / M06: upload queue ----------------------------------------------------------
+# What this run prices, one row per key; pending rows with such a key go.
+_PRICED = """priced AS MATERIALIZED (
+    SELECT DISTINCT rtrim(Cust_Part_Number) AS part, Brand, PriceGroup, CalcPrice FROM staging)"""
+_PENDING = """pending AS (
+    SELECT *, rtrim(right(Item_Num, length(rtrim(Item_Num)) - 3)) AS part
+    FROM upload_queue WHERE Uploaded = '0')"""
 _KEPT_QUEUE = """kept_queue AS (
-    SELECT q.* FROM upload_queue q
-    WHERE NOT COALESCE(q.Uploaded = '0' AND EXISTS (
-        SELECT 1 FROM staging s
-        WHERE rtrim(s.Cust_Part_Number) = rtrim(right(q.Item_Num, length(rtrim(q.Item_Num)) - 3))
-          AND s.Brand = q.Brand AND s.PriceGroup = q.Cust_Group
-          AND s.CalcPrice = q.Price_Per_Unit), FALSE))"""
+    SELECT * FROM upload_queue WHERE Uploaded IS DISTINCT FROM '0'
+    UNION ALL
+    SELECT q.* EXCLUDE (part) FROM pending q ANTI JOIN priced s
+      ON s.part = q.part AND s.Brand = q.Brand AND s.PriceGroup = q.Cust_Group
+     AND s.CalcPrice = q.Price_Per_Unit)"""
 _INSERT_QUEUE = """insert_queue AS (
     SELECT s.Brand, s.Brand || s.Cust_Part_Number AS Item_Num, s.PriceGroup AS Cust_Group,
            s.CalcPrice AS Price_Per_Unit, s.Effective_Date AS Eff_From,
@@ -137,7 +143,7 @@ _INSERT_QUEUE = """insert_queue AS (
          AND s.PriceGroup = c.PriceGroup
     WHERE (c.JDE_Upload = 'Y' AND contains(s.ChangeCode, 'New Item'))
        OR (c.PriceAdj_Upload = 'Y' AND contains(s.ChangeCode, 'Price Adjustment')))"""
-_QUEUE_CTES = [_KEPT_QUEUE, _INSERT_QUEUE]
+_QUEUE_CTES = [_PRICED, _PENDING, _KEPT_QUEUE, _INSERT_QUEUE]
 
 
 @register("delete_pending_upload",
@@ -155,10 +161,13 @@ def filter_upload_eligibility(fx):
 
 
 @register("erp_upload_sink",
-          _pricing_sql("SELECT * FROM insert_queue", ("upload_queue",), _QUEUE_CTES))
+          _pricing_sql("SELECT * FROM upload_queue UNION ALL SELECT * FROM insert_queue",
+                       ("upload_queue",), _QUEUE_CTES))
 def erp_upload_sink(fx):
-    """Fixed-layout upload rows with constant columns."""
-    return market.upload_eligible(market.staging(_inputs(fx)), fx.rules_calc)
+    """Eligible rows appended to the stored ERP upload table, in its fixed layout."""
+    path = pricesheet.scratch_path(fx.spark, "erp-upload")
+    pricesheet.publish(fx.upload_queue.select(*market.QUEUE_COLUMNS), path)
+    return pricesheet.append(market.upload_eligible(market.staging(_inputs(fx)), fx.rules_calc), path)
 
 
 @register("upload_queue_refresh",
@@ -375,10 +384,14 @@ def join_left_match_flag(fx):
     return competitor.match_flags(_batch(fx), fx.comp_sheet)
 
 
-@register("staged_reuse", _comp_sql("SELECT * FROM staging_tb"))
+@register("staged_reuse", _comp_sql(
+    "SELECT *, if(Flag IS NULL, 'insert', 'update') AS UsedBy FROM staging_tb"))
 def staged_reuse(fx):
-    """The staged batch read by both the insert and the update."""
-    return competitor.match_flags(_batch(fx), fx.comp_sheet)
+    """The batch staged as a table, which both the insert and the update read."""
+    staged = fx.publish("staging-tb")(competitor.match_flags(_batch(fx), fx.comp_sheet))
+    flag = F.col("Flag")
+    return (staged.filter(flag.isNull()).withColumn("UsedBy", F.lit("insert"))
+                  .unionByName(staged.filter(flag.isNotNull()).withColumn("UsedBy", F.lit("update"))))
 
 
 @register("upsert_competitor", _comp_sql("SELECT * FROM sheet2"))
@@ -609,7 +622,11 @@ _J01_SQL = _pricing_sql(
 
 
 def _rules_join(fx):
-    return R.rules_join(_inputs(fx)).select(
+    return _rules_rows(_inputs(fx))
+
+
+def _rules_rows(inp):
+    return R.rules_join(inp).select(
         "Cust_Part_Number", "xmfg", "POP_Code", "Gross_Price", "Jobber", "Multiplier", "Dealer",
         "Brand", "CalcXmfg", "PriceGroup", "Percent_of_WD")
 
@@ -622,24 +639,20 @@ def join_rules_3way(fx):
 
 @register("multi_db_read", _J01_SQL)
 def multi_db_read(fx):
-    """The sheet (one database) joined to rule tables (another)."""
-    return _rules_join(fx)
-
-
-@register("erp_upload_sink_layout", _pricing_sql("SELECT * FROM insert_queue", ("upload_queue",),
-                                                 _QUEUE_CTES))
-def erp_upload_sink_layout(fx):
-    """Upload rows with the constant columns of the ERP layout."""
-    return market.upload_eligible(market.staging(_inputs(fx)), fx.rules_calc)
+    """The sheet (text file) joined to rule tables of another store (ORC)."""
+    other = pricesheet.scratch_path(fx.spark, "rules-store")
+    for name in ("rules_list", "rules_calc"):
+        getattr(fx, name).write.orc(f"{other}/{name}")
+    inp = replace(_inputs(fx), load=pricesheet.read_price_sheet(fx.spark, _sheet_file(fx)),
+                  rules_list=fx.spark.read.orc(f"{other}/rules_list"),
+                  rules_calc=fx.spark.read.orc(f"{other}/rules_calc"))
+    return _rules_rows(inp)
 
 
 # --- Projections and filters (P01-P23) --------------------------------------------------------
-_alias = {"project_alias": "price_standard", "distinct_over_superset": "price_standard",
-          "group_by_expressions": "price_ceiling", "filter_expr_not_null": "price_a08",
-          "join_left_competitor_price": "price_a08", "cte_chain": "last_shop_summary",
-          "project_star_plus": "join_left_match_flag",
-          "update_net_price": "price_net", "case_simple": "conditional_max_pivot",
-          "now": "market_price_staging"}
+_alias = {"project_alias": "price_standard", "group_by_expressions": "price_ceiling",
+          "cte_chain": "last_shop_summary", "project_star_plus": "join_left_match_flag",
+          "update_net_price": "price_net", "case_simple": "conditional_max_pivot"}
 
 
 def _register_alias(new_key: str, existing: str):
@@ -654,6 +667,56 @@ for _k, _v in _alias.items():
     _register_alias(_k, _v)
 
 
+@register("distinct_over_superset", _pricing_sql(
+    f"SELECT {ROUTINE_COLS} FROM (SELECT * FROM r1 UNION SELECT * FROM r1) twice"))
+def distinct_over_superset(fx):
+    """Every sheet row comes twice, and a routine inserts its rows once."""
+    inp = _inputs(fx)
+    return R.routine_output(replace(inp, load=inp.load.unionAll(inp.load)), "R1")
+
+
+def _a08_base(fx):
+    """Sheet rows of class A08 under the A08 rules, with the competitor price or NULL."""
+    inp = _inputs(fx)
+    tax = R.taxonomy_dim(inp).filter(F.col("SRP3") == R.A08)
+    base = R.priced_base(inp, ("R7",)).join(tax, F.col("Cust_Part_Number") == F.col("BasePart"))
+    price = R.competitor_price(inp)
+    return base.join(price, F.col("Cust_Part_Number") == price["FS_Part"], "left").select(
+        "Cust_Part_Number", "Brand", "PriceGroup", "Percent_of_WD",
+        F.col("HPrice").cast("double").alias("HPrice"))
+
+
+def _a08_sql(where: str = "") -> str:
+    return _pricing_sql(
+        "SELECT d.Cust_Part_Number, c.Brand, c.PriceGroup, CAST(c.Percent_of_WD AS DOUBLE) AS Percent_of_WD, "
+        "CAST(hp.Price AS DOUBLE) AS HPrice FROM rules_list l JOIN landing d ON l.PopCode = d.POP_Code "
+        "JOIN rules_calc c ON d.xmfg = c.BASE_WD AND c.BrandType = 'Y' AND c.SpecialPriceRoutine_Note = 'A08' "
+        "JOIN part_class s ON s.BasePart = d.Cust_Part_Number AND s.SRP3 = 'A08' "
+        "LEFT JOIN hayden hp ON hp.FS_Part = d.Cust_Part_Number" + where)
+
+
+@register("join_left_competitor_price", _a08_sql())
+def join_left_competitor_price(fx):
+    """LEFT JOIN of the competitor price, parts without one kept."""
+    return _a08_base(fx)
+
+
+@register("filter_expr_not_null", _a08_sql(" WHERE c.Percent_of_WD * hp.Price IS NOT NULL"))
+def filter_expr_not_null(fx):
+    """Rows whose price expression is not NULL."""
+    return _a08_base(fx).filter((F.col("Percent_of_WD") * F.col("HPrice")).isNotNull())
+
+
+@register("now", _pricing_sql("SELECT Brand, Cust_Part_Number, PriceGroup, TRUE AS StampedInRun FROM staging"))
+def now(fx):
+    """F16: rows stamped with the time of the run: not before it was planned, nor an hour later."""
+    start = fx.spark.sql("SELECT localtimestamp() AS t").first()["t"].isoformat(sep=" ")
+    started = F.lit(start).cast("timestamp_ntz")
+    st = R.market_price_staging(R.PricingInputs.from_fixtures(fx, None))
+    return st.select("Brand", "Cust_Part_Number", "PriceGroup", F.col("LoadDate").between(
+        started, started + F.expr("INTERVAL 1 HOUR")).alias("StampedInRun"))
+
+
 @register("project_constants", _comp_sql("SELECT * FROM sheet_inserted"))
 def project_constants(fx):
     """Inserted sheet rows: NULL placeholders and the 'WD Gross' constant."""
@@ -729,8 +792,8 @@ def join_rules_with_category(fx):
 
 
 @register("join_nested_taxonomy", _pricing_sql(
-    "SELECT d.Cust_Part_Number, d.xmfg, s.SRP3 FROM landing d JOIN (tax_pdm0 p0 JOIN tax_pdm1 p1 "
-    "ON p0.PDM1 = p1.PDM1 JOIN tax_setup s ON p1.PDM1 = s.PDM1) ON d.Cust_Part_Number = p0.BasePart"))
+    "SELECT d.Cust_Part_Number, d.xmfg, s.SRP3 FROM landing d "
+    "JOIN part_class s ON s.BasePart = d.Cust_Part_Number"))
 def join_nested_taxonomy(fx):
     """Bushy join: (PDM0 x PDM1 x setup) built first, then joined to the sheet."""
     inp = _inputs(fx)
@@ -745,15 +808,13 @@ def join_nested_taxonomy(fx):
     "SELECT f.BPLITM, f.BPUPRC, g.KICPGP FROM price_group g JOIN price_file f ON g.KIICID = f.BPICID"))
 def join_price_file_group(fx):
     """Price file x price file group on the item group id."""
-    g = bounded_broadcast(fx.price_group)
+    g = fx.price_group
     f = fx.price_file
     return f.join(g, f["BPICID"] == g["KIICID"]).select("BPLITM", "BPUPRC", "KICPGP")
 
 
 @register("join_distinct_dimension", _pricing_sql(
-    "SELECT d.Cust_Part_Number, u.Info FROM landing d JOIN (SELECT Basepart, Info FROM pack_lookup "
-    "WHERE Type = 'Standard/MinimumOrderQuantity' GROUP BY Basepart, Info) u "
-    "ON d.Cust_Part_Number = u.Basepart"))
+    "SELECT d.Cust_Part_Number, u.Info FROM landing d JOIN pack_size u ON u.Basepart = d.Cust_Part_Number"))
 def join_distinct_dimension(fx):
     """Inner join to a de-duplicated lookup."""
     inp = _inputs(fx)
@@ -764,10 +825,9 @@ def join_distinct_dimension(fx):
 
 
 _DELETED_QUEUE = _pricing_sql(
-    "SELECT q.* FROM upload_queue q WHERE q.Uploaded = '0' AND EXISTS (SELECT 1 FROM staging s "
-    "WHERE rtrim(s.Cust_Part_Number) = rtrim(right(q.Item_Num, length(rtrim(q.Item_Num)) - 3)) "
-    "AND s.Brand = q.Brand AND s.PriceGroup = q.Cust_Group AND s.CalcPrice = q.Price_Per_Unit)",
-    ("upload_queue",))
+    "SELECT q.* EXCLUDE (part) FROM pending q SEMI JOIN priced s ON s.part = q.part AND s.Brand = q.Brand "
+    "AND s.PriceGroup = q.Cust_Group AND s.CalcPrice = q.Price_Per_Unit",
+    ("upload_queue",), [_PRICED, _PENDING])
 
 
 def _deleted_queue(fx):
@@ -821,7 +881,7 @@ def round_decimal(fx):
 def round_float(fx):
     """list price ROUND(gross * jobber * multiplier, 2), computed in decimal."""
     load = R.landing_trim(fx.ps_load)
-    lst = bounded_broadcast(fx.rules_list)
+    lst = fx.rules_list
     j = load.join(lst, load["POP_Code"] == lst["PopCode"])
     return j.select("Cust_Part_Number", P_.round_money(F.col("Gross_Price") * F.col("Jobber")
                                                        * F.col("Multiplier")).cast("double")
@@ -867,10 +927,12 @@ def case_searched(fx):
 
 
 @register("cast_float_numeric", _f_sql("upload_queue", "SELECT Item_Num, CAST(Price_Per_Unit AS "
-                                       "DECIMAL(7,2)) AS Value FROM upload_queue"))
+                                       "DECIMAL(7,2)) AS Value, lower(typeof(CAST(Price_Per_Unit AS "
+                                       "DECIMAL(7,2)))) AS ValueType FROM upload_queue"))
 def cast_float_numeric(fx):
-    """CAST(float AS numeric(7,2))."""
-    return fx.upload_queue.select("Item_Num", P_.to_numeric(F.col("Price_Per_Unit"), 7, 2).alias("Value"))
+    """CAST(float AS numeric(7,2)), and its type."""
+    value = P_.to_numeric(F.col("Price_Per_Unit"), 7, 2)
+    return fx.upload_queue.select("Item_Num", value.alias("Value"), F.typeof(value).alias("ValueType"))
 
 
 @register("cast_text_number", _f_sql("pack_lookup", "SELECT Basepart, CAST(Info AS DOUBLE) AS InfoFloat, "
@@ -933,7 +995,7 @@ def scaled_int_price(fx):
 def arith(fx):
     """decimal * / + - (exact until the final cast)."""
     load = R.landing_trim(fx.ps_load)
-    lst = bounded_broadcast(fx.rules_list)
+    lst = fx.rules_list
     g, j, d = F.col("Gross_Price"), F.col("Jobber"), F.col("Dealer")
     return load.join(lst, load["POP_Code"] == lst["PopCode"]).select(
         "Cust_Part_Number", (g * j).cast("double").alias("GrossJobber"),

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillprice.functions import dates, text
-from quillprice.operators.joins import bounded_broadcast
+from quillprice.session import materialize
 
 SHEET_COLUMNS = ("psID", "XREFGroup", "XMfgPartCategory", "XMfgPartType", "XMfg", "XMfgSKU",
                  "XMfgPart", "XMfgPartClean", "XMfgPartSuper", "XMfgPartSuperClean", "XMfgPOP",
@@ -24,8 +24,7 @@ ACQUISITION_TYPE = "WD Gross"
 
 def mapped_feed(feed: DataFrame, line_map: DataFrame) -> DataFrame:
     """Feed rows whose line maps to a competitor code (P10, P22: filter inside ON)."""
-    lines = bounded_broadcast(line_map.filter(F.col("Xmfg").isNotNull())
-                              .select(F.col("mfrline").alias("__line"), "Xmfg"))
+    lines = line_map.filter(F.col("Xmfg").isNotNull()).select(F.col("mfrline").alias("__line"), "Xmfg")
     return feed.join(lines, feed["MFRLINE"] == lines["__line"]).drop("__line")
 
 
@@ -152,8 +151,12 @@ def gated_batch(feed: DataFrame, line_map: DataFrame, sheet: DataFrame,
 
 def competitor_incremental_upsert(feed: DataFrame, line_map: DataFrame, sheet: DataFrame,
                                   bootstrap: bool = False) -> DataFrame:
-    """Gate on the high-water marks, then upsert the newer rows."""
+    """Gate on the high-water marks, then upsert the newer rows.
+
+    The batch is stored after the gate, as the reference stages it: the feed is
+    read twice in all (gate, batch), however often the upsert uses the batch.
+    """
     batch = gated_batch(feed, line_map, sheet, bootstrap)
     if batch is None:
         return sheet.select(*SHEET_COLUMNS)
-    return upsert_competitor(sheet, batch)
+    return upsert_competitor(sheet, materialize(batch, "competitor-batch"))

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillprice.functions import text
-from quillprice.operators.joins import bounded_broadcast
 from quillprice.operators.routines import PricingInputs, market_price_staging
 
 MATRIX_COLUMNS = ("Brand", "Xmfg", "PartNumber", "Price_Type", "FS_WD", "PriceGroup", "CalcPrice",
@@ -113,9 +112,9 @@ def upload_eligible(staging_df: DataFrame, calc: DataFrame) -> DataFrame:
     The rule join is on (xmfg, Brand, PriceGroup), not unique when a customer
     rule has several base manufacturers, so duplicate rows are kept (Q23).
     """
-    rules = bounded_broadcast(calc.select(
+    rules = calc.select(
         F.col("xmfg").alias("__x"), F.col("Brand").alias("__b"), F.col("PriceGroup").alias("__g"),
-        "JDE_Upload", "PriceAdj_Upload"))
+        "JDE_Upload", "PriceAdj_Upload")
     joined = staging_df.join(rules, (staging_df["Xmfg"] == rules["__x"])
                              & (staging_df["Brand"] == rules["__b"])
                              & (staging_df["PriceGroup"] == rules["__g"]))

@@ -12,8 +12,6 @@ from quillprice.operators.aggregates import fixed_pivot_avg
 COMPETITORS = ["DOR", "VDO", "GAT", "GIL", "GPD", "MEI", "SNT", "SPI", "TAP", "UAC", "USM"]
 RETAILERS = ["AZR", "ADV", "ORY", "NAP", "PBR", "PAG", "ROC", "SMR", "AMZ"]
 NON_STOCK_PREFIX = "N"
-# Retail averages are re-averaged exactly at this many decimals.
-RETAIL_AVG_SCALE = 6
 
 
 def own_part_filter(col: str):
@@ -32,8 +30,9 @@ def competitor_rows(sheet: DataFrame, xref: DataFrame) -> DataFrame:
 
 def competitor_avg(sheet: DataFrame, xref: DataFrame) -> DataFrame:
     """AVG(PriceWD) per (own part, competitor)."""
-    return competitor_rows(sheet, xref).groupBy("FS_Part", "CompXMfg").agg(
-        exact_avg(F.col("PriceWD")).alias("WDPrice"))
+    rows = competitor_rows(sheet, xref)
+    return rows.groupBy("FS_Part", "CompXMfg").agg(
+        exact_avg(F.col("PriceWD"), rows.schema["PriceWD"].dataType).alias("WDPrice"))
 
 
 def competitor_price_pivot(sheet: DataFrame, xref: DataFrame) -> DataFrame:
@@ -43,8 +42,7 @@ def competitor_price_pivot(sheet: DataFrame, xref: DataFrame) -> DataFrame:
     competitor) average, so pivoting the sheet rows directly gives the same
     cells with one aggregation instead of two.
     """
-    return fixed_pivot_avg(competitor_rows(sheet, xref), "FS_Part", "CompXMfg", COMPETITORS,
-                           "PriceWD", scale=2)
+    return fixed_pivot_avg(competitor_rows(sheet, xref), "FS_Part", "CompXMfg", COMPETITORS, "PriceWD")
 
 
 def retail_price_pivot(prices: DataFrame, retailer_col: str = "RetailXmfg") -> DataFrame:
@@ -55,8 +53,7 @@ def retail_price_pivot(prices: DataFrame, retailer_col: str = "RetailXmfg") -> D
     """
     rows = prices.filter(own_part_filter("BasePart")).select(
         "BasePart", F.col(retailer_col).alias("RETAIL_XMFG"), "AvgPrice")
-    return fixed_pivot_avg(rows, "BasePart", "RETAIL_XMFG", RETAILERS, "AvgPrice",
-                           scale=RETAIL_AVG_SCALE)
+    return fixed_pivot_avg(rows, "BasePart", "RETAIL_XMFG", RETAILERS, "AvgPrice")
 
 
 def wide_pivot_join(current: DataFrame, comp_pivot: DataFrame, retail_pivot: DataFrame,

@@ -10,10 +10,12 @@ lost executor costs at most the step it was running.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 
-from quillprice.operators.routines import PricingInputs, market_price_staging
+from quillprice.operators.constraints import enforce_staging
+from quillprice.operators.routines import PricingInputs, landing_trim, market_price_staging
 from quillprice.plans import competitor, export, market, pivots, retail
 
 Publish = Callable[[DataFrame, str], DataFrame]
@@ -21,8 +23,14 @@ Publish = Callable[[DataFrame, str], DataFrame]
 
 def price_sheet_procedure(inp: PricingInputs, matrix: DataFrame, queue: DataFrame,
                           publish: Publish) -> dict[str, DataFrame]:
-    """Load -> nine routines -> net price -> matrix refresh -> upload queue refresh."""
-    staging = publish(market_price_staging(inp), "temp_price_load")
+    """Load -> nine routines -> net price -> matrix refresh -> upload queue refresh.
+
+    The sheet is parsed once, into the landing table that all routines read; a
+    bad row aborts there. Staging is published under its declared NOT NULL and
+    length constraints.
+    """
+    inp = replace(inp, load=publish(landing_trim(inp.load), "landing"))
+    staging = publish(enforce_staging(market_price_staging(inp)), "temp_price_load")
     return {
         "staging": staging,
         "matrix": publish(market.market_price_matrix_refresh(matrix, staging), "matrix"),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quillprice.functions import dates, text
 from quillprice.operators.aggregates import conditional_max, price_stats
-from quillprice.operators.joins import anti_join, bounded_broadcast, lookup_join
+from quillprice.operators.joins import anti_join, lookup_join
 from quillprice.operators.windows import global_row_number, partition_row_number
 
 KEYS = ["RETAIL_XMFG", "CLEANPRODUCTBRAND", "CLEANPRODUCTNUMBER"]
@@ -59,10 +59,10 @@ def brand_registry_update(feed: DataFrame, brands: DataFrame) -> DataFrame:
 def parts_view(brands: DataFrame, parts: DataFrame) -> DataFrame:
     """The registry view: brands joined to their parts on BrandID (inferred).
 
-    One brand can own a large share of the parts, so the brand table is
-    broadcast after a size check instead of shuffling parts on BrandID.
+    One brand can own a large share of the parts: both registries are stored
+    tables, so the brands are broadcast when small and AQE splits the brand otherwise.
     """
-    return parts.join(bounded_broadcast(brands), "BrandID").select(
+    return parts.join(brands, "BrandID").select(
         "RetailXmfg", "PRODUCTBRAND", "PRODUCTNUMBER", "CLEANPRODUCTBRAND", "CLEANPRODUCTNUMBER",
         "PartName", "AltXmfg")
 
@@ -75,33 +75,41 @@ def candidate_parts(feed: DataFrame) -> DataFrame:
             .select("RETAIL_XMFG", "PRODUCTBRAND", "PRODUCTNUMBER", "PRODUCTNAME").distinct())
 
 
-def new_parts(feed: DataFrame, brands: DataFrame, parts: DataFrame,
-              one_name_per_part: bool = False) -> DataFrame:
-    """J09 + W02: unregistered (retailer, brand, number, name), numbered per key.
+def unregistered_parts(feed: DataFrame, brands: DataFrame, parts: DataFrame,
+                       one_name_per_part: bool = False) -> DataFrame:
+    """(retailer, brand, number, name) of priced rows that the registry lacks.
 
-    RN partitions by all four columns of a distinct set, so it is always 1
-    and never filtered (SURVEY Q15): a part with two names is new twice.
-    ``one_name_per_part=True`` keeps the lowest name per part instead (an
-    aggregate, so a part with many names is combined map-side).
+    A part with two names is new twice (SURVEY Q15). ``one_name_per_part=True``
+    keeps the lowest name per part instead (an aggregate, so a part with many
+    names is combined map-side).
     """
     view = parts_view(brands, parts)
     cand = candidate_parts(feed)
     if one_name_per_part:
         cand = cand.groupBy("RETAIL_XMFG", "PRODUCTBRAND", "PRODUCTNUMBER").agg(
             F.min("PRODUCTNAME").alias("PRODUCTNAME"))
-    cand = anti_join(cand, view,
+    return anti_join(cand, view,
                      [("RETAIL_XMFG", "RetailXmfg"), ("PRODUCTBRAND", "PRODUCTBRAND"),
                       ("PRODUCTNUMBER", "PRODUCTNUMBER")])
-    return partition_row_number(cand, ["RETAIL_XMFG", "PRODUCTBRAND", "PRODUCTNUMBER",
-                                       "PRODUCTNAME"], ["PRODUCTNAME"], "RN")
+
+
+def new_parts(feed: DataFrame, brands: DataFrame, parts: DataFrame,
+              one_name_per_part: bool = False) -> DataFrame:
+    """The unregistered parts, numbered per key.
+
+    RN partitions by all four columns of a distinct set, so it is always 1 and
+    never filtered; the registry update does without it.
+    """
+    return partition_row_number(unregistered_parts(feed, brands, parts, one_name_per_part),
+                                ["RETAIL_XMFG", "PRODUCTBRAND", "PRODUCTNUMBER", "PRODUCTNAME"],
+                                ["PRODUCTNAME"], "RN")
 
 
 def part_registry_update(feed: DataFrame, brands: DataFrame, parts: DataFrame,
                          one_name_per_part: bool = False) -> DataFrame:
     """Registry + new parts under their (possibly new) brand, with a clean number."""
-    fresh = new_parts(feed, brands, parts, one_name_per_part)
-    b = bounded_broadcast(brands.select("BrandID", F.col("RetailXmfg").alias("__x"),
-                                        F.col("PRODUCTBRAND").alias("__b")))
+    fresh = unregistered_parts(feed, brands, parts, one_name_per_part)
+    b = brands.select("BrandID", F.col("RetailXmfg").alias("__x"), F.col("PRODUCTBRAND").alias("__b"))
     added = fresh.join(b, (fresh["RETAIL_XMFG"] == b["__x"]) & (fresh["PRODUCTBRAND"] == b["__b"])) \
                  .select("BrandID", "PRODUCTNUMBER", F.col("PRODUCTNAME").alias("PartName"),
                          F.trim(text.clean_part_number(F.col("PRODUCTNUMBER")))
@@ -117,15 +125,15 @@ def enrich_clean_keys(feed: DataFrame, view: DataFrame) -> DataFrame:
     The registry is reduced to one row per key first (MIN of each clean value,
     SURVEY Q11), so the UPDATE-with-join cannot pick arbitrarily. Matched rows
     take the registry value even when it is NULL. The join is a
-    ``lookup_join``: a product holding a large share of the feed is salted
-    over several tasks when the registry is too big to broadcast.
+    ``lookup_join``: a product (or the rows with a NULL key) holding a large
+    share of the feed is split over several tasks when the registry is too
+    big to broadcast.
     """
     v = view.groupBy(F.col("RetailXmfg").alias("__x"), F.col("PRODUCTBRAND").alias("__b"),
                      F.col("PRODUCTNUMBER").alias("__n")).agg(
         F.min("CLEANPRODUCTBRAND").alias("__cb"), F.min("CLEANPRODUCTNUMBER").alias("__cn"))
-    # the per-key registry has at most as many rows as the view it comes from
     j = lookup_join(feed, v, [("RETAIL_XMFG", "__x"), ("PRODUCTBRAND", "__b"),
-                              ("PRODUCTNUMBER", "__n")], "left", size_from=view)
+                              ("PRODUCTNUMBER", "__n")], "left")
     hit = F.col("__x").isNotNull()
     out = [F.when(hit, F.col("__cb")).otherwise(feed["CLEANPRODUCTBRAND"]).alias(c)
            if c == "CLEANPRODUCTBRAND" else
@@ -145,7 +153,7 @@ def latest_day_rows(feed: DataFrame) -> DataFrame:
     """Priced rows on their key's latest shop day.
 
     The latest day per key is a small aggregate, joined back on (key, day)
-    with ``lookup_join``, so a key with a large share of the rows is salted
+    with ``lookup_join``, so a key with a large share of the rows is split
     over several tasks when the aggregate is too big to broadcast.
     """
     last = latest_shop_day(feed).filter(
@@ -192,8 +200,8 @@ def last_shop_summary(feed: DataFrame, view: DataFrame) -> DataFrame:
 
 def own_brand_parts(price_new: DataFrame, sheets: DataFrame, xref: DataFrame) -> DataFrame:
     """Current (rank 1) own-brand sheet parts mapped to base parts, distinct."""
-    s = bounded_broadcast(sheets.filter(F.col("XMfg").isin(*OWN_BRANDS) & (F.col("SheetRank") == 1))
-                          .select("psID", F.col("XMfg").alias("__sx")))
+    s = (sheets.filter(F.col("XMfg").isin(*OWN_BRANDS) & (F.col("SheetRank") == 1))
+               .select("psID", F.col("XMfg").alias("__sx")))
     x = xref.select(F.col("XMfg").alias("__xx"), "CompPart", "FS_Part")
     j = price_new.join(s, "psID").join(
         x, (F.col("XMfgPart") == x["CompPart"]) & (F.col("__sx") == x["__xx"]))

@@ -44,9 +44,25 @@ DECIMAL_OUTPUTS: dict[str, tuple[str, ...]] = {
     "join_left_xref": ("Price",),
     "cast_float_numeric": ("Value",),
     "cast_text_number": ("InfoNumeric",),
+    "join_left_competitor_price": ("Percent_of_WD",),
+    "filter_expr_not_null": ("Percent_of_WD",),
 }
 
 
+# Means of means: a sum of doubles depends on its order, so both engines show them
+# at eight decimals. The operators return them unrounded.
+MEAN_DECIMALS = 8
+MEAN_OUTPUTS: dict[str, tuple[str, ...]] = {
+    key: ("AZR", "ADV", "ORY", "NAP", "PBR", "PAG", "ROC", "SMR", "AMZ")
+    for key in ("pivot_retail", "retail_price_pivot", "wide_pivot_join")}
+
+
+def as_shown(key: str, df: DataFrame) -> DataFrame:
+    from pyspark.sql import functions as F
+    shown = as_double(df)
+    return shown.withColumns({c: F.round(c, MEAN_DECIMALS) for c in MEAN_OUTPUTS.get(key, ())})
+
+
 def as_double(df: DataFrame) -> DataFrame:
     """DECIMAL result columns as DOUBLE (presentation only; values are exact)."""
     from pyspark.sql import functions as F
@@ -57,17 +73,18 @@ def as_double(df: DataFrame) -> DataFrame:
 
 
 def _double_sql(key: str, sql: str) -> str:
-    cols = DECIMAL_OUTPUTS.get(key)
-    if not cols:
+    shown = [f"CAST({c} AS DOUBLE) AS {c}" for c in DECIMAL_OUTPUTS.get(key, ())]
+    shown += [f"round({c}, {MEAN_DECIMALS}) AS {c}" for c in MEAN_OUTPUTS.get(key, ())]
+    if not shown:
         return sql
-    casts = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in cols)
+    casts = ", ".join(shown)
     return f"SELECT * REPLACE ({casts}) FROM (\n{sql}\n) presented"
 
 
 def register(key: str, sql: str | None = None):
     def deco(fn: Callable[[Fixtures], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return as_double(fn(Fixtures(spark, sf_dir)))
+            return as_shown(key, fn(Fixtures(spark, sf_dir)))
         run.__name__ = f"q_{key}"
         run.__doc__ = fn.__doc__
         QUERIES[key] = run

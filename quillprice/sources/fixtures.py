@@ -21,8 +21,12 @@ from pyspark.sql import types as T
 LOAD_TS = "2017-09-04 17:53:00"
 
 _OWN_PART = "CASE WHEN p_partkey % 11 = 0 THEN 'N' ELSE 'P' END || CAST(p_partkey AS STRING)"
+# Prices carry four decimals, halves of a cent included, so that any rounding shows.
 _GROSS = ("CAST(CAST(p_size AS DECIMAL(7,2)) + CAST(p_partkey % 100 AS DECIMAL(7,2)) "
-          "* CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(7,2))")
+          "* CAST(0.01 AS DECIMAL(3,2)) + CAST(p_partkey % 4 AS DECIMAL(7,4)) "
+          "* CAST(0.0025 AS DECIMAL(5,4)) AS DECIMAL(18,6))")
+_LINE_PRICE = ("CAST(CAST(l_extendedprice AS DECIMAL(12,2)) + CAST(l_partkey % 97 AS DECIMAL(7,4)) "
+               "* CAST(0.0001 AS DECIMAL(5,4)) AS DECIMAL(12,4))")
 _RETAILER = ("CASE l_suppkey % 10 WHEN 0 THEN 'AZR' WHEN 1 THEN 'ADV' WHEN 2 THEN 'ORY' "
              "WHEN 3 THEN 'NAP' WHEN 4 THEN 'PBR' WHEN 5 THEN 'PAG' WHEN 6 THEN 'ROC' "
              "WHEN 7 THEN 'SMR' WHEN 8 THEN 'AMZ' ELSE 'XXX' END")
@@ -47,8 +51,8 @@ ADAPTERS: dict[str, Adapter] = {
         ("Change_Code", "CASE WHEN p_partkey % 4 = 0 THEN 'New Item' WHEN p_partkey % 4 = 1 "
                         "THEN 'Price Adjustment' WHEN p_partkey % 4 = 2 THEN "
                         "'New Item; Price Adjustment' ELSE 'No Change' END"),
-        ("Core_Price", "CASE WHEN p_partkey % 5 = 0 THEN CAST(NULL AS DECIMAL(9,2)) "
-                       "ELSE CAST(p_partkey % 7 AS DECIMAL(9,2)) END"),
+        ("Core_Price", "CASE WHEN p_partkey % 5 = 0 THEN CAST(NULL AS DECIMAL(18,6)) "
+                       "ELSE CAST(p_partkey % 7 AS DECIMAL(18,6)) END"),
         ("Price_Sheet_Number", "'PS' || CAST(p_partkey % 3 AS STRING)"),
         ("Effective_Date", "DATE '2017-09-01'"),
     )),
@@ -113,10 +117,10 @@ ADAPTERS: dict[str, Adapter] = {
         ("PRODUCTNUMBER", "upper(substr(p_type, 1, 2)) || '-' || CAST(100 + l_partkey AS STRING) "
                           "|| '/ .A'"),
         ("PRODUCTNAME", "p_name"),
-        ("PRICE", "CASE WHEN l_linenumber = 7 THEN CAST(0 AS DECIMAL(12,2)) "
-                  "ELSE CAST(l_extendedprice AS DECIMAL(12,2)) END"),
-        ("COREPRICE", "CASE WHEN l_discount > 0.05 THEN CAST(NULL AS DECIMAL(12,2)) "
-                      "ELSE CAST(l_linenumber AS DECIMAL(12,2)) END"),
+        ("PRICE", f"CASE WHEN l_linenumber = 7 THEN CAST(0 AS DECIMAL(12,4)) ELSE {_LINE_PRICE} END"),
+        ("COREPRICE", "CASE WHEN l_discount > 0.05 THEN CAST(NULL AS DECIMAL(12,4)) "
+                      "ELSE CAST(CAST(l_linenumber AS DECIMAL(7,4)) + CAST(l_partkey % 9 AS DECIMAL(7,4)) "
+                      "* CAST(0.0005 AS DECIMAL(5,4)) AS DECIMAL(12,4)) END"),
         ("ZIPCODE", "CAST(10000 + l_orderkey % 50 AS STRING)"),
         ("DATE_CREATED", "CAST(CAST(substr(CAST(l_shipdate AS STRING), 1, 4) || '-06-15' AS DATE) "
                          "AS TIMESTAMP) + CASE WHEN l_linenumber % 2 = 0 THEN INTERVAL '10' HOUR "
@@ -135,9 +139,8 @@ ADAPTERS: dict[str, Adapter] = {
         ("DESCRIP", "'line ' || CAST(l_linenumber AS STRING)"),
         ("POPCODE", "CASE WHEN l_quantity > 25 THEN 'A' ELSE 'B' END"),
         ("UOM1", "'EA'"),
-        ("WD1", "CAST(l_extendedprice AS DECIMAL(12,2))"),
-        ("JOBBER1", "CAST(CAST(l_extendedprice AS DECIMAL(12,2)) + CAST(l_linenumber AS "
-                    "DECIMAL(12,2)) AS DECIMAL(12,2))"),
+        ("WD1", _LINE_PRICE),
+        ("JOBBER1", f"CAST({_LINE_PRICE} + CAST(l_linenumber AS DECIMAL(12,4)) AS DECIMAL(12,4))"),
         ("Date_Created", "l_shipdate"),
     )),
     "comp_xref": Adapter("lineitem_lines", (
@@ -172,7 +175,7 @@ ADAPTERS: dict[str, Adapter] = {
         ("Brand", "'BR1'"),
         ("Item_Num", "'BR1' || " + _OWN_PART),
         ("Cust_Group", "'G01'"),
-        ("Price_Per_Unit", "CAST(round(CAST(0.65 AS DECIMAL(5,4)) * " + _GROSS + ", 2) + CASE WHEN "
+        ("Price_Per_Unit", "CAST(round(CAST(0.65 AS DECIMAL(5,4)) * CAST(" + _GROSS + " AS DECIMAL(7,2)), 2) + CASE WHEN "
                            "p_partkey % 2 = 0 THEN CAST(0 AS DECIMAL(7,2)) ELSE CAST(1 AS "
                            "DECIMAL(7,2)) END AS DOUBLE)"),
         ("Eff_From", "DATE '2017-01-01'"),

@@ -1,8 +1,8 @@
 """Price sheet file source (S01-S03) and table sinks.
 
 The reference bulk-loads a tab-separated file (header row skipped, any bad
-row aborts the load) into a landing table it truncates first. Here the file
-is read with an explicit positional schema in FAILFAST mode; landing and
+row aborts the load) into a landing table it truncates first. Here the lines
+are parsed with an explicit positional schema in FAILFAST mode; landing and
 published tables are written to a fresh folder and read back, so no job ever
 overwrites the files it is reading.
 """
@@ -10,18 +10,20 @@ overwrites the files it is reading.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillprice.session import scratch_path
 
-# Column order of the price sheet file (the load is positional).
+# Column order of the price sheet file (the load is positional). Prices keep the
+# decimals of the sheet: only CalcPrice rounds them, by its own casts.
 PRICE_SHEET_SCHEMA = T.StructType([
     T.StructField("xmfg", T.StringType()),
     T.StructField("Cust_Part_Number", T.StringType()),
-    T.StructField("Gross_Price", T.DecimalType(7, 2)),
+    T.StructField("Gross_Price", T.DecimalType(18, 6)),
     T.StructField("POP_Code", T.StringType()),
     T.StructField("Change_Code", T.StringType()),
-    T.StructField("Core_Price", T.DecimalType(9, 2)),
+    T.StructField("Core_Price", T.DecimalType(18, 6)),
     T.StructField("Price_Sheet_Number", T.StringType()),
     T.StructField("Effective_Date", T.DateType()),
 ])
@@ -34,11 +36,23 @@ def read_price_sheet(spark: SparkSession, path: str,
                      schema: T.StructType = PRICE_SHEET_SCHEMA) -> DataFrame:
     """Tab-separated, first row skipped, quotes literal, abort on a bad row.
 
-    CRLF and LF line ends both parse; an empty field is NULL. Splits of a
-    large file are read in parallel by the executors.
+    ``path`` is a file, or a folder that holds one sheet in several files. The
+    header is the first line of its first file (by name) and is skipped wherever
+    it stands, so files with and without a header of their own both load whole.
+    Every field of a row is parsed whatever columns are read, so a bad one
+    always fails. CRLF and LF line ends both parse; an empty field is NULL.
+    Splits of a large file are read in parallel by the executors.
     """
-    return (spark.read.options(**_TSV).option("mode", "FAILFAST")
-            .schema(schema).csv(path))
+    lines = spark.read.text(path)
+    files = sorted(lines.inputFiles())
+    header = spark.read.text(files[0]).first() if files else None
+    rows = lines.filter(F.col("value") != header["value"]) if header else lines
+    options = {"sep": "\t", "quote": "", "escape": "", "mode": "FAILFAST",
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
+    parsed = rows.filter(F.length("value") > 0).select(F.from_csv("value", ddl, options).alias("row"))
+    # A condition on the whole row: column pruning cannot leave a field unparsed.
+    return parsed.filter(F.hash("row") >= F.lit(-(1 << 31))).select("row.*")
 
 
 def write_price_sheet(df: DataFrame, path: str) -> str:
@@ -59,6 +73,13 @@ def publish(df: DataFrame, path: str | None = None, name: str = "table") -> Data
     return df.sparkSession.read.parquet(target)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table folder exists, in whatever file system the path names."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def append(df: DataFrame, path: str) -> DataFrame:
     """INSERT INTO ... SELECT as an append to a parquet table folder."""
     df.write.mode("append").parquet(path)

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillprice.functions import dates, text
-from quillprice.operators.joins import bounded_broadcast
 from quillprice.operators.windows import global_row_number
 
 REGISTRY_CUTOFF = "1998-01-01 00:00:00"
@@ -50,7 +49,7 @@ def seed_part_registry(feed: DataFrame, brands: DataFrame) -> DataFrame:
 
 def seed_competitor_sheet(feed: DataFrame, line_map: DataFrame) -> DataFrame:
     """One sheet row per (competitor, clean part) seen before the cutoff."""
-    lines = bounded_broadcast(line_map.filter(F.col("Xmfg").isNotNull()))
+    lines = line_map.filter(F.col("Xmfg").isNotNull())
     old = (feed.filter(F.col("Date_Created") < dates.load_stamp(SHEET_CUTOFF))
                .join(lines, feed["MFRLINE"] == lines["mfrline"])
                .withColumn("__clean", text.clean_part_number(F.col("PARTNO"))))

@@ -10,7 +10,9 @@ The sheet is a folder of versions ``v=<batch id>``; a version is complete
 once its ``_SUCCESS`` marker exists. A replayed batch rewrites its own
 version from the previous one, so replays are idempotent and the stream's
 checkpoint (offsets in the shared checkpoint folder) gives exactly-once
-publication.
+publication. Batch ids belong to one checkpoint: the sheet folder names the
+checkpoint that writes it, and a stream with another (or an emptied) one is
+refused, as its batch ids would overwrite published versions.
 """
 
 from __future__ import annotations
@@ -56,6 +58,25 @@ class SheetVersions:
         df.write.mode("overwrite").parquet(self.path(version))
 
 
+    def exists(self, path: str) -> bool:
+        fs, jvm = self._fs()
+        return fs.exists(jvm.org.apache.hadoop.fs.Path(path))
+
+    def claim(self, checkpoint: str) -> None:
+        """Bind the folder to one checkpoint; raise if it belongs to another."""
+        owner = f"{self.root}/owner"
+        if not self.exists(owner):
+            if any(v >= 0 for v in self.versions()):
+                raise ValueError(f"{self.root} has versions of an unknown checkpoint")
+            self.spark.createDataFrame([(checkpoint,)], "value string").coalesce(1).write.text(owner)
+            return
+        written = self.spark.read.text(owner).first()["value"]
+        if written != checkpoint:
+            raise ValueError(f"{self.root} belongs to checkpoint {written}, not {checkpoint}")
+        if any(v >= 0 for v in self.versions()) and not self.exists(f"{checkpoint}/offsets"):
+            raise ValueError(f"{self.root} has versions, but checkpoint {checkpoint} is empty")
+
+
 def start_competitor_stream(spark: SparkSession, feed_dir: str, feed_schema: T.StructType,
                             line_map: DataFrame, sheet_root: str, checkpoint: str,
                             initial_sheet: DataFrame | None = None, available_now: bool = True,
@@ -64,7 +85,9 @@ def start_competitor_stream(spark: SparkSession, feed_dir: str, feed_schema: T.S
 
     ``initial_sheet`` seeds version -1 when the sheet folder is empty.
     """
+    checkpoint = checkpoint.rstrip("/")
     store = SheetVersions(spark, sheet_root)
+    store.claim(checkpoint)
     if initial_sheet is not None and not store.versions():
         store.write(initial_sheet, -1)
 

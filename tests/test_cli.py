@@ -2,7 +2,7 @@
 
 from quillprice.__main__ import main
 from quillprice.oracle.compare import compare, duckdb_connection
-from quillprice.registry import oracle_sql
+from quillprice.registry import as_shown, oracle_sql
 
 SF = "/root/testdata/sf0.001"
 
@@ -13,10 +13,14 @@ def test_cli_runs_procedures_on_stored_tables(spark, tmp_path):
     main(["price-sheet", "--tables", tables, "--out", out, "--sheet", f"{tables}/price_sheet.tsv",
           "--load-ts", "2017-09-04 17:53:00"], spark)
     main(["retail", "--tables", tables, "--out", out], spark)
+    main(["competitor", "--tables", tables, "--out", out], spark)
+    main(["pivots", "--tables", tables, "--out", out], spark)
     main(["export", "--tables", tables, "--out", out], spark)
     con, sql = duckdb_connection(SF), oracle_sql()
     for name, key in (("temp_price_load", "market_price_staging"), ("matrix",
                       "market_price_matrix_refresh"), ("retail_prices", "retail_price_comparison"),
+                      ("comp_sheet", "competitor_incremental_upsert"),
+                      ("comp_pivot", "competitor_price_pivot"), ("retail_pivot", "retail_price_pivot"),
                       ("export", "oe_tagged_export")):
-        ok, _, _, detail = compare(spark.read.parquet(f"{out}/{name}"), con, sql[key])
+        ok, _, _, detail = compare(as_shown(key, spark.read.parquet(f"{out}/{name}")), con, sql[key])
         assert ok, (name, detail)

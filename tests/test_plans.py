@@ -14,8 +14,6 @@ def _plan(df):
 
 @pytest.mark.parametrize("key", sorted(queries()))
 def test_no_python_in_any_plan(spark, key):
-    if key in ("tsv_price_sheet_load", "landing_reload", "append_insert_select", "ctas_replace"):
-        pytest.skip("writes files while building; covered by the oracle run")
     plan = _plan(queries()[key](spark, SF_SMALL))
     assert "PythonUDF" not in plan and "EvalPython" not in plan
 
@@ -60,44 +58,59 @@ def test_rule_joins_never_shuffle_the_price_sheet(spark):
         assert not re.search(rf"hashpartitioning\({key}#\d+, \d+\)", plan), key
 
 
-def test_hot_product_in_feed_enrichment_is_salted(spark):
-    """M03 joins the feed to the registry on (retailer, brand, number). With one
-    product holding a third of the feed rows and a registry over the broadcast
-    bound, the product's rows are salted over several tasks."""
-    import datetime as dt
-    from decimal import Decimal
+def test_hot_and_null_keys_of_the_feed_enrichment_are_split(spark):
+    """M03 joins the feed to the registry on (retailer, brand, number). A third of the
+    rows is one product, in identical rows, and a third has a NULL key; with a
+    registry too large to broadcast, each group is spread over several tasks."""
     from pyspark.sql import functions as F
-    feed_schema = ("RETAIL_XMFG string, PRODUCTBRAND string, PRODUCTNUMBER string, "
-                   "PRODUCTNAME string, PRICE decimal(12,2), COREPRICE decimal(12,2), ZIPCODE string, "
-                   "DATE_CREATED timestamp_ntz, CLEANPRODUCTBRAND string, CLEANPRODUCTNUMBER string")
-    ts = dt.datetime(2018, 1, 1, 10)
-    rows = [("AZR", "B0", "HOT", "n", Decimal(i % 997) / 100, None, str(i % 50), ts, None, None)
-            for i in range(20000)]
-    rows += [("AZR", "B0", f"P{i}", "n", Decimal("5.00"), None, "1", ts, None, None)
-             for i in range(40000)]
-    feed = spark.createDataFrame(rows, feed_schema)
+    feed = spark.range(20000, numPartitions=12).selectExpr(
+        "'AZR' AS RETAIL_XMFG", "'B0' AS PRODUCTBRAND",
+        "explode(array('HOT', CAST(NULL AS STRING), 'P' || id)) AS PRODUCTNUMBER", "'n' AS PRODUCTNAME",
+        "CAST(5 AS DECIMAL(12,4)) AS PRICE", "CAST(NULL AS DECIMAL(12,4)) AS COREPRICE", "'1' AS ZIPCODE",
+        "TIMESTAMP_NTZ '2018-01-01 10:00:00' AS DATE_CREATED", "CAST(NULL AS STRING) AS CLEANPRODUCTBRAND",
+        "CAST(NULL AS STRING) AS CLEANPRODUCTNUMBER")
     view = spark.createDataFrame([("AZR", "B0", f"P{i}", "B0", f"P{i}", "n", "HDC")
-                                  for i in range(40000)] + [("AZR", "B0", "HOT", "B0", "HOT", "n", "HDC")],
+                                  for i in range(20000)] + [("AZR", "B0", "HOT", "B0", "HOT", "n", "HDC")],
                                  "RetailXmfg string, PRODUCTBRAND string, PRODUCTNUMBER string, "
                                  "CLEANPRODUCTBRAND string, CLEANPRODUCTNUMBER string, PartName string, "
                                  "AltXmfg string")
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.coalescePartitions.enabled": "false",
-            "spark.sql.shuffle.partitions": "16",
-            "quillprice.broadcast.maxRows": "1000",      # registry is "too big" to broadcast
-            "quillprice.skew.hotKeyRows": "5000", "quillprice.skew.salts": "16"}
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64b",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64b",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+            "spark.sql.shuffle.partitions": "16"}
     old = {k: spark.conf.get(k, None) for k in conf}
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
         out = retail.enrich_clean_keys(feed, view)
-        assert out.filter(out.CLEANPRODUCTNUMBER.isNotNull()).count() == 60000
-        assert out.exceptAll(feed.withColumn("CLEANPRODUCTBRAND", F.lit("B0"))
-                             .withColumn("CLEANPRODUCTNUMBER", feed.PRODUCTNUMBER)).count() == 0
-        hot_parts = (out.filter(out.PRODUCTNUMBER == "HOT")
-                        .groupBy(F.spark_partition_id()).count().collect())
-        assert len(hot_parts) > 4 and max(r["count"] for r in hot_parts) < 20000 / 2
+        assert out.count() == 60000
+        assert out.filter(out.CLEANPRODUCTNUMBER.eqNullSafe(out.PRODUCTNUMBER)).count() == 60000
+        for group in (out.PRODUCTNUMBER == "HOT", out.PRODUCTNUMBER.isNull()):
+            parts = out.filter(group).groupBy(F.spark_partition_id()).count().collect()
+            assert len(parts) > 4 and max(r["count"] for r in parts) < 20000 / 2
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_sheet_is_parsed_once_by_the_procedure(spark, tmp_path):
+    from dataclasses import replace
+    from quillprice.operators.routines import PricingInputs
+    from quillprice.plans.procedures import price_sheet_procedure
+    from quillprice.sources.fixtures import LOAD_TS
+    from quillprice.sources.pricesheet import publish, read_price_sheet, write_price_sheet
+    fx = Fixtures(spark, SF_SMALL)
+    sheet = read_price_sheet(spark, write_price_sheet(fx.ps_load, str(tmp_path / "sheet")))
+    inp = replace(PricingInputs.from_fixtures(fx, LOAD_TS), load=sheet)
+    plans = {}
+
+    def pub(df, name):
+        plans[name] = _plan(df)
+        return publish(df, str(tmp_path / name))
+
+    price_sheet_procedure(inp, fx.matrix, fx.upload_queue, pub)
+    assert plans["landing"].count("FileScan text") == 1
+    assert all("FileScan text" not in p for name, p in plans.items() if name != "landing")

@@ -86,10 +86,42 @@ def test_competitor_price_routine_uses_item_code(spark):
     load = sheet_rows(spark, [("W1", "P1", "30.00", "E", "x", None)])
     calc = calc_rows(spark, [("BR5", "F4", "W1", "G07", "0.7200", None, 1, "A08")])
     inp = inputs(spark, load, calc, pdm0=[("P1", "Brand#1")], setup=[("Brand#1", "A08")],
-                 price_file=[("6250108  ", 200000, 0), ("625A109", 100000, 0)],
+                 price_file=[("6250108  ", 200000, 0), ("624A109", 100000, 0), ("625A110", 100000, 4)],
                  xref=[("HDC", "108", "X", "P1", "D")])
     rows = R.routine_output(inp, "R7").collect()
     assert [(r.CalcPrice, r.FS_WD, r.PriceJobber) for r in rows] == [(14.40, 30.0, 27.0)]
+    assert R.rejected_codes(inp).count() == 0
+    # a malformed code of the competitor fails the job, or goes to the reject table
+    bad = inputs(spark, load, calc, pdm0=[("P1", "Brand#1")], setup=[("Brand#1", "A08")],
+                 price_file=[("6250108  ", 200000, 0), ("625A109", 100000, 0)],
+                 xref=[("HDC", "108", "X", "P1", "D")])
+    with pytest.raises(Exception, match="malformed item code: 625A109"):
+        R.routine_output(bad, "R7").collect()
+    bad.reject_bad_codes = True
+    assert [r.CalcPrice for r in R.routine_output(bad, "R7").collect()] == [14.40]
+    assert [r.BPLITM for r in R.rejected_codes(bad).collect()] == ["625A109"]
+
+
+def test_large_price_without_a_gross_rule_passes(spark):
+    # 900 * 0.5 * 500 = 225,000 is beyond numeric(7,2); only a gross percent casts it
+    load = sheet_rows(spark, [("W0", "P1", "900", "E", "x", None)])
+    calc = calc_rows(spark, [("BR6", "F5", "W0", "G09", "0.5000", None, 1, "No_Ceiling_UOM")])
+    row = R.market_price_staging(inputs(spark, load, calc, pack=[("P1", "500", MOQ)])).first()
+    assert (row.CalcPrice, row.PriceNet) == (225000.0, None)
+    calc = calc_rows(spark, [("BR6", "F5", "W0", "G09", "0.5000", "0.9000", 1, "No_Ceiling_UOM")])
+    with pytest.raises(Exception):
+        R.market_price_staging(inputs(spark, load, calc, pack=[("P1", "500", MOQ)])).collect()
+
+
+def test_averages_keep_stored_precision(spark):
+    from decimal import Decimal
+    from quillprice.operators.aggregates import fixed_pivot_avg, price_stats
+    rows = [("k", Decimal("0.1249"), Decimal("0.0005"), "1")] * 3
+    df = spark.createDataFrame(rows, "k string, PRICE decimal(12,4), COREPRICE decimal(12,4), ZIPCODE string")
+    r = price_stats(df, ["k"]).first()
+    assert (r.AvgPrice, r.AvgCore) == (0.1249, 0.0005)
+    means = spark.createDataFrame([("p", "A", 1 / 3), ("p", "A", 1 / 3)], "part string, c string, v double")
+    assert abs(fixed_pivot_avg(means, "part", "c", ["A"], "v").first().A - 1 / 3) < 1e-12
 
 
 def test_staging_has_declared_columns(spark):

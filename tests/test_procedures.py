@@ -4,7 +4,7 @@ from conftest import SF_SMALL
 from quillprice.operators.routines import PricingInputs
 from quillprice.oracle.compare import compare, duckdb_connection
 from quillprice.plans import procedures as P
-from quillprice.registry import oracle_sql
+from quillprice.registry import as_shown, oracle_sql
 from quillprice.sources.fixtures import LOAD_TS, Fixtures
 from quillprice.sources.pricesheet import publish
 
@@ -23,6 +23,8 @@ def test_procedures_match_oracle(spark, tmp_path):
     out.update(P.competitor_procedure(fx.comp_feed, fx.line_map, fx.comp_sheet, pub))
     out.update(P.pivot_procedure(out["sheet"], fx.comp_xref, out["comparison"], pub))
     out.update(P.export_procedure(fx.oe_list, pub))
+    landing = spark.read.parquet(str(tmp_path / "landing"))
+    assert landing.count() == fx.ps_load.count()
     con, sql = duckdb_connection(SF_SMALL), oracle_sql()
     pairs = {"staging": "market_price_staging", "matrix": "market_price_matrix_refresh",
              "queue": "upload_queue_refresh", "brands": "brand_registry_update",
@@ -31,5 +33,5 @@ def test_procedures_match_oracle(spark, tmp_path):
              "sheet": "competitor_incremental_upsert", "comp_pivot": "competitor_price_pivot",
              "retail_pivot": "retail_price_pivot", "export": "oe_tagged_export"}
     for name, key in pairs.items():
-        ok, _, _, detail = compare(out[name], con, sql[key])
+        ok, _, _, detail = compare(as_shown(key, out[name]), con, sql[key])
         assert ok, (name, detail)

@@ -70,7 +70,8 @@ def test_single_pass_stats_equal_self_join_form(spark):
     rows = retail.latest_day_rows(feed)                       # J15: the reference's self-join
     joined = rows.groupBy(*retail.KEYS, "LastShop").agg(
         F.min("PRICE").cast("double").alias("MinPrice"), F.max("PRICE").cast("double").alias("MaxPrice"),
-        exact_avg(F.col("PRICE")).alias("AvgPrice"), exact_avg(F.col("COREPRICE")).alias("AvgCore"),
+        exact_avg(F.col("PRICE"), rows.schema["PRICE"].dataType).alias("AvgPrice"),
+        exact_avg(F.col("COREPRICE"), rows.schema["COREPRICE"].dataType).alias("AvgCore"),
         F.countDistinct("ZIPCODE").alias("ShopCnt"))
     single = retail.last_shop_stats(feed).select(*joined.columns)
     assert single.exceptAll(joined).count() == 0 and joined.exceptAll(single).count() == 0

@@ -23,8 +23,45 @@ def test_crlf_and_quotes_and_empty_fields(spark, tmp_path):
     rows = pricesheet.read_price_sheet(spark, _write(tmp_path, body)).collect()
     assert len(rows) == 1
     r = rows[0]
-    assert (r.Cust_Part_Number, str(r.Gross_Price), r.POP_Code, r.Core_Price, r.Effective_Date.year) \
-        == ('P"1', "12.34", " E ", None, 2017)
+    assert (r.Cust_Part_Number, float(r.Gross_Price), r.POP_Code, r.Core_Price, r.Effective_Date.year) \
+        == ('P"1', 12.34, " E ", None, 2017)
+
+
+def test_prices_keep_their_decimals(spark, tmp_path):
+    body = HEADER + "\nW0\tP1\t12.345\tE\tx\t1.005\tPS1\t2017-09-01\n"
+    r = pricesheet.read_price_sheet(spark, _write(tmp_path, body)).first()
+    assert (float(r.Gross_Price), float(r.Core_Price)) == (12.345, 1.005)
+
+
+@pytest.mark.parametrize("second_has_header", [False, True])
+def test_header_is_skipped_once_in_a_sheet_of_two_files(spark, tmp_path, second_has_header):
+    def line(part):
+        return f"W0\t{part}\t1.00\tE\tx\t\tPS1\t2017-09-01\n"
+    folder = tmp_path / "sheet"
+    folder.mkdir()
+    (folder / "a.txt").write_text(HEADER + "\n" + line("P1") + line("P2"))
+    (folder / "b.txt").write_text((HEADER + "\n" if second_has_header else "") + line("P3") + line("P4"))
+    rows = pricesheet.read_price_sheet(spark, str(folder)).collect()
+    assert sorted(r.Cust_Part_Number for r in rows) == ["P1", "P2", "P3", "P4"]
+
+
+def test_bad_field_aborts_whatever_is_read(spark, tmp_path):
+    body = HEADER + "\nW0\tP1\t1.00\tE\tx\t\tPS1\t2017-09-01\nW0\tP2\t1.00\tE\tx\t\tPS1\tnot a date\n"
+    sheet = pricesheet.read_price_sheet(spark, _write(tmp_path, body))
+    for read in (lambda: sheet.count(), lambda: sheet.select("Cust_Part_Number").collect()):
+        with pytest.raises(Exception):
+            read()
+
+
+def test_procedure_refuses_a_missing_price(spark, tmp_path):
+    from quillprice.plans.procedures import price_sheet_procedure
+    from quillprice.plans.market import QUEUE_COLUMNS
+    load = sheet_rows(spark, [("W0", "P1", None, "E", "x", None)])
+    calc = calc_rows(spark, [("BR1", "F0", "W0", "G01", "0.5000", None, 0, None)])
+    queue = spark.createDataFrame([], ", ".join(f"{c} string" for c in QUEUE_COLUMNS))
+    with pytest.raises(Exception, match="declared schema"):
+        price_sheet_procedure(inputs(spark, load, calc), queue, queue,
+                              lambda df, name: pricesheet.publish(df, str(tmp_path / name)))
 
 
 def test_bad_number_aborts_the_load(spark, tmp_path):

@@ -33,3 +33,17 @@ def test_marks_only_move_forward(spark, tmp_path):
     new_mark = streamed.agg(F.max("PS_Date_Created")).first()[0]
     assert new_mark >= old_mark
     assert streamed.count() >= fx.comp_sheet.count()
+
+
+def test_a_foreign_or_emptied_checkpoint_is_refused(spark, tmp_path):
+    import pytest
+    fx, feed, streamed = _run(spark, tmp_path, 2, None)
+    before = sorted(map(tuple, streamed.collect()))
+    for checkpoint in ("other", "ckpt"):
+        if checkpoint == "ckpt":
+            (tmp_path / "ckpt").rename(tmp_path / "moved")
+        with pytest.raises(ValueError):
+            start_competitor_stream(spark, str(tmp_path / "feed"), feed.schema, fx.line_map,
+                                    str(tmp_path / "sheet"), str(tmp_path / checkpoint),
+                                    initial_sheet=fx.comp_sheet)
+    assert sorted(map(tuple, SheetVersions(spark, str(tmp_path / "sheet")).read().collect())) == before
