@@ -5,6 +5,7 @@ import pytest
 from conftest import SF_SMALL
 from quillprice.plans import retail
 from quillprice.registry import queries
+from quillprice.session import materialize
 from quillprice.sources.fixtures import Fixtures
 
 
@@ -80,16 +81,16 @@ def test_hot_and_null_keys_of_the_feed_enrichment_are_split(spark):
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64b",
             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64b",
             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
-            "spark.sql.shuffle.partitions": "16"}
+            "spark.sql.shuffle.partitions": "1000"}
     old = {k: spark.conf.get(k, None) for k in conf}
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
-        out = retail.enrich_clean_keys(feed, view)
+        out = materialize(retail.enrich_clean_keys(feed, view).withColumn("task", F.spark_partition_id()), "split")
         assert out.count() == 60000
         assert out.filter(out.CLEANPRODUCTNUMBER.eqNullSafe(out.PRODUCTNUMBER)).count() == 60000
         for group in (out.PRODUCTNUMBER == "HOT", out.PRODUCTNUMBER.isNull()):
-            parts = out.filter(group).groupBy(F.spark_partition_id()).count().collect()
+            parts = out.filter(group).groupBy("task").count().collect()
             assert len(parts) > 4 and max(r["count"] for r in parts) < 20000 / 2
     finally:
         for k, v in old.items():
