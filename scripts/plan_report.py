@@ -3,7 +3,9 @@
 Usage: python scripts/plan_report.py [sf_dir] > PLANS.md
 Each query is executed (collect) so the report shows the final AQE plan:
 shuffles actually run, exchanges reused, broadcast / sort-merge joins,
-single-partition exchanges and file scans.
+single-partition exchanges and file scans. Tables that a query writes on its
+way (registries, batches, numbered rows) are jobs of their own; their shuffles
+are counted from their plans as they were written, and shown beside.
 """
 
 from __future__ import annotations
@@ -13,6 +15,8 @@ import sys
 
 sys.path.insert(0, __file__.rsplit("/scripts/", 1)[0])
 
+from pyspark.sql.readwriter import DataFrameWriter  # noqa: E402
+
 from quillprice.registry import queries  # noqa: E402
 from quillprice.session import local_session  # noqa: E402
 
@@ -45,19 +49,37 @@ def summarize(plan: str) -> dict:
     }
 
 
+WRITTEN: list[int] = []
+
+
+def note_writes():
+    """Count the shuffles of every table that is written from now on."""
+    write = DataFrameWriter.parquet
+
+    def noted(self, *args, **kwargs):
+        plan = self._df._jdf.queryExecution().executedPlan().toString()
+        WRITTEN.append(len(re.findall(r"Exchange (?:hash|range)partitioning", plan)))
+        return write(self, *args, **kwargs)
+
+    DataFrameWriter.parquet = noted
+
+
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session()
     qs = queries()
     print(f"# Final physical plans at {sf_dir}\n")
-    print("| query | shuffles | reused | BHJ | SMJ | single-partition | scans | python |")
-    print("| --- | --- | --- | --- | --- | --- | --- | --- |")
+    note_writes()
+    print("| query | tables written before | shuffles in them | shuffles | reused | BHJ | SMJ | "
+          "single-partition | scans | python |")
+    print("| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |")
     details = []
     for k in KEYS:
+        WRITTEN.clear()
         df = qs[k](spark, sf_dir)
         df.collect()
         s = summarize(df._jdf.queryExecution().executedPlan().toString())
-        print(f"| {k} | {s['shuffles']} | {s['reused']} | {s['broadcast joins']} | "
+        print(f"| {k} | {len(WRITTEN)} | {sum(WRITTEN)} | {s['shuffles']} | {s['reused']} | {s['broadcast joins']} | "
               f"{s['sort-merge joins']} | {s['single-partition']} | {s['scans']} | {s['python']} |")
         details.append((k, s["shuffle keys"]))
     print("\n## Shuffle keys\n")
