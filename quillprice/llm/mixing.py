@@ -112,7 +112,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT, seed: st
                      .select("doc.*"))
 
     def found(own: DataFrame) -> DataFrame:
-        return rows.join(own, F.col("doc.doc_id").eqNullSafe(F.col("id")) & (F.col("row") == F.col("key")))
+        # The copies grow with the documents, so they are never broadcast, small or not.
+        return rows.join(own.hint("merge"), F.col("doc.doc_id").eqNullSafe(F.col("id")) & (F.col("row") == F.col("key")))
 
     alike = (found(copies.filter("alike > 1")).groupBy("id", "row")
              .agg(F.first("doc").alias("doc"), F.first("copies").alias("copies")))
