@@ -27,65 +27,44 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillprice.llm.license_templates import RUN_BARS, TEMPLATES, TOKEN, telling
 from quillprice.session import materialize
 
 THRESHOLD = 0.6
 SHARE = 1.0
 LINE_SHARE = 0.8
 LINE_WORDS = 3
-TOKEN = "[a-z0-9]+"
 CUE = (r"(?i)licen[cs]e|copyright|copyleft|redistribut|warrant|all rights reserved|public domain|spdx"
-       r"|creative commons|\bcc[ -](by|0)")
+       r"|creative ?commons|\bcc[ -](by|0)|\bcc0\b|\b[al]?gpl")
 LICENCE_NAMES = r"(?i)(^|/)(licen[cs]e|copying|notice|unlicense)[^/]*$"
 
-#: Usual notices of common licences.
-TEMPLATES = [
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in "
-                   "compliance with the License. You may obtain a copy of the License at "
-                   "http://www.apache.org/licenses/LICENSE-2.0. Unless required by applicable law or agreed to in "
-                   "writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT "
-                   "WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."),
-    ("BSD-2-Clause", "Licensed under the 2-clause BSD License."),
-    ("BSD-3-Clause", "Licensed under the 3-clause BSD License."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted "
-                     "provided that the following conditions are met: redistributions of source code must retain the "
-                     "above copyright notice, this list of conditions and the following disclaimer."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International "
-                     "License."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("CC0-1.0", "Released into the public domain under CC0 1.0."),
-    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
-                "General Public License as published by the Free Software Foundation, either version 3 of the "
-                "License, or (at your option) any later version. This program is distributed in the hope that it "
-                "will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or "
-                "FITNESS FOR A PARTICULAR PURPOSE."),
-    ("LGPL-3.0", "Licensed under the GNU Lesser General Public License, version 3."),
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
-            "associated documentation files (the Software), to deal in the Software without restriction, including "
-            "without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell "
-            "copies of the Software."),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("Proprietary", "Copyright. All rights reserved."),
-]
-
 
 def template_weights(templates=TEMPLATES) -> tuple[list[tuple], dict[str, float], float]:
-    """(template, licence, word, weight / norm) rows; the idf of each word; that of any other word."""
+    """(template, licence, word, weight / norm) rows; the idf of each word; that of any other word.
+
+    The idf counts licences, so that the forms of one licence do not make its own words common.
+    """
     counts = [(name, Counter(re.findall(TOKEN, text.lower()))) for name, text in templates]
-    df = Counter(w for _, c in counts for w in c)
-    idf = {w: math.log((1 + len(counts)) / (1 + n)) + 1 for w, n in df.items()}
+    names = len({name for name, _ in counts})
+    df = Counter(w for _, w in {(name, w) for name, c in counts for w in c})
+    idf = {w: math.log((1 + names) / (1 + n)) + 1 for w, n in df.items()}
     rows = []
     for i, (name, c) in enumerate(counts):
         norm = math.sqrt(sum((n * idf[w]) ** 2 for w, n in c.items()))
         rows += [(i, name, w, n * idf[w] / norm) for w, n in sorted(c.items())]
-    return rows, idf, math.log(1 + len(counts)) + 1
+    return rows, idf, math.log(1 + names) + 1
+
+
+def _marked(rows: list[tuple], templates) -> list[tuple]:
+    """The rows with (needed or not, barred or not, words needed in all, word barred from the run).
+
+    Barred words come as rows without weight.
+    """
+    told = [telling(name, text) for name, text in templates]
+    out = [(i, name, w, weight, int(w in told[i][0]), 0, len(told[i][0]), RUN_BARS.get(name))
+           for i, name, w, weight in rows]
+    return out + [(i, name, w, 0.0, 0, 1, len(told[i][0]), RUN_BARS.get(name))
+                  for i, (name, _) in enumerate(templates) for w in sorted(told[i][1])]
 
 
 def _tokens(text: Column) -> Column:
@@ -93,28 +72,39 @@ def _tokens(text: Column) -> Column:
 
 
 def passages(files: DataFrame, templates=TEMPLATES) -> DataFrame:
-    """(file, words of the file, at, unit, tokens): the runs of the files that have a cue anywhere.
+    """(file, words of the file, at, bars, unit, tokens): the runs of the files that have a cue anywhere.
 
-    The units of a run are the whole run and each of its lines with a cue.
+    The units of a run are the whole run and each of its lines with a cue. ``bars``: those of the words that
+    bar a licence from a run that it has.
     """
     vocabulary = F.array(*[F.lit(w) for w in sorted(template_weights(templates)[1])])
+    bars = F.array(*[F.lit(w) for w in sorted(set(RUN_BARS.values()))])
 
-    def speaks(line: Column) -> Column:
+    def speaks(line: Column, least: int = LINE_WORDS) -> Column:
         kinds = F.array_distinct(_tokens(line))
         known = F.size(F.array_intersect(kinds, vocabulary))
-        return line.rlike(CUE) | ((F.size(kinds) >= LINE_WORDS) & (known >= LINE_SHARE * F.size(kinds)))
+        return line.rlike(CUE) | ((F.size(kinds) >= least) & (known >= LINE_SHARE * F.size(kinds)))
 
-    # Every other line becomes a mark; what stands between marks is a run.
+    # Every other line becomes a mark; what stands between marks is a run. Lines of fewer words, or none,
+    # do not end a run if all of them are known, but a run neither begins nor ends with such a line.
     runs = F.split(F.array_join(F.transform(F.split("text", "\n"),
-                                            lambda x: F.when(speaks(x), x).otherwise(F.lit("\u0001"))), "\n"),
+                                            lambda x: F.when(speaks(x, 0), x).otherwise(F.lit("\u0001"))), "\n"),
                    "\u0001")
-    run = F.btrim("run", F.lit("\n"))
-    units = F.array_distinct(F.concat(F.array(run), F.filter(F.split(run, "\n"), lambda x: x.rlike(CUE))))
+    flags = F.transform("lines", lambda x: speaks(x))
+    first = F.array_position(flags, True).cast("int")
+    last = F.size("lines") + 1 - F.array_position(F.reverse(flags), True).cast("int")
+    lines = F.slice("lines", first, last - first + 1)
+    run = F.array_join("lines", "\n")
+    units = F.array_distinct(F.concat(F.array(run), F.filter("lines", lambda x: x.rlike(CUE))))
     return (files.filter(F.col("text").rlike(CUE))
                  .select("file", F.size(_tokens(F.col("text"))).alias("words"), F.posexplode(runs).alias("at", "run"))
                  .filter(F.col("run").rlike(CUE))
-                 .select("file", "words", "at", F.posexplode(units).alias("unit", "passage"))
-                 .select("file", "words", "at", "unit", _tokens(F.col("passage")).alias("tokens")))
+                 .select("file", "words", "at", F.split("run", "\n").alias("lines"))
+                 .select("file", "words", "at", lines.alias("lines"))
+                 .select("file", "words", "at",
+                         F.concat_ws(" ", F.array_intersect(_tokens(run), bars)).alias("bars"),
+                         F.posexplode(units).alias("unit", "passage"))
+                 .select("file", "words", "at", "bars", "unit", _tokens(F.col("passage")).alias("tokens")))
 
 
 def own_licences(files: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
@@ -125,17 +115,23 @@ def own_licences(files: DataFrame, templates=TEMPLATES, threshold: float = THRES
     spark: SparkSession = files.sparkSession
     rows, idf, other = template_weights(templates)
     # Both tables come from the fixed list of templates, so they are small whatever the input.
-    weights = F.broadcast(spark.createDataFrame(rows, "template int, license string, word string, weight double"))
+    weights = F.broadcast(spark.createDataFrame(
+        _marked(rows, templates), "template int, license string, word string, weight double, need int, bar int, "
+                                  "needs int, run_bar string"))
     known = F.broadcast(spark.createDataFrame(sorted(idf.items()), "w string, idf double"))
-    unit = ["file", "words", "at", "unit", "size"]
+    unit = ["file", "words", "at", "bars", "unit", "size"]
     words = (passages(files, templates)
-             .select("file", "words", "at", "unit", F.size("tokens").alias("size"), F.explode("tokens").alias("word"))
+             .select("file", "words", "at", "bars", "unit", F.size("tokens").alias("size"),
+                     F.explode("tokens").alias("word"))
              .groupBy(*unit, "word").agg(F.count(F.lit(1)).alias("n"))
              .join(known, F.col("word") == F.col("w"), "left")
              .withColumn("v", F.col("n") * F.coalesce("idf", F.lit(other))))
     norms = words.groupBy("file", "at", "unit").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"))
     dots = (words.join(weights, "word").groupBy(*unit, "template", "license")
-                 .agg(F.sum(F.col("v") * F.col("weight")).alias("dot")))
+                 .agg(F.sum(F.col("v") * F.col("weight")).alias("dot"), F.sum("need").alias("need"),
+                      F.max("bar").alias("bar"), F.max("needs").alias("needs"), F.max("run_bar").alias("run_bar"))
+                 .filter((F.col("need") == F.col("needs")) & (F.col("bar") == 0)
+                         & ~F.coalesce(F.col("bars").contains(F.col("run_bar")), F.lit(False))))
     scored = (dots.join(norms, ["file", "at", "unit"])
                   .withColumn("score", F.round(F.col("dot") / F.col("norm"), 6))
                   .groupBy(*unit).agg(F.min(F.struct((-F.col("score")).alias("minus"), "license")).alias("best"))
