@@ -154,7 +154,8 @@ for _name, _title, _version, _date, _years, _short in [
         f"{_license} Version {_version}, {_date} Copyright (C) {_years} Free Software Foundation, Inc. Everyone is "
         "permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed.",
         f"Licensed under the {_short} version {_version}.", f"Licensed under the {_short} v{_version}.",
-        f"Licensed under the {_short}v{_version}.")]
+        f"Licensed under the {_short}v{_version}.",
+        f"Licensed under the GNU {_title.replace('General', 'GPL')} v{_version}.")]
 
 TEMPLATES += [(f"GFDL-{v}", "Permission is granted to copy, distribute and/or modify this document under the terms "
                f"of the GNU Free Documentation License, Version {v} or any later version published by the Free Software "
@@ -180,16 +181,21 @@ TEMPLATES += [(n, f"SPDX-License-Identifier: {n}{end}") for n in _names
 
 _GNU = {"GPL": {"lesser", "affero", "lgpl", "agpl", "documentation"}, "LGPL": {"affero", "agpl"}, "AGPL": {"lesser", "lgpl"}}
 _TITLES = {"LGPL-2.0": {"library", "lgpl"}, "AGPL-3.0": {"affero", "agpl"}}
+_NAMED = {"apache", "boost", "bsd", "cc", "cc0", "commons", "creativecommons", "eclipse", "general", "gpl", "isc", "mit",
+          "mozilla", "reserved", "zlib"}
 _CC = [{"sa", "sharealike", "alike"}, {"nc", "noncommercial"}, {"nd", "noderivatives", "noderivs"}]
+#: The passage must not name another of the GNU licences than the general one.
+OTHER_GNU = "(library|lesser|affero) general"
 #: A run that has this word has not this licence: its text would be the beginning of a longer one.
 RUN_BARS = {"BSD-2-Clause": "endorse", "BSD-3-Clause": "advertising", "0BSD": "appear"}
+BARS = RUN_BARS | {n: "other_gnu" for n in ("GPL-1.0", "GPL-2.0", "GPL-3.0")}
 
 
 def telling(name: str, text: str) -> tuple[set[str], set[str]]:
     """Words of a template that a passage must have, and words that it must not have."""
     words = set(re.findall(TOKEN, text.lower()))
     digits = {d for d in re.findall(r"\d+", name) if d != "0"}
-    needs = {w for w in words if re.sub(r"^([al]?gpl)?v(?=\d)", "", w) in digits}
+    needs = {w for w in words if re.sub(r"^([al]?gpl)?v(?=\d)", "", w) in digits} | words & _NAMED
     bars = set()
     if "GPL" in name:
         bars = _GNU[name.split("-")[0]]

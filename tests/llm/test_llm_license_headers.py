@@ -83,3 +83,26 @@ def test_headers_of_each_licence_and_version(spark):
     files = spark.createDataFrame([(f"f{i}/x", t) for i, (_, t) in enumerate(HEADERS)], "path string, text string")
     got = {r.path: r.license for r in scan(files).collect()}
     assert [(t, got[f"f{i}/x"]) for i, (_, t) in enumerate(HEADERS)] == [(t, name) for name, t in HEADERS]
+
+
+PROSE = "seven further ordinary words stand right here "
+
+
+def test_notices_that_share_their_line(spark):
+    apache = "Copyright 2020 The Foo Project contributors. Licensed under the Apache License, Version 2.0."
+    notices = [("MIT", "Released under the MIT License."), ("Apache-2.0", apache),
+               ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."), ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
+               ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
+               ("LGPL-2.1", "Licensed under the GNU Lesser General Public License, version 2.1."),
+               ("GPL-2.0", gnu("General", "2").replace("\n", " ")), ("ISC", HEADERS[20][1].replace("\n", " "))]
+    ways = [lambda t: PROSE[:22] + t, lambda t: PROSE + t + " " + PROSE, lambda t: PROSE * 300 + t + " " + PROSE * 300,
+            lambda t: PROSE + "\n" + PROSE + t[:len(t) // 2] + t[len(t) // 2:] + " " + PROSE + "\n" + PROSE]
+    rows = [(f"n{i}/{j}", way(t), name) for i, (name, t) in enumerate(notices) for j, way in enumerate(ways)]
+    rows += [(f"p{i}/x", t, None) for i, t in enumerate([
+        PROSE * 9 + "needs a new license to fish and the public general version 2 of it " + PROSE * 9,
+        PROSE + "the copyright of all these works is held by the simplified estate 3 " + PROSE])]
+    out = scan(spark.createDataFrame(rows, "path string, text string, name string")).collect()
+    assert len(out) == len(rows)
+    assert [(r.path, r.license) for r in out if r.license != r.name] == []
+    # a notice is a part of such a file, so the file is no licence file
+    assert all(r.origin == ("own" if r.name else "none") for r in out)
