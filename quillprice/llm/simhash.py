@@ -11,7 +11,7 @@ two nodes take different bits, and a pair beyond ``max_bits`` is pruned with
 all that is below it. The traversal has two halves:
 
 * The top of the trie is cut into blocks, the largest subtrees of at most
-  ``block`` fingerprints (counted by Spark, eight levels a round). Pairs of
+  ``block`` fingerprints (counted and chosen by Spark, eight levels a round). Pairs of
   blocks within the error are found by traversing the block table.
 * Each surviving pair of blocks is one group of a Spark shuffle, in which the
   traversal goes on down to the leaves. A group holds two blocks at most.
@@ -68,13 +68,14 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fp (the fingerprint as a signed long)."""
+    """doc_id, fp (the fingerprint as a signed long), content (hash of the text)."""
 
     @F.pandas_udf("long")
     def simhash(texts: pd.Series) -> pd.Series:
         return pd.Series(np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64))
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), simhash(text_or_empty()).alias("fp"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), simhash(text_or_empty()).alias("fp"),
+                       F.xxhash64(text_or_empty()).alias("content"))
 
 
 # -- the trie traversal --------------------------------------------------------
@@ -191,32 +192,33 @@ def trie_blocks(nodes: DataFrame, block: int = BLOCK) -> tuple[np.ndarray, np.nd
     """(first key, depth) of the largest subtrees of at most ``block`` fingerprints.
 
     Spark counts the fingerprints below each node, ``ROUND_BITS`` levels a round
-    and only below nodes that are still too large; the driver gets one count for
-    each of those nodes, about 2^ROUND_BITS for each block.
+    and only below nodes that are still too large, and picks the blocks among
+    the nodes of those levels; the driver gets one row for each block.
     """
-    spark = nodes.sparkSession
-    ready, open_, depth = [], None, 0
+    ready, heavy, depth = [], None, 0
     while depth < 64:
-        cell = F.shiftrightunsigned("fp", 64 - ROUND_BITS - depth)
         cells = nodes
-        if open_ is not None:
-            heavy = spark.createDataFrame([(int(x),) for x in open_], "heavy long")
-            cells = nodes.join(F.broadcast(heavy), F.shiftrightunsigned("fp", 64 - depth) == F.col("heavy"))
-        counts = {int(r["cell"]) & _MASK: r["n"] for r in cells.groupBy(cell.alias("cell"))
-                  .agg(F.count(F.lit(1)).alias("n")).collect()}
+        if heavy is not None:
+            cells = nodes.join(heavy, F.shiftrightunsigned("fp", 64 - depth) == F.col("heavy"), "left_semi")
         depth += ROUND_BITS
-        open_ = [x for x, n in counts.items() if n > block]
-        for level in range(depth, depth - ROUND_BITS, -1):
-            parents: dict[int, int] = {}
-            for x, n in counts.items():
-                parents[x >> 1] = parents.get(x >> 1, 0) + n
-            ready += [(x << (64 - level), level) for x, n in counts.items() if n <= block < parents[x >> 1]]
-            counts = parents
-        if depth == ROUND_BITS and counts and counts[0] <= block:
-            ready.append((0, 0))
-        if not open_:
+        counts = materialize(cells.groupBy(F.shiftrightunsigned("fp", 64 - depth).alias("cell"))
+                                  .agg(F.count(F.lit(1)).alias("n")), "trie-counts")
+        # All ancestors of a cell within this round, each with its count; of those small enough the highest is a block.
+        level = F.explode(F.sequence(F.lit(depth - ROUND_BITS), F.lit(depth))).alias("level")
+        sums = (counts.select("cell", "n", level)
+                      .groupBy("level", F.expr(f"shiftrightunsigned(cell, {depth} - level)").alias("node"))
+                      .agg(F.sum("n").alias("n")).filter(F.col("n") <= block))
+        parents = sums.select((F.col("level") + 1).alias("child_level"), F.col("node").alias("parent"))
+        highest = sums.join(parents, (F.col("level") == F.col("child_level"))
+                            & (F.shiftrightunsigned("node", 1) == F.col("parent")), "left_anti")
+        # A small node at the top of a later round is below a heavy one, so it was counted there already.
+        ready += [(int(r["node"]) << (64 - r["level"]) & _MASK, r["level"])
+                  for r in highest.select("level", "node").toLocalIterator()]
+        if depth == 64:
+            ready += [(int(r["cell"]) & _MASK, 64) for r in counts.filter(F.col("n") > block).toLocalIterator()]
+        heavy = counts.filter(F.col("n") > block).select(F.col("cell").alias("heavy"))
+        if not heavy.take(1):
             break
-    ready += [(x, 64) for x in (open_ or [])]
     ready.sort()
     return np.array([k for k, _ in ready], np.uint64), np.array([d for _, d in ready], np.int64)
 
@@ -291,9 +293,8 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> Dat
                   .applyInPandas(join, "a long, b long"))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
-                    block: int = BLOCK) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable)."""
+def _grouped(docs: DataFrame, shingle: int, max_bits: int, block: int) -> DataFrame:
+    """doc_id, fp, content, component of every row."""
     own = materialize(fingerprints(docs, shingle), "simhash")
     nodes = materialize(own.filter("doc_id IS NOT NULL").groupBy("fp")
                            .agg(F.min("doc_id").alias("id")), "simhash-nodes")
@@ -303,16 +304,26 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
         nodes.join(forest, nodes["id"] == forest["node"], "left")
              .select(F.col("fp").alias("__fp"), F.coalesce("component", "id").alias("component")), "simhash-named")
     return (own.join(named, own["fp"] == named["__fp"], "left")
-               .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-                       F.when(F.col("doc_id").isNotNull(), F.col("component")).alias("component_id")))
+               .select("doc_id", "fp", "content", F.when(F.col("doc_id").isNotNull(), F.col("component")).alias("component")))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
+                    block: int = BLOCK) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable)."""
+    return (_grouped(docs, shingle, max_bits, block)
+            .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                    F.col("component").alias("component_id")))
 
 
-def near_dedup(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+def near_dedup(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataFrame:
     """The rows of ``docs`` with the document of the smallest doc_id of each component.
 
-    Rows without doc_id stay.
+    Rows without doc_id stay. Rows that share a doc_id but not a text are judged
+    each by its own text.
     """
-    found = near_duplicates(docs.select("doc_id", "text"), shingle, max_bits)
-    dropped = materialize(found.filter("doc_id <> component_id")
-                               .select(F.col("doc_id").alias("__dropped")).dropDuplicates(), "simhash-dropped")
-    return docs.join(dropped, docs["doc_id"] == dropped["__dropped"], "left_anti")
+    dropped = materialize(_grouped(docs.select("doc_id", "text"), shingle, max_bits, block)
+                          .filter("doc_id <> component")
+                          .select(F.col("doc_id").alias("__dropped"), F.col("content").alias("__content"))
+                          .dropDuplicates(), "simhash-dropped")
+    return docs.join(dropped, (docs["doc_id"] == dropped["__dropped"])
+                     & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == dropped["__content"]), "left_anti")

@@ -115,3 +115,21 @@ def test_odd_rows(spark):
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 3, 6, 8, 8, 10]
     assert kept.columns == odd_docs(spark, clash=True).columns
     assert near_duplicates(no_docs(spark)).count() == near_dedup(no_docs(spark)).count() == 0
+
+
+def test_rows_that_share_an_id_are_judged_by_their_own_text(spark):
+    a, b = "one text of five words", "quite another text that is like no other"
+    docs = spark.createDataFrame([(1, a), (2, a), (2, b), (3, None), (4, ""), (4, b + " at all")], "doc_id long, text string")
+    assert sorted((r.doc_id, r.text) for r in near_dedup(docs).collect() if r.text) == \
+        [(1, a), (2, b), (4, b + " at all")]
+
+
+def test_blocks_are_the_largest_small_subtrees(spark):
+    keys = close_keys(5)
+    nodes = spark.createDataFrame([(int(np.int64(np.uint64(k))), i) for i, k in enumerate(keys)], "fp long, id long")
+    for block in (1, 7, 50, 10_000):
+        first, depth = simhash.trie_blocks(nodes, block)
+        at = np.searchsorted(first, keys, "right") - 1
+        assert np.bincount(at, minlength=len(first)).min() > 0 and np.bincount(at).max() <= block
+        for k, d in zip(first.tolist(), depth.tolist()):        # one level up it would be too large
+            assert d == 0 or sum(int(x) >> (65 - d) == k >> (65 - d) for x in keys) > block
