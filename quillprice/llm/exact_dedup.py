@@ -12,7 +12,8 @@
 
 Null text counts as empty. Of equal texts the row with the largest doc_id
 stays (null is smallest); of repeated rows with that doc_id exactly one stays.
-An empty table gives no rows. Other columns, whatever their names, are carried
+An empty table gives no rows. A text is compared and kept as its bytes, also
+where these are no UTF-8. Other columns, whatever their names, are carried
 by ``exact_dedup`` as they are and not looked at by ``exact_groups``.
 """
 
@@ -222,7 +223,7 @@ def exact_dedup(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFrame:
     spill_dir = shared_uri(spark, "grace")
     # All columns but the text travel as one packed row, so that any types go through.
     packed = docs.select(
-        F.col("doc_id").cast("long").alias("id"), text_or_empty().alias("content"),
+        F.col("doc_id").cast("long").alias("id"), text_or_empty().cast("binary").alias("content"),
         F.xxhash64(text_or_empty()).alias("h"),
         F.struct(docs["text"].isNull().alias("null"),
                  *[docs[c].alias(f"c{i}") for i, c in enumerate(columns) if c != "text"]).alias("row"))
@@ -246,7 +247,7 @@ def exact_dedup(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFrame:
                 table.add(h, content, (doc_id, pickle.dumps(row)))
         rows, held = [], 0
         for content, (doc_id, row) in table.groups():
-            rows.append((doc_id, content.decode("utf-8", "replace"), 0, pickle.loads(row)))
+            rows.append((doc_id, content, 0, pickle.loads(row)))
             held += len(content)
             if len(rows) >= 5_000 or held > 16 << 20:
                 yield _record(rows, schema)
@@ -255,6 +256,6 @@ def exact_dedup(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFrame:
             yield _record(rows, schema)
 
     kept = (packed.mapInArrow(collapse, packed.schema).repartition("h").mapInArrow(resolve, packed.schema))
-    out = [F.when(~F.col("row.null"), F.col("content")).alias("text") if c == "text"
+    out = [F.when(~F.col("row.null"), F.col("content").cast("string")).alias("text") if c == "text"
            else F.col(f"row.c{i}").alias(c) for i, c in enumerate(columns)]
     return kept.select(*out)
