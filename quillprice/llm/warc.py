@@ -14,7 +14,7 @@ with its record. Memory does not grow with the archive; a payload is held only
 if it is asked for. Damage raises ``ValueError`` with the place.
 
 Null html is an empty payload; null or odd urls leave out or percent-encode the
-target. A null page_id is the largest; pages that repeat the smallest page_id of
+target; they may be of any length. A null page_id is the largest; pages that repeat the smallest page_id of
 a payload are all responses. An empty table gives no archives and no rows.
 Other columns are not looked at.
 """
@@ -142,13 +142,27 @@ class _Member:
                 return True
         return False
 
-    def until(self, end: bytes, most: int = 1 << 20) -> bytes:
-        """Up to and with ``end``."""
-        while (at := self.plain.find(end)) < 0:
-            if len(self.plain) > most or not self._more():
+    def until(self, end: bytes) -> bytes:
+        """Up to and with ``end``, however long; each piece is searched once."""
+        held = bytearray(self.plain)
+        at = held.find(end)
+        while at < 0:
+            searched = max(0, len(held) - len(end) + 1)
+            if not self._more_alone():
                 raise ValueError("no end of a header block")
-        out, self.plain = self.plain[:at + len(end)], self.plain[at + len(end):]
-        return out
+            held += self.plain
+            at = held.find(end, searched)
+        self.plain = bytes(held[at + len(end):])
+        return bytes(held[:at + len(end)])
+
+    def _more_alone(self) -> bool:
+        """As ``_more``, in place of what is held."""
+        self.plain = b""
+        return self._more()
+
+    def exactly(self, end: bytes) -> bool:
+        """Whether the next bytes are ``end``."""
+        return b"".join(self.pieces(len(end))) == end
 
     def pieces(self, n: int):
         """The next ``n`` bytes."""
@@ -194,7 +208,7 @@ def read_archive(stream, keep_payload: bool = False):
             size += len(part)
             if keep_payload:
                 kept.append(part)
-        if member.until(_END) != _END:
+        if not member.exactly(_END):
             raise ValueError("a record is longer than its Content-Length")
         raw = member.rest()
         digest = _base32(payload.digest())

@@ -87,3 +87,10 @@ def test_damage_is_noticed(change):
 def test_a_cut_archive_is_noticed():
     with pytest.raises(ValueError):
         list(read_archive(io.BytesIO(archive()[:-20])))
+
+
+def test_a_url_of_any_length_is_read_back():
+    url = "data:" + "a\r\nb" * 600_000
+    data = record(7, url, b"x", sha(b"x"), 1) + archive(b"")
+    (fields, *_), (other, *_) = read_archive(io.BytesIO(data))
+    assert fields["warc-target-uri"] == url.replace("\r", "%0D").replace("\n", "%0A") and other["warc-type"] == "response"
