@@ -118,7 +118,7 @@ keyed AS (
   SELECT *, trim(line, ' ' || chr(9) || chr(13)) AS k FROM lines),
 bad AS (
   SELECT k FROM keyed
-  WHERE len(regexp_extract_all(k, '[^\x20\x09-\x0D]+')) >= 4
+  WHERE regexp_matches(k, '[^\x20\x09-\x0D]')
   GROUP BY k HAVING count(DISTINCT coalesce('s' || source, '')) >= 5),
 cleaned AS (
   SELECT doc_id, count(*) AS n_lines, count(bad.k) AS n_removed,

@@ -68,8 +68,8 @@ def test_a_hot_group_reaches_the_shuffle_once_for_each_batch(spark):
 def test_lines_on_many_sites_go(spark):
     def text(*lines):
         return "\n".join(lines)
-    common, near, few = "a line on very many sites", "a line on exactly five sites", "a line on only four sites"
-    rows = [(i, text(common, f"own words of document {i}", " " + common + "\t\r", "short one"), f"s{i}") for i in range(40)]
+    common, near, few = "a line on very many sites", "版权所有", "a line on only four sites"
+    rows = [(i, text(common, f"own words of document {i}", " " + common + "\t\r", "short one", " \t"), f"s{i}") for i in range(40)]
     rows += [(100 + i, text(near, near), f"s{i % 5}") for i in range(15)]
     rows += [(200 + i, text(few, "", few), f"s{i % 4}") for i in range(16)]
     rows += [(300, None, "s1"), (301, "", None), (302, common, None), (302, common, None), (None, common, "s2")]
@@ -79,8 +79,35 @@ def test_lines_on_many_sites_go(spark):
     out = got.collect()
     assert len(out) == len(rows)
     by = {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in out}
-    assert by[3] == ("own words of document 3\nshort one", 4, 2)
+    assert by[3] == ("own words of document 3\n \t", 5, 3)
     assert by[104] == ("", 2, 2) and by[204] == (text(few, "", few), 3, 0)
     assert by[300] == (None, 0, 0) and by[301] == ("", 1, 0) and by[302] == ("", 1, 1) and by[None] == ("", 1, 1)
     assert sum(r.doc_id == 302 for r in out) == 2
     assert remove_boilerplate(no_docs(spark)).count() == 0
+
+
+def test_a_high_threshold_equals_an_exact_count(spark):
+    rows = [(1000 * k + s, f"line {k}\nown {k} {s}", f"site {s}") for k in range(60) for s in range(170 + k)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    out = remove_boilerplate(docs, min_sites=200).groupBy("n_removed").count().collect()
+    want = sum(170 + k for k in range(60) if 170 + k >= 200)
+    assert {r.n_removed: r["count"] for r in out} == {1: want, 0: len(rows) - want}
+
+
+def test_a_text_of_very_many_boilerplate_lines_takes_linear_work(spark):
+    import time
+    text = "\n".join(f"line {i}" for i in range(200_000))
+    docs = spark.createDataFrame([(i, text + f"\nown {i}", f"s{i}") for i in range(5)],
+                                 "doc_id long, text string, source string")
+    began = time.time()
+    out = {r.doc_id: (r.text, r.n_removed) for r in remove_boilerplate(docs).collect()}
+    assert out == {i: (f"own {i}", 200_000) for i in range(5)}
+    assert time.time() - began < 60
+
+
+def test_bytes_that_are_no_utf8_are_kept(spark):
+    from pyspark.sql import functions as F
+    docs = spark.createDataFrame([(1, b"a\xffb"), (2, b"a\xfeb"), (3, b"a\xffb")], "doc_id long, raw binary")
+    docs = docs.select("doc_id", F.col("raw").cast("string").alias("text"))
+    kept = exact_dedup(docs).select("doc_id", F.col("text").cast("binary").alias("raw")).collect()
+    assert sorted((r.doc_id, bytes(r.raw)) for r in kept) == [(2, b"a\xfeb"), (3, b"a\xffb")]
