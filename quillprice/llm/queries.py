@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillprice.llm import bpe, language, licenses, quality
+from quillprice.llm import alignment, bpe, language, licenses, quality
 from quillprice.llm.common import table
 from quillprice.llm.exact_dedup import exact_groups
 from quillprice.llm.line_dedup import remove_boilerplate
@@ -135,6 +135,11 @@ def op10_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignment of the tokens that two vocabularies cut all documents into."""
+    return alignment.align(table(spark, sf_dir, "documents"))[0]
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_simhash": op2_simhash,
@@ -146,6 +151,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_neighbors": op10_neighbors,
+    "op12_alignment": op12_alignment,
 }
 
 ORACLE = {
