@@ -10,6 +10,7 @@ from quillprice.llm.common import table
 from quillprice.llm.exact_dedup import exact_groups
 from quillprice.llm.line_dedup import remove_boilerplate
 from quillprice.llm.mixing import document_copies
+from quillprice.llm.negatives import mine
 from quillprice.llm.neighbors import nearest
 from quillprice.llm.simhash import near_duplicates
 from quillprice.llm.warc import read_archives, write_archives
@@ -140,6 +141,35 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(table(spark, sf_dir, "documents"))[0]
 
 
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every row whose vec_id 100 divides."""
+    return mine(table(spark, sf_dir, "embeddings"))
+
+
+OP13_SQL = """
+WITH whole AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor, b.vec_id AS other, a.label = b.label AS same,
+         CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM whole a JOIN whole b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor, other AS positive, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other) <= 5)
+SELECT p.anchor AS anchor_id, p.positive AS positive_id,
+       CAST(row_number() OVER nearest AS INTEGER) AS rank,
+       s.other AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.anchor = p.anchor AND NOT s.same
+ AND 80 * p.positive_score <= 100 * s.score AND s.score <= p.positive_score
+WINDOW nearest AS (PARTITION BY p.anchor, p.positive ORDER BY s.score DESC, s.other)
+QUALIFY row_number() OVER nearest <= 5
+"""
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_simhash": op2_simhash,
@@ -152,10 +182,12 @@ QUERIES = {
     "op9_line_dedup": op9_line_dedup,
     "op10_neighbors": op10_neighbors,
     "op12_alignment": op12_alignment,
+    "op13_negatives": op13_negatives,
 }
 
 ORACLE = {
     "op1_mixing": OP1_SQL,
     "op8_exact_dedup": OP8_SQL,
     "op9_line_dedup": OP9_SQL,
+    "op13_negatives": OP13_SQL,
 }
