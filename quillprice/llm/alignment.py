@@ -19,9 +19,9 @@ number of links that hold it.
 
 Only bitmaps, ids and counts are shuffled; a pair that every document holds is one
 small row a block, before and after the merge. A block is closed at
-``BLOCK_ENTRIES`` (pair, document) entries, so groups are bounded; texts are
-taken in pieces of ``PIECE`` characters, cut at a blank between two letters or
-digits, where tokens of both kinds always end.
+``BLOCK_ENTRIES`` (pair, document) entries, so groups are bounded. Within a task
+each distinct word (a part of the text between blanks at which tokens of both
+kinds always end) is encoded and aligned once.
 
 Null, empty and undecodable texts, and texts whose joined A or B bytes differ
 from a blank and the text, have no tokens: zeros and an empty digest. Repeated
@@ -35,9 +35,11 @@ import hashlib
 import json
 import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,7 +54,10 @@ _DOC_BITS, _ID_BITS = 12, 20
 _DENSE = BLOCK_DOCS // 8
 #: Longer runs of one kind of character go to the library whose work on them stays in proportion.
 _LONG = re.compile(r"\S{400}|\s{400}")
-_CUT = re.compile(r"(?<=\w) (?=\w)")
+#: Where tokens of both kinds always end: at a blank between two characters that are no white space.
+_CUT = re.compile(r"(?<=\S) (?=\S)")
+#: Characters of distinct words that a task keeps aligned.
+WORDS_CHARS = 8 << 20
 
 
 def default_paths() -> tuple[str, str]:
@@ -123,63 +128,80 @@ def _tokenizers(a: bytes, b: bytes) -> tuple[ByteTokens, PieceTokens]:
 
 
 def pieces(text: str, size: int = PIECE):
-    """``text`` in parts of about ``size`` characters, each but the first beginning at the blank it was cut at."""
+    """``text`` in parts of about ``size`` characters, cut at blanks between two other characters (left out)."""
     start = 0
     while start + size < len(text):
         cut = _CUT.search(text, start + size)
         if cut is None:
             break
         yield text[start:cut.start()]
-        start = cut.start()
+        start = cut.end()
     yield text[start:]
 
 
-# -- alignment of a chunk ----------------------------------------------------------
+# -- words: each distinct one is encoded and aligned once ----------------------------
 
-class Chunk:
-    """Verified pieces of consecutive documents, aligned all at once."""
+class Words:
+    """Alignment of a blank and a word, for each distinct word added.
 
-    def __init__(self):
-        self.doc, self.a, self.b, self.size = [], [], [], 0
-
-    def add(self, doc: int, a: np.ndarray, b: np.ndarray, size: int) -> None:
-        self.doc.append(doc)
-        self.a.append(a)
-        self.b.append(b)
-        self.size += size
-
-    def align(self, len_a: np.ndarray, len_b: np.ndarray) -> dict:
-        """Per link its document, A id and B id; the tokens of all groups in order."""
-        a, b = np.concatenate(self.a), np.concatenate(self.b)
-        end_a, end_b = np.cumsum(len_a[a]), np.cumsum(len_b[b])
-        doc_a = np.repeat(self.doc, [len(x) for x in self.a])
-        doc_b = np.repeat(self.doc, [len(x) for x in self.b])
+    ``sound``: both encodings give the word's bytes back; ``groups``: its groups as text;
+    ``totals``: tokens of A, of B, groups, links; ``links``: the pairs of all words in order.
+    """
+
+    def __init__(self, a: ByteTokens, b: PieceTokens):
+        self.a, self.b = a, b
+        self.len_a, self.len_b = (np.array([len(x) for x in t.bytes], np.int64) for t in (a, b))
+        self.clear()
+
+    def clear(self) -> None:
+        self.at, self.size, self.groups = {}, 0, []
+        self._sound, self._totals, self._links = [], [], []
+
+    def add(self, words) -> None:
+        """Takes in new words."""
+        sound, ids_a, ids_b = [], [], []
+        for word in words:
+            self.at[word] = len(self.at)
+            self.size += len(word)
+            piece = " " + word
+            data, x, y = piece.encode(), self.a.encode(piece), self.b.encode(word)
+            good = (b"".join([self.a.bytes[i] for i in x]) == data) and (b"".join([self.b.bytes[i] for i in y]) == data)
+            sound.append(good)
+            ids_a.append(x if good else [])
+            ids_b.append(y if good else [])
+        if sound:
+            self._align(ids_a, ids_b)
+            self._sound.append(np.array(sound))
+
+    def _align(self, ids_a: list, ids_b: list) -> None:
+        n = len(ids_a)
+        a, b = (np.array(list(chain.from_iterable(x)), np.int64) for x in (ids_a, ids_b))
+        of_a, of_b = (np.repeat(np.arange(n), [len(i) for i in x]) for x in (ids_a, ids_b))
+        end_a, end_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
         # An overlap of two tokens holds no other end, so each distinct end closes exactly one link.
         ends = np.union1d(end_a, end_b)
         at_a, at_b = np.searchsorted(end_a, ends), np.searchsorted(end_b, ends)
-        common = (end_a[at_a] == ends) & (end_b[at_b] == ends)
-        return {"a": a, "b": b, "doc_a": doc_a, "doc_b": doc_b, "doc": doc_a[at_a], "link_a": a[at_a],
-                "link_b": b[at_b], "common": common, "group_a": np.searchsorted(ends[common], end_a),
-                "group_b": np.searchsorted(ends[common], end_b)}
-
-
-def _spelling(n_a: int, n_b: int) -> list[str]:
-    """Ids with what may follow them: A before A, A before B, B before B, B before a new group."""
-    a, b = [str(i) for i in range(n_a)], [str(i) for i in range(n_b)]
-    return [x + "," for x in a] + [x + "|" for x in a] + [x + "," for x in b] + [x + ";" for x in b]
-
-
-def _spelled(x: dict, n_a: int, n_b: int, words: list[str]):
-    """Yield (document, its groups in the chunk as text; each group ends with ';')."""
-    last_a = np.append(x["group_a"][1:] != x["group_a"][:-1], True)
-    last_b = np.append(x["group_b"][1:] != x["group_b"][:-1], True)
-    code = np.concatenate([x["a"] + n_a * last_a, 2 * n_a + x["b"] + n_b * last_b])
-    order = np.argsort(np.concatenate([2 * x["group_a"], 2 * x["group_b"] + 1]), kind="stable")
-    doc = np.concatenate([x["doc_a"], x["doc_b"]])[order]
-    code = code[order]
-    cuts = [0, *(np.flatnonzero(np.diff(doc)) + 1).tolist(), len(doc)]
-    for lo, hi in zip(cuts[:-1], cuts[1:]):
-        yield int(doc[lo]), "".join([words[c] for c in code[lo:hi].tolist()])
+        if not len(ends):
+            common, of = np.zeros(0, bool), np.zeros(0, np.int64)
+        else:
+            common, of = (end_a[at_a] == ends) & (end_b[at_b] == ends), of_a[at_a]
+        self._links.append(a[at_a] << _ID_BITS | b[at_b])
+        self._totals.append(np.stack([np.bincount(x, minlength=n) for x in (of_a, of_b, of[common], of)], axis=1))
+        # Cut points of the groups in the tokens of A and of B; a word's groups are a run of all.
+        cut_a, cut_b = at_a[common] + 1, at_b[common] + 1
+        name_a, name_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
+        spelled, lo_a, lo_b = [], 0, 0
+        for hi_a, hi_b in zip(cut_a.tolist(), cut_b.tolist()):
+            spelled.append(f"{','.join(name_a[lo_a:hi_a])}|{','.join(name_b[lo_b:hi_b])}")
+            lo_a, lo_b = hi_a, hi_b
+        stops = np.cumsum(np.bincount(of[common], minlength=n)).tolist()
+        self.groups += [";".join(spelled[lo:hi]) for lo, hi in zip([0, *stops], stops)]
+
+    def packed(self) -> None:
+        """Joins what was added, so that it can be looked up by word."""
+        if len(self._sound) > 1:
+            self._sound, self._totals, self._links = ([np.concatenate(x)] for x in (self._sound, self._totals, self._links))
+        self.sound, self.totals, self.links = (x[0] if x else None for x in (self._sound, self._totals, self._links))
 
 
 # -- bitmaps -------------------------------------------------------------------
@@ -232,23 +254,40 @@ class Block:
     """Bitmaps and planes of the pairs of up to ``BLOCK_DOCS`` documents."""
 
     def __init__(self):
-        self.keys, self.counts, self.entries, self.docs = [], [], 0, []
-
-    def add(self, links: dict) -> None:
-        pair = links["link_a"].astype(np.int64) << _ID_BITS | links["link_b"]
-        keys, counts = np.unique(pair << _DOC_BITS | links["doc"], return_counts=True)
-        self.keys.append(keys)
-        self.counts.append(counts)
-        self.entries += len(keys)
-
-    def postings(self):
+        self.docs, self.of, self.words, self.counts, self.entries = [], [], [], [], 0
+
+    def add(self, doc_id, words: Words, at: np.ndarray, keep_groups: bool) -> None:
+        """A document as its words in order (their places in ``words``)."""
+        one = {"doc_id": doc_id, "n_a": 0, "n_b": 0, "n_groups": 0, "n_links": 0, "groups_sha256": "", "groups": None}
+        if len(at) and words.sound[at].all():
+            distinct, counts = np.unique(at, return_counts=True)
+            totals = counts @ words.totals[distinct]
+            one |= dict(zip(("n_a", "n_b", "n_groups", "n_links"), totals.tolist()))
+            sha, spelled = hashlib.sha256(), []
+            for lo in range(0, len(at), 1 << 16):
+                part = ";".join([words.groups[i] for i in at[lo:lo + (1 << 16)].tolist()])
+                sha.update((";" * (lo > 0) + part).encode())
+                if keep_groups:
+                    spelled.append(part)
+            one |= {"groups_sha256": sha.hexdigest(), "groups": ";".join(spelled) if keep_groups else None}
+            self.of.append(np.full(len(distinct), len(self.docs)))
+            self.words.append(distinct)
+            self.counts.append(counts)
+            self.entries += int(words.totals[distinct, 3].sum())
+        self.docs.append(one)
+
+    def postings(self, words: Words):
         """Yield (plane, pairs, bitmaps); plane -1 is the documents themselves."""
-        if not self.keys:
+        if not self.of:
             return
-        keys, counts = np.concatenate(self.keys), np.concatenate(self.counts)
+        doc, word, count = (np.concatenate(x) for x in (self.of, self.words, self.counts))
+        starts = np.cumsum(words.totals[:, 3]) - words.totals[:, 3]
+        n = words.totals[word, 3]
+        at = np.repeat(starts[word] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        keys, counts = words.links[at] << _DOC_BITS | np.repeat(doc, n), np.repeat(count, n)
         order = np.argsort(keys, kind="stable")
         keys, counts = keys[order], counts[order]
-        first = np.concatenate([[0], np.flatnonzero(np.diff(keys)) + 1])     # a document in several chunks
+        first = np.concatenate([[0], np.flatnonzero(np.diff(keys)) + 1])     # a pair in several words of a document
         keys, further = keys[first], np.add.reduceat(counts, first) - 1
         pair, doc = keys >> _DOC_BITS, keys & (BLOCK_DOCS - 1)
         yield -1, *containers(pair, doc)
@@ -278,57 +317,33 @@ def encoded(docs: DataFrame, path_a: str, path_b: str, keep_groups: bool = False
 
     def work(batches):
         from pyspark import TaskContext
-        a, b = _tokenizers(*files.value)
-        len_a, len_b = (np.array([len(x) for x in t.bytes], np.int64) for t in (a, b))
-        n_a, n_b = len(len_a), len(len_b)
-        words = _spelling(n_a, n_b)
+        words, block = Words(*_tokenizers(*files.value)), Block()
         number = TaskContext.get().partitionId() << 32
-        chunk, block = Chunk(), Block()
-
-        def flush():
-            nonlocal chunk
-            if chunk.doc:
-                x = chunk.align(len_a, len_b)
-                block.add(x)
-                for name, at in (("n_a", x["doc_a"]), ("n_b", x["doc_b"]), ("n_links", x["doc"]),
-                                 ("n_groups", x["doc"][x["common"]])):
-                    for d, n in enumerate(np.bincount(at)[chunk.doc[0]:].tolist()):
-                        block.docs[chunk.doc[0] + d][name] += n
-                for d, text in _spelled(x, n_a, n_b, words):
-                    one = block.docs[d]
-                    # The ';' after the last group so far is held back until another follows.
-                    one["sha"].update(((";" if one["any"] else "") + text[:-1]).encode())
-                    if keep_groups:
-                        one["groups"].append(text[:-1])
-                    one["any"] = True
-            chunk = Chunk()
 
         def close():
             nonlocal block, number
-            flush()
             out, n = block.docs, len(block.docs)
             if n:
-                longs = {c: pa.array([d[c] for d in out], pa.int64()) for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links")}
-                yield _table(n, block=pa.array([number] * n, pa.int64()), at=pa.array(range(n), pa.int32()), **longs,
-                             groups_sha256=pa.array([d["sha"].hexdigest() if d["any"] else "" for d in out]),
-                             groups=pa.array([";".join(d["groups"]) if keep_groups else None for d in out], pa.string()))
-                for plane, pairs, bitmaps in block.postings():
+                own = {f.name: pa.array([d[f.name] for d in out], f.type) for f in _COLUMNS
+                       if f.name not in ("block", "at", "pair", "plane", "bitmap")}
+                yield _table(n, block=pa.array([number] * n, pa.int64()), at=pa.array(range(n), pa.int32()), **own)
+                for plane, pairs, bitmaps in block.postings(words):
                     m = len(pairs)
                     yield _table(m, block=pa.array(np.full(m, number)), pair=pa.array(pairs),
                                  plane=pa.array(np.full(m, plane, np.int32)), bitmap=bitmaps)
             number, block = number + 1, Block()
+            if words.size > WORDS_CHARS:
+                words.clear()
 
         for batch in batches:
-            for i in range(batch.num_rows):
-                doc_id, raw = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
-                slot = len(block.docs)
-                block.docs.append({"doc_id": doc_id, "n_a": 0, "n_b": 0, "n_groups": 0, "n_links": 0,
-                                   "sha": hashlib.sha256(), "any": False, "groups": []})
-                for one in _verified(raw, a, b):
-                    chunk.add(slot, *one)
-                    if chunk.size >= CHUNK:
-                        flush()
-                if slot + 1 == BLOCK_DOCS or block.entries >= BLOCK_ENTRIES:
+            for first, last in _chunks(batch.column(1)):
+                ids = batch.column(0)[first:last].to_pylist()
+                texts = [_decoded(x) for x in batch.column(1)[first:last].to_pylist()]
+                for doc_id, at in zip(ids, _placed(texts, words)):
+                    block.add(doc_id, words, at, keep_groups)
+                    if len(block.docs) == BLOCK_DOCS or block.entries >= BLOCK_ENTRIES:
+                        yield from close()
+                if words.size > WORDS_CHARS:
                     yield from close()
         yield from close()
 
@@ -336,21 +351,39 @@ def encoded(docs: DataFrame, path_a: str, path_b: str, keep_groups: bool = False
     return materialize(rows.mapInArrow(work, _STORED), "alignment")
 
 
-def _verified(raw: bytes | None, a: ByteTokens, b: PieceTokens) -> list:
-    """(A ids, B ids, bytes) of each piece of a text, or none if its bytes don't come back."""
-    if not raw:
-        return []
+def _chunks(texts: pa.Array):
+    """(first, last) of runs of rows with about ``CHUNK`` bytes of text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    first = 0
+    while first < len(ends):
+        last = int(np.searchsorted(ends, (ends[first - 1] if first else 0) + CHUNK)) + 1
+        yield first, min(last, len(ends))
+        first = last
+
+
+def _decoded(raw: bytes | None) -> str:
+    """The text; empty if it is null or no UTF-8, as it then has no tokens."""
     try:
-        text = " " + raw.decode()
+        return (raw or b"").decode()
     except UnicodeDecodeError:
-        return []
+        return ""
+
+
+def _placed(texts: list[str], words: Words) -> list[np.ndarray]:
+    """The places of each text's words; words not met before are added."""
+    whole = not words.b.cut_at_blanks
+    cut = [[] if not t else [[t]] if whole else [_CUT.split(t)] if len(t) <= PIECE else None for t in texts]
+    words.add(dict.fromkeys(w for parts in cut if parts for w in parts[0] if w not in words.at))
     out = []
-    for piece in pieces(text) if b.cut_at_blanks else [text]:
-        data = piece.encode()
-        ids_a, ids_b = a.encode(piece), b.encode(piece[1:])
-        if (b"".join([a.bytes[i] for i in ids_a]) != data) or (b"".join([b.bytes[i] for i in ids_b]) != data):
-            return []
-        out.append((np.array(ids_a, np.int64), np.array(ids_b, np.int64), len(data)))
+    for text, parts in zip(texts, cut):
+        places = []
+        # A very long text is never held as a whole list of words.
+        for part in parts if parts is not None else map(_CUT.split, pieces(text)):
+            if parts is None:
+                words.add(dict.fromkeys(w for w in part if w not in words.at))
+            places.append(np.fromiter(map(words.at.__getitem__, part), np.int64, len(part)))
+        out.append(np.concatenate(places) if places else np.zeros(0, np.int64))
+    words.packed()
     return out
 
 
@@ -405,7 +438,7 @@ def align(docs: DataFrame, path_a: str | None = None, path_b: str | None = None,
     scores = materialize(pair_scores(stored), "pair-scores")
     posts = (stored.filter("pair IS NOT NULL")
                    .select(F.col("block").alias("in_block"), F.col("pair").alias("of"), "plane", "bitmap")
-                   .join(scores, F.col("of") == F.col("pair")).select("in_block", "plane", "bitmap", "links", "best"))
+                   .join(scores.hint("merge"), F.col("of") == F.col("pair")).select("in_block", "plane", "bitmap", "links", "best"))
     owners = stored.filter("pair IS NULL").drop("pair", "plane", "bitmap")
     out = owners.groupBy("block").cogroup(posts.groupBy("in_block")).applyInArrow(_returned, _ANSWER)
     return (out if keep_groups else out.drop("groups")), named_pairs(scores)

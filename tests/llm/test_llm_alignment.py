@@ -6,6 +6,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF_SMALL
 from llm_data import no_docs, odd_docs
@@ -115,21 +116,32 @@ def test_pieces_have_the_tokens_of_the_whole(libraries):
     for text in rows[:60] + [t for _, t in ODD if t]:
         whole = " " + text
         for size in (1, 7, 100):
-            parts = list(pieces(whole, size))
-            assert "".join(parts) == whole and all(p[0] == " " for p in parts)
-            assert sum((a.encode(p) for p in parts), []) == plain.encode(whole, add_special_tokens=False).ids
-            assert sum((b.encode(p[1:]) for p in parts), []) == pieces_.encode(text)
+            parts = list(pieces(text, size)) if size > 1 else alignment._CUT.split(text)
+            assert " ".join(parts) == text
+            assert sum((a.encode(" " + p) for p in parts), []) == plain.encode(whole, add_special_tokens=False).ids
+            assert sum(map(b.encode, parts), []) == pieces_.encode(text)
 
 
 def test_documents_over_many_chunks_and_small_blocks(spark, libraries, monkeypatch):
     """The work of a task, with limits so low that each applies."""
     rows = [(i, ("some words again and again. " * (1 + i % 7)) + f"own {i}") for i in range(40)]
     want, _ = expected(rows, libraries)
-    for name, value in (("CHUNK", 60), ("PIECE", 20), ("BLOCK_ENTRIES", 50)):
-        monkeypatch.setattr(alignment, name, value)
-    monkeypatch.setattr(alignment, "pieces", lambda text, f=pieces: f(text, 20))
-    docs, _ = align(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
-    assert sorted(tuple(r) for r in docs.collect()) == sorted(want)
+    a, b = libraries[2:]
+    for chars in (1 << 20, 40):
+        for name, value in (("CHUNK", 60), ("PIECE", 20), ("BLOCK_ENTRIES", 50), ("BLOCK_DOCS", 4096), ("WORDS_CHARS", chars)):
+            monkeypatch.setattr(alignment, name, value)
+        monkeypatch.setattr(alignment, "pieces", lambda text, f=pieces: f(text, 20))
+        words, got, block = alignment.Words(a, b), [], alignment.Block()
+        texts = pa.array([t.encode() for _, t in rows], pa.binary())
+        runs = list(alignment._chunks(texts))
+        assert [lo for lo, _ in runs][1:] == [hi for _, hi in runs][:-1] and runs[-1][1] == len(rows) and len(runs) > 10
+        for lo, hi in runs:
+            for (i, _), at in zip(rows[lo:hi], alignment._placed([t for _, t in rows[lo:hi]], words)):
+                block.add(i, words, at, False)
+            if words.size > chars:
+                words.clear()
+        got = [tuple(d[k] for k in ("doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256")) for d in block.docs]
+        assert got == [(*d[:5], d[7]) for d in want]
 
 
 def test_bitmaps_come_back():
