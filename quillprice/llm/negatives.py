@@ -66,7 +66,8 @@ def quantised(vectors: DataFrame) -> tuple[DataFrame, int, str]:
     rows = (vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"),
                            "embedding")
                    .filter(F.coalesce(sound, F.lit(False)))
-                   .select("vec_id", flipped.alias("label"), x.cast("array<double>").alias("q")))
+                   .select("vec_id", flipped.alias("label"), x.cast("array<double>").alias("q"))
+                   .groupBy("vec_id").agg(F.min(F.struct("q", "label")).alias("r")).select("vec_id", "r.q", "r.label"))
     size = rows.agg(F.max(F.size("q")).alias("dim"), F.max(F.array_max(F.transform("q", F.abs))).alias("most")).first()
     dim, most = size["dim"] or 0, 256 * (size["most"] or 0.0) + 1
     kind = "<i2" if most < 1 << 15 else "<i4" if most < 1 << 31 else "<f8"
@@ -79,9 +80,7 @@ def quantised(vectors: DataFrame) -> tuple[DataFrame, int, str]:
                              "norm": [min(t * float(np.linalg.norm(v / t)), 1e308) for v, t in zip(full, top)]})
 
     stored = rows.select("vec_id", "label", packed("q").alias("p")).select("vec_id", "label", "p.vec", "p.norm")
-    one = F.min(F.struct("vec", "label", "norm")).alias("r")
-    return materialize(stored.groupBy("vec_id").agg(one).select("vec_id", "r.label", "r.vec", "r.norm"),
-                       "negatives-rows"), dim, kind
+    return materialize(stored, "negatives-rows"), dim, kind
 
 
 def _matrix(column, dim: int, kind: str) -> np.ndarray:
