@@ -12,6 +12,7 @@ from quillprice.llm.line_dedup import remove_boilerplate
 from quillprice.llm.mixing import document_copies
 from quillprice.llm.negatives import mine
 from quillprice.llm.neighbors import nearest
+from quillprice.llm.pii import KINDS, personal_data
 from quillprice.llm.simhash import near_duplicates
 from quillprice.llm.warc import read_archives, write_archives
 
@@ -136,6 +137,20 @@ def op10_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents; the counts are those of the base spans."""
+    found = personal_data(table(spark, sf_dir, "documents"))
+
+    def spelled(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, KINDS), F.sha2(spelled("base").cast("binary"), 256).alias("base_sha256"),
+                        spelled("spans").alias("spans"))
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alignment of the tokens that two vocabularies cut all documents into."""
     return alignment.align(table(spark, sf_dir, "documents"))[0]
@@ -181,6 +196,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_neighbors": op10_neighbors,
+    "op11_pii": op11_pii,
     "op12_alignment": op12_alignment,
     "op13_negatives": op13_negatives,
 }
