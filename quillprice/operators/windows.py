@@ -21,6 +21,16 @@ def _asc(c: str | Column) -> Column:
     return col.asc_nulls_first()
 
 
+def is_scan(df: DataFrame) -> bool:
+    """Whether ``df`` is one stored table, filtered or projected at most, so that its rows come in a fixed order."""
+    node = df._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() in ("Project", "Filter"):
+        if not node.deterministic():
+            return False
+        node = node.children().head()
+    return node.nodeName().startswith("LogicalRelation")
+
+
 def ordered_partitions(df: DataFrame, order_by: list[str],
                        num_partitions: int | None = None) -> DataFrame:
     """Rows range-partitioned and sorted by ``order_by`` plus a tie-breaker, then stored.
@@ -29,14 +39,18 @@ def ordered_partitions(df: DataFrame, order_by: list[str],
     partition). The tie-breaker makes every row's sort key unique, so the
     range boundaries can cut through a hot key or a group of copies.
 
-    Both the tagged and the ranged rows are written to the shared checkpoint
-    folder: every later read of ``__pid`` and ``__pos`` sees the same stored
-    values, so nothing rests on two range shuffles sampling alike or on one
-    being reused.
+    The ranged rows are written to the shared checkpoint folder: every later
+    read of ``__pid`` and ``__pos`` sees the same stored values, so nothing rests
+    on two range shuffles sampling alike or on one being reused. The rows must
+    have the same tie-breaker whenever a lost task is run again. Rows of a plain
+    scan do, as files are read in their order; other rows come in the order in
+    which shuffles deliver them and are stored with their tie-breaker first.
     """
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = [_asc(c) for c in order_by] + [F.col(_TIE).asc()]
-    tagged = materialize(df.withColumn(_TIE, F.monotonically_increasing_id()), "row-number")
+    tagged = df.withColumn(_TIE, F.monotonically_increasing_id())
+    if not is_scan(df):
+        tagged = materialize(tagged, "row-number")
     ranged = (tagged.repartitionByRange(n, *ordered)
                     .sortWithinPartitions(*ordered)
                     .withColumn(_PID, F.spark_partition_id())

@@ -76,3 +76,21 @@ def test_hot_group_of_copies_is_split_across_partitions(spark):
     assert sum(sizes) == 9000 and max(sizes) < 3000 / 2
     ids = [r.id for r in global_row_number(df, ["m", "p"], "id", num_partitions=8).collect()]
     assert sorted(ids) == list(range(1, 9001))
+
+
+def test_rows_of_a_stored_table_are_stored_once_and_others_twice(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+    from quillprice.operators import windows
+    stored, real = [], windows.materialize
+    monkeypatch.setattr(windows, "materialize", lambda df, name: stored.append(name) or real(df, name))
+    rows = [(i % 7 if i % 3 else 1, f"p{i % 50}", i) for i in range(2000)]
+    path = str(tmp_path / "t")
+    spark.createDataFrame(rows, "m int, p string, n int").repartition(5).write.parquet(path)
+    table = spark.read.parquet(path)
+    for df, names in ((table.select("m", "p"), ["ranged"]), (table.filter("n >= 10").withColumn("q", F.upper("p")), ["ranged"]),
+                      (table.distinct(), ["row-number", "ranged"]), (table.withColumn("r", F.rand()), ["row-number", "ranged"])):
+        stored.clear()
+        got = global_row_number(df, ["m", "p"], "id", num_partitions=6).select("id", "m", "p").collect()
+        assert stored == names
+        assert [(r.m, r.p) for r in sorted(got, key=lambda r: r.id)] == sorted((r.m, r.p) for r in df.collect())
+        assert sorted(r.id for r in got) == list(range(1, len(got) + 1))
