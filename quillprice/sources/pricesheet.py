@@ -9,7 +9,7 @@ overwrites the files it is reading.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,7 +40,7 @@ def read_price_sheet(spark: SparkSession, path: str,
     header is the first line of its first file (by name) and is skipped wherever
     it stands, so files with and without a header of their own both load whole.
     Every field of a row is parsed whatever columns are read, so a bad one
-    always fails. CRLF and LF line ends both parse; an empty field is NULL.
+    always fails, and so does a price that its column would round. CRLF and LF line ends both parse; an empty field is NULL.
     Splits of a large file are read in parallel by the executors.
     """
     lines = spark.read.text(path)
@@ -49,10 +49,23 @@ def read_price_sheet(spark: SparkSession, path: str,
     rows = lines.filter(F.col("value") != header["value"]) if header else lines
     options = {"sep": "\t", "quote": "", "escape": "", "mode": "FAILFAST",
                "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
-    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
+    # Decimals are read as text first: one that its column cannot hold exactly is a bad field, not a rounded one.
+    exact = {f.name: f.dataType for f in schema.fields if isinstance(f.dataType, T.DecimalType)}
+    ddl = ", ".join(f"{f.name} {'string' if f.name in exact else f.dataType.simpleString()}" for f in schema.fields)
     parsed = rows.filter(F.length("value") > 0).select(F.from_csv("value", ddl, options).alias("row"))
     # A condition on the whole row: column pruning cannot leave a field unparsed.
-    return parsed.filter(F.hash("row") >= F.lit(-(1 << 31))).select("row.*")
+    fields = F.struct(*[_exact(F.col(f"row.{f.name}"), f) if f.name in exact else F.col(f"row.{f.name}")
+                        for f in schema.fields])
+    return (parsed.select(fields.alias("row")).filter(F.hash("row") >= F.lit(-(1 << 31))).select("row.*"))
+
+
+def _exact(value: Column, field: T.StructField) -> Column:
+    """A decimal field of the sheet; fails on text that is no number or that the type would round."""
+    kind = field.dataType
+    number = F.try_cast(value, kind) if hasattr(F, "try_cast") else value.try_cast(kind)
+    lossless = ~value.rlike(rf"\.[0-9]{{{kind.scale}}}[0-9]*[1-9]") & ~value.rlike("[eE]")
+    bad = F.raise_error(F.concat(F.lit(f"{field.name} of the price sheet is no {kind.simpleString()}: "), value))
+    return F.when(value.isNull() | (number.isNotNull() & lossless), number).otherwise(bad.cast(kind)).alias(field.name)
 
 
 def write_price_sheet(df: DataFrame, path: str) -> str:

@@ -86,3 +86,17 @@ def test_valid_staging_passes_enforcement(spark):
     st = market_price_staging(inputs(spark, load, calc))
     assert enforce_staging(st).count() == 1
     assert with_violations(st).filter(F.col("Violations").isNotNull()).count() == 0
+
+
+@pytest.mark.parametrize("price", ["12.3456789", "0.0000001", "1e-9", "12.34x", "1234567890123.5", "--1"])
+def test_a_price_that_its_column_cannot_hold_fails(spark, tmp_path, price):
+    path = _write(tmp_path, HEADER + f"\nW0\tP1\t{price}\tE\tx\t\tPS1\t2017-09-01\n")
+    for columns in (["Gross_Price"], ["xmfg"]):
+        with pytest.raises(Exception, match="Gross_Price of the price sheet"):
+            pricesheet.read_price_sheet(spark, path).select(*columns).collect()
+
+
+def test_trailing_zeros_and_signs_of_a_price_are_kept_exactly(spark, tmp_path):
+    lines = "".join(f"W0\tP{i}\t{p}\tE\tx\t\tPS1\t2017-09-01\n" for i, p in enumerate(["12.3456780000", "-1.5", "+2", ".25"]))
+    got = pricesheet.read_price_sheet(spark, _write(tmp_path, HEADER + "\n" + lines)).collect()
+    assert sorted(float(r.Gross_Price) for r in got) == [-1.5, 0.25, 2.0, 12.345678]
