@@ -9,9 +9,12 @@
 
 ``--tables`` holds one parquet folder per input table, named by role
 (``rules_calc``, ``retail_import``, ... see ``TABLES``; layouts in FIXTURES.md
-§A). Every published table is written to ``--out/<name>``. The pivots read the
+§A). All tables that a procedure publishes become current under ``--out`` at once,
+by its manifest (``sources.runs``); a run that fails changes none of them, and a run
+under a ``--run-id`` that was committed before does nothing. The pivots read the
 competitor sheet and the retail comparison that were published there, and the
 folders of these names in ``--tables`` only where ``--out`` has none.
+``--collation`` (such as UTF8_LCASE_RTRIM) is that of all text comparisons.
 ``seed`` writes such a table folder (and a price sheet file
 ``price_sheet.tsv``) from the testdata adapters. Run under ``spark-submit``
 on a cluster; plain ``python -m`` gives a local session.
@@ -24,7 +27,8 @@ import argparse
 from quillprice.operators.routines import PricingInputs
 from quillprice.plans import procedures as P
 from quillprice.session import submitted_session
-from quillprice.sources.pricesheet import exists, publish, read_price_sheet
+from quillprice.sources.pricesheet import read_price_sheet
+from quillprice.sources.runs import Run, published as current_table
 
 # Input table folders (the reference-shaped tables of FIXTURES.md §A, by role).
 TABLES = ("rules_list", "rules_calc", "base_ranks", "tax_pdm0", "tax_pdm1", "tax_setup",
@@ -43,14 +47,13 @@ def main(argv=None, spark=None) -> None:
     ap.add_argument("--load-ts")
     ap.add_argument("--bootstrap", action="store_true")
     ap.add_argument("--testdata")
+    ap.add_argument("--run-id")
+    ap.add_argument("--collation")
     a = ap.parse_args(argv)
     own = spark is None
     spark = spark or submitted_session()
     out = a.out.rstrip("/")
 
-    def pub(df, name):
-        return publish(df, f"{out}/{name}")
-
     if a.procedure == "seed":
         from quillprice.sources.fixtures import Fixtures
         fx = Fixtures(spark, a.testdata)
@@ -63,10 +66,11 @@ def main(argv=None, spark=None) -> None:
         return spark.read.parquet(f"{a.tables.rstrip('/')}/{name}")
 
     def published(name):
-        made = f"{out}/{name}"
-        return spark.read.parquet(made) if exists(spark, made) else t(name)
+        made = current_table(spark, out, name)
+        return t(name) if made is None else made
 
-    if a.procedure == "seed":
+    run = None if a.procedure == "seed" else Run(spark, out, a.run_id)
+    if run is None or run.done:
         pass
     elif a.procedure == "price-sheet":
         inp = PricingInputs(
@@ -75,19 +79,21 @@ def main(argv=None, spark=None) -> None:
             pdm0=t("tax_pdm0"), pdm1=t("tax_pdm1"), setup=t("tax_setup"),
             price_file=t("price_file"), price_group=t("price_group"),
             xref=t("xref"), pack=t("pack_lookup"), load_ts=a.load_ts)
-        P.price_sheet_procedure(inp, t("matrix"), t("upload_queue"), pub)
+        P.price_sheet_procedure(inp, t("matrix"), t("upload_queue"), run.publish, a.collation)
     elif a.procedure == "retail":
         P.retail_procedure(t("retail_import"), t("brand_registry"), t("part_registry"),
                            t("price_new"), t("price_sheets"), t("xref"),
-                           t("base_ranks"), pub)
+                           t("base_ranks"), run.publish, a.collation)
     elif a.procedure == "competitor":
-        from quillprice.plans.competitor import competitor_incremental_upsert
-        pub(competitor_incremental_upsert(t("comp_feed"), t("line_map"),
-                                          t("comp_sheet"), a.bootstrap), "comp_sheet")
+        P.competitor_procedure(t("comp_feed"), t("line_map"), t("comp_sheet"), run.publish, a.collation,
+                               a.bootstrap)
     elif a.procedure == "pivots":
-        P.pivot_procedure(published("comp_sheet"), t("comp_xref"), published("retail_prices"), pub)
+        P.pivot_procedure(published("comp_sheet"), t("comp_xref"), published("retail_prices"), run.publish,
+                          a.collation)
     elif a.procedure == "export":
-        P.export_procedure(t("oe_list"), pub)
+        P.export_procedure(t("oe_list"), run.publish, a.collation)
+    if run is not None:
+        run.commit()
     if own:
         spark.stop()
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillprice.functions import dates, text
+from quillprice.functions.collation import union_into
 from quillprice.session import materialize
 
 SHEET_COLUMNS = ("psID", "XREFGroup", "XMfgPartCategory", "XMfgPartType", "XMfg", "XMfgSKU",
@@ -129,9 +130,8 @@ def upsert_competitor(sheet: DataFrame, batch: DataFrame) -> DataFrame:
                         text.clean_part_number(F.col("PARTNO")).alias("__uk")).distinct()
     untouched = sheet.join(keys, (sheet["XMfg"] == keys["__ux"])
                            & (sheet["XMfgPartClean"] == keys["__uk"]), "left_anti")
-    return (untouched.select(*SHEET_COLUMNS)
-            .unionByName(updated_rows(sheet, batch))
-            .unionByName(inserted_rows(batch, sheet)))
+    kept = union_into(untouched.select(*SHEET_COLUMNS), updated_rows(sheet, batch))
+    return union_into(kept, inserted_rows(batch, sheet))
 
 
 def gated_batch(feed: DataFrame, line_map: DataFrame, sheet: DataFrame,

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillprice.functions import text
+from quillprice.functions.collation import union_into
 from quillprice.operators.aggregates import min_max_by
 from quillprice.operators.windows import global_row_number
 
@@ -44,4 +45,4 @@ def oe_tagged_export(oe: DataFrame) -> DataFrame:
     """Body rows + tag rows, distinct. Tag ids overlap neighbours' ids
     (SURVEY Q19); order by (Manufacturer, id) to nest the tags."""
     numbered = numbered_list(oe)
-    return numbered.unionByName(tag_rows(numbered)).distinct()
+    return union_into(numbered, tag_rows(numbered)).distinct()

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillprice.functions import text
+from quillprice.functions.collation import union_into
 from quillprice.operators.routines import PricingInputs, market_price_staging
 
 MATRIX_COLUMNS = ("Brand", "Xmfg", "PartNumber", "Price_Type", "FS_WD", "PriceGroup", "CalcPrice",
@@ -75,7 +76,7 @@ def market_price_matrix_refresh(matrix: DataFrame, staging_df: DataFrame,
                                 strict_brand: bool = False) -> DataFrame:
     """Delete then insert, as one new matrix version."""
     kept = delete_matched_matrix(matrix, staging_df, strict_brand).select(*MATRIX_COLUMNS)
-    return kept.unionByName(insert_matrix_rows(staging_df, kept))
+    return union_into(kept, insert_matrix_rows(staging_df, kept))
 
 
 # --- X3: upload queue --------------------------------------------------------------
@@ -133,4 +134,4 @@ def upload_eligible(staging_df: DataFrame, calc: DataFrame) -> DataFrame:
 def upload_queue_refresh(queue: DataFrame, staging_df: DataFrame, calc: DataFrame) -> DataFrame:
     """Delete identical pending rows, then append the eligible new prices."""
     kept = delete_pending_upload(queue, staging_df).select(*QUEUE_COLUMNS)
-    return kept.unionByName(upload_eligible(staging_df, calc))
+    return union_into(kept, upload_eligible(staging_df, calc))

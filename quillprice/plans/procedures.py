@@ -4,16 +4,21 @@ Every procedure publishes the tables the reference writes (staging, matrix,
 upload queue, registries, enriched feed, last-shop table, comparison, sheet,
 pivots, export) through ``publish`` (DataFrame -> DataFrame read back), so a
 later step reads the stored table instead of recomputing its lineage, and a
-lost executor costs at most the step it was running.
+lost executor costs at most the step it was running. With ``sources.runs`` as
+``publish`` all tables of a procedure become current at once.
+
+``collation`` (``functions.collation``) is that of every text comparison; by
+default text is compared by its bytes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
+from dataclasses import fields, replace
 
 from pyspark.sql import DataFrame
 
+from quillprice.functions.collation import collated
 from quillprice.operators.constraints import enforce_staging
 from quillprice.operators.routines import PricingInputs, landing_trim, market_price_staging
 from quillprice.plans import competitor, export, market, pivots, retail
@@ -21,14 +26,22 @@ from quillprice.plans import competitor, export, market, pivots, retail
 Publish = Callable[[DataFrame, str], DataFrame]
 
 
+def _under(collation: str | None, publish: Publish, *tables: DataFrame):
+    """The tables, and what is published from them, under the collation."""
+    return (lambda df, name: publish(collated(df, collation), name), *[collated(t, collation) for t in tables])
+
+
 def price_sheet_procedure(inp: PricingInputs, matrix: DataFrame, queue: DataFrame,
-                          publish: Publish) -> dict[str, DataFrame]:
+                          publish: Publish, collation: str | None = None) -> dict[str, DataFrame]:
     """Load -> nine routines -> net price -> matrix refresh -> upload queue refresh.
 
     The sheet is parsed once, into the landing table that all routines read; a
     bad row aborts there. Staging is published under its declared NOT NULL and
     length constraints.
     """
+    publish, matrix, queue = _under(collation, publish, matrix, queue)
+    inp = replace(inp, **{f.name: collated(getattr(inp, f.name), collation) for f in fields(inp)
+                          if isinstance(getattr(inp, f.name), DataFrame)})
     inp = replace(inp, load=publish(landing_trim(inp.load), "landing"))
     staging = publish(enforce_staging(market_price_staging(inp)), "temp_price_load")
     return {
@@ -40,8 +53,10 @@ def price_sheet_procedure(inp: PricingInputs, matrix: DataFrame, queue: DataFram
 
 def retail_procedure(feed: DataFrame, brands: DataFrame, parts: DataFrame, price_new: DataFrame,
                      sheets: DataFrame, xref: DataFrame, ranks: DataFrame,
-                     publish: Publish) -> dict[str, DataFrame]:
+                     publish: Publish, collation: str | None = None) -> dict[str, DataFrame]:
     """Brands -> parts -> feed enrichment -> latest shop -> brand map -> comparison."""
+    publish, feed, brands, parts, price_new, sheets, xref, ranks = _under(
+        collation, publish, feed, brands, parts, price_new, sheets, xref, ranks)
     brands2 = publish(retail.brand_registry_update(feed, brands), "retail_brand")
     parts2 = publish(retail.part_registry_update(feed, brands2, parts), "retail_parts")
     view = retail.parts_view(brands2, parts2)
@@ -55,19 +70,23 @@ def retail_procedure(feed: DataFrame, brands: DataFrame, parts: DataFrame, price
 
 
 def competitor_procedure(feed: DataFrame, line_map: DataFrame, sheet: DataFrame,
-                         publish: Publish) -> dict[str, DataFrame]:
+                         publish: Publish, collation: str | None = None,
+                         bootstrap: bool = False) -> dict[str, DataFrame]:
     """High-water gate, then upsert of the newer feed rows."""
-    return {"sheet": publish(competitor.competitor_incremental_upsert(feed, line_map, sheet),
+    publish, feed, line_map, sheet = _under(collation, publish, feed, line_map, sheet)
+    return {"sheet": publish(competitor.competitor_incremental_upsert(feed, line_map, sheet, bootstrap),
                              "comp_sheet")}
 
 
 def pivot_procedure(sheet: DataFrame, comp_xref: DataFrame, comparison: DataFrame,
-                    publish: Publish) -> dict[str, DataFrame]:
+                    publish: Publish, collation: str | None = None) -> dict[str, DataFrame]:
     """Competitor and retail price pivots."""
+    publish, sheet, comp_xref, comparison = _under(collation, publish, sheet, comp_xref, comparison)
     return {"comp_pivot": publish(pivots.competitor_price_pivot(sheet, comp_xref), "comp_pivot"),
             "retail_pivot": publish(pivots.retail_price_pivot(comparison), "retail_pivot")}
 
 
-def export_procedure(oe: DataFrame, publish: Publish) -> dict[str, DataFrame]:
+def export_procedure(oe: DataFrame, publish: Publish, collation: str | None = None) -> dict[str, DataFrame]:
     """Numbered, tagged OE list."""
+    publish, oe = _under(collation, publish, oe)
     return {"export": publish(export.oe_tagged_export(oe), "export")}

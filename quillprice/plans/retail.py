@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillprice.functions import dates, text
+from quillprice.functions.collation import union_into
 from quillprice.operators.aggregates import conditional_max, price_stats
 from quillprice.operators.joins import anti_join, lookup_join
 from quillprice.operators.windows import global_row_number, partition_row_number
@@ -53,7 +54,7 @@ def brand_registry_update(feed: DataFrame, brands: DataFrame) -> DataFrame:
         "BrandID", "RetailXmfg", "PRODUCTBRAND",
         F.lit(None).cast("string").alias("CLEANPRODUCTBRAND"),
         F.lit(None).cast("string").alias("AltXmfg"))
-    return brands.select(*BRAND_COLUMNS).unionByName(added)
+    return union_into(brands.select(*BRAND_COLUMNS), added)
 
 
 def parts_view(brands: DataFrame, parts: DataFrame) -> DataFrame:
@@ -114,7 +115,7 @@ def part_registry_update(feed: DataFrame, brands: DataFrame, parts: DataFrame,
                  .select("BrandID", "PRODUCTNUMBER", F.col("PRODUCTNAME").alias("PartName"),
                          F.trim(text.clean_part_number(F.col("PRODUCTNUMBER")))
                          .alias("CLEANPRODUCTNUMBER"))
-    return parts.select(*PART_COLUMNS).unionByName(added)
+    return union_into(parts.select(*PART_COLUMNS), added)
 
 
 # --- M03: enrich the feed --------------------------------------------------------------

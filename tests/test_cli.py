@@ -3,6 +3,7 @@
 from quillprice.__main__ import main
 from quillprice.oracle.compare import compare, duckdb_connection
 from quillprice.registry import as_shown, oracle_sql
+from quillprice.sources.runs import current, published
 
 SF = "/root/testdata/sf0.001"
 
@@ -16,11 +17,15 @@ def test_cli_runs_procedures_on_stored_tables(spark, tmp_path):
     main(["competitor", "--tables", tables, "--out", out], spark)
     main(["pivots", "--tables", tables, "--out", out], spark)
     main(["export", "--tables", tables, "--out", out], spark)
+    # A run under an id that was committed before changes nothing.
+    for _ in range(2):
+        main(["export", "--tables", tables, "--out", out, "--run-id", "export of the day"], spark)
+        assert current(spark, out)["number"] == 6
     con, sql = duckdb_connection(SF), oracle_sql()
     for name, key in (("temp_price_load", "market_price_staging"), ("matrix",
                       "market_price_matrix_refresh"), ("retail_prices", "retail_price_comparison"),
                       ("comp_sheet", "competitor_incremental_upsert"),
                       ("comp_pivot", "competitor_price_pivot"), ("retail_pivot", "retail_price_pivot"),
                       ("export", "oe_tagged_export")):
-        ok, _, _, detail = compare(as_shown(key, spark.read.parquet(f"{out}/{name}")), con, sql[key])
+        ok, _, _, detail = compare(as_shown(key, published(spark, out, name)), con, sql[key])
         assert ok, (name, detail)
