@@ -203,19 +203,19 @@ def trie_blocks(nodes: DataFrame, block: int = BLOCK) -> tuple[np.ndarray, np.nd
         depth += ROUND_BITS
         counts = materialize(cells.groupBy(F.shiftrightunsigned("fp", 64 - depth).alias("cell"))
                                   .agg(F.count(F.lit(1)).alias("n")), "trie-counts")
-        # All ancestors of a cell within this round, each with its count; of those small enough the highest is a block.
-        level = F.explode(F.sequence(F.lit(depth - ROUND_BITS), F.lit(depth))).alias("level")
-        sums = (counts.select("cell", "n", level)
-                      .groupBy("level", F.expr(f"shiftrightunsigned(cell, {depth} - level)").alias("node"))
-                      .agg(F.sum("n").alias("n")).filter(F.col("n") <= block))
-        parents = sums.select((F.col("level") + 1).alias("child_level"), F.col("node").alias("parent"))
-        highest = sums.join(parents, (F.col("level") == F.col("child_level"))
-                            & (F.shiftrightunsigned("node", 1) == F.col("parent")), "left_anti")
-        # A small node at the top of a later round is below a heavy one, so it was counted there already.
-        ready += [(int(r["node"]) << (64 - r["level"]) & _MASK, r["level"])
-                  for r in highest.select("level", "node").toLocalIterator()]
-        if depth == 64:
-            ready += [(int(r["cell"]) & _MASK, 64) for r in counts.filter(F.col("n") > block).toLocalIterator()]
+        # All nodes of this round with their counts, then by parent: under a node that is too large, a child that
+        # is small enough is a block.
+        level = F.explode(F.sequence(F.lit(depth - ROUND_BITS + 1), F.lit(depth))).alias("level")
+        small = (counts.select("cell", "n", level)
+                       .groupBy("level", F.expr(f"shiftrightunsigned(cell, {depth} - level)").alias("node"))
+                       .agg(F.sum("n").alias("n"))
+                       .groupBy("level", F.shiftrightunsigned("node", 1))
+                       .agg(F.sum("n").alias("all"), F.collect_list(F.struct("node", "n")).alias("children"))
+                       .filter(F.col("all") > block).select("level", F.explode("children").alias("c"))
+                       .filter((F.col("c.n") <= block) | (F.col("level") == 64)).select("level", "c.node"))
+        if depth == ROUND_BITS and (counts.agg(F.sum("n")).first()[0] or 0) <= block:
+            return np.zeros(min(1, counts.count()), np.uint64), np.zeros(min(1, counts.count()), np.int64)
+        ready += [(int(r["node"]) << (64 - r["level"]) & _MASK, r["level"]) for r in small.collect()]
         heavy = counts.filter(F.col("n") > block).select(F.col("cell").alias("heavy"))
         if not heavy.take(1):
             break
