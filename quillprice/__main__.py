@@ -11,9 +11,11 @@
 (``rules_calc``, ``retail_import``, ... see ``TABLES``; layouts in FIXTURES.md
 §A). All tables that a procedure publishes become current under ``--out`` at once,
 by its manifest (``sources.runs``); a run that fails changes none of them, and a run
-under a ``--run-id`` that was committed before does nothing. The pivots read the
-competitor sheet and the retail comparison that were published there, and the
-folders of these names in ``--tables`` only where ``--out`` has none.
+under a ``--run-id`` that was committed before does nothing. Tables that a procedure
+changes (matrix, upload queue, registries, competitor sheet) go on from the version
+published there, the pivots read the competitor sheet and the retail comparison that
+were; the folders in ``--tables`` count only where ``--out`` has none. The matrix is
+kept by price group, and a run reads and writes the groups of its prices alone.
 ``--collation`` (such as UTF8_LCASE_RTRIM) is that of all text comparisons.
 ``seed`` writes such a table folder (and a price sheet file
 ``price_sheet.tsv``) from the testdata adapters. Run under ``spark-submit``
@@ -65,9 +67,9 @@ def main(argv=None, spark=None) -> None:
     def t(name):
         return spark.read.parquet(f"{a.tables.rstrip('/')}/{name}")
 
-    def published(name):
+    def published(name, seed=None):
         made = current_table(spark, out, name)
-        return t(name) if made is None else made
+        return t(seed or name) if made is None else made
 
     run = None if a.procedure == "seed" else Run(spark, out, a.run_id)
     if run is None or run.done:
@@ -79,13 +81,15 @@ def main(argv=None, spark=None) -> None:
             pdm0=t("tax_pdm0"), pdm1=t("tax_pdm1"), setup=t("tax_setup"),
             price_file=t("price_file"), price_group=t("price_group"),
             xref=t("xref"), pack=t("pack_lookup"), load_ts=a.load_ts)
-        P.price_sheet_procedure(inp, t("matrix"), t("upload_queue"), run.publish, a.collation)
+        P.price_sheet_procedure(inp, published("matrix"), published("queue", "upload_queue"), run.publish,
+                                a.collation, run.refresh_groups)
     elif a.procedure == "retail":
-        P.retail_procedure(t("retail_import"), t("brand_registry"), t("part_registry"),
+        P.retail_procedure(t("retail_import"), published("retail_brand", "brand_registry"),
+                           published("retail_parts", "part_registry"),
                            t("price_new"), t("price_sheets"), t("xref"),
                            t("base_ranks"), run.publish, a.collation)
     elif a.procedure == "competitor":
-        P.competitor_procedure(t("comp_feed"), t("line_map"), t("comp_sheet"), run.publish, a.collation,
+        P.competitor_procedure(t("comp_feed"), t("line_map"), published("comp_sheet"), run.publish, a.collation,
                                a.bootstrap)
     elif a.procedure == "pivots":
         P.pivot_procedure(published("comp_sheet"), t("comp_xref"), published("retail_prices"), run.publish,

@@ -5,7 +5,8 @@ upload queue, registries, enriched feed, last-shop table, comparison, sheet,
 pivots, export) through ``publish`` (DataFrame -> DataFrame read back), so a
 later step reads the stored table instead of recomputing its lineage, and a
 lost executor costs at most the step it was running. With ``sources.runs`` as
-``publish`` all tables of a procedure become current at once.
+``publish`` all tables of a procedure become current at once, and with its
+``refresh_groups`` the price matrix is refreshed by price group.
 
 ``collation`` (``functions.collation``) is that of every text comparison; by
 default text is compared by its bytes.
@@ -24,6 +25,7 @@ from quillprice.operators.routines import PricingInputs, landing_trim, market_pr
 from quillprice.plans import competitor, export, market, pivots, retail
 
 Publish = Callable[[DataFrame, str], DataFrame]
+RefreshGroups = Callable[[str, str, DataFrame, DataFrame, Callable[[DataFrame], DataFrame]], DataFrame]
 
 
 def _under(collation: str | None, publish: Publish, *tables: DataFrame):
@@ -32,21 +34,31 @@ def _under(collation: str | None, publish: Publish, *tables: DataFrame):
 
 
 def price_sheet_procedure(inp: PricingInputs, matrix: DataFrame, queue: DataFrame,
-                          publish: Publish, collation: str | None = None) -> dict[str, DataFrame]:
+                          publish: Publish, collation: str | None = None,
+                          refresh_groups: RefreshGroups | None = None) -> dict[str, DataFrame]:
     """Load -> nine routines -> net price -> matrix refresh -> upload queue refresh.
 
     The sheet is parsed once, into the landing table that all routines read; a
     bad row aborts there. Staging is published under its declared NOT NULL and
     length constraints.
+
+    Delete and insert of the matrix both match on the price group, so with
+    ``refresh_groups`` (``Run.refresh_groups``) only the groups of this sheet's prices
+    are read and written; ``matrix`` then counts where none is kept by groups yet.
     """
     publish, matrix, queue = _under(collation, publish, matrix, queue)
     inp = replace(inp, **{f.name: collated(getattr(inp, f.name), collation) for f in fields(inp)
                           if isinstance(getattr(inp, f.name), DataFrame)})
     inp = replace(inp, load=publish(landing_trim(inp.load), "landing"))
     staging = publish(enforce_staging(market_price_staging(inp)), "temp_price_load")
+    if refresh_groups is None:
+        matrix = publish(market.market_price_matrix_refresh(matrix, staging), "matrix")
+    else:
+        matrix = refresh_groups("matrix", "PriceGroup", matrix, staging.select("PriceGroup"),
+                                lambda old: market.market_price_matrix_refresh(collated(old, collation), staging))
     return {
         "staging": staging,
-        "matrix": publish(market.market_price_matrix_refresh(matrix, staging), "matrix"),
+        "matrix": matrix,
         "queue": publish(market.upload_queue_refresh(queue, staging, inp.rules_calc), "queue"),
     }
 
