@@ -1,8 +1,8 @@
 """Run one procedure on stored tables.
 
     python -m quillprice price-sheet --tables DIR --out DIR --sheet FILE [--load-ts TS]
-    python -m quillprice retail      --tables DIR --out DIR
-    python -m quillprice competitor  --tables DIR --out DIR [--bootstrap]
+    python -m quillprice retail      --tables DIR --out DIR [--incremental]
+    python -m quillprice competitor  --tables DIR --out DIR [--bootstrap] [--incremental]
     python -m quillprice pivots      --tables DIR --out DIR
     python -m quillprice export      --tables DIR --out DIR
     python -m quillprice seed        --testdata SF_DIR --out DIR
@@ -16,6 +16,10 @@ changes (matrix, upload queue, registries, competitor sheet) go on from the vers
 published there, the pivots read the competitor sheet and the retail comparison that
 were; the folders in ``--tables`` count only where ``--out`` has none. The matrix is
 kept by price group, and a run reads and writes the groups of its prices alone.
+``retail --incremental`` takes ``retail_import`` as a new batch of the feed and merges it
+into the published state of the batches before (made from the published feed, if there is
+no state yet). ``competitor --incremental`` also publishes the competitor pivot, from
+its published cells and the sheet rows that changed.
 ``--collation`` (such as UTF8_LCASE_RTRIM) is that of all text comparisons.
 ``seed`` writes such a table folder (and a price sheet file
 ``price_sheet.tsv``) from the testdata adapters. Run under ``spark-submit``
@@ -28,6 +32,7 @@ import argparse
 
 from quillprice.operators.routines import PricingInputs
 from quillprice.plans import procedures as P
+from quillprice.plans.increments import shop_state
 from quillprice.session import submitted_session
 from quillprice.sources.pricesheet import read_price_sheet
 from quillprice.sources.runs import Run, published as current_table
@@ -51,6 +56,7 @@ def main(argv=None, spark=None) -> None:
     ap.add_argument("--testdata")
     ap.add_argument("--run-id")
     ap.add_argument("--collation")
+    ap.add_argument("--incremental", action="store_true")
     a = ap.parse_args(argv)
     own = spark is None
     spark = spark or submitted_session()
@@ -84,13 +90,25 @@ def main(argv=None, spark=None) -> None:
         P.price_sheet_procedure(inp, published("matrix"), published("queue", "upload_queue"), run.publish,
                                 a.collation, run.refresh_groups)
     elif a.procedure == "retail":
-        P.retail_procedure(t("retail_import"), published("retail_brand", "brand_registry"),
-                           published("retail_parts", "part_registry"),
-                           t("price_new"), t("price_sheets"), t("xref"),
-                           t("base_ranks"), run.publish, a.collation)
+        feed, state = t("retail_import"), current_table(spark, out, "shop_state")
+        tables = (published("retail_brand", "brand_registry"), published("retail_parts", "part_registry"),
+                  t("price_new"), t("price_sheets"), t("xref"), t("base_ranks"), run.publish, a.collation)
+        if a.incremental:
+            before = current_table(spark, out, "import_retail") if state is None else None
+            P.retail_batch_procedure(feed, shop_state(before) if before is not None else state, *tables)
+        else:
+            P.retail_procedure(feed, *tables)
+            if state is not None:                    # batches to come go on from this feed
+                run.publish(shop_state(feed), "shop_state")
     elif a.procedure == "competitor":
-        P.competitor_procedure(t("comp_feed"), t("line_map"), published("comp_sheet"), run.publish, a.collation,
-                               a.bootstrap)
+        inputs = t("comp_feed"), t("line_map"), published("comp_sheet")
+        cells = current_table(spark, out, "comp_cells")
+        if a.incremental:
+            P.competitor_cells_procedure(*inputs, t("comp_xref"), cells, run.publish, a.collation, a.bootstrap)
+        else:
+            P.competitor_procedure(*inputs, run.publish, a.collation, a.bootstrap)
+            if cells is not None:                    # none of a sheet before this one may stay
+                run.publish(cells.filter("false"), "comp_cells")
     elif a.procedure == "pivots":
         P.pivot_procedure(published("comp_sheet"), t("comp_xref"), published("retail_prices"), run.publish,
                           a.collation)

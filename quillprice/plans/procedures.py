@@ -18,11 +18,13 @@ from collections.abc import Callable
 from dataclasses import fields, replace
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from quillprice.functions.collation import collated
 from quillprice.operators.constraints import enforce_staging
 from quillprice.operators.routines import PricingInputs, landing_trim, market_price_staging
-from quillprice.plans import competitor, export, market, pivots, retail
+from quillprice.plans import competitor, export, increments, market, pivots, retail
+from quillprice.session import materialize
 
 Publish = Callable[[DataFrame, str], DataFrame]
 RefreshGroups = Callable[[str, str, DataFrame, DataFrame, Callable[[DataFrame], DataFrame]], DataFrame]
@@ -81,6 +83,28 @@ def retail_procedure(feed: DataFrame, brands: DataFrame, parts: DataFrame, price
             "comparison": comparison}
 
 
+def retail_batch_procedure(batch: DataFrame, state: DataFrame | None, brands: DataFrame, parts: DataFrame,
+                           price_new: DataFrame, sheets: DataFrame, xref: DataFrame, ranks: DataFrame,
+                           publish: Publish, collation: str | None = None) -> dict[str, DataFrame]:
+    """The retail survey for a new batch of the feed: all earlier batches are in ``state`` (None: there are none).
+
+    The registries learn the batch's brands and parts. Latest shop and comparison are those
+    of all batches together under these registries; no earlier feed row is read.
+    """
+    publish, batch, brands, parts, price_new, sheets, xref, ranks = _under(
+        collation, publish, batch, brands, parts, price_new, sheets, xref, ranks)
+    brands2 = publish(retail.brand_registry_update(batch, brands), "retail_brand")
+    parts2 = publish(retail.part_registry_update(batch, brands2, parts), "retail_parts")
+    view = retail.parts_view(brands2, parts2)
+    added = increments.shop_state(batch)
+    states = [added] if state is None else [collated(state, collation), materialize(added, "batch-state")]
+    state2 = publish(increments.merge_shop_states(*states), "shop_state")
+    last_shop = publish(retail.named_stats(increments.last_shop_stats(state2, view), view), "last_shop")
+    comparison = publish(retail.retail_price_comparison(
+        last_shop, xref, retail.brand_part_map(price_new, sheets, xref, ranks)), "retail_prices")
+    return {"brands": brands2, "parts": parts2, "state": state2, "last_shop": last_shop, "comparison": comparison}
+
+
 def competitor_procedure(feed: DataFrame, line_map: DataFrame, sheet: DataFrame,
                          publish: Publish, collation: str | None = None,
                          bootstrap: bool = False) -> dict[str, DataFrame]:
@@ -90,6 +114,32 @@ def competitor_procedure(feed: DataFrame, line_map: DataFrame, sheet: DataFrame,
                              "comp_sheet")}
 
 
+def competitor_cells_procedure(feed: DataFrame, line_map: DataFrame, sheet: DataFrame, comp_xref: DataFrame,
+                               cells: DataFrame | None, publish: Publish, collation: str | None = None,
+                               bootstrap: bool = False) -> dict[str, DataFrame]:
+    """``competitor_procedure``, and the cells and pivot of the new sheet from those of the old one.
+
+    The pivot then takes the rows that the batch replaced or added, not the sheet. Cells of
+    another cross reference, or none, are made from the whole new sheet.
+    """
+    publish, feed, line_map, sheet, comp_xref = _under(collation, publish, feed, line_map, sheet, comp_xref)
+    mark = increments.xref_mark(comp_xref)
+    known = None if cells is None else collated(cells, collation).filter(F.col("XrefMark") == mark).drop("XrefMark")
+    usable = known is not None and not known.isEmpty()      # empty cells bear no mark
+    batch = competitor.gated_batch(feed, line_map, sheet, bootstrap)
+    if batch is None:
+        sheet2 = publish(sheet.select(*competitor.SHEET_COLUMNS), "comp_sheet")
+        cells2 = known if usable else increments.pivot_cells(sheet2, comp_xref)
+    else:
+        batch = materialize(batch, "competitor-batch")
+        sheet2 = publish(competitor.upsert_competitor(sheet, batch), "comp_sheet")
+        cells2 = (increments.change_cells(known, *increments.sheet_changes(sheet, batch), comp_xref) if usable
+                  else increments.pivot_cells(sheet2, comp_xref))
+    cells2 = publish(cells2.withColumn("XrefMark", F.lit(mark)), "comp_cells")
+    return {"sheet": sheet2, "cells": cells2,
+            "comp_pivot": publish(increments.competitor_price_pivot(cells2), "comp_pivot")}
+
+
 def pivot_procedure(sheet: DataFrame, comp_xref: DataFrame, comparison: DataFrame,
                     publish: Publish, collation: str | None = None) -> dict[str, DataFrame]:
     """Competitor and retail price pivots."""

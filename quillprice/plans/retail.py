@@ -187,7 +187,11 @@ def last_shop_stats(feed: DataFrame) -> DataFrame:
 
 def last_shop_summary(feed: DataFrame, view: DataFrame) -> DataFrame:
     """Latest-day statistics with the registry's name and alt code."""
-    stats = last_shop_stats(feed)
+    return named_stats(last_shop_stats(feed), view)
+
+
+def named_stats(stats: DataFrame, view: DataFrame) -> DataFrame:
+    """Latest-day statistics joined to the registry (A07's outer query)."""
     v = view.select(F.col("RetailXmfg").alias("__x"), F.col("CLEANPRODUCTBRAND").alias("__cb"),
                     F.col("CLEANPRODUCTNUMBER").alias("__cn"), "PartName", "AltXmfg")
     j = stats.join(v, (stats["CLEANPRODUCTBRAND"] == v["__cb"])
