@@ -1,6 +1,7 @@
 """Run one procedure on stored tables.
 
     python -m quillprice price-sheet --tables DIR --out DIR --sheet FILE [--load-ts TS]
+                                     [--max-errors N]
     python -m quillprice retail      --tables DIR --out DIR [--incremental]
     python -m quillprice competitor  --tables DIR --out DIR [--bootstrap] [--incremental]
     python -m quillprice pivots      --tables DIR --out DIR
@@ -16,6 +17,8 @@ changes (matrix, upload queue, registries, competitor sheet) go on from the vers
 published there, the pivots read the competitor sheet and the retail comparison that
 were; the folders in ``--tables`` count only where ``--out`` has none. The matrix is
 kept by price group, and a run reads and writes the groups of its prices alone.
+A sheet with more than ``--max-errors`` bad lines (default 0) aborts the run and all of them are
+named; up to that many are left out and published as ``price_sheet_rejects``.
 ``retail --incremental`` takes ``retail_import`` as a new batch of the feed and merges it
 into the published state of the batches before (made from the published feed, if there is
 no state yet). ``competitor --incremental`` also publishes the competitor pivot, from
@@ -34,7 +37,7 @@ from quillprice.operators.routines import PricingInputs
 from quillprice.plans import procedures as P
 from quillprice.plans.increments import shop_state
 from quillprice.session import submitted_session
-from quillprice.sources.pricesheet import read_price_sheet
+from quillprice.sources.pricesheet import load_price_sheet
 from quillprice.sources.runs import Run, published as current_table
 
 # Input table folders (the reference-shaped tables of FIXTURES.md §A, by role).
@@ -57,6 +60,7 @@ def main(argv=None, spark=None) -> None:
     ap.add_argument("--run-id")
     ap.add_argument("--collation")
     ap.add_argument("--incremental", action="store_true")
+    ap.add_argument("--max-errors", type=int, default=0)
     a = ap.parse_args(argv)
     own = spark is None
     spark = spark or submitted_session()
@@ -81,8 +85,10 @@ def main(argv=None, spark=None) -> None:
     if run is None or run.done:
         pass
     elif a.procedure == "price-sheet":
+        load, rejects = load_price_sheet(spark, a.sheet, a.max_errors)
+        run.publish(rejects, "price_sheet_rejects")
         inp = PricingInputs(
-            load=read_price_sheet(spark, a.sheet), rules_list=t("rules_list"),
+            load=load, rules_list=t("rules_list"),
             rules_calc=t("rules_calc"), ranks=t("base_ranks"),
             pdm0=t("tax_pdm0"), pdm1=t("tax_pdm1"), setup=t("tax_setup"),
             price_file=t("price_file"), price_group=t("price_group"),
