@@ -63,26 +63,30 @@ def match_flags(batch: DataFrame, sheet: DataFrame) -> DataFrame:
 
     batch.* plus renamed sheet columns from a LEFT JOIN on (competitor, clean
     part number); ``Flag`` is the matched clean key, NULL for new parts.
+
+    Here and below the clean number is a column before the join and comes first
+    among the keys: sorts then compare a stored value that is nearly unique, not
+    one of a few competitor codes and then a number cleaned anew at each comparison.
     """
     s = sheet.select(
         F.col("XMfg").alias("XMfg_2"), F.col("XMfgPartClean").alias("Flag"), "XMfgUOM", "XMfgPOP",
         "PriceWD", "AcquisitionType", "PriceJobber", "PriceList", "PriceRetail",
         F.col("psID").alias("old_psID"), "CoreCharge", "DateEffective", "XMfgPartType",
         "XMfgPartCategory", "XREFGroup")
-    clean = text.clean_part_number(batch["PARTNO"])
-    return batch.join(s, (batch["XMfg"] == s["XMfg_2"]) & (clean == s["Flag"]), "left")
+    rows = batch.withColumn("__clean", text.clean_part_number(F.col("PARTNO")))
+    return rows.join(s, (rows["__clean"] == s["Flag"]) & (rows["XMfg"] == s["XMfg_2"]), "left").drop("__clean")
 
 
 def inserted_rows(batch: DataFrame, sheet: DataFrame) -> DataFrame:
     """Batch rows with no sheet row for their key, in sheet layout (no de-duplication)."""
     keys = sheet.select(F.col("XMfg").alias("__sx"), F.col("XMfgPartClean").alias("__sk"))
-    clean = text.clean_part_number(F.col("PARTNO"))
-    new = batch.join(keys, (batch["XMfg"] == keys["__sx"]) & (clean == keys["__sk"]), "left_anti")
+    rows = batch.withColumn("__clean", text.clean_part_number(F.col("PARTNO")))
+    new = rows.join(keys, (rows["__clean"] == keys["__sk"]) & (rows["XMfg"] == keys["__sx"]), "left_anti")
     null_s, null_d = F.lit(None).cast("string"), F.lit(None).cast("double")
     return new.select(
         F.col("new_psID").alias("psID"), null_s.alias("XREFGroup"), null_s.alias("XMfgPartCategory"),
         F.col("DESCRIP").alias("XMfgPartType"), "XMfg", null_s.alias("XMfgSKU"),
-        F.col("PARTNO").alias("XMfgPart"), clean.alias("XMfgPartClean"),
+        F.col("PARTNO").alias("XMfgPart"), F.col("__clean").alias("XMfgPartClean"),
         null_s.alias("XMfgPartSuper"), null_s.alias("XMfgPartSuperClean"),
         F.col("POPCODE").alias("XMfgPOP"), F.col("UOM1").alias("XMfgUOM"),
         F.col("PSDATE").alias("DateEffective"), null_d.alias("CoreCharge"),
@@ -101,15 +105,15 @@ def latest_per_key(batch: DataFrame) -> DataFrame:
     """
     best = F.max(F.struct("CreatDate", "WD1", "JOBBER1", "PARTNO", "DESCRIP", "POPCODE", "UOM1",
                           "PSDATE", "new_psID")).alias("__best")
-    return (batch.groupBy(F.col("XMfg").alias("__ux"),
-                          text.clean_part_number(F.col("PARTNO")).alias("__uk"))
+    return (batch.groupBy(text.clean_part_number(F.col("PARTNO")).alias("__uk"),
+                          F.col("XMfg").alias("__ux"))
                  .agg(best).select("__ux", "__uk", "__best.*"))
 
 
 def updated_rows(sheet: DataFrame, batch: DataFrame) -> DataFrame:
     """Matched sheet rows with their nine columns taken from the batch."""
     best = latest_per_key(batch)
-    cond = (sheet["XMfg"] == best["__ux"]) & (sheet["XMfgPartClean"] == best["__uk"])
+    cond = (sheet["XMfgPartClean"] == best["__uk"]) & (sheet["XMfg"] == best["__ux"])
     return sheet.join(best, cond).select(
         *[{"psID": best["new_psID"].alias("psID"),
            "XMfgPartType": best["DESCRIP"].alias("XMfgPartType"),
@@ -126,10 +130,10 @@ def updated_rows(sheet: DataFrame, batch: DataFrame) -> DataFrame:
 def upsert_competitor(sheet: DataFrame, batch: DataFrame) -> DataFrame:
     """Insert unmatched batch rows, update nine columns of matched sheet rows."""
     # distinct first: a part repeated across much of the batch becomes one key
-    keys = batch.select(F.col("XMfg").alias("__ux"),
-                        text.clean_part_number(F.col("PARTNO")).alias("__uk")).distinct()
-    untouched = sheet.join(keys, (sheet["XMfg"] == keys["__ux"])
-                           & (sheet["XMfgPartClean"] == keys["__uk"]), "left_anti")
+    keys = batch.select(text.clean_part_number(F.col("PARTNO")).alias("__uk"),
+                        F.col("XMfg").alias("__ux")).distinct()
+    untouched = sheet.join(keys, (sheet["XMfgPartClean"] == keys["__uk"])
+                           & (sheet["XMfg"] == keys["__ux"]), "left_anti")
     kept = union_into(untouched.select(*SHEET_COLUMNS), updated_rows(sheet, batch))
     return union_into(kept, inserted_rows(batch, sheet))
 

@@ -105,9 +105,9 @@ def pivot_cells(sheet: DataFrame, xref: DataFrame) -> DataFrame:
 
 def sheet_changes(sheet: DataFrame, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The sheet rows that M04 takes away for a batch, and those that it puts in (replaced rows are in both)."""
-    keys = batch.select(F.col("XMfg").alias("__ux"),
-                        competitor.text.clean_part_number(F.col("PARTNO")).alias("__uk")).distinct()
-    gone = sheet.join(keys, (sheet["XMfg"] == keys["__ux"]) & (sheet["XMfgPartClean"] == keys["__uk"]), "left_semi")
+    keys = batch.select(competitor.text.clean_part_number(F.col("PARTNO")).alias("__uk"),
+                        F.col("XMfg").alias("__ux")).distinct()
+    gone = sheet.join(keys, (sheet["XMfgPartClean"] == keys["__uk"]) & (sheet["XMfg"] == keys["__ux"]), "left_semi")
     put = union_into(competitor.updated_rows(sheet, batch), competitor.inserted_rows(batch, sheet))
     return gone.select(*competitor.SHEET_COLUMNS), put
 

@@ -23,7 +23,7 @@ def competitor_rows(sheet: DataFrame, xref: DataFrame) -> DataFrame:
     """Sheet prices of listed competitors mapped to own parts."""
     x = xref.select(F.col("XMfg").alias("__xx"), "CompPart", "FS_Part")
     rows = (sheet.filter((F.col("PriceWD") != 0) & F.col("XMfg").isin(*COMPETITORS))
-                 .join(x, (sheet["XMfg"] == x["__xx"]) & (sheet["XMfgPart"] == x["CompPart"]))
+                 .join(x, (sheet["XMfgPart"] == x["CompPart"]) & (sheet["XMfg"] == x["__xx"]))
                  .filter(own_part_filter("FS_Part")))
     return rows.select("FS_Part", F.col("XMfg").alias("CompXMfg"), "PriceWD")
 

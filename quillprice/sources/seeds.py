@@ -55,7 +55,7 @@ def seed_competitor_sheet(feed: DataFrame, line_map: DataFrame) -> DataFrame:
                .withColumn("__clean", text.clean_part_number(F.col("PARTNO"))))
     last = F.max("Date_Created")
     null_s, null_d = F.lit(None).cast("string"), F.lit(None).cast("double")
-    return old.groupBy(F.col("Xmfg").alias("XMfg"), "__clean").agg(
+    return old.groupBy("__clean", F.col("Xmfg").alias("XMfg")).agg(
         (F.year(last) * 10000 + F.month(last) * 100 + F.dayofmonth(last)).cast("int").alias("psID"),
         null_s.alias("XREFGroup"), null_s.alias("XMfgPartCategory"),
         F.max("DESCRIP").alias("XMfgPartType"), null_s.alias("XMfgSKU"),
