@@ -17,6 +17,9 @@ from quillprice.operators.joins import anti_join, lookup_join
 from quillprice.operators.windows import global_row_number, partition_row_number
 
 KEYS = ["RETAIL_XMFG", "CLEANPRODUCTBRAND", "CLEANPRODUCTNUMBER"]
+# Joins and groups name the part number first: rows that are sorted by it are told
+# apart by their first key, not by the last one after a few retailers and brands.
+_BY_NUMBER = KEYS[::-1]
 BRAND_COLUMNS = ("BrandID", "RetailXmfg", "PRODUCTBRAND", "CLEANPRODUCTBRAND", "AltXmfg")
 PART_COLUMNS = ("BrandID", "PRODUCTNUMBER", "PartName", "CLEANPRODUCTNUMBER")
 
@@ -87,11 +90,11 @@ def unregistered_parts(feed: DataFrame, brands: DataFrame, parts: DataFrame,
     view = parts_view(brands, parts)
     cand = candidate_parts(feed)
     if one_name_per_part:
-        cand = cand.groupBy("RETAIL_XMFG", "PRODUCTBRAND", "PRODUCTNUMBER").agg(
-            F.min("PRODUCTNAME").alias("PRODUCTNAME"))
+        cand = cand.groupBy("PRODUCTNUMBER", "PRODUCTBRAND", "RETAIL_XMFG").agg(
+            F.min("PRODUCTNAME").alias("PRODUCTNAME")).select(*cand.columns)
     return anti_join(cand, view,
-                     [("RETAIL_XMFG", "RetailXmfg"), ("PRODUCTBRAND", "PRODUCTBRAND"),
-                      ("PRODUCTNUMBER", "PRODUCTNUMBER")])
+                     [("PRODUCTNUMBER", "PRODUCTNUMBER"), ("PRODUCTBRAND", "PRODUCTBRAND"),
+                      ("RETAIL_XMFG", "RetailXmfg")])
 
 
 def new_parts(feed: DataFrame, brands: DataFrame, parts: DataFrame,
@@ -130,11 +133,11 @@ def enrich_clean_keys(feed: DataFrame, view: DataFrame) -> DataFrame:
     share of the feed is split over several tasks when the registry is too
     big to broadcast.
     """
-    v = view.groupBy(F.col("RetailXmfg").alias("__x"), F.col("PRODUCTBRAND").alias("__b"),
-                     F.col("PRODUCTNUMBER").alias("__n")).agg(
+    v = view.groupBy(F.col("PRODUCTNUMBER").alias("__n"), F.col("PRODUCTBRAND").alias("__b"),
+                     F.col("RetailXmfg").alias("__x")).agg(
         F.min("CLEANPRODUCTBRAND").alias("__cb"), F.min("CLEANPRODUCTNUMBER").alias("__cn"))
-    j = lookup_join(feed, v, [("RETAIL_XMFG", "__x"), ("PRODUCTBRAND", "__b"),
-                              ("PRODUCTNUMBER", "__n")], "left")
+    j = lookup_join(feed, v, [("PRODUCTNUMBER", "__n"), ("PRODUCTBRAND", "__b"),
+                              ("RETAIL_XMFG", "__x")], "left")
     hit = F.col("__x").isNotNull()
     out = [F.when(hit, F.col("__cb")).otherwise(feed["CLEANPRODUCTBRAND"]).alias(c)
            if c == "CLEANPRODUCTBRAND" else
@@ -147,7 +150,8 @@ def enrich_clean_keys(feed: DataFrame, view: DataFrame) -> DataFrame:
 
 def latest_shop_day(feed: DataFrame) -> DataFrame:
     """CONVERT(DATE, MAX(DATE_CREATED)) per key over priced rows (NULL keys included)."""
-    return _priced(feed).groupBy(*KEYS).agg(F.to_date(F.max("DATE_CREATED")).alias("LastShop"))
+    return (_priced(feed).groupBy(*_BY_NUMBER).agg(F.to_date(F.max("DATE_CREATED")).alias("LastShop"))
+                         .select(*KEYS, "LastShop"))
 
 
 def latest_day_rows(feed: DataFrame) -> DataFrame:
@@ -162,7 +166,7 @@ def latest_day_rows(feed: DataFrame) -> DataFrame:
         & F.col("RETAIL_XMFG").isNotNull()).select(
         *[F.col(k).alias(f"__l{i}") for i, k in enumerate(KEYS)], "LastShop")
     rows = _priced(feed).withColumn("__day", dates.day_of(F.col("DATE_CREATED")))
-    j = lookup_join(rows, last, [(k, f"__l{i}") for i, k in enumerate(KEYS)]
+    j = lookup_join(rows, last, [(k, f"__l{i}") for i, k in reversed(list(enumerate(KEYS)))]
                     + [("__day", "LastShop")], "inner")
     return j.select(*KEYS, "PRICE", "COREPRICE", "ZIPCODE", "LastShop")
 
@@ -179,10 +183,10 @@ def last_shop_stats(feed: DataFrame) -> DataFrame:
                                  & F.col("CLEANPRODUCTBRAND").isNotNull()
                                  & F.col("CLEANPRODUCTNUMBER").isNotNull())
     per_day = price_stats(keyed.withColumn("LastShop", dates.day_of(F.col("DATE_CREATED"))),
-                          KEYS + ["LastShop"])
-    newest = F.max("LastShop").over(Window.partitionBy(*KEYS))
-    return per_day.withColumn("__newest", newest).filter(F.col("LastShop") == F.col("__newest")) \
-                  .drop("__newest")
+                          _BY_NUMBER + ["LastShop"])
+    newest = F.max("LastShop").over(Window.partitionBy(*_BY_NUMBER))
+    last = per_day.withColumn("__newest", newest).filter(F.col("LastShop") == F.col("__newest"))
+    return last.select(*KEYS, *[c for c in per_day.columns if c not in KEYS])
 
 
 def last_shop_summary(feed: DataFrame, view: DataFrame) -> DataFrame:
@@ -194,8 +198,8 @@ def named_stats(stats: DataFrame, view: DataFrame) -> DataFrame:
     """Latest-day statistics joined to the registry (A07's outer query)."""
     v = view.select(F.col("RetailXmfg").alias("__x"), F.col("CLEANPRODUCTBRAND").alias("__cb"),
                     F.col("CLEANPRODUCTNUMBER").alias("__cn"), "PartName", "AltXmfg")
-    j = stats.join(v, (stats["CLEANPRODUCTBRAND"] == v["__cb"])
-                   & (stats["CLEANPRODUCTNUMBER"] == v["__cn"]) & (stats["RETAIL_XMFG"] == v["__x"]))
+    j = stats.join(v, (stats["CLEANPRODUCTNUMBER"] == v["__cn"])
+                   & (stats["CLEANPRODUCTBRAND"] == v["__cb"]) & (stats["RETAIL_XMFG"] == v["__x"]))
     return j.select(F.col("__x").alias("RetailXmfg"), F.col("__cb").alias("CLEANPRODUCTBRAND"),
                     F.col("__cn").alias("CLEANPRODUCTNUMBER"), "PartName", "MinPrice", "MaxPrice",
                     "AvgPrice", "AvgCore", "ShopCnt", "LastShop", "AltXmfg")

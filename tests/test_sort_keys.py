@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from quillprice.plans import competitor, increments, pivots
+from quillprice.plans import competitor, increments, pivots, retail
 
 
 @pytest.fixture
@@ -53,3 +53,21 @@ def test_sheet_changes_and_pivot_sort_by_the_number(spark, no_broadcast):
     assert sorts(gone) == {"XMfgPartClean", "__uk"}
     xref = spark.createDataFrame([("DOR", "12", "P1")], "XMfg string, CompPart string, FS_Part string")
     assert sorts(pivots.competitor_rows(sheet(spark), xref)) == {"XMfgPart", "CompPart"}
+
+
+FEED = ("RETAIL_XMFG string, PRODUCTBRAND string, PRODUCTNUMBER string, PRODUCTNAME string, PRICE decimal(12,4), "
+        "COREPRICE decimal(12,4), ZIPCODE string, DATE_CREATED timestamp_ntz, CLEANPRODUCTBRAND string, "
+        "CLEANPRODUCTNUMBER string")
+VIEW = ("RetailXmfg string, PRODUCTBRAND string, PRODUCTNUMBER string, CLEANPRODUCTBRAND string, "
+        "CLEANPRODUCTNUMBER string, PartName string, AltXmfg string")
+
+
+def test_retail_joins_and_groups_sort_by_the_number(spark, no_broadcast):
+    feed, view = spark.createDataFrame([], FEED), spark.createDataFrame([], VIEW)
+    assert sorts(retail.enrich_clean_keys(feed, view)) == {"PRODUCTNUMBER", "__n"}
+    stats = retail.last_shop_stats(feed)
+    assert stats.columns == [*retail.KEYS, "LastShop", "MinPrice", "MaxPrice", "AvgPrice", "AvgCore", "ShopCnt"]
+    assert sorts(stats) == {"CLEANPRODUCTNUMBER"}
+    assert sorts(retail.named_stats(stats, view)) == {"CLEANPRODUCTNUMBER", "__cn"}
+    assert retail.latest_shop_day(feed).columns == [*retail.KEYS, "LastShop"]
+    assert "__l2" in sorts(retail.latest_day_rows(feed))
