@@ -57,12 +57,12 @@ def insert_matrix_rows(staging_df: DataFrame, matrix: DataFrame) -> DataFrame:
     one whose (non-key) Xmfg is NULL (SURVEY Q9). The matrix is first reduced
     to one row per key with a has-NULL-Xmfg flag, so the join cannot fan out.
     """
-    m = (matrix.groupBy(F.col("Brand").alias("__b"), F.col("PriceGroup").alias("__g"),
-                        F.col("PartNumber").alias("__p"))
+    m = (matrix.groupBy(F.col("PartNumber").alias("__p"), F.col("PriceGroup").alias("__g"),
+                        F.col("Brand").alias("__b"))
                .agg(F.max(F.col("Xmfg").isNull().cast("int")).alias("__null_xmfg")))
-    joined = staging_df.join(m, (staging_df["Brand"] == m["__b"])
+    joined = staging_df.join(m, (staging_df["Cust_Part_Number"] == m["__p"])
                              & (staging_df["PriceGroup"] == m["__g"])
-                             & (staging_df["Cust_Part_Number"] == m["__p"]), "left")
+                             & (staging_df["Brand"] == m["__b"]), "left")
     missing = joined.filter(F.col("__b").isNull() | (F.col("__null_xmfg") == 1))
     return missing.select(
         "Brand", "Xmfg", F.col("Cust_Part_Number").alias("PartNumber"), "Price_Type", "FS_WD",

@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from quillprice.plans import competitor, increments, pivots, retail
+from quillprice.plans import competitor, increments, market, pivots, retail
 
 
 @pytest.fixture
@@ -71,3 +71,11 @@ def test_retail_joins_and_groups_sort_by_the_number(spark, no_broadcast):
     assert sorts(retail.named_stats(stats, view)) == {"CLEANPRODUCTNUMBER", "__cn"}
     assert retail.latest_shop_day(feed).columns == [*retail.KEYS, "LastShop"]
     assert "__l2" in sorts(retail.latest_day_rows(feed))
+
+
+def test_matrix_insert_sorts_by_the_part(spark, no_broadcast):
+    staging = spark.createDataFrame([], "Brand string, Xmfg string, Cust_Part_Number string, Price_Type string, FS_WD double, "
+                                        "PriceGroup string, CalcPrice double, Percent_of_WD double, LoadDate timestamp, "
+                                        "PriceList double, PriceJobber double, PriceDealer double")
+    matrix = spark.createDataFrame([], "Brand string, Xmfg string, PartNumber string, PriceGroup string")
+    assert sorts(market.insert_matrix_rows(staging, matrix)) == {"Cust_Part_Number", "__p"}
