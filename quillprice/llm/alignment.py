@@ -332,8 +332,6 @@ def encoded(docs: DataFrame, path_a: str, path_b: str, keep_groups: bool = False
                     yield _table(m, block=pa.array(np.full(m, number)), pair=pa.array(pairs),
                                  plane=pa.array(np.full(m, plane, np.int32)), bitmap=bitmaps)
             number, block = number + 1, Block()
-            if words.size > WORDS_CHARS:
-                words.clear()
 
         for batch in batches:
             for first, last in _chunks(batch.column(1)):
@@ -343,8 +341,10 @@ def encoded(docs: DataFrame, path_a: str, path_b: str, keep_groups: bool = False
                     block.add(doc_id, words, at, keep_groups)
                     if len(block.docs) == BLOCK_DOCS or block.entries >= BLOCK_ENTRIES:
                         yield from close()
+                # Blocks and the rest of a chunk hold places in ``words``, so these go only between chunks.
                 if words.size > WORDS_CHARS:
                     yield from close()
+                    words.clear()
         yield from close()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))

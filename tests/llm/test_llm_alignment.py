@@ -144,6 +144,22 @@ def test_documents_over_many_chunks_and_small_blocks(spark, libraries, monkeypat
         assert got == [(*d[:5], d[7]) for d in want]
 
 
+def test_a_block_that_closes_in_a_chunk_keeps_the_words_of_the_rest(spark, libraries, monkeypatch):
+    """Tasks with more distinct words than they keep, blocks that end in the middle of a chunk, and several chunks."""
+    rows = [(i, ("some words again and again. " * (1 + i % 7)) + f"own {i}") for i in range(40)] + ODD
+    want, _ = expected(rows, libraries)
+    monkeypatch.setattr(alignment, "WORDS_CHARS", 40)
+    monkeypatch.setattr(alignment, "BLOCK_ENTRIES", 50)
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "12")
+    try:
+        docs, _ = align(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
+    finally:
+        spark.conf.set(size, before)
+    assert sorted((r[0] or 0, *tuple(r)[1:]) for r in docs.collect()) == sorted((d[0] or 0, *d[1:]) for d in want)
+
+
 def test_bitmaps_come_back():
     rng = np.random.default_rng(1)
     key, doc = [], []
