@@ -72,6 +72,11 @@ def scaled_int_price(c: Column) -> Column:
     return c.cast("decimal(18,0)") * dec("0.0001")
 
 
+def exact(c: Column, data_type: T.DataType) -> Column:
+    """A price as the decimal that is summed."""
+    return c if isinstance(data_type, T.DecimalType) else c.cast(f"decimal(28,{AVG_DECIMALS})")
+
+
 def exact_avg(c: Column, data_type: T.DataType) -> Column:
     """AVG as exact decimal sum / count, divided once in DOUBLE.
 
@@ -79,7 +84,6 @@ def exact_avg(c: Column, data_type: T.DataType) -> Column:
     values are summed as they are stored; doubles at ``AVG_DECIMALS`` decimals,
     below the precision of a double price.
     """
-    exact = c if isinstance(data_type, T.DecimalType) else c.cast(f"decimal(28,{AVG_DECIMALS})")
     n = F.count(c)
-    return F.when(n > 0, F.sum(exact).cast("double") / n)
+    return F.when(n > 0, F.sum(exact(c, data_type)).cast("double") / n)
 

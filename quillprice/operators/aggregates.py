@@ -5,21 +5,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillprice.functions.pricing import exact_avg
+from quillprice.functions.pricing import exact, exact_avg
 
 
+def price_sums(df: DataFrame, keys: list[str], price: str = "PRICE", core: str = "COREPRICE",
+               zip_col: str = "ZIPCODE") -> DataFrame:
+    """Extremes, exact sums and counts per key and zip code, one row each, for ``stats_of_sums``."""
+    return df.groupBy(*keys, F.col(zip_col).alias("__zip")).agg(
+        F.min(price).alias("__min"), F.max(price).alias("__max"),
+        F.sum(exact(F.col(price), df.schema[price].dataType)).alias("__sum"), F.count(price).alias("__n"),
+        F.sum(exact(F.col(core), df.schema[core].dataType)).alias("__core"), F.count(core).alias("__cores"))
+
+
+def stats_of_sums(sums: DataFrame, keys: list[str]) -> DataFrame:
+    """The statistics of ``price_stats`` from the rows of ``price_sums``."""
+    def avg(total: str, n: str) -> Column:
+        return F.when(F.sum(n) > 0, F.sum(total).cast("double") / F.sum(n))
+    return sums.groupBy(*keys).agg(
+        F.min("__min").cast("double").alias("MinPrice"), F.max("__max").cast("double").alias("MaxPrice"),
+        avg("__sum", "__n").alias("AvgPrice"), avg("__core", "__cores").alias("AvgCore"),
+        F.count("__zip").alias("ShopCnt"))
 
 
 def price_stats(df: DataFrame, keys: list[str], price: str = "PRICE", core: str = "COREPRICE",
                 zip_col: str = "ZIPCODE") -> DataFrame:
     """MIN/MAX/AVG price, AVG core price, COUNT(DISTINCT zip) per key."""
-    return df.groupBy(*keys).agg(
-        F.min(price).cast("double").alias("MinPrice"),
-        F.max(price).cast("double").alias("MaxPrice"),
-        exact_avg(F.col(price), df.schema[price].dataType).alias("AvgPrice"),
-        exact_avg(F.col(core), df.schema[core].dataType).alias("AvgCore"),
-        F.countDistinct(zip_col).alias("ShopCnt"),
-    )
+    return stats_of_sums(price_sums(df, keys, price, core, zip_col), keys)
 
 
 def min_max_by(df: DataFrame, key: str, value: str) -> DataFrame:

@@ -20,6 +20,7 @@ from quillprice.oracle import compose, feeds_sql, retail_sql
 from quillprice.oracle.pricing_sql import PRICING_FIXTURES, ROUTINE_COLS, pricing_ctes
 from quillprice.plans import competitor, export, market, pivots, retail
 from quillprice.registry import register
+from quillprice.session import materialize
 from quillprice.sources import pricesheet
 from quillprice.sources.fixtures import LOAD_TS
 
@@ -477,10 +478,18 @@ _WIDE_SQL = compose(
 @register("wide_pivot_join", _WIDE_SQL)
 def wide_pivot_join(fx):
     """Refreshed matrix parts LEFT JOIN both pivots (dormant in the reference)."""
+    # Each step is stored, as the procedures publish it, so that disk holds the shuffles of one step at a time.
+    def keep(df):
+        return materialize(df, "wide-pivot", "zstd")
+
+    competitors = keep(pivots.competitor_price_pivot(keep(_sheet2(fx)), fx.comp_xref))
+    _, _, view, feed = _retail(fx)
+    enriched = keep(feed.filter("PRICE > 0").select(*retail.KEYS, "PRICE", "COREPRICE", "ZIPCODE", "DATE_CREATED"))
+    stats = keep(retail.newest_stats(keep(retail.shop_sums(enriched))))
+    comparison = retail.retail_price_comparison(retail.named_stats(stats, view), fx.xref, _brand_map(fx))
+    retailers = keep(pivots.retail_price_pivot(comparison))
     matrix = market.market_price_matrix_refresh(fx.matrix, market.staging(_inputs(fx)))
-    current = matrix.select("PartNumber").distinct()
-    return pivots.wide_pivot_join(current, pivots.competitor_price_pivot(_sheet2(fx), fx.comp_xref),
-                                  pivots.retail_price_pivot(_comparison(fx)))
+    return pivots.wide_pivot_join(keep(matrix.select("PartNumber").distinct()), competitors, retailers)
 
 
 # --- X12: OE export -----------------------------------------------------------------------

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quillprice.functions import dates, text
 from quillprice.functions.collation import union_into
-from quillprice.operators.aggregates import conditional_max, price_stats
+from quillprice.operators.aggregates import conditional_max, price_sums, stats_of_sums
 from quillprice.operators.joins import anti_join, lookup_join
 from quillprice.operators.windows import global_row_number, partition_row_number
 
@@ -171,22 +171,34 @@ def latest_day_rows(feed: DataFrame) -> DataFrame:
     return j.select(*KEYS, "PRICE", "COREPRICE", "ZIPCODE", "LastShop")
 
 
-def last_shop_stats(feed: DataFrame) -> DataFrame:
-    """A06 + A07: statistics of each key's latest shop day, in one pass.
+def shop_sums(feed: DataFrame) -> DataFrame:
+    """Extremes, sums and counts of the priced rows by key, day and zip code.
 
-    Aggregating by (key, day) first makes every statistic a per-day value;
-    the latest day is then picked with a window over that small result, so
-    the feed is scanned once and never self-joined. NULL keys cannot join
-    back in the reference and are dropped first (SURVEY Q14).
+    NULL keys cannot join back in the reference and are dropped first (SURVEY Q14).
     """
     keyed = _priced(feed).filter(F.col("RETAIL_XMFG").isNotNull()
                                  & F.col("CLEANPRODUCTBRAND").isNotNull()
                                  & F.col("CLEANPRODUCTNUMBER").isNotNull())
-    per_day = price_stats(keyed.withColumn("LastShop", dates.day_of(F.col("DATE_CREATED"))),
-                          _BY_NUMBER + ["LastShop"])
+    return price_sums(keyed.withColumn("LastShop", dates.day_of(F.col("DATE_CREATED"))),
+                      _BY_NUMBER + ["LastShop"])
+
+
+def newest_stats(sums: DataFrame) -> DataFrame:
+    """Statistics of each key's latest day from its sums, in one shuffle by key."""
     newest = F.max("LastShop").over(Window.partitionBy(*_BY_NUMBER))
-    last = per_day.withColumn("__newest", newest).filter(F.col("LastShop") == F.col("__newest"))
-    return last.select(*KEYS, *[c for c in per_day.columns if c not in KEYS])
+    last = sums.withColumn("__newest", newest).filter(F.col("LastShop") == F.col("__newest"))
+    stats = stats_of_sums(last, _BY_NUMBER + ["LastShop"])
+    return stats.select(*KEYS, *[c for c in stats.columns if c not in KEYS])
+
+
+def last_shop_stats(feed: DataFrame) -> DataFrame:
+    """A06 + A07: statistics of each key's latest shop day, in one pass.
+
+    Sums by (key, day, zip code) come first; the latest day is then picked with
+    a window over them and its sums are added up where they are, so the feed is
+    scanned once, never self-joined, and what it becomes is shuffled twice.
+    """
+    return newest_stats(shop_sums(feed))
 
 
 def last_shop_summary(feed: DataFrame, view: DataFrame) -> DataFrame:

@@ -357,12 +357,14 @@ class Fixtures:
     # derived once per session and scale factor, stored in the shared
     # checkpoint folder and read back from there.
     def _stored(self, name: str, build) -> DataFrame:
-        from quillprice.session import scratch_path
+        from quillprice.session import scratch_path, shuffles_freed
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
         path = _STORED.get(key)
         if path is None:
             path = scratch_path(self.spark, f"fixture-{name}")
-            build().write.parquet(path)
+            frame = build()
+            with shuffles_freed(self.spark):
+                frame.write.option("compression", "zstd").parquet(path)
             _STORED[key] = path
         return self._once(f"stored:{name}", lambda: self.spark.read.parquet(path))
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillprice.session import materialize, scratch_path
+from quillprice.session import materialize, scratch_path, shuffles_freed
 
 # Column order of the price sheet file (the load is positional). Prices keep the
 # decimals of the sheet: only CalcPrice rounds them, by its own casts.
@@ -177,7 +177,8 @@ def publish(df: DataFrame, path: str | None = None, name: str = "table") -> Data
     version and never overwrites the input of the job being run.
     """
     target = path or scratch_path(df.sparkSession, name)
-    df.write.mode("errorifexists").parquet(target)
+    with shuffles_freed(df.sparkSession):
+        df.write.mode("errorifexists").parquet(target)
     return df.sparkSession.read.parquet(target)
 
 

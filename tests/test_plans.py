@@ -50,6 +50,39 @@ def test_hot_keys_are_combined_before_the_shuffle(spark):
     assert "partial_min" in stats and "partial_sum" in stats
 
 
+def _shuffle_files(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    names = (str(b) for b in disk.getAllBlocks().mkString(" ").split(" "))
+    return {b for b in names if b.startswith("shuffle_")}
+
+
+def test_stored_steps_leave_no_shuffle_files(spark):
+    from quillprice.sources.pricesheet import publish
+    before = _shuffle_files(spark)
+    rows = spark.range(1000, numPartitions=4).selectExpr("id % 7 AS k", "id")
+    for store in (materialize, publish):
+        out = store(rows.groupBy("k").agg({"id": "sum"}), name="freed")
+        assert not _shuffle_files(spark) - before
+        assert len(out.take(9)) == 7
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_last_shop_shuffles_the_feed_twice(spark):
+    fx = Fixtures(spark, SF_SMALL)
+    feed = fx.retail_import
+    keyed = feed.withColumn("CLEANPRODUCTBRAND", feed.PRODUCTBRAND) \
+                .withColumn("CLEANPRODUCTNUMBER", feed.PRODUCTNUMBER)
+    assert _plan(retail.last_shop_stats(keyed)).count("Exchange hashpartitioning") == 2
+
+
+def test_wide_pivot_stores_its_steps(spark):
+    """The last plan only joins what the steps stored: the matrix parts and the two pivots."""
+    from quillprice.plans import catalog
+    plan = _plan(catalog.wide_pivot_join(Fixtures(spark, SF_SMALL)))
+    assert plan.count("FileScan parquet") == 3
+    assert plan.count("Exchange hashpartitioning") <= 3 and "Aggregate" not in plan
+
+
 def test_rule_joins_never_shuffle_the_price_sheet(spark):
     plan = queries()["market_price_staging"](spark, SF_SMALL)._jdf.queryExecution() \
         .executedPlan().toString()
